@@ -5,10 +5,49 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import sharding
+from quarry.llm import sharding, urls
 from quarry.session import table
 
 
+URL_RULES = [urls.Rule("block", "net"), urls.Rule("allow", "example.net", "/en/"), urls.Rule("block", "example.com", "/de/"), urls.Rule("allow", "org", "/fr/")]
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's url under the four rules; pages without a rule take the decision of their aliases."""
+    pages = table(spark, sf_dir, "pages")
+    out = urls.judge_urls(pages.select("page_id", "url"), URL_RULES, urls.page_links(pages))
+    return out.select("page_id", "host", "path", "rule", "verdict")
+
+
+OP3_SQL = r"""
+WITH RECURSIVE p AS (
+  SELECT page_id, url, html, translate(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)([^?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)([^?#]*)', 2, 's') AS path,
+    regexp_extract(coalesce(url, ''), '^.*?://[^/?#]*([^#]*)', 1, 's') AS rest
+  FROM pages),
+links AS (
+  SELECT host || CASE WHEN rest LIKE '/%' THEN rest ELSE '/' || rest END AS a, CASE WHEN t LIKE '%://%' THEN t WHEN t LIKE '//%' THEN 'http:' || t WHEN t LIKE '/%' THEN 'http://' || host || t END AS t
+  FROM (SELECT *, unnest([
+    regexp_extract(regexp_extract(html, '<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>', 0, 'is'), '\bhref\s*=\s*["'']?([^"''\s>]+)', 1, 'is'),
+    regexp_extract(regexp_extract(html, '<meta\b[^>]*\bproperty\s*=\s*["'']?og:url\b[^>]*>', 0, 'is'), '\bcontent\s*=\s*["'']?([^"''\s>]+)', 1, 'is'),
+    regexp_extract(regexp_extract(html, '<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>', 0, 'is'), '\burl\s*=\s*[''"]?([^"''\s>]+)', 1, 'is')]) AS t FROM p) WHERE t <> '' AND host <> ''),
+ends AS (
+  SELECT a, translate(regexp_extract(t, '^.*?://([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS bh, regexp_extract(t, '^.*?://[^/?#]*([^#]*)', 1, 's') AS br FROM links WHERE t IS NOT NULL),
+edges AS (SELECT a, bh || CASE WHEN br LIKE '/%' THEN br ELSE '/' || br END AS b FROM ends WHERE bh <> ''),
+twoway AS (SELECT a, b FROM edges WHERE a <> b UNION SELECT b, a FROM edges WHERE a <> b),
+reach AS (SELECT a AS node, a AS other FROM twoway UNION SELECT r.node, b.b FROM reach r JOIN twoway b ON r.other = b.a),
+rules(rh, rp, action) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+spread AS (
+  SELECT node, CASE WHEN bool_or(action = 'allow') THEN 'allow' ELSE 'block' END AS verdict FROM (
+    SELECT r.node, (SELECT arg_max(action, length(rh || rp)) FROM rules WHERE (split_part(split_part(r.other, '/', 1), '?', 1) = rh OR ends_with(split_part(split_part(r.other, '/', 1), '?', 1), '.' || rh)) AND starts_with(regexp_extract(r.other, '^[^/]*([^?]*)', 1, 's'), rp)) AS action FROM reach r)
+  WHERE action IS NOT NULL GROUP BY node),
+ruled AS (
+  SELECT page_id, host, path, rest, (SELECT arg_max(struct_pack(n := rh || rp, v := action), length(rh || rp)) FROM rules WHERE (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp)) AS r FROM p)
+SELECT page_id, host, path, r.n AS rule, coalesce(r.v, s.verdict, 'allow') AS verdict
+FROM ruled LEFT JOIN spread s ON r IS NULL AND host <> '' AND s.node = host || CASE WHEN rest LIKE '/%' THEN rest ELSE '/' || rest END
+"""
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in shards 0 to 7 whose row counts are at most one apart."""
     text = F.coalesce("text", F.lit(""))
@@ -17,5 +56,5 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {"op9_sharding": op9_sharding}
-ORACLE: dict[str, str] = {}
+QUERIES = {"op3_url_filter": op3_url_filter, "op9_sharding": op9_sharding}
+ORACLE = {"op3_url_filter": OP3_SQL}
