@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import sharding, urls
+from quarry.llm import packing, sharding, urls
 from quarry.session import table
 
 
@@ -56,5 +56,13 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {"op3_url_filter": op3_url_filter, "op9_sharding": op9_sharding}
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token pieces in sequences of at most 1024 ids."""
+    import public_tokenizers as P
+
+    pieces = packing.token_pieces(table(spark, sf_dir, "documents"), P.path("byte_bpe_50k.json"), P.path("byte_bpe_50k.tiktoken"))
+    return packing.pack(pieces).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+QUERIES = {"op3_url_filter": op3_url_filter, "op9_sharding": op9_sharding, "op10_packing": op10_packing}
 ORACLE = {"op3_url_filter": OP3_SQL}
