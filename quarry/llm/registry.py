@@ -5,10 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import packing, sharding, urls
+from quarry.llm import decontam, packing, sharding, urls
 from quarry.session import table
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every (document, benchmark item) pair in which the document holds at least 80 % of the item's shingles."""
+    return decontam.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP1_SQL = r"""
+WITH iw AS (SELECT item_id, text, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM benchmark),
+ik AS (SELECT *, least(len(w), 5) AS k FROM iw WHERE len(w) > 0),
+ish AS (SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS s FROM (SELECT item_id, k, w, unnest(range(1, len(w) - k + 2)) AS i FROM ik)),
+n AS (SELECT item_id, count(*) AS n_shingles FROM ish GROUP BY item_id),
+dw AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents),
+dk AS (SELECT doc_id, w, k FROM dw, (SELECT DISTINCT k FROM ik) WHERE len(w) >= k),
+dsh AS (SELECT DISTINCT doc_id, k, array_to_string(w[i:i + k - 1], ' ') AS s FROM (SELECT doc_id, k, w, unnest(range(1, len(w) - k + 2)) AS i FROM dk)),
+hit AS (SELECT doc_id, item_id, count(*) AS shared FROM dsh JOIN ish USING (k, s) GROUP BY doc_id, item_id)
+SELECT doc_id, item_id, n_shingles, shared, shared::DOUBLE / n_shingles AS containment FROM hit JOIN n USING (item_id) WHERE shared * 100 >= n_shingles * 80
+"""
+
 URL_RULES = [urls.Rule("block", "net"), urls.Rule("allow", "example.net", "/en/"), urls.Rule("block", "example.com", "/de/"), urls.Rule("allow", "org", "/fr/")]
 
 
@@ -64,5 +81,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
-QUERIES = {"op3_url_filter": op3_url_filter, "op9_sharding": op9_sharding, "op10_packing": op10_packing}
-ORACLE = {"op3_url_filter": OP3_SQL}
+QUERIES = {"op1_decontamination": op1_decontamination, "op3_url_filter": op3_url_filter, "op9_sharding": op9_sharding, "op10_packing": op10_packing}
+ORACLE = {"op1_decontamination": OP1_SQL, "op3_url_filter": OP3_SQL}
