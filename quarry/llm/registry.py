@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import decontam, packing, sharding, urls
+from quarry.llm import decontam, packing, sharding, simhash, urls
 from quarry.session import table
 
 
@@ -65,6 +65,11 @@ FROM ruled LEFT JOIN spread s ON r IS NULL AND host <> '' AND s.node = host || C
 """
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """256-bit fingerprints of all documents, of an edited form of each and its likeness to that and to its neighbour."""
+    return simhash.edited_likeness(table(spark, sf_dir, "documents"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in shards 0 to 7 whose row counts are at most one apart."""
     text = F.coalesce("text", F.lit(""))
@@ -81,5 +86,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
-QUERIES = {"op1_decontamination": op1_decontamination, "op3_url_filter": op3_url_filter, "op9_sharding": op9_sharding, "op10_packing": op10_packing}
+QUERIES = {"op1_decontamination": op1_decontamination, "op3_url_filter": op3_url_filter, "op5_simhash": op5_simhash, "op9_sharding": op9_sharding, "op10_packing": op10_packing}
 ORACLE = {"op1_decontamination": OP1_SQL, "op3_url_filter": OP3_SQL}
