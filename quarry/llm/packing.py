@@ -20,7 +20,7 @@ from quarry.session import materialize
 
 SIZE = 1024
 END = 0
-RANK_ROWS = 20_000  # pieces of one length that a single task ranks
+RANK_ROWS = 4_000  # pieces of one length that a single task ranks
 
 _loaded: dict = {}
 

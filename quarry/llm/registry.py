@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import decontam, packing, sharding, simhash, urls
+from quarry.llm import decontam, packing, sharding, simhash, toxicity, urls
 from quarry.session import table
 
 
@@ -65,6 +65,15 @@ FROM ruled LEFT JOIN spread s ON r IS NULL AND host <> '' AND s.node = host || C
 """
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learned from the labels of those outside the held-out fold."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    lexicon = toxicity.learn_lexicon(docs, labels.where(toxicity.fold_of(F.col("doc_id"), 4) != 2).select("doc_id", "toxic"))
+    out = toxicity.score_toxicity(docs.select("doc_id", "text"), lexicon)
+    held = F.coalesce(toxicity.fold_of(F.col("doc_id"), 4) == 2, F.lit(False))
+    return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """256-bit fingerprints of all documents, of an edited form of each and its likeness to that and to its neighbour."""
     return simhash.edited_likeness(table(spark, sf_dir, "documents"))
@@ -86,5 +95,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
-QUERIES = {"op1_decontamination": op1_decontamination, "op3_url_filter": op3_url_filter, "op5_simhash": op5_simhash, "op9_sharding": op9_sharding, "op10_packing": op10_packing}
+QUERIES = {"op1_decontamination": op1_decontamination, "op3_url_filter": op3_url_filter, "op4_toxicity": op4_toxicity, "op5_simhash": op5_simhash, "op9_sharding": op9_sharding, "op10_packing": op10_packing}
 ORACLE = {"op1_decontamination": OP1_SQL, "op3_url_filter": OP3_SQL}
