@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import decontam, packing, sharding, simhash, toxicity, urls
+from quarry.llm import decontam, packing, quality, sharding, simhash, toxicity, urls
 from quarry.session import table
 
 
@@ -79,6 +79,13 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.edited_likeness(table(spark, sf_dir, "documents"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade and tail probability of all documents, and which of them the selection keeps."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    out = quality.score_quality(docs.select("doc_id", "text"), quality.learn_quality(docs, labels))
+    return out.select("doc_id", "expected_grade", "tail_probability", (F.col("tail_probability") >= quality.KEEP).alias("kept"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in shards 0 to 7 whose row counts are at most one apart."""
     text = F.coalesce("text", F.lit(""))
@@ -95,5 +102,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
-QUERIES = {"op1_decontamination": op1_decontamination, "op3_url_filter": op3_url_filter, "op4_toxicity": op4_toxicity, "op5_simhash": op5_simhash, "op9_sharding": op9_sharding, "op10_packing": op10_packing}
+QUERIES = {"op1_decontamination": op1_decontamination, "op3_url_filter": op3_url_filter, "op4_toxicity": op4_toxicity, "op5_simhash": op5_simhash, "op8_quality": op8_quality, "op9_sharding": op9_sharding, "op10_packing": op10_packing}
 ORACLE = {"op1_decontamination": OP1_SQL, "op3_url_filter": OP3_SQL}
