@@ -47,7 +47,7 @@ class Features:
         counts = Counter(names)
         if len(known) > WORDS_KEPT:
             known.clear()
-        for x in counts.keys() - known.keys():
+        for x in set(counts).difference(known):
             known[x] = self._at(hashed(x))
         return [known[x] for x in counts], list(counts.values())
 

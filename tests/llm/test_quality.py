@@ -37,7 +37,7 @@ def test_features_against_plain_counts():
     idx, val = f(t)
     got = dict(zip(idx.tolist(), val.tolist()))
     assert abs(got[f._at("waa")] - math.sqrt(4 / 7)) < 1e-12 and abs(got[f._at("s9")] - math.sqrt(2 / 7)) < 1e-12
-    assert got[f._at("distinct=8")] == 1.0 and len(f("")[0]) == 8
+    assert got[f._at("distinct=7")] == 1.0 and len(f("")[0]) == 8
 
 
 def test_held_out_quality(spark):
