@@ -9,6 +9,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -169,9 +170,7 @@ def score_quality(docs: DataFrame, model: Ordinal, wanted: int | None = None) ->
     buckets = len(model.weights)
 
     @F.pandas_udf("struct<e:double,t:double>")
-    def rate(batches: Iterator["pd.Series"]) -> Iterator["pd.DataFrame"]:  # noqa: F821
-        import pandas as pd
-
+    def rate(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         f = Features(buckets)
         for text in batches:
             yield pd.DataFrame([shared.value.rate(*f(t or ""), wanted) for t in text], columns=["e", "t"], dtype="float64")
