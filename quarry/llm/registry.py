@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import decontam, packing, quality, sharding, simhash, toxicity, urls
+from quarry.llm import decontam, neardup, packing, quality, sharding, simhash, toxicity, urls
 from quarry.session import table
 
 
@@ -79,6 +79,25 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.edited_likeness(table(spark, sf_dir, "documents"))
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents at a shingle similarity of 0.85."""
+    return neardup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), 85)
+
+
+OP7_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+k AS (SELECT doc_id, w, least(len(w), 5) AS k FROM w WHERE len(w) > 0),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + k - 1], ' ') AS s FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM k)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pair AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+link AS (SELECT a, b FROM pair JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+reach AS (SELECT a AS node, a AS other FROM link UNION SELECT r.node, l.b FROM reach r JOIN link l ON r.other = l.a),
+comp AS (SELECT node, min(other) AS c FROM reach GROUP BY node)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(comp.c, w.doc_id) AS component_id, w.doc_id = coalesce(comp.c, w.doc_id) AS kept
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN comp ON comp.node = w.doc_id
+"""
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expected grade and tail probability of all documents, and which of them the selection keeps."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -102,5 +121,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
-QUERIES = {"op1_decontamination": op1_decontamination, "op3_url_filter": op3_url_filter, "op4_toxicity": op4_toxicity, "op5_simhash": op5_simhash, "op8_quality": op8_quality, "op9_sharding": op9_sharding, "op10_packing": op10_packing}
-ORACLE = {"op1_decontamination": OP1_SQL, "op3_url_filter": OP3_SQL}
+QUERIES = {"op1_decontamination": op1_decontamination, "op3_url_filter": op3_url_filter, "op4_toxicity": op4_toxicity, "op5_simhash": op5_simhash, "op7_near_duplicates": op7_near_duplicates, "op8_quality": op8_quality, "op9_sharding": op9_sharding, "op10_packing": op10_packing}
+ORACLE = {"op1_decontamination": OP1_SQL, "op3_url_filter": OP3_SQL, "op7_near_duplicates": OP7_SQL}
