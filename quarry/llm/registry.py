@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import decontam, neardup, packing, quality, sharding, simhash, toxicity, urls
+from quarry.llm import decontam, neardup, packing, pitman_yor, quality, sharding, simhash, toxicity, urls
 from quarry.session import table
 
 
@@ -79,6 +79,16 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.edited_likeness(table(spark, sf_dir, "documents"))
 
 
+def op6_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hierarchical Pitman-Yor log10 probabilities of all documents, learned from those outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    held = F.coalesce(toxicity.fold_of(F.col("doc_id"), 5) == 1, F.lit(False))
+    rows = docs.select("doc_id", F.col("text").cast("binary").alias("text"), (~held).alias("train"))
+    model = pitman_yor.fit(rows)
+    out = pitman_yor.score(rows, model)
+    return out.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+
+
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents at a shingle similarity of 0.85."""
     return neardup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), 85)
@@ -121,5 +131,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
-QUERIES = {"op1_decontamination": op1_decontamination, "op3_url_filter": op3_url_filter, "op4_toxicity": op4_toxicity, "op5_simhash": op5_simhash, "op7_near_duplicates": op7_near_duplicates, "op8_quality": op8_quality, "op9_sharding": op9_sharding, "op10_packing": op10_packing}
+QUERIES = {"op1_decontamination": op1_decontamination, "op3_url_filter": op3_url_filter, "op4_toxicity": op4_toxicity, "op5_simhash": op5_simhash, "op6_language_model": op6_language_model, "op7_near_duplicates": op7_near_duplicates, "op8_quality": op8_quality, "op9_sharding": op9_sharding, "op10_packing": op10_packing}
 ORACLE = {"op1_decontamination": OP1_SQL, "op3_url_filter": OP3_SQL, "op7_near_duplicates": OP7_SQL}
