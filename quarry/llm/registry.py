@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import decontam, neardup, packing, pitman_yor, quality, sharding, simhash, toxicity, urls
+import corpus_pipeline
+from quarry.llm import chat, decontam, neardup, packing, pitman_yor, quality, sharding, simhash, toxicity, urls
 from quarry.session import table
 
 
@@ -26,6 +27,25 @@ hit AS (SELECT doc_id, item_id, count(*) AS shared FROM dsh JOIN ish USING (k, s
 SELECT doc_id, item_id, n_shingles, shared, shared::DOUBLE / n_shingles AS containment FROM hit JOIN n USING (item_id) WHERE shared * 100 >= n_shingles * 80
 """
 
+CHAT_TOOLS = {
+    "search": {"properties": {"query": {"type": "string"}, "limit": {"type": "integer"}}, "required": ["query"], "additionalProperties": False},
+    "fetch": {"properties": {"url": {"type": "string"}}, "required": ["url"], "additionalProperties": False},
+    "calculate": {"properties": {"expression": {"type": "string"}, "precision": {"type": "integer"}}, "required": ["expression"]},
+}
+
+
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations as canonical JSON rows, with tool calls linked, ordered and validated."""
+    return chat.format_chat(table(spark, sf_dir, "conversations"), CHAT_TOOLS)
+
+
+#: The generated conversations hold no tool markup, so on them every row is a message; tests/llm/test_chat.py covers calls.
+OP2_SQL = """
+SELECT conv_id, turn, 'message' AS kind, NULL::VARCHAR AS call_id, turn AS order_turn, 0 AS order_level, 0 AS order_part, 0 AS order_item, NULL::VARCHAR AS problem,
+  to_json({'content': text, 'role': role, 'turn': turn})::VARCHAR AS json
+FROM conversations
+"""
+
 URL_RULES = [urls.Rule("block", "net"), urls.Rule("allow", "example.net", "/en/"), urls.Rule("block", "example.com", "/de/"), urls.Rule("allow", "org", "/fr/")]
 
 
@@ -131,5 +151,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
-QUERIES = {"op1_decontamination": op1_decontamination, "op3_url_filter": op3_url_filter, "op4_toxicity": op4_toxicity, "op5_simhash": op5_simhash, "op6_language_model": op6_language_model, "op7_near_duplicates": op7_near_duplicates, "op8_quality": op8_quality, "op9_sharding": op9_sharding, "op10_packing": op10_packing}
-ORACLE = {"op1_decontamination": OP1_SQL, "op3_url_filter": OP3_SQL, "op7_near_duplicates": OP7_SQL}
+QUERIES = {"op1_decontamination": op1_decontamination, "op2_chat_format": op2_chat_format, "op3_url_filter": op3_url_filter, "op4_toxicity": op4_toxicity, "op5_simhash": op5_simhash, "op6_language_model": op6_language_model, "op7_near_duplicates": op7_near_duplicates, "op8_quality": op8_quality, "op9_sharding": op9_sharding, "op10_packing": op10_packing, "pipeline": corpus_pipeline.run}
+ORACLE = {"op1_decontamination": OP1_SQL, "op2_chat_format": OP2_SQL, "op3_url_filter": OP3_SQL, "op7_near_duplicates": OP7_SQL}
