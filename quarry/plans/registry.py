@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from quarry.plans import search
+
 FLAGSHIP = "bm25_topk"
-QUERIES: dict = {}
-ORACLE: dict = {}
+MODULES = [search]
+QUERIES = {k: v for m in MODULES for k, v in m.plans.queries.items()}
+ORACLE = {k: v for m in MODULES for k, v in m.plans.oracle.items()}
