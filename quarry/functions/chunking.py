@@ -95,8 +95,8 @@ def chunk_spans(text: str, start: int, end: int, cost: Callable[[str], int], bud
 
 def chunks(text: str | None, budget: int = MAX_TOKENS, overlap: int = OVERLAP, least: int = MIN_TOKENS, cost: Callable[[str], int] = lambda w: 1) -> list[tuple]:
     """The chunks of a document in order, as rows of SCHEMA. Null and blank texts have none."""
-    out = []
-    for path, article, start, end in sections(text or ""):
+    text, out = text or "", []
+    for path, article, start, end in sections(text):
         for a, b, n in chunk_spans(text, start, end, cost, budget, overlap, least):
             piece = text[a:b]
             out.append((len(out), path, article, a, b, n, piece, hashlib.sha256(piece.encode()).hexdigest()))

@@ -48,11 +48,16 @@ def near_duplicate_clusters(docs: DataFrame, threshold: float = 0.85, permutatio
     bucket each class is compared with the bucket's least class and with its neighbours in signature order, so the work
     grows with the members and not with their pairs. A document without words is in no cluster.
     """
-    spark = docs.sparkSession
     d = docs.select("doc_id", "source", F.transform(shingles(F.col("text")), lambda s: F.xxhash64(s)).alias("set")).where(F.size("set") > 0)
     d = d.withColumn("set", F.array_sort("set")).withColumn("key", F.sha2(F.to_json("set"), 256))
     cls = materialize(d.groupBy("source", "key").agg(F.min("doc_id").alias("rep"), F.first("set").alias("set")), "classes")
-    band = lambda b: F.xxhash64(F.lit(b), *[F.array_min(F.transform("set", lambda x, i=b * rows_per_band + r: F.xxhash64(x, F.lit(i)))) for r in range(rows_per_band)])
+
+    def least(i: int):
+        return F.array_min(F.transform("set", lambda x: F.xxhash64(x, F.lit(i))))
+
+    def band(b: int):
+        return F.xxhash64(F.lit(b), *[least(b * rows_per_band + r) for r in range(rows_per_band)])
+
     n = permutations // rows_per_band
     keys = materialize(cls.select("source", "rep", F.posexplode(F.array(*[band(b) for b in range(n)])).alias("band", "h")), "bands")
     w = Window.partitionBy("source", "band", "h").orderBy("rep")
@@ -65,7 +70,6 @@ def near_duplicate_clusters(docs: DataFrame, threshold: float = 0.85, permutatio
     links = met.where(inter >= threshold * (F.size("sa") + F.size("sb") - inter)).select("rep", "other")
     same = d.join(cls.select("source", "key", "rep"), ["source", "key"]).where("doc_id <> rep").select("rep", F.col("doc_id").alias("other"))
     comp = connected_components(links.union(same), "rep", "other")
-    del spark
     return comp.select(F.col("node").alias("doc_id"), "component")
 
 
