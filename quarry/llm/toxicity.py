@@ -20,6 +20,7 @@ LEXICON_TERMS = 20_000  # entries of a learned lexicon, at most
 PREFIX = range(3, 15)  # lengths of word beginnings that may become terms
 WEIGHT = 2.0  # least log-odds of a term
 THRESHOLD = 0.3
+TERMS_HELD = 100_000  # terms a counting worker gathers before it passes them on; a memory bound only
 
 # Letters of other scripts that look like Latin ones, and digits and signs read as letters.
 LOOKALIKES = {
@@ -166,18 +167,24 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_
     sample = docs.select("doc_id", "text").join(F.broadcast(own), F.col("doc_id") == F.col("__id")).where("text is not null").select("text", "__y", "__half")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        docs_with, occurs = Counter(), Counter()
+        held: Counter = Counter()  # occurrences, and documents above bit 40
+
+        def flushed() -> pa.RecordBatch:
+            keys, values = list(held), list(held.values())
+            held.clear()
+            cols = [pa.array([k[0] for k in keys]), pa.array([k[1] for k in keys], pa.int32()), pa.array([v >> 40 for v in values], pa.int64()), pa.array([v & (1 << 40) - 1 for v in values], pa.int64())]
+            return pa.RecordBatch.from_arrays(cols, ["term", "kind", "d", "n"])
+
         for b in batches:
             for t, y, h in zip(b.column(0), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+                kind = 2 * h + y
                 for x, k in terms_of(t.as_py()).items():
-                    docs_with[x, 2 * h + y] += 1
-                    occurs[x, 2 * h + y] += k
-                docs_with["", 2 * h + y] += 1
-                occurs["", 2 * h + y] += 1
-        if docs_with:
-            keys = list(docs_with)
-            cols = [pa.array([k[0] for k in keys]), pa.array([k[1] for k in keys], pa.int32()), pa.array([docs_with[k] for k in keys], pa.int64()), pa.array([occurs[k] for k in keys], pa.int64())]
-            yield pa.RecordBatch.from_arrays(cols, ["term", "kind", "d", "n"])
+                    held[x, kind] += k + (1 << 40)
+                held["", kind] += 1 + (1 << 40)
+                if len(held) > TERMS_HELD:
+                    yield flushed()
+        if held:
+            yield flushed()
 
     def of(k: int, what: str) -> Column:
         return F.sum(F.when(F.col("kind") == k, F.col(what)).otherwise(0))
