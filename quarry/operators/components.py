@@ -9,18 +9,24 @@ from quarry.session import materialize, release
 
 
 def _star(e: DataFrame, large: bool) -> DataFrame:
-    """One star step. Each node's least neighbour is a partial aggregate, so a hub never gathers its links in one task."""
+    """One star step over edges (a, b).
+
+    The least neighbour of each node is a partial aggregate, written before it is joined back: a join between two plain tables is
+    one that adaptive execution can split, so a hub's links are dealt over several tasks.
+    """
     if large:
         both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
     else:
         both = e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    m = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("n"), F.least("a", "m").alias("m"))
+    m = materialize(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("n"), F.least("a", "m").alias("m")), "least")
     j = both.join(m, both.a == m.n)
     if large:
         out = j.where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
         out = j.select(F.col("b").alias("a"), F.col("m").alias("b")).union(m.select(F.col("n").alias("a"), F.col("m").alias("b")))
-    return out.where("a <> b").distinct()
+    out = materialize(out.where("a <> b").distinct(), "star")
+    release(m)
+    return out
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
@@ -38,9 +44,11 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
 
     before = None
     for _ in range(max_rounds):
-        n = materialize(_star(_star(e, True), False), "cc")
+        half = _star(e, True)
         release(e)
-        e, now = n, state(n)
+        e = _star(half, False)
+        release(half)
+        now = state(e)
         if now == before:
             nodes = e.select(F.col("a").alias("node"), F.col("b").alias("component"))
             return nodes.union(e.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
