@@ -153,9 +153,11 @@ def learn_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", sa
         f = Features(buckets)
         for b in batches:
             got = [f(t.as_py()) for t in b.column(0)]
-            yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in got], pa.list_(pa.int64())), pa.array([g[1] for g in got], pa.list_(pa.float64())), b.column(1)], ["i", "v", "y"])
+            packed = [pa.array([g[k].astype(t).tobytes() for g in got], pa.binary()) for k, t in ((0, "<i4"), (1, "<f4"))]
+            yield pa.RecordBatch.from_arrays([*packed, b.column(1)], ["i", "v", "y"])
 
-    rows = [(np.array(r.i), np.array(r.v), r.y) for r in sample.mapInArrow(extract, "i array<long>, v array<double>, y int").collect()]
+    found = sample.mapInArrow(extract, "i binary, v binary, y int").collect()  # at most sample_rows of a few KB
+    rows = [(np.frombuffer(r.i, "<i4"), np.frombuffer(r.v, "<f4").astype(float), r.y) for r in found]
     rows.sort(key=lambda r: (r[2], len(r[0]), r[0].tobytes(), r[1].tobytes()))  # one fit whatever the order of rows
     return fit_ordinal(rows, buckets)
 
