@@ -38,6 +38,24 @@ class Engine:
             out = order.join(out.select("qid", "doc_id", "score"), ["qid", "doc_id"], "left")
         return out.where(F.col("rank") <= k).select("qid", "doc_id", "score", "rank")
 
+    def accurate(self, questions: DataFrame, exact: DataFrame | None = None, as_of: Column | None = None, k: int = 10, pool: int = 50, min_score: float = 0.0) -> DataFrame:
+        """Several branches, one answer: exact matches (qid, doc_id), both lexical rankings, then what is admissible, then a rescoring.
+
+        ``docs`` may have ``content_complete`` (rows that are not are left out) and effective_from / effective_to (only rows in force at
+        ``as_of`` stay). Returns (qid, doc_id, score, rank, branch); a question without rows is for ``abstentions``.
+        """
+        d = self.docs
+        if "content_complete" in d.columns:
+            d = d.where(F.coalesce("content_complete", F.lit(False)))
+        if as_of is not None:
+            d = d.where((F.col("effective_from") <= as_of) & (F.col("effective_to").isNull() | (F.col("effective_to") > as_of)))
+        branches = [R.bm25(d, questions, pool), R.sparse(d, questions, pool)]
+        if exact is not None:
+            branches.insert(0, exact.select("qid", "doc_id").distinct().join(d.select("doc_id"), "doc_id", "left_semi").withColumn("rank", F.row_number().over(Window.partitionBy("qid").orderBy("doc_id"))))
+        found = R.union_candidates(branches)
+        out = R.rerank(found, questions, d, k, min_score)
+        return out.join(found.select("qid", "doc_id", "branch"), ["qid", "doc_id"])
+
     def abstentions(self, questions: DataFrame, hits: DataFrame) -> DataFrame:
         """(qid, reason): questions that have no hit, which are to be answered by no one."""
         return questions.select("qid").join(hits.select("qid").distinct(), "qid", "left_anti").withColumn("reason", F.lit("no_evidence"))

@@ -8,6 +8,7 @@ from quarry.functions import chunking as K
 from quarry.functions import html as H
 from quarry.functions import parse as P
 from quarry.functions import text as T
+from quarry.operators import index as I
 from quarry.operators import retrieval as R
 from quarry.operators import vectors as V
 from quarry.plans.base import Plans
@@ -134,3 +135,14 @@ def pca(s, d):
 @plans.add("kmeans_silhouette")
 def kmeans_silhouette(s, d):
     return V.kmeans(table(s, d, "embeddings"), [4, 8, 10])
+
+
+@plans.add("term_stats", r"WITH t AS (SELECT doc_id, unnest(regexp_extract_all(replace(lower(text), 'ß', 'ss'), '[\p{L}\p{N}_]+')) AS term FROM documents), n AS (SELECT count(*) AS docs FROM documents), g AS (SELECT term, count(DISTINCT doc_id) AS df, count(*) AS tf FROM t GROUP BY term) SELECT term, df, tf, round(ln(1 + (docs - df + 0.5) / (df + 0.5)), 6) AS idf FROM g, n")
+def term_stats(s, d):
+    return I.term_stats(table(s, d, "documents"))
+
+
+@plans.add("payload_rows")
+def payload_rows(s, d):
+    docs = table(s, d, "documents")
+    return I.payloads(docs.drop("text"), K.chunk_documents(docs)).drop("text")
