@@ -142,7 +142,7 @@ def asof_join(s, d):
     return C.asof_join(e.where("event_id % 2 = 1").select("event_id", "user_id", "ts"), right, "user_id", "ts", "value")
 
 
-@plans.add("uuid5_point_ids")
+@plans.add("uuid5_point_ids", "WITH h AS (SELECT doc_id, sha1(unhex('6ba7b8119dad11d180b400c04fd430c8') || encode(source || ':' || doc_id || ':0')) AS h FROM documents) SELECT doc_id, substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-' || ['8', '9', 'a', 'b'][(('0x' || substr(h, 17, 1))::INT % 4) + 1] || substr(h, 18, 3) || '-' || substr(h, 21, 12) AS point_id FROM h")
 def uuid5_point_ids(s, d):
     return table(s, d, "documents").select("doc_id", T.uuid5("6ba7b8119dad11d180b400c04fd430c8", F.concat_ws(":", "source", F.col("doc_id").cast("string"), F.lit("0"))).alias("point_id"))
 

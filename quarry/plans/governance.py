@@ -122,7 +122,7 @@ def holdout_antijoin(s, d):
     return table(s, d, "benchmark").join(table(s, d, "labels").where("quality = 1"), F.col("item_id") == F.col("doc_id"), "left_anti").select("item_id")
 
 
-@plans.add("set_hash")
+@plans.add("set_hash", "WITH m AS (SELECT source, sha256(doc_id::VARCHAR) AS h FROM (SELECT DISTINCT source, doc_id FROM documents)) SELECT source, count(*) AS members, " + " || '-' || ".join(f"sum(('0x' || substr(h, {i * 8 + 1}, 8))::HUGEINT)::VARCHAR" for i in range(4)) + " AS digest FROM m GROUP BY source")
 def set_hash(s, d):
     return G.set_hash(table(s, d, "documents"), "source", "doc_id")
 
