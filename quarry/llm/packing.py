@@ -1,7 +1,8 @@
 """Sequence packing as a cutting-stock problem solved by column generation.
 
-Documents are tokenized and cut into full pieces of the sequence length and one remainder. The histogram of
-piece lengths (at most ``size`` numbers, at every corpus size) is the demand of a linear program over patterns;
+Documents are tokenized and cut into full pieces of the sequence length and a remainder, which is cut once more at a
+multiple of ``GRID``: lengths on a grid fit each other, and the short tails fill what is left. The histogram of
+piece lengths (a fixed number of them, at every corpus size) is the demand of a linear program over patterns;
 a knapsack dynamic program prices new patterns. Rounded patterns and the few pieces left over (packed best fit,
 longest first) give a plan of runs, and the plan is joined to the pieces ranked within their length.
 """
@@ -20,6 +21,7 @@ from quarry.session import materialize
 
 SIZE = 1024
 END = 0
+GRID = 64  # remainders are cut at a multiple of this; 1 leaves them whole
 RANK_ROWS = 4_000  # pieces of one length that a single task ranks
 
 _loaded: dict = {}
@@ -54,8 +56,16 @@ def encoder(json_path: str, ranks_path: str):
     return _loaded[key]
 
 
-def token_pieces(docs: DataFrame, json_path: str, ranks_path: str, doc_id: str = "doc_id", text: str = "text", size: int = SIZE, with_ids: bool = False) -> DataFrame:
-    """(doc_id, start, length, ids_crc32, doc_tokens[, ids]): each document's ids and a closing id 0, cut every ``size`` ids.
+def cuts(n: int, size: int = SIZE, grid: int = GRID) -> list[tuple[int, int]]:
+    """(from, to) of the pieces of n ids: full ones, the part of the remainder that lies on the grid, and the tail."""
+    tail = n % size % grid
+    ends = sorted({0, *range(size, n + 1, size), n - tail, n})
+    return list(zip(ends, ends[1:], strict=False))
+
+
+def token_pieces(docs: DataFrame, json_path: str, ranks_path: str, doc_id: str = "doc_id", text: str = "text", size: int = SIZE, with_ids: bool = False, grid: int = GRID) -> DataFrame:
+    """(doc_id, start, length, ids_crc32, doc_tokens[, ids]): each document's ids and a closing id 0, cut every ``size`` ids and once
+    more at the last multiple of ``grid`` in the remainder.
 
     A null text is empty: its one piece is the closing id. Repeated rows and null ids stay rows of their own.
     """
@@ -68,8 +78,8 @@ def token_pieces(docs: DataFrame, json_path: str, ranks_path: str, doc_id: str =
             who, start, length, crc, tokens, kept = [], [], [], [], [], []
             for i, t in enumerate(batch.column(1)):
                 ids = np.append(encode(t.as_py() or ""), np.uint32(END)).astype("<u4", copy=False)
-                for at in range(0, len(ids), size):
-                    piece = ids[at : at + size]
+                for at, end in cuts(len(ids), size, grid):
+                    piece = ids[at:end]
                     who.append(i)
                     start.append(at)
                     length.append(len(piece))
@@ -110,7 +120,7 @@ def best_pattern(value: np.ndarray, lengths: np.ndarray, size: int) -> tuple[flo
     return float(best[size]), took
 
 
-def solve_patterns(demand: dict[int, int], size: int = SIZE, gap: float = 1e-3, rounds: int = 3000) -> list[tuple[float, dict[int, int]]]:
+def solve_patterns(demand: dict[int, int], size: int = SIZE, gap: float = 2e-4, rounds: int = 3000) -> list[tuple[float, dict[int, int]]]:
     """Column generation for min sum x with sum a x >= demand: [(x, {length: copies})].
 
     A revised simplex with an explicit inverse. It ends when no pattern prices in, or when the objective is within

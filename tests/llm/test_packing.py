@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from quarry.llm.packing import best_pattern, encoder, pack, plan_sequences, solve_patterns, token_pieces
+from quarry.llm.packing import best_pattern, cuts, encoder, pack, plan_sequences, solve_patterns, token_pieces
 
 PATHS = P.path("byte_bpe_50k.json"), P.path("byte_bpe_50k.tiktoken")
 
@@ -69,6 +69,19 @@ def test_plan_places_every_rank_with_little_padding():
     check_plan({1: 1, 127: 1}, 128)
 
 
+def test_cuts():
+    assert cuts(1) == [(0, 1)] and cuts(1024) == [(0, 1024)] and cuts(64) == [(0, 64)]
+    assert cuts(2048 + 200) == [(0, 1024), (1024, 2048), (2048, 2240), (2240, 2248)]
+    assert cuts(1024 + 30) == [(0, 1024), (1024, 1054)] and cuts(100, 64, 1) == [(0, 64), (64, 100)]
+
+
+def test_little_padding_on_few_documents(spark, sf):
+    from quarry.llm.registry import op10_packing
+
+    rows = op10_packing(spark, sf).groupBy("sequence_id").sum("length").collect()
+    assert sum(r[1] for r in rows) > 0.99 * 1024 * (len(rows) - 1)
+
+
 def test_round_trip(spark):
     rnd = random.Random(2)
     texts = [" ".join(rnd.choice(["alpha", "beta", "gamma", "ß"]) for _ in range(rnd.randrange(0, 60))) for _ in range(120)] + [None, "", "long " * 9000] + ["same text"] * 60
