@@ -15,7 +15,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.session import materialize
+
 SAMPLE_ROWS = 20_000  # labelled rows a lexicon is learned from, at most
+SAMPLE_FILES = 48
 LEXICON_TERMS = 20_000  # entries of a learned lexicon, at most
 PREFIX = range(3, 15)  # lengths of word beginnings that may become terms
 WEIGHT = 2.0  # least log-odds of a term
@@ -165,6 +168,7 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_
         own = own.where(F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1_000_000)) < int(1_000_000 * sample_rows / n))
     own = own.withColumn("__half", F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2)).cast("int")).withColumnRenamed("doc_id", "__id")
     sample = docs.select("doc_id", "text").join(F.broadcast(own), F.col("doc_id") == F.col("__id")).where("text is not null").select("text", "__y", "__half")
+    sample = materialize(sample.repartition(SAMPLE_FILES), "labelled")  # the corpus is read once for it
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: Counter = Counter()  # occurrences, and documents above bit 40
