@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.functions.text import content_hash, damage, shingles
+from quarry.functions.text import content_hash, damage
 from quarry.operators.components import connected_components
 from quarry.session import broadcast_if_small, materialize
 
@@ -41,36 +46,59 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
     return h.join(c, h.h == c.cluster_key).select("doc_id", "cluster_key", "representative")
 
 
-def near_duplicate_clusters(docs: DataFrame, threshold: float = 0.85, permutations: int = 128, rows_per_band: int = 4) -> DataFrame:
-    """(doc_id, component) of documents linked, within one source, by a shingle likeness of ``threshold`` or more.
+def band_keys(docs: DataFrame, permutations: int = 128, rows_per_band: int = 4, width: int = 5) -> DataFrame:
+    """(doc_id, source, set, bands): distinct shingle hashes, ascending, and the keys of the MinHash bands, in Arrow batches.
 
-    MinHash signatures by bands find candidates, full sets confirm them. Equal sets are one node before banding, and in a band's
-    bucket each class is compared with the bucket's least class and with its neighbours in signature order, so the work
-    grows with the members and not with their pairs. A document without words is in no cluster.
+    Shingles are runs of ``width`` white-space words; shorter texts are one shingle and blank ones have no row.
     """
-    d = docs.select("doc_id", "source", F.transform(shingles(F.col("text")), lambda s: F.xxhash64(s)).alias("set")).where(F.size("set") > 0)
-    d = d.withColumn("set", F.array_sort("set")).withColumn("key", F.sha2(F.to_json("set"), 256))
-    cls = materialize(d.groupBy("source", "key").agg(F.min("doc_id").alias("rep"), F.first("set").alias("set")), "classes")
+    kind = dict(docs.dtypes)["doc_id"]
+    rnd = np.random.default_rng(17)
+    mult = rnd.integers(1, 2**63, permutations, dtype=np.uint64) | np.uint64(1)
+    place = rnd.integers(1, 2**63, permutations, dtype=np.uint64) | np.uint64(1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            who, sets, bands = [], [], []
+            for i, t in enumerate(b.column(2)):
+                words = (t.as_py() or "").split()
+                if not words:
+                    continue
+                k = min(width, len(words))
+                grams = {" ".join(words[j : j + k]) for j in range(len(words) - k + 1)}
+                s = np.sort(np.fromiter((xxhash.xxh3_64_intdigest(g.encode()) for g in grams), np.uint64, len(grams)))
+                least = np.full(permutations, 2**64 - 1, np.uint64)
+                for at in range(0, len(s), 512):
+                    np.minimum(least, (s[at : at + 512, None] * mult[None, :]).min(axis=0), out=least)
+                keys = (least * place).reshape(-1, rows_per_band).sum(axis=1, dtype=np.uint64)
+                who.append(i)
+                sets.append(s.view(np.int64))
+                bands.append(keys.view(np.int64))
+            longs = pa.list_(pa.int64())
+            yield pa.RecordBatch.from_arrays([*(b.column(c).take(pa.array(who, pa.int64())) for c in (0, 1)), pa.array(sets, longs), pa.array(bands, longs)], ["doc_id", "source", "set", "bands"])
+
+    return docs.select("doc_id", "source", "text").mapInArrow(run, f"doc_id {kind}, source string, set array<long>, bands array<long>")
 
-    def least(i: int):
-        return F.array_min(F.transform("set", lambda x: F.xxhash64(x, F.lit(i))))
 
-    def band(b: int):
-        return F.xxhash64(F.lit(b), *[least(b * rows_per_band + r) for r in range(rows_per_band)])
+def near_duplicate_clusters(docs: DataFrame, threshold: float = 0.85, permutations: int = 128, rows_per_band: int = 4) -> DataFrame:
+    """(doc_id, component) of documents linked, within one source, by a shingle likeness of ``threshold`` or more.
 
-    n = permutations // rows_per_band
-    keys = materialize(cls.select("source", "rep", F.posexplode(F.array(*[band(b) for b in range(n)])).alias("band", "h")), "bands")
+    MinHash bands find candidates, full sets confirm them. Equal sets are one class before banding, and in a band's bucket a
+    class is compared with the bucket's least class and with its neighbour, so the work grows with the members and not with
+    their pairs. A document without words is in no cluster.
+    """
+    d = materialize(band_keys(docs, permutations, rows_per_band).withColumn("key", F.sha2(F.to_json("set"), 256)), "sets")
+    cls = materialize(d.groupBy("source", "key").agg(F.min("doc_id").alias("rep")), "classes")
+    reps = d.join(cls, ["source", "key"]).where("doc_id = rep").select("source", "rep", "set", "bands")
+    keys = reps.select("source", "rep", F.posexplode("bands").alias("band", "h"))
     w = Window.partitionBy("source", "band", "h").orderBy("rep")
-    near = keys.select("rep", F.lag("rep").over(w).alias("other")).union(keys.select("rep", F.first("rep").over(w).alias("other")))
+    near = keys.select("rep", F.array(F.lag("rep").over(w), F.first("rep").over(w)).alias("o")).select("rep", F.explode("o").alias("other"))
     pairs = materialize(near.where("other is not null and other <> rep").distinct(), "pairs")
-    a, b = cls.select(F.col("rep"), F.col("set").alias("sa")), cls.select(F.col("rep").alias("other"), F.col("set").alias("sb"))
-    c = pairs.count()
-    met = broadcast_if_small(pairs, c).join(a, "rep").join(b, "other")
+    a, b = reps.select("rep", F.col("set").alias("sa")), reps.select(F.col("rep").alias("other"), F.col("set").alias("sb"))
+    met = broadcast_if_small(pairs, pairs.count()).join(a, "rep").join(b, "other")
     inter = F.size(F.array_intersect("sa", "sb"))
     links = met.where(inter >= threshold * (F.size("sa") + F.size("sb") - inter)).select("rep", "other")
-    same = d.join(cls.select("source", "key", "rep"), ["source", "key"]).where("doc_id <> rep").select("rep", F.col("doc_id").alias("other"))
-    comp = connected_components(links.union(same), "rep", "other")
-    return comp.select(F.col("node").alias("doc_id"), "component")
+    same = d.join(cls, ["source", "key"]).where("doc_id <> rep").select("rep", F.col("doc_id").alias("other"))
+    return connected_components(links.union(same), "rep", "other").select(F.col("node").alias("doc_id"), "component")
 
 
 def profile(docs: DataFrame) -> DataFrame:

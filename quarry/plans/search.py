@@ -123,7 +123,17 @@ def mmr_diversify(s, d):
     return R.mmr(pool, 10, 0.5)
 
 
-@plans.add("context_token_budget")
+BUDGET_SQL = f"""WITH RECURSIVE {BM25_CTES},
+pool AS (SELECT qid, doc_id, rank, len(regexp_extract_all(text, '\\S+'))::BIGINT AS tokens FROM bmr JOIN documents USING (doc_id) WHERE rank <= 20),
+r AS (
+  SELECT DISTINCT qid, 0 AS rank, NULL::BIGINT AS doc_id, 0::BIGINT AS tokens, 0::BIGINT AS used, true AS took, 0 AS position FROM pool
+  UNION ALL
+  SELECT r.qid, p.rank, p.doc_id, p.tokens, r.used + CASE WHEN r.used + p.tokens <= 2000 THEN p.tokens ELSE 0 END, r.used + p.tokens <= 2000, r.position + (r.used + p.tokens <= 2000)::INT
+  FROM r JOIN pool p ON p.qid = r.qid AND p.rank = r.rank + 1 WHERE NOT (r.rank = 1 AND NOT r.took))
+SELECT qid, doc_id, position, tokens, used FROM r WHERE took AND rank > 0"""
+
+
+@plans.add("context_token_budget", BUDGET_SQL)
 def context_token_budget(s, d):
     docs, q = _docs(s, d), _queries(s, d)
     pool = R.bm25(docs, q, 20).join(docs.select("doc_id", word_count(F.col("text")).cast("long").alias("tokens")), "doc_id")
