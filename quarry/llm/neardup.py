@@ -29,7 +29,7 @@ WIDTH = 5
 PERCENT = 80
 CROWD = 32  # classes that share a shallow prefix before the region is followed deeper
 BLOCK = 192  # classes of a cluster in one block
-WORDS_KEPT = 500_000  # word hashes a worker remembers before it starts afresh; a speed bound only
+WORDS_KEPT = 150_000  # word hashes a worker remembers before it starts afresh; a speed bound only
 
 
 def depth_for(percent: int, trees: int = TREES, miss: float = 1e-4) -> int:

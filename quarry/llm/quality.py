@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 SAMPLE_ROWS = 8_000  # graded rows the weights are fitted to, at most
 BUCKETS = 1 << 16
 KEEP = 0.35  # least probability of the wanted grade for a document to be kept
-WORDS_KEPT = 300_000  # words a worker remembers before it starts afresh; a speed bound only
+WORDS_KEPT = 100_000  # words a worker remembers before it starts afresh; a speed bound only
 
 _RUNS = re.compile(r"(.)\1+", re.S)
 

@@ -23,7 +23,7 @@ LEXICON_TERMS = 20_000  # entries of a learned lexicon, at most
 PREFIX = range(3, 15)  # lengths of word beginnings that may become terms
 WEIGHT = 2.0  # least log-odds of a term
 THRESHOLD = 0.3
-TERMS_HELD = 100_000  # terms a counting worker gathers before it passes them on; a memory bound only
+TERMS_HELD = 60_000  # terms a counting worker gathers before it passes them on; a memory bound only
 
 # Letters of other scripts that look like Latin ones, and digits and signs read as letters.
 LOOKALIKES = {
