@@ -65,6 +65,27 @@ def test_near_duplicates_within_a_source(spark):
     assert sorted((r.doc_id, r.component) for r in got) == [(1, 1), (2, 1), (6, 1)]
 
 
+def test_near_duplicates_in_a_crowded_bucket(spark):
+    rnd = random.Random(11)
+    base, rows = [f"t{i}" for i in range(400)], []
+    for i in range(240):  # a template family: each twentieth text is near the others of its kind, those between are near none
+        words = list(base)
+        for at in rnd.sample(range(400), 2 if i % 20 == 7 else 6):
+            words[at] = f"v{i}_{at}"
+        rows.append((i, " ".join(words), "a"))
+    sets = [{" ".join(t.split()[j : j + 5]) for j in range(len(t.split()) - 4)} for _, t, _ in rows]
+    of = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            n = len(sets[i] & sets[j])
+            if 100 * n >= 85 * (len(sets[i]) + len(sets[j]) - n) and of[i] != of[j]:
+                lo, hi = sorted((of[i], of[j]))
+                of = [lo if x == hi else x for x in of]
+    want = {i: c for i, c in enumerate(of) if of.count(c) > 1}
+    got = C.near_duplicate_clusters(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    assert len(want) >= 12 and {r.doc_id: r.component for r in got.collect()} == want
+
+
 def test_codes_fail_closed(spark):
     df = spark.createDataFrame([(1, None), (2, 5)], "k int, v int")
     assert [(r.k, r.code) for r in G.violations(df, ["k"], {"big": F.col("v") > 3, "null": F.col("v").isNull()}).collect()] == [(1, "null"), (2, "big")]
