@@ -117,6 +117,12 @@ def split_leakage(s, d):
     return G.split_leakage(table(s, d, "events").where("event_id % 7 = 0").withColumn("split", F.col("event_id") % 3), "user_id", "split")
 
 
+@plans.add("split_leakage_all", "SELECT user_id, count(DISTINCT split) AS splits FROM (SELECT user_id, CASE WHEN event_id % 7 = 0 THEN event_id % 3 ELSE user_id % 3 END AS split FROM events) GROUP BY user_id HAVING count(DISTINCT split) > 1")
+def split_leakage_all(s, d):
+    split = F.when(F.col("event_id") % 7 == 0, F.col("event_id") % 3).otherwise(F.col("user_id") % 3)
+    return G.split_leakage(table(s, d, "events").withColumn("split", split), "user_id", "split")
+
+
 @plans.add("holdout_antijoin", "SELECT item_id FROM benchmark WHERE item_id NOT IN (SELECT doc_id FROM labels WHERE quality = 1)")
 def holdout_antijoin(s, d):
     return table(s, d, "benchmark").join(table(s, d, "labels").where("quality = 1"), F.col("item_id") == F.col("doc_id"), "left_anti").select("item_id")

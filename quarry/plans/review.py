@@ -94,6 +94,12 @@ def missing_kinds(s, d):
     return V.missing_kinds(table(s, d, "events").where("event_id % 40 = 0"), "user_id", "event_type", ["view", "click", "error"])
 
 
+@plans.add("missing_kinds_all", "SELECT user_id * 40 + event_id % 40 AS visit, array_to_string(list_sort(list_filter(['click', 'error', 'view'], lambda x: NOT list_contains(list(event_type), x))), ',') AS missing FROM events GROUP BY visit HAVING missing <> ''")
+def missing_kinds_all(s, d):
+    e = table(s, d, "events").withColumn("visit", F.col("user_id") * 40 + F.col("event_id") % 40)
+    return V.missing_kinds(e, "visit", "event_type", ["view", "click", "error"])
+
+
 @plans.add("reference_closure", "SELECT DISTINCT doc_id * 3 % 1500 AS ref FROM documents WHERE doc_id * 3 % 1500 NOT IN (SELECT doc_id FROM documents)")
 def reference_closure(s, d):
     docs = table(s, d, "documents")

@@ -42,6 +42,12 @@ def date_windows(s, d):
     return o.select("o_orderkey", F.inline(P.date_windows(F.col("s"), F.date_add("s", 100))))
 
 
+@plans.add("date_windows_all", "WITH o AS (SELECT o_orderkey, o_orderdate::DATE AS s, o_orderdate::DATE + 100 AS e FROM orders), w AS (SELECT o_orderkey, s, e, unnest(generate_series(date_trunc('month', s), e::TIMESTAMP, INTERVAL 1 MONTH))::DATE AS m FROM o) SELECT o_orderkey, greatest(m, s) AS \"from\", least((m + INTERVAL 1 MONTH)::DATE - 1, e) AS \"to\" FROM w")
+def date_windows_all(s, d):
+    o = table(s, d, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("s"))
+    return o.select("o_orderkey", F.inline(P.date_windows(F.col("s"), F.date_add("s", 100))))
+
+
 @plans.add("status_codes", "SELECT o_orderkey, CASE o_orderstatus WHEN 'O' THEN 'in_force' WHEN 'F' THEN 'repealed' ELSE 'pending' END AS status, CASE WHEN o_orderdate > TIMESTAMP '1996-01-01' THEN 'pending' WHEN o_orderdate + INTERVAL 365 DAY <= TIMESTAMP '1996-01-01' THEN 'repealed' ELSE 'in_force' END AS by_dates, CASE o_orderstatus WHEN 'O' THEN true WHEN 'F' THEN false END AS flag, CASE WHEN o_orderkey % 10 <> 0 THEN o_orderkey::VARCHAR END AS code FROM orders")
 def status_codes(s, d):
     o = table(s, d, "orders")
