@@ -31,7 +31,8 @@ def encoder(json_path: str, ranks_path: str):
     """text -> uint32 ids, equal to those of the ``tokenizers`` file at ``json_path``.
 
     The ranks file holds the same vocabulary for the faster library. A text that contains the string of a special
-    token goes to the ``tokenizers`` library itself.
+    token, or one that the faster library refuses (its pattern gives up on about a million white-space characters in
+    a row), goes to the ``tokenizers`` library itself.
     """
     key = json_path, ranks_path
     if key not in _loaded:
@@ -48,9 +49,12 @@ def encoder(json_path: str, ranks_path: str):
         fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
         def encode(text: str) -> np.ndarray:
-            if any(s in text for s in special):
-                return np.array(slow.encode(text, add_special_tokens=False).ids, dtype="<u4")
-            return fast.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False)
+            if not any(s in text for s in special):
+                try:
+                    return fast.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False)
+                except ValueError:
+                    pass
+            return np.array(slow.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
         _loaded[key] = encode
     return _loaded[key]
@@ -219,12 +223,13 @@ def pack(pieces: DataFrame, size: int = SIZE) -> DataFrame:
     """``pieces`` (columns doc_id, start, length, ids_crc32 and any others) with ``sequence_id`` and ``offset``.
 
     Every piece lies in exactly one sequence; offsets are gapless from 0. Pieces of equal length are ranked in
-    buckets of about ``RANK_ROWS`` rows, so a length that a third of the pieces share is spread over many tasks;
-    repeated rows are interchangeable. Only the length histogram reaches the driver. Empty input, empty result.
+    buckets of about ``RANK_ROWS`` rows, so a length that a third of the pieces share is spread over many tasks. A
+    piece's number in the written table takes part in its bucket, so equal pieces are spread too. Only the length histogram reaches the driver. Empty input, empty result.
     Lengths outside 1..size are refused.
     """
     spark = pieces.sparkSession
-    pieces = materialize(pieces, "pieces")
+    columns = pieces.columns
+    pieces = materialize(pieces.withColumn("__m", F.monotonically_increasing_id()), "pieces")
     demand = {int(r[0]): int(r[1]) for r in pieces.groupBy("length").count().collect()}  # at most size rows
     if any(not 1 <= n <= size for n in demand):
         raise ValueError(f"piece lengths must be in 1..{size}")
@@ -232,14 +237,14 @@ def pack(pieces: DataFrame, size: int = SIZE) -> DataFrame:
     share = spark.createDataFrame([(n, -(-c // RANK_ROWS)) for n, c in demand.items()], "__n long, __buckets long")
     plan = spark.createDataFrame(runs, "__len long, __from long, __to long, __k long, __off long, __seq long")
     rows = pieces.join(F.broadcast(share), F.col("length") == F.col("__n"))
-    rows = rows.withColumn("__b", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), "__buckets")).drop("__n", "__buckets")
+    rows = rows.withColumn("__b", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", "__m"), "__buckets")).drop("__n", "__buckets")
     before = rows.groupBy("length", "__b").count()
     w = Window.partitionBy("length").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     before = before.select(F.col("length").alias("__l"), F.col("__b").alias("__c"), F.coalesce(F.sum("count").over(w), F.lit(0)).alias("__before"))
-    rows = rows.withColumn("__r", F.row_number().over(Window.partitionBy("length", "__b").orderBy("doc_id", "start", "ids_crc32")) - 1)
+    rows = rows.withColumn("__r", F.row_number().over(Window.partitionBy("length", "__b").orderBy("doc_id", "start", "ids_crc32", "__m")) - 1)
     rows = rows.join(before, (F.col("length") == F.col("__l")) & (F.col("__b") == F.col("__c"))).withColumn("__r", F.col("__r") + F.col("__before"))
     rows = rows.join(F.broadcast(plan), (F.col("length") == F.col("__len")) & (F.col("__r") >= F.col("__from")) & (F.col("__r") < F.col("__to")))
     i = F.col("__r") - F.col("__from")
     k = F.col("__k")
     rows = rows.withColumn("sequence_id", F.col("__seq") + F.floor(i / k)).withColumn("offset", F.col("__off") + (i % k) * F.col("length"))
-    return rows.select(*pieces.columns, "sequence_id", "offset")
+    return rows.select(*columns, "sequence_id", "offset")

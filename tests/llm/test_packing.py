@@ -19,6 +19,16 @@ def test_ids_equal_the_tokenizers_library(text):
     slow = Tokenizer.from_file(PATHS[0])
     assert encoder(*PATHS)(text).tolist() == slow.encode(text, add_special_tokens=False).ids
 
+def test_very_long_runs_of_one_character():
+    slow = Tokenizer.from_file(PATHS[0])
+    for text in (" " * 2_000_000, "\n" * 2_000_000, "\t" * 1_000_001 + "x", "a" * 2_000_000, " \t\n" * 400_000, "word " + " " * 1_500_000 + "end"):
+        assert encoder(*PATHS)(text).tolist() == slow.encode(text, add_special_tokens=False).ids
+
+
+def test_equal_pieces_are_spread(spark):
+    rows = spark.createDataFrame([(None, 0, 1, 7, 1)] * 9_000, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
+    got = pack(rows).select("sequence_id", "offset").collect()
+    assert len({tuple(r) for r in got}) == 9_000 and max(r.sequence_id for r in got) == -(-9_000 // 1024) - 1
 
 
 def test_knapsack_against_recursion():
