@@ -1,14 +1,16 @@
 """Near-duplicate groups by an LSH forest over MinHash signatures, confirmed on full shingle sets.
 
-1. Each text becomes the set of its word shingles (64-bit hashes) and a signature of ``TREES`` sorted orders.
-   Texts with equal sets are one class from here on; a class is represented by its least doc_id.
-2. In each order, neighbours are the classes with a long common signature prefix. Depth adapts to the region: a
-   prefix shared by few classes stays shallow, a crowded one is followed to the depth at which a pair at the
-   threshold is still missed by all orders less than once in 10,000 times.
-3. Regions that overlap form clusters, found by distributed components over (class, least class of the region).
-   Every possible link lies within a cluster. A cluster is cut into blocks, each pair of blocks is one small task
-   that compares full sets, and a task returns no more links than it needs to connect what it has seen.
-4. Components over the confirmed links are the groups.
+1. Each text becomes the set of its word shingles (64-bit hashes) and a signature of ``TREES`` orders, each a string of
+   16-bit minima. Texts with equal sets are one class from here on; a class is represented by its least doc_id.
+2. The signatures of each order are sorted (a range partitioning over all orders). In a scan, the longest common prefix
+   of neighbours cuts the sorted rows into regions. Depth adapts to the region: a prefix shared by few classes stays
+   shallow, a crowded one is followed on until it is not crowded or reaches the depth at which a pair at the
+   threshold is still missed by all orders less than once in 10,000 times. There a region is kept whatever its size.
+3. Within a region all classes are compared by their whole signatures, in pairs of blocks. A pair whose share of equal minima
+   lies within five standard deviations of the threshold or above is a candidate; boilerplate that only shares a prefix is not.
+4. Candidates that overlap form clusters. A cluster is cut into blocks, each pair of blocks is one small task that
+   compares full sets, and a task returns no more links than it needs to connect what it has seen.
+5. Components over the confirmed links are the groups.
 """
 
 from __future__ import annotations
@@ -27,8 +29,10 @@ from quarry.session import broadcast_if_small, materialize
 TREES = 32
 WIDTH = 5
 PERCENT = 80
-CROWD = 32  # classes that share a shallow prefix before the region is followed deeper
-BLOCK = 192  # classes of a cluster in one block
+CROWD = 32  # classes that share a prefix before the region is followed deeper
+BLOCK = 192  # classes of a region or a cluster in one block
+SIGMAS = 5  # standard deviations below the threshold at which a signature still makes a candidate
+HELD = 1_000_000  # sorted rows of one open region that a task holds; a longer one is scanned in parts, at full depth
 WORDS_KEPT = 150_000  # word hashes a worker remembers before it starts afresh; a speed bound only
 
 
@@ -71,55 +75,167 @@ class Shingler:
 
 
 class Signer:
-    """Shingle sets -> (two set hashes, shallow and deep prefix keys of each tree)."""
+    """Shingle sets -> (two set hashes, the signature: for each order ``deep`` 16-bit minima as bytes)."""
 
     def __init__(self, percent: int, trees: int = TREES):
         self.trees, self.deep = trees, depth_for(percent, trees)
-        self.shallow = max(1, self.deep - 2)
         self.mult = np.array([xxhash.xxh3_64_intdigest(f"order{i}".encode()) | 1 for i in range(trees * self.deep)], dtype=np.uint64)
 
-    def __call__(self, s: np.ndarray) -> tuple[int, int, np.ndarray, np.ndarray]:
+    def __call__(self, s: np.ndarray) -> tuple[int, int, bytes]:
         least = np.full(len(self.mult), np.iinfo(np.uint64).max, np.uint64)
         for at in range(0, len(s), 256):
             np.minimum(least, (s[at : at + 256, None] * self.mult[None, :]).min(axis=0), out=least)
-        tree = least.reshape(self.trees, self.deep)
-        key = np.arange(1, self.trees + 1, dtype=np.uint64)
-        shallow = key
-        for d in range(self.deep):
-            key = _mix(key * np.uint64(0x9E3779B97F4A7C15) + tree[:, d])
-            if d + 1 == self.shallow:
-                shallow = key
         sums = _mix(s * np.uint64(3)).sum(dtype=np.uint64), _mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)
-        return *(int(x.astype(np.int64)) for x in sums), shallow.astype(np.int64), key.astype(np.int64)
+        return *(int(x.astype(np.int64)) for x in sums), _mix(least).astype(">u2").tobytes()
 
 
 def signatures(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, trees: int = TREES) -> DataFrame:
-    """(doc_id, n, s1, s2, shallow, deep) of every row; without words n is 0 and the keys are empty."""
+    """(doc_id, n, s1, s2, orders) of every row; without words n is 0 and the signature empty."""
     kind = dict(docs.dtypes)["doc_id"]
-    names = ["doc_id", "n", "s1", "s2", "shallow", "deep"]
+    names = ["doc_id", "n", "s1", "s2", "orders"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle, sign = Shingler(width), Signer(percent, trees)
         for b in batches:
-            n, s1, s2, sh, dp = [], [], [], [], []
+            n, s1, s2, orders = [], [], [], []
             for t in b.column(1):
                 s = shingle(t.as_py() or b"")
-                a, c, x, y = sign(s) if len(s) else (0, 0, [], [])
-                n.append(len(s)), s1.append(a), s2.append(c), sh.append(x), dp.append(y)
-            longs = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(x, pa.int64()) for x in (n, s1, s2)), pa.array(sh, longs), pa.array(dp, longs)], names)
+                a, c, x = sign(s) if len(s) else (0, 0, b"")
+                n.append(len(s)), s1.append(a), s2.append(c), orders.append(x)
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(x, pa.int64()) for x in (n, s1, s2)), pa.array(orders, pa.binary())], names)
 
-    return docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(run, f"doc_id {kind}, n long, s1 long, s2 long, shallow array<long>, deep array<long>")
+    return docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(run, f"doc_id {kind}, n long, s1 long, s2 long, orders binary")
 
 
-def candidate_links(classes: DataFrame, crowd: int = CROWD) -> DataFrame:
-    """(rep, least): each class and the least class of its region, in every tree. ``classes``: rep, shallow, deep."""
-    rows = classes.select("rep", F.inline(F.arrays_zip("shallow", "deep"))).select("rep", "shallow", "deep")
-    crowded = rows.groupBy("shallow").count().where(F.col("count") > crowd).select(F.col("shallow").alias("__c"))
-    rows = rows.join(crowded, F.col("shallow") == F.col("__c"), "left").select("rep", F.when(F.col("__c").isNull(), F.col("shallow")).otherwise(F.col("deep")).alias("key"))
-    rows = materialize(rows, "trees")
-    least = rows.groupBy("key").agg(F.min("rep").alias("least"), F.count("*").alias("c")).where("c > 1").select("key", "least")
-    return rows.join(least, "key").where("rep <> least").select("rep", "least").distinct()
+def region_depths(lcp: np.ndarray, deep: int, crowd: int) -> np.ndarray:
+    """Depth of each sorted row's region; 0 for a row alone. ``lcp``: words shared with the row before."""
+    depth = np.zeros(len(lcp), np.int64)
+    active = np.ones(len(lcp), bool)
+    for d in range(max(1, deep - 2), deep + 1):
+        run = np.cumsum(lcp < d) - (lcp[:1] < d).sum()
+        size = np.bincount(run)[run]
+        done = active & (size > 1) & ((size <= crowd) | (d == deep))
+        depth[done] = d
+        active &= size > crowd
+    return depth
+
+
+def _region_ids(tree: np.ndarray, sig: np.ndarray, depth: np.ndarray) -> np.ndarray:
+    key, out = _mix(tree.astype(np.uint64) + np.uint64(1)), np.zeros(len(tree), np.uint64)
+    for d in range(sig.shape[1]):
+        key = _mix(key * np.uint64(0x9E3779B97F4A7C15) + sig[:, d].astype(np.uint64) + np.uint64(1))
+        out = np.where(depth == d + 1, key + np.uint64(d + 1), out)
+    return out.view(np.int64)
+
+
+def sorted_regions(classes: DataFrame, percent: int, trees: int = TREES, crowd: int = CROWD) -> DataFrame:
+    """(rep, region): the classes of each region of each sorted order. ``classes``: rep and orders.
+
+    A region that lies across the edge of a task's range is given at full depth besides, so its parts meet by its prefix.
+    """
+    deep, kind = depth_for(percent, trees), dict(classes.dtypes)["rep"]
+    tree = F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree")
+    rows = classes.select("rep", "orders", tree).select("tree", F.substring("orders", 2 * deep * F.col("tree") + 1, F.lit(2 * deep)).alias("sig"), "rep")
+    rows = rows.repartitionByRange("tree", "sig", "rep").sortWithinPartitions("tree", "sig", "rep")
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []  # the open region at least depth, from its first row
+        first = True
+
+        def cut(tree: np.ndarray, sig: np.ndarray, rep: pa.Array, last: bool) -> pa.RecordBatch:
+            same = np.logical_and.accumulate((sig[1:] == sig[:-1]) & (tree[1:] == tree[:-1])[:, None], axis=1).sum(axis=1)
+            lcp = np.concatenate([[0], same])
+            depth = region_depths(lcp, deep, crowd)
+            run = np.cumsum(lcp < max(1, deep - 2))
+            edge = ((run == run[0]) & first) | ((run == run[-1]) & last)
+            i = np.concatenate([np.flatnonzero(depth), np.flatnonzero(edge & (depth != deep))])
+            at = np.concatenate([depth[depth > 0], np.full(len(i) - (depth > 0).sum(), deep)])
+            return pa.RecordBatch.from_arrays([rep.take(pa.array(i)), pa.array(_region_ids(tree[i], sig[i], at))], ["rep", "region"])
+
+        def joined() -> tuple:
+            t, s, r = zip(*held, strict=True)
+            return np.concatenate(t), np.concatenate(s), pa.concat_arrays(r)
+
+        for b in batches:
+            if not b.num_rows:
+                continue
+            sig = np.frombuffer(b"".join(b.column(1).to_pylist()), ">u2").reshape(b.num_rows, deep)
+            held.append((b.column(0).to_numpy(), sig, b.column(2)))
+            tree, sig, rep = joined()
+            step = np.flatnonzero((tree[1:] != tree[:-1]) | (sig[1:, : max(1, deep - 2)] != sig[:-1, : max(1, deep - 2)]).any(axis=1)) + 1
+            full = len(tree) > HELD
+            at = int(step[-1]) if len(step) else len(tree) if full else 0
+            if at:
+                yield cut(tree[:at], sig[:at], rep.slice(0, at), not len(step))
+                first = not len(step)
+            held = [(tree[at:], sig[at:], rep.slice(at))] if at < len(tree) else []
+        if held:
+            yield cut(*joined(), True)
+
+    return rows.mapInArrow(scan, f"rep {kind}, region long").distinct()
+
+
+def least_equal(percent: int, trees: int = TREES) -> int:
+    """Equal minima from which a pair of signatures is a candidate."""
+    n, t = trees * depth_for(percent, trees), percent / 100
+    return int(n * t - SIGMAS * (n * t * (1 - t)) ** 0.5)
+
+
+def candidate_links(classes: DataFrame, percent: int, trees: int = TREES, crowd: int = CROWD) -> DataFrame:
+    """(a, b): pairs of classes whose signatures are alike enough, as many as connect them. ``classes``: rep and orders.
+
+    Regions with the same members in several orders are compared once. A region is compared in pairs of blocks of at most about
+    ``BLOCK`` classes, so no task depends on a region's size.
+    """
+    found = materialize(sorted_regions(classes, percent, trees, crowd), "regions")
+    of = found.groupBy("region").agg(F.count("*").alias("m"), F.bit_xor(F.xxhash64("rep")).alias("x"), F.min("rep").alias("least")).where("m > 1")
+    of = of.groupBy("m", "x", "least").agg(F.min("region").alias("__r")).select("__r", F.ceil(F.col("m") / BLOCK).cast("int").alias("nb"))
+    rows = found.join(of, F.col("region") == F.col("__r")).select("rep", "region", "nb", F.pmod(F.xxhash64("rep"), F.col("nb")).cast("int").alias("blk"))
+    pair = F.transform(F.sequence(F.lit(0), F.col("nb") - 1), lambda j: F.struct(F.least("blk", j).alias("i"), F.greatest("blk", j).alias("j")))
+    rows = rows.select("rep", "region", "blk", F.explode(pair).alias("at"))
+    own = classes.select(F.col("rep").alias("__rep"), "orders")
+    rows = rows.join(own, F.col("rep") == F.col("__rep")).select("region", "at.i", "at.j", "blk", "rep", "orders")
+    rows = rows.repartition("region", "i", "j").sortWithinPartitions("region", "i", "j", "blk", "rep")
+    kind, least, words = dict(classes.dtypes)["rep"], least_equal(percent, trees), trees * depth_for(percent, trees)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for b in batches:
+            t = pa.concat_batches([held, b]) if held is not None else b
+            key = np.column_stack([t.column(k).to_numpy() for k in range(3)])
+            starts = np.concatenate([[0], np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1]) if len(key) else np.zeros(0, np.int64)
+            if len(starts):
+                yield from linked(t.slice(0, int(starts[-1])), starts)
+                held = t.slice(int(starts[-1]))
+        if held is not None:
+            yield from linked(held, np.array([0, held.num_rows]))
+
+    def linked(t: pa.RecordBatch, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if not t.num_rows:
+            return
+        sig = np.frombuffer(b"".join(t.column(5).to_pylist()), np.uint16).reshape(t.num_rows, words)
+        lo, blk = t.column(1).to_numpy() == t.column(3).to_numpy(), t.column(3).to_numpy()
+        left, right = [], []
+        for a, z in zip(starts[:-1], starts[1:], strict=True):
+            n = int(z - a)
+            group = {k: k for k in range(n)}
+
+            def find(k: int) -> int:
+                while group[k] != k:  # noqa: B023
+                    group[k] = k = group[group[k]]  # noqa: B023
+                return k
+
+            one_block = blk[a] == blk[z - 1]
+            for k in range(n - 1 if one_block else int(lo[a:z].sum())):
+                start = k + 1 if one_block else int(lo[a:z].sum())
+                for x in np.flatnonzero((sig[a + k] == sig[a + start : z]).sum(axis=1) >= least):
+                    p, q = find(k), find(start + int(x))
+                    if p != q:
+                        group[p] = q
+                        left.append(a + k), right.append(a + start + int(x))
+        yield pa.RecordBatch.from_arrays([t.column(4).take(pa.array(np.array(x, np.int64))) for x in (left, right)], ["a", "b"])
+
+    return rows.mapInArrow(compare, f"a {kind}, b {kind}").distinct()
 
 
 def _overlaps(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -204,7 +320,10 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH,
     known = sig.where("n > 0 and doc_id is not null")
     cls = materialize(known.groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("rep")), "classes")
     reps = known.join(cls.select(F.col("s1").alias("c1"), F.col("s2").alias("c2"), "rep"), (F.col("doc_id") == F.col("rep")) & (F.col("s1") == F.col("c1")) & (F.col("s2") == F.col("c2")))
-    clusters = materialize(connected_components(candidate_links(reps.select("rep", "shallow", "deep")), "rep", "least"), "clusters")
+    reps = reps.select("rep", "orders")
+    if repeated:  # equal ids with equal sets are several rows of one class
+        reps = reps.dropDuplicates(["rep"])
+    clusters = materialize(connected_components(candidate_links(reps, percent, trees)), "clusters")
     links = materialize(confirm(docs, clusters, percent, width, repeated), "links")
     groups = connected_components(links)
     if repeated:  # rows of one doc_id with different texts belong to several classes

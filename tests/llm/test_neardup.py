@@ -3,7 +3,7 @@ import re
 
 import numpy as np
 
-from quarry.llm.neardup import Shingler, depth_for, keep_one_of_each, near_duplicates
+from quarry.llm.neardup import Shingler, depth_for, keep_one_of_each, least_equal, near_duplicates, region_depths
 from quarry.session import table
 
 
@@ -57,6 +57,27 @@ def test_depth():
     assert depth_for(85) == 8 and depth_for(80) == 6
 
 
+def test_depth_adapts_to_the_region():
+    # five rows share 6 words (crowded at 3), of which three share 7 and two of those all 8; then a pair that shares 6
+    assert region_depths(np.array([0, 6, 6, 7, 8, 0, 6, 2]), 8, 3).tolist() == [0, 0, 7, 7, 7, 6, 6, 0]
+    assert region_depths(np.array([0, 8, 8, 8, 8]), 8, 3).tolist() == [8] * 5
+    assert 185 < least_equal(85) < 192
+
+
+def test_boilerplate_loses_no_link(spark):
+    """1,000 texts over one boilerplate that makes every pair alike by more than half; half of the texts have a true link."""
+    rnd = random.Random(11)
+    boiler = [f"b{k}" for k in range(70)]
+    rows = []
+    for k in range(500):
+        own = [f"x{rnd.randrange(10**7)}" for _ in range(30)]
+        cut = list(own)
+        cut[rnd.randrange(30)] = "changed"
+        rows += [(2 * k, " ".join(boiler + own)), (2 * k + 1, " ".join(boiler + (cut if k % 2 else rnd.sample(own, 30))))]
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 85).collect()}
+    assert got == brute(rows, 85)
+
+
 def test_equals_brute_force(spark):
     rnd = random.Random(8)
     texts = cloud(rnd, 300, 120, 8) + cloud(rnd, 40, 60, 3) + cloud(rnd, 200, 400, 5)
