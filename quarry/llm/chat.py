@@ -6,10 +6,10 @@ Rows stay one a message, call or result, so a conversation of any length is neve
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.session import materialize
+from quarry.session import materialize, release
 
 CALL = "struct<id:string,name:string,arguments:string,after:array<string>>"
 #: JSON types by the name that a schema gives them.
@@ -39,52 +39,107 @@ def parse_turns(turns: DataFrame) -> DataFrame:
     return t.select("conv_id", "turn", "role", F.explode(items).alias("x")).select("conv_id", "turn", "role", "x.*")
 
 
+def _objections(v: Column, rule: dict, where: str) -> list[Column]:
+    """Columns that are null or say what is wrong with the variant ``v`` by its rule; ``where`` names it."""
+    found = []
+    if kind := rule.get("type"):
+        found.append(F.when(v.isNotNull() & ~F.schema_of_variant(v).rlike(KINDS[kind]), f"{where} is not {kind}"))
+    if "enum" in rule:
+        listed = F.coalesce(F.try_variant_get(v, "$", "string").isin(*map(str, rule["enum"])), F.lit(False))
+        found.append(F.when(v.isNotNull() & ~listed, f"{where} is not allowed"))
+    number, text = F.try_variant_get(v, "$", "double"), F.try_variant_get(v, "$", "string")
+    is_number = F.schema_of_variant(v).rlike(KINDS["number"])
+    for key, bad, word in (("minimum", lambda x, y: x < y, "below"), ("maximum", lambda x, y: x > y, "above")):
+        if key in rule:
+            found.append(F.when(is_number & bad(number, F.lit(float(rule[key]))), f"{where} is {word} {rule[key]}"))
+    if "pattern" in rule:
+        found.append(F.when(F.schema_of_variant(v).rlike(KINDS["string"]) & ~text.rlike(rule["pattern"]), f"{where} does not match"))
+    if "items" in rule:
+        each = F.try_variant_get(v, "$", "array<variant>")
+
+        def wrong_item(k: int):
+            return lambda x: _objections(x, rule["items"], f"an item of {where}")[k]
+
+        for k in range(len(_objections(F.lit(None).cast("variant"), rule["items"], ""))):
+            wrong = F.transform(each, wrong_item(k))
+            found.append(F.try_element_at(F.array_compact(wrong), F.lit(1)))
+    prefix = f"{where}." if where else ""
+    for p in rule.get("required", []):
+        found.append(F.when(_is_object(v) & F.try_variant_get(v, f"$.{p}", "variant").isNull(), f"missing {prefix}{p}"))
+    for p, inner in sorted(rule.get("properties", {}).items()):
+        found += _objections(F.try_variant_get(v, f"$.{p}", "variant"), inner, f"{prefix}{p}")
+    if not rule.get("additionalProperties", True):
+        extra = F.array_except(F.json_object_keys(F.to_json(v)), F.array(*[F.lit(p) for p in rule.get("properties", {})]).cast("array<string>"))
+        found.append(F.when(_is_object(v) & (F.size(extra) > 0), F.concat(F.lit(f"unexpected {prefix}"), F.array_join(F.array_sort(extra), ","))))
+    return found
+
+
+def _is_object(v: Column) -> Column:
+    return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+
+
 def problems(name: Column, args: Column, schemas: dict[str, dict]) -> Column:
-    """What is wrong with a call's arguments (a variant) by the schema of its tool: an array of texts, sorted."""
+    """What is wrong with a call's arguments (a variant) by the schema of its tool: an array of texts, sorted.
+
+    Schemas may nest: type, enum, minimum, maximum, pattern, items, properties, required and additionalProperties count at every depth;
+    of the items of an array the first that is wrong is told.
+    """
     out = F.array(F.lit("unknown tool"))
     for tool, s in sorted(schemas.items()):
-        found = []
-        for p in s.get("required", []):
-            found.append(F.when(F.try_variant_get(args, f"$.{p}", "variant").isNull(), f"missing {p}"))
-        for p, rule in sorted(s.get("properties", {}).items()):
-            v = F.try_variant_get(args, f"$.{p}", "variant")
-            if kind := rule.get("type"):
-                found.append(F.when(v.isNotNull() & ~F.schema_of_variant(v).rlike(KINDS[kind]), f"{p} is not {kind}"))
-            if "enum" in rule:
-                found.append(F.when(v.isNotNull() & ~F.coalesce(F.try_variant_get(args, f"$.{p}", "string").isin(*map(str, rule["enum"])), F.lit(False)), f"{p} is not allowed"))
-        if not s.get("additionalProperties", True):
-            keys = F.json_object_keys(F.to_json(args))
-            extra = F.array_except(keys, F.array(*[F.lit(p) for p in s.get("properties", {})]).cast("array<string>"))
-            found.append(F.when(F.size(extra) > 0, F.concat(F.lit("unexpected "), F.array_join(F.array_sort(extra), ","))))
+        found = _objections(args, {k: v for k, v in s.items() if k != "type"}, "")
         listed = F.array_sort(F.array_compact(F.array(*found))) if found else F.array().cast("array<string>")
         out = F.when(name == tool, listed).otherwise(out)
-    shape = F.when(args.isNull(), F.array(F.lit("arguments are not JSON"))).when(~F.schema_of_variant(args).startswith("OBJECT"), F.array(F.lit("arguments are not an object")))
+    shape = F.when(args.isNull(), F.array(F.lit("arguments are not JSON"))).when(~_is_object(args), F.array(F.lit("arguments are not an object")))
     return F.coalesce(shape, out)
 
 
+KEY = ["conv_id", "id"]
+
+
 def dependency_levels(calls: DataFrame) -> DataFrame:
     """(conv_id, id, level) of the calls that can be ordered; calls on a cycle, or after one, have no row.
 
     Level 0 waits for nothing; another is one more than the greatest level it waits for. A dependency on an unknown id is
-    ignored. Rounds are as many as the longest chain.
+    ignored. Calls that wait for one other are pointed past each other, twice as far in every round, to the first call
+    ahead that waits for none or for several, so a chain of n calls takes log2(n) rounds. Rounds over the calls that
+    wait for several are as many as the longest chain of those.
     """
-    ids = calls.select("conv_id", "id")
-    waits = calls.select("conv_id", "id", F.explode("after").alias("dep")).where("dep is not null").distinct()
-    waits = waits.join(ids.select(F.col("conv_id").alias("c"), F.col("id").alias("i")), (F.col("conv_id") == F.col("c")) & (F.col("dep") == F.col("i"))).select("conv_id", "id", "dep")
+    ids = calls.select(*KEY)
+    waits = calls.select(*KEY, F.explode("after").alias("dep")).where("dep is not null").distinct()
+    waits = waits.join(ids.select("conv_id", F.col("id").alias("dep")), ["conv_id", "dep"], "left_semi").select(*KEY, "dep")
     waits = materialize(waits, "waits")
     if waits.isEmpty():
         return ids.withColumn("level", F.lit(0))
-    done = materialize(ids.join(waits.select("conv_id", "id").distinct(), ["conv_id", "id"], "left_anti").withColumn("level", F.lit(0)), "levels")
+    one = materialize(waits.groupBy(*KEY).agg(F.count("*").alias("n"), F.min("dep").alias("to")).where("n = 1").select(*KEY, "to", F.lit(1).alias("dist")), "jumps")
+    for _ in range(one.count().bit_length() + 1):
+        ahead = one.select("conv_id", F.col("id").alias("to"), F.col("to").alias("far"), F.col("dist").alias("more"))
+        after = materialize(one.join(ahead, ["conv_id", "to"], "left").select(*KEY, F.coalesce("far", "to").alias("to"), (F.col("dist") + F.coalesce("more", F.lit(0))).alias("dist"), F.col("far").isNotNull().alias("moved")), "jumps")
+        left = after.where("moved").count()
+        release(one)
+        one = after
+        if not left:
+            break
+    single = one.where("not moved").drop("moved")  # those that still move are on a cycle of single waits, or behind one
+    stuck = one.where("moved").select(*KEY)
+    several = waits.join(one.select(*KEY), KEY, "left_anti")
+    jump = one.select("conv_id", F.col("id").alias("dep"), "to", "dist", "moved")
+    several = several.join(jump, ["conv_id", "dep"], "left").select(*KEY, F.when(F.coalesce("moved", F.lit(False)), F.lit(None)).otherwise(F.coalesce("to", "dep")).alias("dep"), F.coalesce("dist", F.lit(0)).alias("dist"))
+    several = materialize(several, "several")
+    done = materialize(ids.join(waits.select(*KEY).distinct(), KEY, "left_anti").withColumn("level", F.lit(0)), "levels")
     n = done.count()
-    while True:
+    while not several.isEmpty():
         dep = done.select("conv_id", F.col("id").alias("dep"), F.col("level").alias("at"))
-        ready = waits.join(dep, ["conv_id", "dep"], "left").groupBy("conv_id", "id").agg(F.max("at").alias("at"), F.count_if(F.col("at").isNull()).alias("open")).where("open = 0")
-        new = ready.select("conv_id", "id", (F.col("at") + 1).alias("level")).join(done.select("conv_id", "id"), ["conv_id", "id"], "left_anti")
-        done = materialize(done.union(new), "levels")
-        now = done.count()
+        ready = several.join(dep, ["conv_id", "dep"], "left").groupBy(*KEY).agg(F.max(F.col("at") + F.col("dist")).alias("at"), F.count_if(F.col("at").isNull()).alias("open")).where("open = 0")
+        new = ready.select(*KEY, (F.col("at") + 1).cast("int").alias("level")).join(done.select(*KEY), KEY, "left_anti")
+        after = materialize(done.union(new), "levels")
+        release(done)
+        done, now = after, after.count()
         if now == n:
-            return done
+            break
         n = now
+    at = done.select("conv_id", F.col("id").alias("to"), F.col("level").alias("base"))
+    chains = single.join(at, ["conv_id", "to"]).select(*KEY, (F.col("base") + F.col("dist")).cast("int").alias("level"))
+    return done.union(chains.join(stuck, KEY, "left_anti"))
 
 
 def format_chat(turns: DataFrame, schemas: dict[str, dict]) -> DataFrame:
@@ -95,24 +150,24 @@ def format_chat(turns: DataFrame, schemas: dict[str, dict]) -> DataFrame:
     for. JSON has sorted keys and no spaces; arguments are rewritten so at every depth. Problems, joined with "; ": of a call
     no id, duplicate id (all but the first by turn and place), cycle, no result, and what its schema objects to; of a result:
     no call, before its call, duplicate result. A row with a problem stays. Null texts are messages with null content; rows
-    with a null conv_id or turn stay and link with nothing. Repeated turns stay; empty input gives an empty result.
+    with a null conv_id or turn stay and link with nothing. Repeated turns stay, as duplicates; empty input gives an empty result.
     """
     rows = materialize(parse_turns(turns), "chat")
     messages = rows.where("part = 0").select("conv_id", "turn", F.lit("message").alias("kind"), F.lit(None).cast("string").alias("call_id"), F.col("turn").alias("order_turn"), F.lit(0).alias("order_level"), "part", "item", F.lit(None).cast("string").alias("problem"), F.to_json(F.struct("content", "role", "turn"), {"ignoreNullFields": "false"}).alias("json"))
     if rows.where("part > 0").isEmpty():
         return _named(messages)
-    calls, results = rows.where("part = 1"), rows.where("part = 2")
-    w = Window.partitionBy("conv_id", "id").orderBy(F.col("turn").asc_nulls_last(), "item", "arguments")
-    calls = calls.withColumn("nth", F.row_number().over(w)).withColumn("args", F.try_parse_json("arguments"))
-    calls = materialize(calls.withColumn("bad", problems(F.col("name"), F.col("args"), schemas)).withColumn("arguments", F.coalesce(F.to_json("args"), F.to_json(F.struct("arguments"), {"ignoreNullFields": "false"}).substr(F.lit(14), F.length(F.to_json(F.struct("arguments"), {"ignoreNullFields": "false"})) - 14))).drop("args"), "calls")
-    first = calls.where("nth = 1 and id is not null")
-    levels = dependency_levels(first)
-    answered = results.where("id is not null").groupBy("conv_id", "id").agg(F.count("*").alias("answers"))
-    c = calls.join(levels, ["conv_id", "id"], "left").hint("shuffle_hash").join(answered, ["conv_id", "id"], "left")
+    rows = rows.where("part > 0").withColumn("__n", F.monotonically_increasing_id())
+    calls = rows.where("part = 1").withColumn("args", F.try_parse_json("arguments"))
+    calls = calls.withColumn("bad", problems(F.col("name"), F.col("args"), schemas)).withColumn("arguments", F.coalesce(F.to_json("args"), F.to_json(F.struct("arguments"), {"ignoreNullFields": "false"}).substr(F.lit(14), F.length(F.to_json(F.struct("arguments"), {"ignoreNullFields": "false"})) - 14))).drop("args")
+    calls, results = _ranked(materialize(calls, "calls"), "item", "arguments"), _ranked(materialize(rows.where("part = 2"), "results"), "content")
+    first = calls.where("first and linked")
+    levels = materialize(dependency_levels(first), "level")
+    answered = results.where("linked").groupBy(*KEY).agg(F.count("*").alias("answers"))
+    c = _met(calls, levels, answered)
     said = F.array(
         F.when(F.col("id").isNull(), "no id"),
-        F.when(F.col("id").isNotNull() & (F.col("nth") > 1), "duplicate id"),
-        F.when(F.col("id").isNotNull() & (F.col("nth") == 1) & F.col("level").isNull(), "cycle"),
+        F.when(~F.col("first"), "duplicate id"),
+        F.when(F.col("first") & F.col("linked") & F.col("level").isNull(), "cycle"),
         F.when(F.col("answers").isNull(), "no result"),
     )
     problem = F.nullif(F.array_join(F.concat(F.array_compact(said), "bad"), "; "), F.lit(""))
@@ -121,9 +176,8 @@ def format_chat(turns: DataFrame, schemas: dict[str, dict]) -> DataFrame:
     json = F.concat(F.lit('{"arguments":'), F.col("arguments"), F.lit(","), text("id"), F.lit(","), text("name"), F.lit(',"turn":'), F.coalesce(F.col("turn").cast("string"), F.lit("null")), F.lit("}"))
     c = c.select("conv_id", "turn", F.lit("call").alias("kind"), F.col("id").alias("call_id"), F.col("turn").alias("order_turn"), F.coalesce("level", F.lit(0)).alias("order_level"), "part", "item", problem.alias("problem"), json.alias("json"))
     at = first.join(levels, ["conv_id", "id"], "left").select("conv_id", "id", F.col("turn").alias("call_turn"), F.coalesce("level", F.lit(0)).alias("level"), F.col("item").alias("call_item"))
-    w = Window.partitionBy("conv_id", "id").orderBy(F.col("turn").asc_nulls_last(), "content")
-    r = results.withColumn("nth", F.row_number().over(w)).hint("shuffle_hash").join(at, ["conv_id", "id"], "left")
-    said = F.array(F.when(F.col("call_turn").isNull(), "no call"), F.when(F.col("turn") < F.col("call_turn"), "before its call"), F.when(F.col("nth") > 1, "duplicate result"))
+    r = _met(results, at)
+    said = F.array(F.when(F.col("call_turn").isNull(), "no call"), F.when(F.col("turn") < F.col("call_turn"), "before its call"), F.when(~F.col("first"), "duplicate result"))
     content = F.coalesce(F.to_json(F.try_parse_json("content")), F.lit(None))
     body = F.when(F.col("content").isNull(), F.lit("null")).when(content.rlike(r"^[\[{]"), content).otherwise(quoted("content", F.col("content")).substr(F.lit(11), F.length(quoted("content", F.col("content")))))
     json = F.concat(F.lit('{"content":'), body, F.lit(',"role":"tool",'), quoted("tool_call_id", F.col("id")), F.lit(',"turn":'), F.coalesce(F.col("turn").cast("string"), F.lit("null")), F.lit("}"))
@@ -131,5 +185,26 @@ def format_chat(turns: DataFrame, schemas: dict[str, dict]) -> DataFrame:
     return _named(messages.union(c).union(r))
 
 
+def _met(rows: DataFrame, *sides: DataFrame) -> DataFrame:
+    """``rows`` with the columns of ``sides`` by key; rows without a key are not shuffled."""
+    keyed = rows.where("linked")
+    for s in sides:
+        keyed = keyed.join(s, KEY, "left")
+    return keyed.unionByName(rows.where("not linked"), allowMissingColumns=True)
+
+
+def _ranked(rows: DataFrame, *order: str) -> DataFrame:
+    """``rows`` with ``linked`` (conv_id and id are known) and ``first``: whether a row is the first of its key, by turn, order and place.
+
+    The first of a key is a partial aggregate joined back, so a key with many rows is not gathered; rows without a key do not shuffle.
+    """
+    linked = F.col("conv_id").isNotNull() & F.col("id").isNotNull()
+    keyed = rows.where(linked)
+    least = keyed.groupBy(*KEY).agg(F.min(F.struct(F.col("turn").isNull().alias("x"), "turn", *order, "__n"))["__n"].alias("__first"))
+    keyed = keyed.join(least, KEY).withColumn("first", F.col("__n") == F.col("__first")).drop("__first").withColumn("linked", F.lit(True))
+    loose = rows.where(~linked).withColumn("first", F.lit(True)).withColumn("linked", F.lit(False))
+    return keyed.unionByName(loose)
+
+
 def _named(df: DataFrame) -> DataFrame:
     return df.withColumnRenamed("part", "order_part").withColumnRenamed("item", "order_item")

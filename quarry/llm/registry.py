@@ -46,6 +46,44 @@ SELECT conv_id, turn, 'message' AS kind, NULL::VARCHAR AS call_id, turn AS order
 FROM conversations
 """
 
+#: Derived tool calls: a turn in three calls a tool after the call three turns before, the next one answers it, the third speaks.
+CHAT_CALLS = r"""
+CASE WHEN turn % 3 = 0 THEN to_json(named_struct('tool_calls', transform(sequence(0, CASE WHEN conv_id % 7 = 3 THEN 1 ELSE 0 END), i -> named_struct(
+  'id', concat('c', turn), 'name', CASE WHEN turn % 2 = 0 THEN 'search' ELSE 'calculate' END,
+  'arguments', CASE WHEN turn % 2 = 1 THEN to_json(named_struct('precision', 2)) WHEN conv_id % 4 = 1 THEN to_json(named_struct('query', 'q', 'limit', 'x')) ELSE to_json(named_struct('query', 'q', 'limit', turn)) END,
+  'after', CASE WHEN conv_id % 5 = 0 AND turn = 0 THEN array('c3') WHEN turn >= 3 THEN array(concat('c', turn - 3)) ELSE array() END))))
+WHEN turn % 3 = 1 THEN to_json(named_struct('tool_call_id', CASE WHEN conv_id % 6 = 5 THEN concat('x', turn) ELSE concat('c', turn - 1) END, 'content', 'ok'))
+ELSE text END
+"""
+
+
+def chat_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations whose turns are made into chained, doubled, circular and unanswered calls: linking, order and validation at work."""
+    turns = table(spark, sf_dir, "conversations").selectExpr("conv_id", "turn", "CASE WHEN turn % 3 = 1 THEN 'tool' ELSE role END AS role", f"{CHAT_CALLS} AS text")
+    return chat.format_chat(turns, CHAT_TOOLS)
+
+
+CHAT_CALLS_SQL = """
+WITH t AS (SELECT conv_id, turn, role, text, turn % 3 AS k FROM conversations),
+has3 AS (SELECT DISTINCT conv_id FROM t WHERE turn = 3),
+calls AS (SELECT t.conv_id, turn, i, CASE WHEN turn % 2 = 0 THEN 'search' ELSE 'calculate' END AS name, conv_id % 5 = 0 AND has3.conv_id IS NOT NULL AS cycle,
+  EXISTS (SELECT 1 FROM t r WHERE r.conv_id = t.conv_id AND r.turn = t.turn + 1 AND t.conv_id % 6 <> 5) AS answered
+  FROM t LEFT JOIN has3 USING (conv_id), unnest(CASE WHEN conv_id % 7 = 3 THEN [0, 1] ELSE [0] END) AS x(i) WHERE k = 0)
+SELECT conv_id, turn, 'message' AS kind, NULL::VARCHAR AS call_id, turn AS order_turn, 0 AS order_level, 0 AS order_part, 0 AS order_item, NULL::VARCHAR AS problem,
+  to_json({'content': text, 'role': role, 'turn': turn})::VARCHAR AS json FROM t WHERE k = 2
+UNION ALL
+SELECT conv_id, turn, 'call', 'c' || turn, turn, CASE WHEN cycle THEN 0 ELSE turn // 3 END, 1, i,
+  nullif(array_to_string(list_filter([CASE WHEN i > 0 THEN 'duplicate id' END, CASE WHEN cycle AND i = 0 THEN 'cycle' END, CASE WHEN NOT answered THEN 'no result' END,
+    CASE WHEN name = 'calculate' THEN 'missing expression' WHEN conv_id % 4 = 1 THEN 'limit is not integer' END], lambda x: x IS NOT NULL), '; '), ''),
+  '{"arguments":' || CASE WHEN name = 'calculate' THEN '{"precision":2}' WHEN conv_id % 4 = 1 THEN '{"limit":"x","query":"q"}' ELSE '{"limit":' || turn || ',"query":"q"}' END || ',"id":"c' || turn || '","name":"' || name || '","turn":' || turn || '}'
+FROM calls
+UNION ALL
+SELECT t.conv_id, t.turn, 'result', CASE WHEN t.conv_id % 6 = 5 THEN 'x' || t.turn ELSE 'c' || (t.turn - 1) END, coalesce(c.turn, t.turn), CASE WHEN c.turn IS NULL OR c.cycle THEN 0 ELSE c.turn // 3 END, 2, 0,
+  CASE WHEN c.turn IS NULL THEN 'no call' END,
+  '{"content":"ok","role":"tool","tool_call_id":"' || CASE WHEN t.conv_id % 6 = 5 THEN 'x' || t.turn ELSE 'c' || (t.turn - 1) END || '","turn":' || t.turn || '}'
+FROM t LEFT JOIN calls c ON c.conv_id = t.conv_id AND c.turn = t.turn - 1 AND c.i = 0 AND t.conv_id % 6 <> 5 WHERE t.k = 1
+"""
+
 URL_RULES = [urls.Rule("block", "net"), urls.Rule("allow", "example.net", "/en/"), urls.Rule("block", "example.com", "/de/"), urls.Rule("allow", "org", "/fr/")]
 
 
@@ -56,6 +94,7 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "host", "path", "rule", "verdict")
 
 
+#: Says what the pages' markup asks for: dot segments, ``<base>`` and default ports (none in them) are left to tests/llm/test_urls.py.
 OP3_SQL = r"""
 WITH RECURSIVE p AS (
   SELECT page_id, url, html, translate(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)([^?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
@@ -63,11 +102,13 @@ WITH RECURSIVE p AS (
     regexp_extract(coalesce(url, ''), '^.*?://[^/?#]*([^#]*)', 1, 's') AS rest
   FROM pages),
 links AS (
-  SELECT host || CASE WHEN rest LIKE '/%' THEN rest ELSE '/' || rest END AS a, CASE WHEN t LIKE '%://%' THEN t WHEN t LIKE '//%' THEN 'http:' || t WHEN t LIKE '/%' THEN 'http://' || host || t END AS t
-  FROM (SELECT *, unnest([
-    regexp_extract(regexp_extract(html, '<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>', 0, 'is'), '\bhref\s*=\s*["'']?([^"''\s>]+)', 1, 'is'),
-    regexp_extract(regexp_extract(html, '<meta\b[^>]*\bproperty\s*=\s*["'']?og:url\b[^>]*>', 0, 'is'), '\bcontent\s*=\s*["'']?([^"''\s>]+)', 1, 'is'),
-    regexp_extract(regexp_extract(html, '<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>', 0, 'is'), '\burl\s*=\s*[''"]?([^"''\s>]+)', 1, 'is')]) AS t FROM p) WHERE t <> '' AND host <> ''),
+  SELECT host || CASE WHEN rest LIKE '/%' THEN rest ELSE '/' || rest END AS a,
+    CASE WHEN t LIKE '%://%' THEN t WHEN t LIKE '//%' THEN 'http:' || t WHEN t LIKE '/%' THEN 'http://' || host || t WHEN t LIKE '?%' THEN 'http://' || host || path || t
+      ELSE 'http://' || host || CASE WHEN path = '' THEN '/' ELSE regexp_extract(path, '^(.*/)', 1, 's') END || t END AS t
+  FROM (SELECT *, unnest(list_concat(
+    list_transform(regexp_extract_all(html, '<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>', 0, 'is'), lambda x: regexp_extract(x, '\bhref\s*=\s*["'']?([^"''\s>]+)', 1, 'is')),
+    list_transform(regexp_extract_all(html, '<meta\b[^>]*\bproperty\s*=\s*["'']?og:url\b[^>]*>', 0, 'is'), lambda x: regexp_extract(x, '\bcontent\s*=\s*["'']?([^"''\s>]+)', 1, 'is')),
+    list_transform(regexp_extract_all(html, '<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>', 0, 'is'), lambda x: regexp_extract(x, '\burl\s*=\s*[''"]?([^"''\s>]+)', 1, 'is')))) AS t FROM p) WHERE t <> '' AND host <> ''),
 ends AS (
   SELECT a, translate(regexp_extract(t, '^.*?://([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS bh, regexp_extract(t, '^.*?://[^/?#]*([^#]*)', 1, 's') AS br FROM links WHERE t IS NOT NULL),
 edges AS (SELECT a, bh || CASE WHEN br LIKE '/%' THEN br ELSE '/' || br END AS b FROM ends WHERE bh <> ''),
@@ -85,6 +126,21 @@ FROM ruled LEFT JOIN spread s ON r IS NULL AND host <> '' AND s.node = host || C
 """
 
 
+def url_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages' urls with derived redirects: each page but every fifth leads to the one seven ids on, so verdicts spread along chains."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    to = pages.select((F.col("page_id") - 7).alias("page_id"), F.col("url").alias("to"))
+    edges = pages.where("page_id % 5 <> 0").join(to, "page_id").select(urls.node_of(F.col("url")).alias("a"), urls.node_of(F.col("to")).alias("b"))
+    return urls.judge_urls(pages, URL_RULES, edges).select("page_id", "host", "path", "rule", "verdict")
+
+
+def _alias_sql() -> str:
+    head, rest = OP3_SQL.split("links AS (", 1)
+    node = "x.host || CASE WHEN x.rest LIKE '/%' THEN x.rest ELSE '/' || x.rest END"
+    edges = f"edges AS (SELECT {node} AS a, {node.replace('x.', 'y.')} AS b FROM p x JOIN p y ON y.page_id = x.page_id + 7 WHERE x.page_id % 5 <> 0 AND x.host <> '' AND y.host <> ''),\n"
+    return head + edges + "twoway AS (" + rest.split("twoway AS (", 1)[1]
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of all documents, learned from the labels of those outside the held-out fold."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -151,5 +207,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
-QUERIES = {"op1_decontamination": op1_decontamination, "op2_chat_format": op2_chat_format, "op3_url_filter": op3_url_filter, "op4_toxicity": op4_toxicity, "op5_simhash": op5_simhash, "op6_language_model": op6_language_model, "op7_near_duplicates": op7_near_duplicates, "op8_quality": op8_quality, "op9_sharding": op9_sharding, "op10_packing": op10_packing, "pipeline": corpus_pipeline.run}
-ORACLE = {"op1_decontamination": OP1_SQL, "op2_chat_format": OP2_SQL, "op3_url_filter": OP3_SQL, "op7_near_duplicates": OP7_SQL}
+QUERIES = {"op1_decontamination": op1_decontamination, "op2_chat_format": op2_chat_format, "chat_tool_calls": chat_tool_calls, "op3_url_filter": op3_url_filter, "url_aliases": url_aliases, "op4_toxicity": op4_toxicity, "op5_simhash": op5_simhash, "op6_language_model": op6_language_model, "op7_near_duplicates": op7_near_duplicates, "op8_quality": op8_quality, "op9_sharding": op9_sharding, "op10_packing": op10_packing, "pipeline": corpus_pipeline.run}
+ORACLE = {"op1_decontamination": OP1_SQL, "op2_chat_format": OP2_SQL, "chat_tool_calls": CHAT_CALLS_SQL, "op3_url_filter": OP3_SQL, "url_aliases": _alias_sql(), "op7_near_duplicates": OP7_SQL}

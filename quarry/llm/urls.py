@@ -42,29 +42,59 @@ def matching_rule(host: Column, path: Column, rules: list[Rule]) -> Column:
 
 
 def node_of(url: Column) -> Column:
-    """Identity of a url as an alias: scheme and fragment dropped, host lower-cased; null if it has no host."""
+    """Identity of a url as an alias: scheme, its default port and fragment dropped, host lower-cased; null if it has no host."""
     host = url_part(url, 1)
+    scheme = F.lower(F.regexp_extract(url, r"(?s)^\s*([^:/?#]*)://", 1))
+    port = F.when(scheme == "http", F.regexp_replace(host, ":80$", "")).when(scheme == "https", F.regexp_replace(host, ":443$", "")).otherwise(host)
     rest = F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^#]*)", 1)
-    return F.when(host != "", F.concat(host, F.when(rest.startswith("/"), rest).otherwise(F.concat(F.lit("/"), rest))))
+    return F.when(host != "", F.concat(port, F.when(rest.startswith("/"), rest).otherwise(F.concat(F.lit("/"), rest))))
+
+
+def without_dots(path: Column) -> Column:
+    """A path that starts with ``/``, its ``.`` and ``..`` segments resolved; what follows ``?`` is left alone."""
+    parts = F.split(F.regexp_extract(path, r"(?s)^([^?]*)", 1), "/")
+    query = F.regexp_extract(path, r"(?s)^[^?]*(.*)$", 1)
+    last = F.element_at(parts, -1)
+    parts = F.when(last.isin(".", ".."), F.concat(parts, F.array(F.lit("")))).otherwise(parts)
+    up = lambda acc: F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(1)))
+    kept = F.aggregate(parts, F.array().cast("array<string>"), lambda acc, x: F.when(x == ".", acc).when(x == "..", up(acc)).otherwise(F.concat(acc, F.array(x))))
+    return F.concat(F.array_join(kept, "/"), query)
+
+
+def resolved(target: Column, base: Column) -> Column:
+    """The absolute url of a link's target on a page at ``base``; null for other schemes (mailto:, data:) and hostless bases."""
+    t = F.trim(target)
+    scheme, origin = F.regexp_extract(base, r"(?s)^(.*?):", 1), F.regexp_extract(base, r"(?s)^(.*?://[^/?#]*)", 1)
+    path = F.regexp_extract(base, r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
+    folder = F.when(path == "", F.lit("/")).otherwise(F.regexp_extract(path, r"(?s)^(.*/)", 1))
+    return (
+        F.when(t.rlike(r"(?i)^[a-z][a-z0-9+.-]*://"), t)
+        .when(t.startswith("//"), F.concat(scheme, F.lit(":"), t))
+        .when(t.rlike(r"(?i)^[a-z][a-z0-9+.-]*:") | (origin == ""), F.lit(None))
+        .when(t.startswith("/"), F.concat(origin, without_dots(t)))
+        .when(t.startswith("?"), F.concat(origin, path, t))
+        .when(t.startswith("#"), base)
+        .otherwise(F.concat(origin, without_dots(F.concat(folder, t))))
+    )
 
 
 def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """(a, b): redirect and canonical edges that a page's own markup declares, as alias identities.
 
-    Reads ``<link rel=canonical>``, ``<meta property=og:url>`` and ``<meta http-equiv=refresh>``. Relative
-    targets starting with ``/`` take the page's host; other relative targets add no edge.
+    Reads every ``<link rel=canonical>``, ``<meta property=og:url>`` and ``<meta http-equiv=refresh>``. Relative targets are
+    resolved against the page's ``<base href>`` or its own url. Null urls or markup add no edge.
     """
-    h = F.col(f"`{html}`")
+    h, u = F.col(f"`{html}`"), F.col(f"`{url}`")
     attr = lambda tag, name: F.regexp_extract(tag, rf"(?is)\b{name}\s*=\s*[\"']?([^\"'\s>]+)", 1)
-    canonical = F.regexp_extract(h, r"(?is)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>", 0)
-    og = F.regexp_extract(h, r"(?is)<meta\b[^>]*\bproperty\s*=\s*[\"']?og:url\b[^>]*>", 0)
-    refresh = F.regexp_extract(h, r"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>", 0)
-    to = F.array(attr(canonical, "href"), attr(og, "content"), F.regexp_extract(refresh, r"(?is)\burl\s*=\s*['\"]?([^\"'\s>]+)", 1))
+    tags = lambda pattern: F.regexp_extract_all(h, F.lit(rf"(?is)({pattern})"), F.lit(1))
+    canonical = F.transform(tags(r"<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>"), lambda t: attr(t, "href"))
+    og = F.transform(tags(r"<meta\b[^>]*\bproperty\s*=\s*[\"']?og:url\b[^>]*>"), lambda t: attr(t, "content"))
+    refresh = F.transform(tags(r"<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>"), lambda t: F.regexp_extract(t, r"(?is)\burl\s*=\s*['\"]?([^\"'\s>]+)", 1))
     said = h.rlike(r"(?i)\bcanonical\b|\bog:url\b|\brefresh\b")
-    links = pages.where(said).select(F.col(f"`{url}`").alias("u"), F.explode(to).alias("t")).where("t <> ''")
-    t = F.col("t")
-    absolute = F.when(t.contains("://"), t).when(t.startswith("//"), F.concat(F.lit("http:"), t)).when(t.startswith("/"), F.concat(F.lit("http://"), url_part(F.col("u"), 1), t))
-    return links.select(node_of(F.col("u")).alias("a"), node_of(absolute).alias("b")).where("a is not null and b is not null and a <> b")
+    base = F.regexp_extract(h, r"(?is)<base\b[^>]*\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1)
+    links = pages.where(said).select(u.alias("u"), F.when(base != "", resolved(base, u)).alias("base"), F.explode(F.concat(canonical, og, refresh)).alias("t")).where("t <> ''")
+    to = resolved(F.col("t"), F.coalesce("base", "u"))
+    return links.select(node_of(F.col("u")).alias("a"), node_of(to).alias("b")).where("a is not null and b is not null and a <> b")
 
 
 def judge_urls(pages: DataFrame, rules: list[Rule], edges: DataFrame | None = None, url: str = "url") -> DataFrame:

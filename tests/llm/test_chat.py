@@ -59,6 +59,35 @@ def test_long_chain(spark):
     assert got == {f"k{i}": i for i in range(6)}
 
 
+def test_chains_cycles_and_joins_of_chains(spark):
+    n = 300
+    calls = [call(f"k{i}", "add", {"x": 1, "y": 1}, [f"k{i - 1}"] if i else ["unknown"]) for i in range(n)]
+    calls += [call("m", "add", {"x": 1, "y": 1}, ["k100", "k20"]), call("n1", "add", {"x": 1, "y": 1}, ["m"]), call("n2", "add", {"x": 1, "y": 1}, ["n1", "k299"])]
+    calls += [call("q", "add", {"x": 1, "y": 1}, ["r"]), call("r", "add", {"x": 1, "y": 1}, ["s"]), call("s", "add", {"x": 1, "y": 1}, ["q"]), call("t", "add", {"x": 1, "y": 1}, ["s"]), call("u", "add", {"x": 1, "y": 1}, ["t", "k0"])]
+    df = spark.createDataFrame([(9, 0, "assistant", json.dumps({"tool_calls": calls}))], "conv_id long, turn long, role string, text string")
+    rows = {r.call_id: r for r in format_chat(df, TOOLS).collect()}
+    assert all(rows[f"k{i}"].order_level == i for i in range(n))
+    assert (rows["m"].order_level, rows["n1"].order_level, rows["n2"].order_level) == (101, 102, 300)
+    assert all(rows[i].problem == "cycle; no result" for i in "qrstu") and rows["m"].problem == "no result"
+
+
+def test_nested_schemas(spark):
+    tool = {"t": {"properties": {"o": {"type": "object", "properties": {"n": {"type": "integer", "minimum": 2, "maximum": 5}}, "required": ["n"], "additionalProperties": False}, "l": {"type": "array", "items": {"type": "string", "pattern": "^a"}}}}}
+    args = [{"o": {"n": 3}, "l": ["a", "ab"]}, {"o": {"n": 9, "z": 1}}, {"o": {}, "l": ["a", 4, "b"]}, {"o": 7, "l": "x"}]
+    df = spark.createDataFrame([(1, i, "assistant", json.dumps({"tool_calls": [call(f"c{i}", "t", a)]})) for i, a in enumerate(args)], "conv_id long, turn long, role string, text string")
+    got = {r.turn: r.problem for r in format_chat(df, tool).collect()}
+    assert got[0] == "no result"
+    assert got[1] == "no result; o.n is above 5; unexpected o.z"
+    assert got[2] == "no result; an item of l does not match; an item of l is not string; missing o.n"
+    assert got[3] == "no result; l is not array; o is not object"
+
+
+def test_no_ids(spark):
+    rows = [(1, 0, "assistant", json.dumps({"tool_calls": [call(None, "add", {"x": 1, "y": 2})] * 3})), (None, 0, "assistant", json.dumps({"tool_calls": [call("a", "add", {"x": 1, "y": 2})]})), (1, 1, "tool", json.dumps({"tool_call_id": "a", "content": "x"}))]
+    got = format_chat(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), TOOLS).collect()
+    assert sorted((r.kind, r.problem) for r in got) == sorted([("call", "no id; no result")] * 3 + [("call", "no result"), ("result", "no call")])
+
+
 def test_empty_and_plain(spark, sf):
     e = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert format_chat(e, {}).count() == 0

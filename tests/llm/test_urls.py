@@ -63,6 +63,24 @@ def test_decisions_spread_with_allow_first(spark):
     assert got == {1: "block", 2: "block", 3: "block", 4: "allow", 5: "allow", 6: "allow", 7: "block"}
 
 
+def test_relative_targets_are_resolved(spark):
+    page = "http://a.org/d/e/p.html?k="
+    cases = [
+        ("next.html", "", "a.org/d/e/next.html"), ("./a", "", "a.org/d/e/a"), ("../../../x/./y", "", "a.org/x/y"), ("?p=2", "", "a.org/d/e/p.html?p=2"),
+        ("/r/../s", "", "a.org/s"), ("//b.org:80/t", "", "b.org/t"), ("https://c.org:443", "", "c.org/"), ("http://c.org:443/", "", "c.org:443/"), ("q", '<base href="/z/w">', "a.org/z/q"),
+        ("q", '<base href="http://d.org/v/">', "d.org/v/q"), ("..", "", "a.org/d/"), ("mailto:x@y.z", "", None), ("#f", "", None), ("a?u=../b", "", "a.org/d/e/a?u=../b"),
+    ]
+    rows = [(i, f"{page}{i}", f'{base}<link rel="canonical" href="{t}">') for i, (t, base, _) in enumerate(cases)]
+    got = {r.a: r.b for r in page_links(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {f"a.org/d/e/p.html?k={i}": want for i, (_, _, want) in enumerate(cases) if want}
+
+
+def test_every_tag_counts(spark):
+    html = '<link rel=canonical href=/one><link rel=canonical href=/two><meta http-equiv="refresh" content="0; url=three"><meta property="og:url" content="/four"><meta property="og:url" content="/five">'
+    df = spark.createDataFrame([(1, "http://a.org/x/y", html), (2, None, html), (3, "http://a.org/", None)], "page_id long, url string, html string")
+    assert sorted(r.b for r in page_links(df).collect()) == ["a.org/five", "a.org/four", "a.org/one", "a.org/two", "a.org/x/three"]
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "page_id long, url string, html string")
     assert judge_urls(df, URL_RULES, page_links(df)).count() == 0
