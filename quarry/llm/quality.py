@@ -55,8 +55,8 @@ class Features:
     def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         words, drawn = text.split(), text.translate(self.shapes)
         n, chars = len(words), max(1, len(text))
-        wi, wk = self._counts(words, self.words, lambda w: "w" + w.lower()[:40])
-        si, sk = self._counts(drawn.split(), self.runs, lambda s: "s" + _RUNS.sub(r"\1", s)[:10])
+        wi, wk = self._counts(words, self.words, lambda w: "w" + w.lower())
+        si, sk = self._counts(drawn.split(), self.runs, lambda s: "s" + _RUNS.sub(r"\1", s))
         idx, where = np.unique(np.array(wi + si, dtype=np.int64), return_inverse=True)
         val = np.sqrt(np.bincount(where, np.array(wk + sk, dtype=float), len(idx)) / max(1, n))
         upper = drawn.count("A")

@@ -23,6 +23,31 @@ def test_ordered_grades_are_recovered():
     assert np.corrcoef(rate, [r[2] for r in rows])[0, 1] > 0.85
 
 
+def test_fit_is_near_the_optimum_of_a_plain_one():
+    """Against full gradient descent on the same likelihood, to its end."""
+    rnd = np.random.default_rng(2)
+    x = np.column_stack([rnd.normal(size=(800, 3)), np.ones(800)])
+    y = ((x @ [1.0, -0.7, 0.4, 0.0] + rnd.logistic(size=800))[:, None] > [-1.0, 0.8]).sum(axis=1)
+
+    def loss(w, cuts):
+        p = np.column_stack([np.ones(800), 1 / (1 + np.exp(-(x[:, :3] @ w)[:, None] + cuts[None, :])), np.zeros(800)])
+        return -np.log(p[np.arange(800), y] - p[np.arange(800), y + 1]).mean()
+
+    z = np.array([0.0, 0.0, 0.0, -0.5, 0.5])
+    for _ in range(1500):
+        g = np.array([(loss(z[:3] + e[:3], z[3:] + e[3:]) - loss(z[:3] - e[:3], z[3:] - e[3:])) / 2e-5 for e in np.eye(5) * 1e-5])
+        z -= 0.8 * g
+    best = loss(z[:3], z[3:])
+    m = fit_ordinal([(np.array([0, 1, 2]), r[:3], int(k)) for r, k in zip(x, y)], 4, epochs=30)
+    assert best <= loss(m.weights[:3], m.cuts) < best + 0.01
+
+
+def test_long_words_are_read_whole():
+    f = Features(1 << 20)
+    a, b = (dict(zip(*(v.tolist() for v in f("x" * 60 + c)))) for c in "yz")
+    assert set(a) != set(b)
+
+
 def test_rate_is_the_sum_of_tails():
     m = Ordinal((1, 2, 5), np.array([0.0, 1.0]), np.array([2.0, 0.0]))
     p1, p2 = 1 / (1 + math.exp(-2)), 1 / (1 + math.exp(-1))
