@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from quarry.session import materialize
 
 RING_BITS = 14  # 16,384 ring slots
-VNODES = 128  # virtual nodes a shard
+VNODES = 1_024  # virtual nodes a shard
+RUN = 100_000  # equal rows that one task deals out
 
 
 def virtual_nodes(shards: int, vnodes: int = VNODES, bits: int = RING_BITS) -> list[tuple[int, int]]:
@@ -53,7 +54,7 @@ def assign_shards(df: DataFrame, keys: list[str], shards: int, vnodes: int = VNO
     """One row per row of ``df``, restricted to ``keys``, with ``shard`` (int) and ``slot`` (long, gapless from 0 in its shard).
 
     Rows whose keys are all equal are interchangeable: they are counted before the shuffle and dealt out again
-    afterwards, so one key with a third of the rows is one row until its places are known. Null keys hash like
+    afterwards, in runs of ``RUN`` over several tasks, so one key with a third of the rows is one row until its places are known. Null keys hash like
     any other value. Only the row counts of the ring's slots (at most 2**bits) reach the driver; an empty input
     gives an empty result. Fewer rows than shards leave the last shards empty. Shard counts below 1 are refused.
     """
@@ -75,6 +76,10 @@ def assign_shards(df: DataFrame, keys: list[str], shards: int, vnodes: int = VNO
     rows = rows.withColumn("__hi", F.sum(n).over(w)).withColumn("__lo", F.col("__hi") - F.col(n))
     near = (F.col(s) == F.col("__at")) & (F.col("__from") < F.col("__hi")) & (F.col("__to") > F.col("__lo"))
     placed = rows.join(F.broadcast(plan), near)  # a row for each slot and split: 2**bits + shards at most
-    first, last = F.greatest("__from", "__lo"), F.least("__to", "__hi") - 1
-    placed = placed.select(*named, "shard", F.explode(F.sequence(first - F.col("__from"), last - F.col("__from"))).alias("__i"), "__base")
+    placed = placed.select(*named, "shard", (F.greatest("__from", "__lo") - F.col("__from")).alias("__a"), (F.least("__to", "__hi") - 1 - F.col("__from")).alias("__z"), "__base")
+    if not rows.where(F.col(n) > RUN).isEmpty():  # a very frequent row is cut into runs, which are dealt to several tasks
+        starts = F.sequence("__a", "__z", F.lit(RUN).cast("long"))
+        runs = placed.select(*named, "shard", "__z", "__base", F.explode(starts).alias("__a")).withColumn("__z", F.least("__z", F.col("__a") + RUN - 1))
+        placed = runs.repartition(*named, "shard", "__a")
+    placed = placed.select(*named, "shard", F.explode(F.sequence("__a", "__z")).alias("__i"), "__base")
     return placed.select(*named, "shard", (F.col("__base") + F.col("__i")).alias("slot"))

@@ -1,5 +1,7 @@
 from collections import Counter, defaultdict
 
+from pyspark.sql import functions as F
+
 from quarry.llm.sharding import assign_shards, place, virtual_nodes
 
 
@@ -45,7 +47,13 @@ def test_limited_movement():
 
     eight, nine = where(8), where(9)
     moved = sum(eight[k] != nine[k] for k in eight) / len(eight)
-    assert moved < 0.45  # modulo hashing moves 8/9
+    assert moved < 0.2  # 1/9 is the least that keeps the balance; modulo hashing moves 8/9
+
+
+def test_very_frequent_row_is_dealt_in_runs(spark):
+    rows = spark.range(250_000).select(F.lit(None).cast("long").alias("doc_id")).union(spark.range(1000))
+    out = assign_shards(rows, ["doc_id"], 8).groupBy("shard").agg(F.count("*").alias("n"), F.countDistinct("slot").alias("d"), F.max("slot").alias("m"), F.count_if(F.col("doc_id").isNull()).alias("z")).collect()
+    assert sum(r.z for r in out) == 250_000 and all(r.n == r.d == r.m + 1 == 31_375 for r in out)
 
 
 def test_empty_and_few(spark):
