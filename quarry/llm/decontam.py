@@ -1,7 +1,7 @@
 """Benchmark decontamination: size-partitioned MinHash containment search, verified by exact shingle containment.
 
-An item's sketch is its bottom-k MinHash: the k least hash values among its distinct shingles. k depends on the
-item's size partition so that a document holding the wanted share of the shingles must hold ``hits`` of any k of
+An item's sketch is its bottom-k MinHash: the k least hash values among its distinct shingles. Items are partitioned by
+size, each size on its own: k depends on it, and a document meets only the sizes it can hold. k is chosen so that a document holding the wanted share of the shingles must hold ``hits`` of any k of
 them (it lacks ``floor((1 - t) * n)`` at most). The search is therefore complete, not only likely so.
 Documents are read once for the search; only candidates are read again, and each is confirmed on shingle strings.
 """
@@ -45,9 +45,9 @@ def sketches(items: DataFrame, percent: int = PERCENT, width: int = WIDTH, spare
         hashes = F.when(F.col("width") == k, F.array_distinct(shingle_hashes(F.col("w"), k))).otherwise(hashes)
     it = it.select("item_id", F.md5("text").alias("item_key"), "width", texts.alias("item_shingles"), hashes.alias("h")).withColumn("n", F.size("item_shingles"))
     lacks = F.floor(F.col("n") * (100 - percent) / 100).cast("int")
-    it = it.withColumn("band", F.floor(F.log2("n")).cast("int")).withColumn("k", F.least(F.col("n"), lacks + 1 + spare)).withColumn("hits", F.col("k") - lacks)
-    sk = it.select("item_id", "item_key", "n", "band", "hits", F.explode(F.slice(F.array_sort("h"), F.lit(1), F.col("k"))).alias("hash"))
-    return it.drop("h", "k", "hits", "band"), sk
+    it = it.withColumn("k", F.least(F.col("n"), lacks + 1 + spare)).withColumn("hits", F.col("k") - lacks)
+    sk = it.select("item_id", "item_key", "n", "hits", F.explode(F.slice(F.array_sort("h"), F.lit(1), F.col("k"))).alias("hash"))
+    return it.drop("h", "k", "hits"), sk
 
 
 def find_contamination(docs: DataFrame, items: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
