@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from quarry.llm import chat, decontam, neardup, packing, pitman_yor, quality, sharding, simhash, toxicity, urls
-from quarry.session import table
+from quarry.session import materialize, table
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,6 +155,22 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.edited_likeness(table(spark, sf_dir, "documents"))
 
 
+def simhash_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its fingerprint, the least fingerprint within reach and the number of different fingerprints within 8 of 256 bits."""
+    fps = materialize(simhash.fingerprints(table(spark, sf_dir, "documents")), "fps")
+    pairs, members = simhash.near_fingerprints(fps, 8)
+    return simhash.linked_classes(pairs, members)
+
+
+def hamming_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs of customer keys, as 64-bit fingerprints, within two bits: blocks that all of them share are compared in parts."""
+    keys = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("doc_id"), F.lpad(F.lower(F.hex("c_custkey")), 16, "0").alias("fingerprint"))
+    return simhash.near_fingerprints(keys, 2, 64)[0]
+
+
+HAMMING_SQL = "SELECT lpad(lower(hex(a.c_custkey)), 16, '0') AS a, lpad(lower(hex(b.c_custkey)), 16, '0') AS b, bit_count(xor(a.c_custkey, b.c_custkey))::BIGINT AS distance FROM customer a JOIN customer b ON a.c_custkey < b.c_custkey AND bit_count(xor(a.c_custkey, b.c_custkey)) <= 2"
+
+
 def op6_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hierarchical Pitman-Yor log10 probabilities of all documents, learned from those outside the held-out fold."""
     docs = table(spark, sf_dir, "documents")
@@ -185,10 +201,22 @@ FROM w LEFT JOIN n USING (doc_id) LEFT JOIN comp ON comp.node = w.doc_id
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Expected grade and tail probability of all documents, and which of them the selection keeps."""
+    """Expected grade and tail probability of all documents, learned outside the held-out fold, and which of them the selection keeps."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.learn_quality(docs, labels.where(toxicity.fold_of(F.col("doc_id"), 5) != 3))
+    out = quality.score_quality(docs.select("doc_id", "text"), model)
+    held = F.coalesce(toxicity.fold_of(F.col("doc_id"), 5) == 3, F.lit(False))
+    return out.select("doc_id", held.alias("held_out"), "expected_grade", "tail_probability", (F.col("tail_probability") >= quality.KEEP).alias("kept"))
+
+
+def quality_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three grades, so that two ordered cuts are fitted: unfit, fit and short, fit and of 1,000 code points or more."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    out = quality.score_quality(docs.select("doc_id", "text"), quality.learn_quality(docs, labels))
-    return out.select("doc_id", "expected_grade", "tail_probability", (F.col("tail_probability") >= quality.KEEP).alias("kept"))
+    graded = docs.select("doc_id", "n_chars").join(labels, "doc_id").select("doc_id", F.when(F.col("quality") == 0, 0).when(F.col("n_chars") < 1000, 1).otherwise(2).alias("grade"))
+    model = quality.learn_quality(docs, graded.where(toxicity.fold_of(F.col("doc_id"), 5) != 3), "grade")
+    out = quality.score_quality(docs.select("doc_id", "text"), model)
+    held = F.coalesce(toxicity.fold_of(F.col("doc_id"), 5) == 3, F.lit(False))
+    return out.select("doc_id", held.alias("held_out"), "expected_grade", "tail_probability")
 
 
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -207,5 +235,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
-QUERIES = {"op1_decontamination": op1_decontamination, "op2_chat_format": op2_chat_format, "chat_tool_calls": chat_tool_calls, "op3_url_filter": op3_url_filter, "url_aliases": url_aliases, "op4_toxicity": op4_toxicity, "op5_simhash": op5_simhash, "op6_language_model": op6_language_model, "op7_near_duplicates": op7_near_duplicates, "op8_quality": op8_quality, "op9_sharding": op9_sharding, "op10_packing": op10_packing, "pipeline": corpus_pipeline.run}
-ORACLE = {"op1_decontamination": OP1_SQL, "op2_chat_format": OP2_SQL, "chat_tool_calls": CHAT_CALLS_SQL, "op3_url_filter": OP3_SQL, "url_aliases": _alias_sql(), "op7_near_duplicates": OP7_SQL}
+QUERIES = {"op1_decontamination": op1_decontamination, "op2_chat_format": op2_chat_format, "chat_tool_calls": chat_tool_calls, "op3_url_filter": op3_url_filter, "url_aliases": url_aliases, "op4_toxicity": op4_toxicity, "op5_simhash": op5_simhash, "simhash_links": simhash_links, "hamming_links": hamming_links, "op6_language_model": op6_language_model, "op7_near_duplicates": op7_near_duplicates, "op8_quality": op8_quality, "quality_grades": quality_grades, "op9_sharding": op9_sharding, "op10_packing": op10_packing, "pipeline": corpus_pipeline.run}
+ORACLE = {"op1_decontamination": OP1_SQL, "op2_chat_format": OP2_SQL, "chat_tool_calls": CHAT_CALLS_SQL, "op3_url_filter": OP3_SQL, "url_aliases": _alias_sql(), "hamming_links": HAMMING_SQL, "op7_near_duplicates": OP7_SQL}

@@ -9,12 +9,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.operators.components import connected_components
 from quarry.session import materialize
 
 BITS = 256
+PART = 2_048  # rows of a bucket in one part
 WORDS_KEPT = 500_000  # term hashes a worker remembers before it starts afresh; a speed bound only
 
 
@@ -89,23 +91,15 @@ def fingerprints(docs: DataFrame, bits: int = BITS, doc_id: str = "doc_id", text
     return docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")).mapInArrow(run, f"doc_id {kind}, fingerprint string")
 
 
-def hamming(a: Column, b: Column, bits: int) -> Column:
-    """Bits in which two hex fingerprints differ, computed in the JVM."""
-    out = F.lit(0)
-    for i in range(0, bits // 4, 8):
-        x = F.conv(F.substring(a, i + 1, 8), 16, 10).cast("long").bitwiseXOR(F.conv(F.substring(b, i + 1, 8), 16, 10).cast("long"))
-        out = out + F.bit_count(x)
-    return out
-
-
 def near_fingerprints(fps: DataFrame, radius: int, bits: int = BITS, spare: int = 1) -> tuple[DataFrame, DataFrame]:
     """All pairs of different fingerprints within ``radius`` bits: (pairs a, b, distance; members doc_id, fingerprint).
 
     A fingerprint is cut into radius + 1 + ``spare`` blocks of hex digits, as even as can be. Two within the radius agree
     on 1 + ``spare`` whole blocks at least, so one table for each choice of so many blocks finds them all. Equal
-    fingerprints are one row in the tables, and a bucket's rows are joined on their whole block key; every pair is
-    confirmed by its distance. Null fingerprints are left out of the pairs. Documents join to the pairs through
-    the members. The blocks must have at least one hex digit each.
+    fingerprints are one row in the tables. A bucket (the rows of one table with one block key) is compared in pairs of parts of
+    about ``PART`` rows, each pair of parts in one go, and only pairs within the radius come out: no bucket is gathered
+    and no two that are farther apart are emitted. Null fingerprints are left out of the pairs. Documents join to the
+    pairs through the members. The blocks must have at least one hex digit each.
     """
     digits, blocks = bits // 4, radius + 1 + spare
     if blocks > digits:
@@ -114,12 +108,52 @@ def near_fingerprints(fps: DataFrame, radius: int, bits: int = BITS, spare: int
     one = materialize(fps.where("fingerprint is not null").select("fingerprint").distinct(), "fingerprints")
     tables = []
     for t, chosen in enumerate(itertools.combinations(range(blocks), 1 + spare)):
-        key = F.concat(F.lit(f"{t}:"), *[F.substring("fingerprint", ends[i] + 1, ends[i + 1] - ends[i]) for i in chosen])
-        tables.append(key)
+        tables.append(F.xxhash64(F.lit(t), *[F.substring("fingerprint", ends[i] + 1, ends[i + 1] - ends[i]) for i in chosen]))
     rows = one.select("fingerprint", F.explode(F.array(*tables)).alias("key"))
-    left, right = rows.select(F.col("fingerprint").alias("a"), "key"), rows.select(F.col("fingerprint").alias("b"), "key")
-    pairs = left.join(right, "key").where("a < b").select("a", "b").distinct().withColumn("distance", hamming(F.col("a"), F.col("b"), bits))
-    return pairs.where(F.col("distance") <= radius), fps.select("doc_id", "fingerprint")
+    met = rows.groupBy("key").count().where("count > 1").select(F.col("key").alias("__key"), F.ceil(F.col("count") / PART).cast("int").alias("parts"))
+    rows = rows.join(met, F.col("key") == F.col("__key")).withColumn("part", F.pmod(F.xxhash64("fingerprint"), F.col("parts")).cast("int"))
+    pair = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda j: F.struct(F.least("part", j).alias("i"), F.greatest("part", j).alias("j")))
+    rows = rows.select("key", "part", "fingerprint", F.explode(pair).alias("at")).select("key", "at.i", "at.j", "part", "fingerprint")
+    rows = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "part", "fingerprint")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for b in batches:
+            t = pa.concat_batches([held, b]) if held is not None else b
+            key = np.column_stack([t.column(k).to_numpy() for k in range(3)])
+            starts = np.concatenate([[0], np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1]) if len(key) else np.zeros(0, np.int64)
+            if len(starts):
+                yield near(t.slice(0, int(starts[-1])), starts)
+                held = t.slice(int(starts[-1]))
+        if held is not None:
+            yield near(held, np.array([0, held.num_rows]))
+
+    def near(t: pa.RecordBatch, starts: np.ndarray) -> pa.RecordBatch:
+        fp = np.frombuffer(bytes.fromhex("".join(t.column(4).to_pylist())), np.uint64).reshape(t.num_rows, bits // 64)
+        part, lo = t.column(3).to_numpy(), t.column(1).to_numpy()
+        left, right, far = [], [], []
+        for a, z in zip(starts[:-1], starts[1:], strict=True):
+            same = part[a] == part[z - 1]
+            n = int((part[a:z] == lo[a:z]).sum())
+            for k in range(int(a), int(z) - 1 if same else int(a) + n):
+                at = k + 1 if same else int(a) + n
+                d = np.bitwise_count(fp[k] ^ fp[at:z]).sum(axis=1)
+                x = np.flatnonzero(d <= radius)
+                left.append(np.full(len(x), k)), right.append(at + x), far.append(d[x])
+        i, j, d = (np.concatenate(x).astype(np.int64) if x else np.zeros(0, np.int64) for x in (left, right, far))
+        return pa.RecordBatch.from_arrays([t.column(4).take(pa.array(i)), t.column(4).take(pa.array(j)), pa.array(d)], ["x", "y", "distance"])
+
+    pairs = rows.mapInArrow(compare, "x string, y string, distance long").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "distance").distinct()
+    return pairs, fps.select("doc_id", "fingerprint")
+
+
+def linked_classes(pairs: DataFrame, members: DataFrame) -> DataFrame:
+    """(doc_id, fingerprint, class, links) of every member: the least fingerprint reachable by pairs, and how many others are paired with its own."""
+    pairs = materialize(pairs, "near")
+    ends = pairs.select("a").union(pairs.select("b")).groupBy("a").agg(F.count("*").alias("__links"))
+    least = connected_components(pairs)
+    out = members.join(ends.withColumnRenamed("a", "__f"), F.col("fingerprint") == F.col("__f"), "left").join(least, F.col("fingerprint") == F.col("node"), "left")
+    return out.select("doc_id", "fingerprint", F.coalesce("component", "fingerprint").alias("class"), F.coalesce("__links", F.lit(0)).alias("links"))
 
 
 def _edited(own: str, following: str) -> str:

@@ -5,6 +5,7 @@ from collections import Counter
 
 import xxhash
 
+from quarry.llm import simhash
 from quarry.llm.simhash import Fingerprinter, edited_likeness, fingerprints, likeness, near_fingerprints
 
 
@@ -56,6 +57,17 @@ def test_all_pairs_within_radius(spark):
     assert got == want and len(want) > 10 and members.count() == len(rows)
 
 
+def test_crowded_buckets_and_classes(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "PART", 7)
+    keys = [f"{x:016x}" for x in range(120)]
+    pairs, members = near_fingerprints(spark.createDataFrame([(i, x) for i, x in enumerate(keys + keys[:3])] + [(500, "f" * 16)], "doc_id long, fingerprint string"), 2, 64)
+    want = {(a, b): d for i, a in enumerate(keys) for b in keys[i + 1 :] if (d := (int(a, 16) ^ int(b, 16)).bit_count()) <= 2}
+    assert {(r.a, r.b): r.distance for r in pairs.collect()} == want
+    got = {r.doc_id: r for r in simhash.linked_classes(pairs, members).collect()}
+    assert len(got) == 124 and got[500].links == 0 and got[500]["class"] == "f" * 16
+    assert all(got[i]["class"] == keys[0] and got[i].links == sum(keys[i] in p for p in want) for i in range(120)) and got[121].links == got[1].links
+
+
 def brute(rows):
     f = Fingerprinter()
     rows = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0)))
