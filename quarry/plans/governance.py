@@ -112,13 +112,8 @@ def pagination_reconcile(s, d):
     return G.pagination(p.unionByName(one))
 
 
-@plans.add("split_leakage", "SELECT user_id, count(DISTINCT event_id % 3) AS splits FROM events WHERE event_id % 7 = 0 GROUP BY user_id HAVING count(DISTINCT event_id % 3) > 1")
+@plans.add("split_leakage", "SELECT user_id, count(DISTINCT split) AS splits FROM (SELECT user_id, CASE WHEN event_id % 7 = 0 THEN event_id % 3 ELSE user_id % 3 END AS split FROM events) GROUP BY user_id HAVING count(DISTINCT split) > 1")
 def split_leakage(s, d):
-    return G.split_leakage(table(s, d, "events").where("event_id % 7 = 0").withColumn("split", F.col("event_id") % 3), "user_id", "split")
-
-
-@plans.add("split_leakage_all", "SELECT user_id, count(DISTINCT split) AS splits FROM (SELECT user_id, CASE WHEN event_id % 7 = 0 THEN event_id % 3 ELSE user_id % 3 END AS split FROM events) GROUP BY user_id HAVING count(DISTINCT split) > 1")
-def split_leakage_all(s, d):
     split = F.when(F.col("event_id") % 7 == 0, F.col("event_id") % 3).otherwise(F.col("user_id") % 3)
     return G.split_leakage(table(s, d, "events").withColumn("split", split), "user_id", "split")
 

@@ -31,15 +31,8 @@ def contiguous_windows(s, d):
     return L.contiguous_windows(o.select(F.col("o_custkey").alias("k"), start.alias("start"), F.date_add(start, (F.col("o_orderkey") % 400 - 20).cast("int")).alias("end")), "k")
 
 
-@plans.add("final_reviews", "WITH r AS (SELECT event_id // 4 AS item, user_id AS reviewer, CASE WHEN event_id % 4 = 3 THEN 'adjudicator' ELSE 'reviewer' END AS role, event_type AS verdict FROM events WHERE event_id % 4 <> 2 AND event_id % 11 <> 3), g AS (SELECT item, count(DISTINCT CASE WHEN role = 'reviewer' THEN reviewer END) AS n, min(CASE WHEN role = 'reviewer' THEN verdict END) AS lo, max(CASE WHEN role = 'reviewer' THEN verdict END) AS hi, max(CASE WHEN role = 'adjudicator' THEN verdict END) AS adj FROM r GROUP BY item) SELECT item, CASE WHEN n >= 2 AND lo = hi THEN lo ELSE adj END AS verdict, CASE WHEN n >= 2 AND lo = hi THEN 'agreed' WHEN adj IS NOT NULL THEN 'adjudicated' ELSE 'unresolved' END AS how FROM g")
+@plans.add("final_reviews", "WITH r AS (SELECT event_id // 4 AS item, user_id AS reviewer, CASE WHEN event_id % 4 = 2 OR event_id % 11 = 3 THEN 'observer' WHEN event_id % 4 = 3 THEN 'adjudicator' ELSE 'reviewer' END AS role, event_type AS verdict FROM events), g AS (SELECT item, count(DISTINCT CASE WHEN role = 'reviewer' THEN reviewer END) AS n, min(CASE WHEN role = 'reviewer' THEN verdict END) AS lo, max(CASE WHEN role = 'reviewer' THEN verdict END) AS hi, max(CASE WHEN role = 'adjudicator' THEN verdict END) AS adj FROM r GROUP BY item) SELECT item, CASE WHEN n >= 2 AND lo = hi THEN lo ELSE adj END AS verdict, CASE WHEN n >= 2 AND lo = hi THEN 'agreed' WHEN adj IS NOT NULL THEN 'adjudicated' ELSE 'unresolved' END AS how FROM g")
 def final_reviews(s, d):
-    e = table(s, d, "events").where("event_id % 4 <> 2 and event_id % 11 <> 3")
-    i = F.col("event_id")
-    return L.final_reviews(e.select(F.floor(i / 4).alias("item"), F.col("user_id").alias("reviewer"), F.when(i % 4 == 3, "adjudicator").otherwise("reviewer").alias("role"), F.col("event_type").alias("verdict")))
-
-
-@plans.add("final_reviews_all", "WITH r AS (SELECT event_id // 4 AS item, user_id AS reviewer, CASE WHEN event_id % 4 = 2 OR event_id % 11 = 3 THEN 'observer' WHEN event_id % 4 = 3 THEN 'adjudicator' ELSE 'reviewer' END AS role, event_type AS verdict FROM events), g AS (SELECT item, count(DISTINCT CASE WHEN role = 'reviewer' THEN reviewer END) AS n, min(CASE WHEN role = 'reviewer' THEN verdict END) AS lo, max(CASE WHEN role = 'reviewer' THEN verdict END) AS hi, max(CASE WHEN role = 'adjudicator' THEN verdict END) AS adj FROM r GROUP BY item) SELECT item, CASE WHEN n >= 2 AND lo = hi THEN lo ELSE adj END AS verdict, CASE WHEN n >= 2 AND lo = hi THEN 'agreed' WHEN adj IS NOT NULL THEN 'adjudicated' ELSE 'unresolved' END AS how FROM g")
-def final_reviews_all(s, d):
     e = table(s, d, "events")
     i = F.col("event_id")
     return L.final_reviews(e.select(F.floor(i / 4).alias("item"), F.col("user_id").alias("reviewer"), F.when((i % 4 == 2) | (i % 11 == 3), "observer").when(i % 4 == 3, "adjudicator").otherwise("reviewer").alias("role"), F.col("event_type").alias("verdict")))

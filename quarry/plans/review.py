@@ -89,13 +89,8 @@ def similar_questions(s, d):
     return V.similar_questions(_queries(s, d), 0.12)
 
 
-@plans.add("missing_kinds", "SELECT user_id, array_to_string(list_sort(list_filter(['click', 'error', 'view'], lambda x: NOT list_contains(list(event_type), x))), ',') AS missing FROM events WHERE event_id % 40 = 0 GROUP BY user_id HAVING missing <> ''")
+@plans.add("missing_kinds", "SELECT user_id * 40 + event_id % 40 AS visit, array_to_string(list_sort(list_filter(['click', 'error', 'view'], lambda x: NOT list_contains(list(event_type), x))), ',') AS missing FROM events GROUP BY visit HAVING missing <> ''")
 def missing_kinds(s, d):
-    return V.missing_kinds(table(s, d, "events").where("event_id % 40 = 0"), "user_id", "event_type", ["view", "click", "error"])
-
-
-@plans.add("missing_kinds_all", "SELECT user_id * 40 + event_id % 40 AS visit, array_to_string(list_sort(list_filter(['click', 'error', 'view'], lambda x: NOT list_contains(list(event_type), x))), ',') AS missing FROM events GROUP BY visit HAVING missing <> ''")
-def missing_kinds_all(s, d):
     e = table(s, d, "events").withColumn("visit", F.col("user_id") * 40 + F.col("event_id") % 40)
     return V.missing_kinds(e, "visit", "event_type", ["view", "click", "error"])
 
@@ -113,11 +108,14 @@ def flag_reconcile(s, d):
     return i.join(ever, "user_id", "left").select("user_id", F.when(F.col("ever").isNull(), "unlisted").when(F.col("ever"), "true").otherwise("false").alias("flag"))
 
 
-@plans.add("families", "WITH RECURSIVE e AS (SELECT doc_id AS a, doc_id + CASE WHEN doc_id % 10 = 3 THEN 40 ELSE 1 END AS b FROM documents WHERE doc_id % 10 < 4), t AS (SELECT a, b FROM e UNION SELECT b, a FROM e), r AS (SELECT a AS node, a AS o FROM t UNION SELECT r.node, t.b FROM r JOIN t ON r.o = t.a) SELECT node, min(o) AS component FROM r GROUP BY node")
+@plans.add("families", """
+WITH RECURSIVE e AS (SELECT doc_id AS a, doc_id + CASE WHEN doc_id % 10 = 9 THEN 31 ELSE 1 END AS b FROM documents),
+t AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+r AS (SELECT a AS node, a AS o FROM t UNION SELECT r.node, t.b FROM r JOIN t ON r.o = t.a)
+SELECT node, min(o) AS component FROM r GROUP BY node""")
 def families(s, d):
     i = F.col("doc_id")
-    e = table(s, d, "documents").where("doc_id % 10 < 4").select(i.alias("a"), (i + F.when(i % 10 == 3, 40).otherwise(1)).alias("b"))
-    return connected_components(e)
+    return connected_components(table(s, d, "documents").select(i.alias("a"), (i + F.when(i % 10 == 9, 31).otherwise(1)).alias("b")))
 
 
 @plans.add("embed_header", "SELECT doc_id, sha256(source || ' > ' || CASE WHEN lang = 'de' THEN '' ELSE lang || ' > ' END || 'body' || chr(10) || chr(10) || text) AS h FROM documents")

@@ -36,14 +36,8 @@ def date_formats(s, d):
     return o.select("o_orderkey", dotted.alias("dotted"), F.date_format(c, "dd/MM/yyyy").alias("slashed"), F.date_format(c, "yyyy/MM/dd").alias("year_slashed"), P.dotnet_date(ms).alias("from_dotnet"), P.parse_day_first(dotted).alias("from_dotted"), P.date_prefix(F.date_format(c, "yyyy-MM-dd HH:mm")).alias("prefix"), P.local_date((c.cast("timestamp") + F.expr("interval 22 hours"))).alias("local"))
 
 
-@plans.add("date_windows", "WITH o AS (SELECT o_orderkey, o_orderdate::DATE AS s, o_orderdate::DATE + 100 AS e FROM orders WHERE o_orderkey % 10 = 0), w AS (SELECT o_orderkey, s, e, unnest(generate_series(date_trunc('month', s), e::TIMESTAMP, INTERVAL 1 MONTH))::DATE AS m FROM o) SELECT o_orderkey, greatest(m, s) AS \"from\", least((m + INTERVAL 1 MONTH)::DATE - 1, e) AS \"to\" FROM w")
+@plans.add("date_windows", "WITH o AS (SELECT o_orderkey, o_orderdate::DATE AS s, o_orderdate::DATE + 100 AS e FROM orders), w AS (SELECT o_orderkey, s, e, unnest(generate_series(date_trunc('month', s), e::TIMESTAMP, INTERVAL 1 MONTH))::DATE AS m FROM o) SELECT o_orderkey, greatest(m, s) AS \"from\", least((m + INTERVAL 1 MONTH)::DATE - 1, e) AS \"to\" FROM w")
 def date_windows(s, d):
-    o = table(s, d, "orders").where("o_orderkey % 10 = 0").select("o_orderkey", F.col("o_orderdate").cast("date").alias("s"))
-    return o.select("o_orderkey", F.inline(P.date_windows(F.col("s"), F.date_add("s", 100))))
-
-
-@plans.add("date_windows_all", "WITH o AS (SELECT o_orderkey, o_orderdate::DATE AS s, o_orderdate::DATE + 100 AS e FROM orders), w AS (SELECT o_orderkey, s, e, unnest(generate_series(date_trunc('month', s), e::TIMESTAMP, INTERVAL 1 MONTH))::DATE AS m FROM o) SELECT o_orderkey, greatest(m, s) AS \"from\", least((m + INTERVAL 1 MONTH)::DATE - 1, e) AS \"to\" FROM w")
-def date_windows_all(s, d):
     o = table(s, d, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("s"))
     return o.select("o_orderkey", F.inline(P.date_windows(F.col("s"), F.date_add("s", 100))))
 

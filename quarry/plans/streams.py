@@ -22,13 +22,13 @@ def _stream(s, d):
 @plans.add("stream_tumbling", "SELECT time_bucket(INTERVAL 1 HOUR, ts) AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2")
 def stream_tumbling(s, d):
     out = S.windowed_counts(_stream(s, d), "ts", "1 hour", "1 minute", "event_type")
-    return S.run_to_table(out, f"t{uuid.uuid4().hex}", "complete").withColumn("start", F.col("start").cast("timestamp_ntz"))
+    return S.run_to_table(out, "complete").withColumn("start", F.col("start").cast("timestamp_ntz"))
 
 
 @plans.add("stream_distinct_users", "SELECT DISTINCT user_id, event_type FROM events")
 def stream_distinct_users(s, d):
     out = S.distinct_stream(_stream(s, d).select("ts", "user_id", "event_type"), ["user_id", "event_type"], "ts", "400 days")
-    return S.run_to_table(out, f"t{uuid.uuid4().hex}").select("user_id", "event_type").distinct()
+    return S.run_to_table(out).select("user_id", "event_type")
 
 
 @plans.add("stream_upsert", "SELECT user_id AS doc_id, sha256(max(event_type)) AS hash FROM events WHERE user_id IS NOT NULL GROUP BY user_id HAVING max(event_type) <> ''")
@@ -38,7 +38,7 @@ def stream_upsert(s, d):
     job = S.Ingest(s, root)
     q = one.writeStream.outputMode("complete").foreachBatch(lambda df, n: job.batch(df, n)).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
     q.awaitTermination()
-    return job.docs.read().select("doc_id", "hash")
+    return job.documents().select("doc_id", "hash")
 
 
 @plans.add("change_detection", "SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN 'added' WHEN doc_id % 4 = 1 THEN 'updated' ELSE 'unchanged' END AS change FROM documents")

@@ -18,9 +18,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``; a temporary one only where it is unset (tests)."""
+    """The folder all executors share: ``spark.checkpoint.dir``.
+
+    Where it is unset, a temporary folder serves a local master only; a cluster must name one, as its executors do not see each
+    other's disks.
+    """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="quarry-")
         spark.conf.set("spark.checkpoint.dir", d)
     return d

@@ -1,98 +1,146 @@
 """Incremental ingestion: file streams, change detection, keyed upserts, retries, dead letters and seen-before filters.
 
-State lives in tables of the target folder, one version a committed batch. A batch is first written beside the current version
-and then made current by a small pointer file, so a batch that is tried again writes the same version again.
+State lives in the target folder. A batch writes its files beside the current ones and becomes visible as a whole by one
+small pointer file, which is written under another name and renamed. Whatever a crash leaves behind is not pointed to, and
+the batch that is tried again writes it anew.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.text import content_hash
+from quarry.session import materialize, release, shared_dir
 
 
-class VersionedTable:
-    """A Parquet table with numbered versions and a pointer to the current one."""
+class Pointers:
+    """Numbered, immutable pointer files of a folder: the one with the greatest number is current."""
 
-    def __init__(self, spark: SparkSession, path: str, schema: str):
-        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, f"{path.rstrip('/')}/pointers"
 
-    def _fs(self, name: str):
-        p = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+    def _at(self, name: str = ""):
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
         return p, p.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
 
-    def version(self) -> int:
-        p, fs = self._fs("CURRENT")
+    def numbers(self) -> list[int]:
+        p, fs = self._at()
         if not fs.exists(p):
-            return -1
-        return int(json.loads(self.spark.read.text(f"{self.path}/CURRENT").first()[0])["version"])
-
-    def read(self) -> DataFrame:
-        v = self.version()
-        if v < 0:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/v{v}")
-
-    def commit(self, df: DataFrame, version: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.path}/v{version}")
-        p, fs = self._fs("CURRENT")
-        out = fs.create(p, True)
-        out.write(bytearray(json.dumps({"version": version}).encode()))
+            return []
+        return sorted(int(f.getPath().getName()) for f in fs.listStatus(p) if f.getPath().getName().isdigit())
+
+    def current(self) -> dict:
+        """The current pointer; {"batch": -1} before the first."""
+        done = self.numbers()
+        if not done:
+            return {"batch": -1}
+        return json.loads(self.spark.read.text(f"{self.path}/{done[-1]}", wholetext=True).first()[0])
+
+    def put(self, number: int, content: dict) -> None:
+        """Make ``content`` current: written whole under another name, then renamed. A pointer that exists stays as it is."""
+        temp, fs = self._at(f".{number}-{uuid.uuid4().hex}")
+        out = fs.create(temp, True)
+        out.write(bytearray(json.dumps(content | {"batch": number}).encode()))
         out.close()
+        if not fs.rename(temp, self._at(str(number))[0]):
+            fs.delete(temp, False)
+            if number not in self.numbers():
+                raise RuntimeError(f"pointer {number} could not be written to {self.path}")
 
 
 def detect_changes(batch: DataFrame, current: DataFrame, key: list[str]) -> DataFrame:
     """``batch`` with ``change``: added, updated or unchanged against the hash that ``current`` has."""
-    c = current.select(*key, F.col("hash").alias("__hash"))
-    j = batch.join(c, key, "left")
-    change = F.when(F.col("__hash").isNull(), "added").when(F.col("__hash") == F.col("hash"), "unchanged").otherwise("updated")
-    return j.withColumn("change", change).drop("__hash")
+    c = current.select(*[F.col(k).alias(f"__{k}") for k in key], F.col("hash").alias("__hash"), F.lit(True).alias("__old"))
+    on = F.lit(True)
+    for k in key:
+        on = on & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    change = F.when(F.col("__old").isNull(), "added").when(F.col("__hash").eqNullSafe(F.col("hash")), "unchanged").otherwise("updated")
+    return batch.join(c, on, "left").withColumn("change", change).drop("__hash", "__old", *[f"__{k}" for k in key])
 
 
 DOCS = "doc_id long, text string, hash string"
 RETRIES = "doc_id long, text string, hash string, attempts int, reason string"
+LOG = "batch long, change string, n long"
 MAX_ATTEMPTS = 5
+BUCKETS = 64  # parts of the documents table, by a hash of the key; a batch rewrites those it touches
 
 
 class Ingest:
-    """Upserts micro-batches of (doc_id, text) into ``root``/documents.
+    """Upserts micro-batches of (doc_id, text) into the documents under ``root``.
 
-    ``check`` gives a reason why a row cannot be taken now (null: it can). Such rows wait in ``root``/retries and come again with
-    every batch, until they pass or have failed ``MAX_ATTEMPTS`` times and stay in ``root``/dead. Counters of each batch are kept in
-    ``root``/log. The last row of a key in a batch wins, by its hash where nothing else orders them. Batches may be repeated.
+    ``check`` gives a reason why a row cannot be taken now (null: it can). Such rows wait and come again with every batch, until
+    they pass or have failed ``MAX_ATTEMPTS`` times and are dead. The last row of a key in a batch wins, by its hash where
+    nothing else orders them; null ids are one key. A batch may be repeated, after a crash at any point: until its pointer is there, readers and
+    the repeat see the batch before. Documents lie in ``BUCKETS`` parts; a batch rewrites the parts its new rows fall in. Dead rows and counters
+    of each batch are folders of their own, so nothing that only grows is rewritten.
     """
 
-    def __init__(self, spark: SparkSession, root: str, check: Callable[[DataFrame], DataFrame] | None = None):
-        self.spark, self.check = spark, check
-        self.docs = VersionedTable(spark, f"{root}/documents", DOCS)
-        self.retries = VersionedTable(spark, f"{root}/retries", RETRIES)
-        self.dead = VersionedTable(spark, f"{root}/dead", RETRIES)
-        self.log = VersionedTable(spark, f"{root}/log", "batch long, change string, n long")
+    def __init__(self, spark: SparkSession, root: str, check: Callable[[DataFrame], DataFrame] | None = None, buckets: int = BUCKETS):
+        self.spark, self.root, self.check, self.buckets = spark, root.rstrip("/"), check, buckets
+        self.pointers = Pointers(spark, root)
+
+    def _read(self, paths: list[str], schema: str) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+
+    def _parts(self, pointer: dict, wanted: set[int] | None = None) -> list[str]:
+        return [f"{self.root}/documents/v{v}/part={b}" for b, v in pointer.get("documents", {}).items() if wanted is None or int(b) in wanted]
+
+    def version(self) -> int:
+        return self.pointers.current()["batch"]
+
+    def documents(self) -> DataFrame:
+        return self._read(self._parts(self.pointers.current()), DOCS)
+
+    def retries(self) -> DataFrame:
+        at = self.pointers.current()["batch"]
+        return self._read([f"{self.root}/retries/v{at}"] if at >= 0 else [], RETRIES)
+
+    def dead(self) -> DataFrame:
+        return self._read([f"{self.root}/dead/v{n}" for n in self.pointers.current().get("dead", [])], RETRIES)
+
+    def log(self) -> DataFrame:
+        """Counters of the batches that are done."""
+        at = self.pointers.current()["batch"]
+        return self._read([f"{self.root}/log/v*"], LOG).where(F.col("batch") <= at) if at >= 0 else self._read([], LOG)
 
     def batch(self, df: DataFrame, number: int) -> None:
-        if self.docs.version() >= number:  # done before a restart
+        before = self.pointers.current()
+        if before["batch"] >= number:  # done before a restart
             return
         rows = df.select("doc_id", "text", content_hash(F.col("text")).alias("hash"), F.lit(0).alias("attempts"))
-        waiting = self.retries.read()
         fresh = rows.groupBy("doc_id").agg(F.max_by(F.struct("text", "hash", "attempts"), "hash").alias("r")).select("doc_id", "r.*")
-        again = waiting.join(fresh.select("doc_id"), "doc_id", "left_anti").select("doc_id", "text", "hash", "attempts")
-        todo = detect_changes(fresh.unionByName(again), self.docs.read(), ["doc_id"])
-        todo = (self.check(todo) if self.check else todo.withColumn("reason", F.lit(None).cast("string"))).cache()
-        good = todo.where("reason is null")
-        bad = todo.where("reason is not null").withColumn("attempts", F.col("attempts") + 1)
-        new = good.where("change <> 'unchanged'").select("doc_id", "text", "hash")
-        names = ["doc_id", "text", "hash", "attempts", "reason"]
-        self.dead.commit(self.dead.read().unionByName(bad.where(F.col("attempts") >= MAX_ATTEMPTS).select(*names)), number)
-        self.retries.commit(bad.where(F.col("attempts") < MAX_ATTEMPTS).select(*names), number)
-        counts = todo.groupBy(F.when(F.col("reason").isNull(), F.col("change")).otherwise("failed").alias("change")).agg(F.count("*").alias("n"))
-        self.log.commit(self.log.read().unionByName(counts.select(F.lit(number).cast("long").alias("batch"), "change", "n")), number)
-        self.docs.commit(self.docs.read().join(new.select("doc_id"), "doc_id", "left_anti").unionByName(new), number)
-        todo.unpersist()
+        same = F.col("doc_id").eqNullSafe(F.col("__id"))
+        again = self.retries().join(fresh.select(F.col("doc_id").alias("__id")), same, "left_anti").select("doc_id", "text", "hash", "attempts")
+        part = F.pmod(F.xxhash64("doc_id"), F.lit(self.buckets)).cast("int")
+        todo = materialize(fresh.unionByName(again).withColumn("part", part), "todo")
+        touched = {r[0] for r in todo.select("part").distinct().collect()}  # at most ``buckets`` numbers
+        old = self._read(self._parts(before, touched), DOCS)
+        known = detect_changes(todo, old, ["doc_id"])
+        checked = materialize(self.check(known) if self.check else known.withColumn("reason", F.lit(None).cast("string")), "checked")
+        new = checked.where("reason is null and change <> 'unchanged'").select("doc_id", "text", "hash", "part")
+        bad = checked.where("reason is not null").withColumn("attempts", F.col("attempts") + 1).select("doc_id", "text", "hash", "attempts", "reason")
+        put = lambda d, name: d.write.mode("overwrite").parquet(f"{self.root}/{name}/v{number}")
+        dead = bad.where(F.col("attempts") >= MAX_ATTEMPTS)
+        died = not dead.isEmpty()
+        if died:
+            put(dead, "dead")
+        put(bad.where(F.col("attempts") < MAX_ATTEMPTS), "retries")
+        counts = checked.groupBy(F.when(F.col("reason").isNull(), F.col("change")).otherwise("failed").alias("change")).agg(F.count("*").alias("n"))
+        put(counts.select(F.lit(number).cast("long").alias("batch"), "change", "n"), "log")
+        changed = {r[0] for r in new.select("part").distinct().collect()}
+        if changed:
+            kept = self._read(self._parts(before, changed), DOCS).withColumn("part", part)
+            kept = kept.join(new.select(F.col("doc_id").alias("__id")), same, "left_anti")
+            kept.unionByName(new).write.mode("overwrite").partitionBy("part").parquet(f"{self.root}/documents/v{number}")
+        where = before.get("documents", {}) | {str(b): number for b in sorted(changed)}
+        self.pointers.put(number, {"documents": where, "dead": before.get("dead", []) + [number] * died})
+        release(todo)
+        release(checked)
 
     def run(self, stream: DataFrame, checkpoint: str, **trigger):
         """Start the query; by default it takes what is there and ends. ``processingTime="5 seconds"`` keeps watching."""
@@ -129,13 +177,15 @@ def windowed_counts(stream: DataFrame, time: str, width: str, delay: str, *by: s
     return g.select(F.col("window.start").alias("start"), *by, "n", "total")
 
 
-def run_to_table(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
-    """Run a bounded stream to its end into an in-memory table (for tests and small results)."""
-    spark = stream.sparkSession
-    try:
-        spark.sql(f"drop view if exists {name}")
-    except AnalysisException:
-        pass
-    q = stream.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start()
-    q.awaitTermination()
-    return spark.table(name)
+def run_to_table(stream: DataFrame, mode: str = "append") -> DataFrame:
+    """Run a bounded stream to its end into Parquet files under the shared folder, and read them.
+
+    In ``append`` mode each row is written once. In ``complete`` mode every micro-batch gives the whole result; the last one stands.
+    """
+    root = f"{shared_dir(stream.sparkSession)}/quarry/stream-{uuid.uuid4().hex}"
+    w = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True)
+    if mode == "append":
+        w.format("parquet").option("path", f"{root}/rows").start().awaitTermination()
+    else:
+        w.foreachBatch(lambda df, _: df.write.mode("overwrite").parquet(f"{root}/rows")).start().awaitTermination()
+    return stream.sparkSession.read.schema(stream.schema).parquet(f"{root}/rows")

@@ -22,17 +22,71 @@ def test_stream_upserts_retries_and_restarts(spark, tmp_path):
         job.run(S.file_stream(spark, str(src), "doc_id long, text string"), str(tmp_path / "cp")).awaitTermination()
 
     drain()
-    assert {r.doc_id: r.text for r in job.docs.read().collect()} == {1: "a", 3: "c"}
+    assert {r.doc_id: r.text for r in job.documents().collect()} == {1: "a", 3: "c"}
     for i in range(2, 6):
         put(src / f"{i}.json", [{"doc_id": 1, "text": "a"}, {"doc_id": 3, "text": f"c{i}"}])
         drain()
-    assert {r.doc_id: r.text for r in job.docs.read().collect()} == {1: "a", 3: "c5"}
-    assert [(r.doc_id, r.attempts) for r in job.dead.read().collect()] == [(2, 5)] and job.retries.read().count() == 0
-    log = {(r.batch, r.change): r.n for r in job.log.read().collect()}
+    assert {r.doc_id: r.text for r in job.documents().collect()} == {1: "a", 3: "c5"}
+    assert [(r.doc_id, r.attempts) for r in job.dead().collect()] == [(2, 5)] and job.retries().count() == 0
+    log = {(r.batch, r.change): r.n for r in job.log().collect()}
     assert log[0, "added"] == 2 and log[1, "unchanged"] == 1 and log[1, "updated"] == 1 and log[1, "failed"] == 1
-    before = job.docs.version()
+    before = job.version()
     job.batch(spark.createDataFrame([(9, "late")], "doc_id long, text string"), 0)  # a repeated batch changes nothing
-    assert job.docs.version() == before and job.docs.read().where("doc_id = 9").count() == 0
+    assert job.version() == before and job.documents().where("doc_id = 9").count() == 0
+
+
+def test_a_crash_at_any_write_leaves_a_batch_that_can_be_repeated(spark, tmp_path, monkeypatch):
+    check = lambda d: d.withColumn("reason", F.when(F.col("text") == "poison", "bad"))
+    first = [(1, "a"), (2, "poison"), (None, "n"), (7, None)]
+    second = [(1, "b"), (3, "c"), (4, "poison"), (None, "m")]
+    schema = "doc_id long, text string"
+
+    def state(job):
+        return [sorted(map(str, t.collect())) for t in (job.documents(), job.retries(), job.dead(), job.log())]
+
+    def run(root, at):
+        job = S.Ingest(spark, root, check, buckets=3)
+        job.batch(spark.createDataFrame(first, schema), 0)
+        if at:
+            seen, real, put = [0], type(spark.range(1).write).parquet, S.Pointers.put
+
+            def crash(*a, **k):
+                out = real(*a, **k) if a and not isinstance(a[0], S.Pointers) else None
+                if str(tmp_path) in str(a):
+                    seen[0] += 1
+                    if seen[0] == at:
+                        raise OSError("lost")
+                return out
+
+            with monkeypatch.context() as m:
+                m.setattr(type(spark.range(1).write), "parquet", crash)
+                if at == 4:
+                    m.setattr(S.Pointers, "put", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+                with pytest.raises(OSError):
+                    job.batch(spark.createDataFrame(second, schema), 1)
+            assert put is S.Pointers.put and S.Ingest(spark, root, check, buckets=3).version() == 0
+            job = S.Ingest(spark, root, check, buckets=3)
+        job.batch(spark.createDataFrame(second, schema), 1)
+        return state(job)
+
+    want = run(str(tmp_path / "plain"), 0)
+    assert len(want[0]) == 4 and len(want[1]) == 2
+    for at in (1, 2, 3, 4):
+        assert run(str(tmp_path / f"crash{at}"), at) == want
+
+
+def test_an_unset_shared_folder_is_refused_on_a_cluster():
+    from quarry.session import shared_dir
+
+    class Conf(dict):
+        def get(self, k, d=None):
+            return dict.get(self, k, d)
+
+    class Session:
+        conf = Conf({"spark.master": "spark://host:7077"})
+
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        shared_dir(Session)
 
 
 def test_jsonl_sources(spark, tmp_path):
@@ -62,5 +116,5 @@ def test_windows_drop_late_rows(spark, tmp_path):
     src.mkdir()
     put(src / "1.json", [{"ts": "2024-01-01T00:00:00Z", "value": 1.0}, {"ts": "2024-01-01T05:00:00Z", "value": 2.0}])
     s = S.file_stream(spark, str(src), "ts timestamp, value double")
-    got = S.run_to_table(S.windowed_counts(s, "ts", "1 hour", "10 minutes", slide="30 minutes"), "sliding", "complete")
+    got = S.run_to_table(S.windowed_counts(s, "ts", "1 hour", "10 minutes", slide="30 minutes"), "complete")
     assert got.agg(F.sum("n")).first()[0] == 4

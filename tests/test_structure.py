@@ -66,11 +66,11 @@ def test_whole_tables_are_read(spark, sf):
 
     orders, events = table(spark, sf, "orders"), table(spark, sf, "events")
     got = lambda name, key: {r[0] for r in QUERIES[name](spark, sf).select(key).collect()}
-    assert got("date_windows_all", "o_orderkey") == {r[0] for r in orders.select("o_orderkey").collect()}
-    assert got("final_reviews_all", "item") == {r[0] // 4 for r in events.select("event_id").collect()}
+    assert got("date_windows", "o_orderkey") == {r[0] for r in orders.select("o_orderkey").collect()}
+    assert got("final_reviews", "item") == {r[0] // 4 for r in events.select("event_id").collect()}
     kinds, splits = {}, {}
     for r in events.select("user_id", "event_id", "event_type").collect():
         kinds.setdefault(r.user_id * 40 + r.event_id % 40, set()).add(r.event_type)
         splits.setdefault(r.user_id, set()).add(r.event_id % 3 if r.event_id % 7 == 0 else r.user_id % 3)
-    assert got("missing_kinds_all", "visit") == {k for k, v in kinds.items() if {"view", "click", "error"} - v}
-    assert got("split_leakage_all", "user_id") == {k for k, v in splits.items() if len(v) > 1}
+    assert got("missing_kinds", "visit") == {k for k, v in kinds.items() if {"view", "click", "error"} - v}
+    assert got("split_leakage", "user_id") == {k for k, v in splits.items() if len(v) > 1}
