@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from quarry.plans import curation, evaluation, governance, lint, records, review, scalars, search, streams
+from quarry.plans import curation, evaluation, gold, governance, lint, records, review, scalars, search, streams
 
 FLAGSHIP = "bm25_topk"
-MODULES = [search, curation, evaluation, governance, scalars, streams, review, lint, records]
+MODULES = [search, curation, evaluation, governance, scalars, streams, review, lint, records, gold]
 QUERIES = {k: v for m in MODULES for k, v in m.plans.queries.items()}
 ORACLE = {k: v for m in MODULES for k, v in m.plans.oracle.items()}
