@@ -180,9 +180,10 @@ def profile(docs: DataFrame) -> DataFrame:
 
 
 def latest_per_key(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The last row of each key by the given order (the greatest), ties by every column."""
-    w = Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in order])
-    return rows.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
+    """The last row of each key by the given order (the greatest), ties by the other columns. A partial aggregate: a hot key is no single task."""
+    rest = [c for c in rows.columns if c not in keys and c not in order]
+    last = rows.groupBy(*keys).agg(F.max(F.struct(*order, *rest)).alias("__last"))
+    return last.select(*[F.col(c) if c in keys else F.col(f"__last.{c}").alias(c) for c in rows.columns])
 
 
 def upsert(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:

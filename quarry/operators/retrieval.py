@@ -5,15 +5,17 @@ A ranking is a DataFrame (qid, doc_id, score, rank). Ties go to the least doc_id
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.text import jaccard, tokens
+from quarry.session import broadcast_if_small, materialize
 
 K1, B, RRF_K = 1.5, 0.75, 60
 DIGITS = 6
@@ -38,22 +40,48 @@ def postings(docs: DataFrame, terms: DataFrame) -> DataFrame:
     return d.join(terms.select("term").distinct(), "term", "left_semi").groupBy("term", "doc_id", "dl").agg(F.count("*").alias("tf"))
 
 
-def bm25(docs: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    """Okapi BM25 with the non-negative idf ln(1 + (N - df + 0.5) / (df + 0.5)); only positive scores rank. k <= 0: none."""
+class LexicalIndex:
+    """Postings and statistics of (doc_id, text), written once: a search reads the rows of its own terms and no text.
+
+    Postings are (term, doc_id, dl, tf), in ranges of terms and sorted by them, so that the statistics of Parquet row groups skip
+    what a search does not ask for. The number of documents and their mean length are taken in the pass that tokenizes.
+    """
+
+    def __init__(self, docs: DataFrame):
+        seen = Observation(f"lexical-{uuid.uuid4().hex}")
+        d = docs.select("doc_id", tokens(F.col("text")).alias("t")).withColumn("dl", F.size("t"))
+        d = d.observe(seen, F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl"))
+        rows = d.select("doc_id", "dl", F.explode("t").alias("term")).groupBy("term", "doc_id", "dl").agg(F.count("*").alias("tf"))
+        self.postings = materialize(rows.repartitionByRange("term").sortWithinPartitions("term", "doc_id"), "postings")
+        self.n, self.avgdl = int(seen.get["n"] or 0), float(seen.get["avgdl"] or 0.0)
+
+    def of(self, terms: DataFrame) -> DataFrame:
+        return self.postings.join(terms.select("term").distinct(), "term", "left_semi")
+
+
+def bm25(docs: DataFrame | LexicalIndex, queries: DataFrame, k: int) -> DataFrame:
+    """Okapi BM25 with the non-negative idf ln(1 + (N - df + 0.5) / (df + 0.5)); only positive scores rank. k <= 0: none.
+
+    ``docs`` are documents or an index over them.
+    """
     qt = query_terms(queries)
-    post = postings(docs, qt)
-    stats = docs.agg(F.count("*").alias("n"), F.avg(F.size(tokens(F.col("text")))).alias("avgdl"))
-    df = post.groupBy("term").agg(F.count("*").alias("df")).crossJoin(F.broadcast(stats))
+    if isinstance(docs, LexicalIndex):
+        post = docs.of(qt)
+        df = post.groupBy("term").agg(F.count("*").alias("df")).withColumns({"n": F.lit(docs.n), "avgdl": F.lit(docs.avgdl)})
+    else:
+        post = postings(docs, qt)
+        stats = docs.agg(F.count("*").alias("n"), F.avg(F.size(tokens(F.col("text")))).alias("avgdl"))
+        df = post.groupBy("term").agg(F.count("*").alias("df")).crossJoin(F.broadcast(stats))
     idf = df.select("term", F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"), "avgdl")
     j = qt.join(idf, "term").join(post, "term")
     part = F.col("qtf") * F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / F.col("avgdl")))
     return ranked(j.groupBy("qid", "doc_id").agg(F.sum(part).alias("score")).where("score > 0"), max(k, 0))
 
 
-def sparse(docs: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    """Dot product of term counts over shared terms."""
+def sparse(docs: DataFrame | LexicalIndex, queries: DataFrame, k: int) -> DataFrame:
+    """Dot product of term counts over shared terms; ``docs`` are documents or an index over them."""
     qt = query_terms(queries)
-    j = qt.join(postings(docs, qt), "term")
+    j = qt.join(docs.of(qt) if isinstance(docs, LexicalIndex) else postings(docs, qt), "term")
     return ranked(j.groupBy("qid", "doc_id").agg(F.sum(F.col("qtf") * F.col("tf")).cast("double").alias("score")), k)
 
 
@@ -76,20 +104,34 @@ def dense(vectors: DataFrame, queries: DataFrame, k: int, block: int = 8_192, di
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             qid, q = shared.value
-            best_s = np.full((len(qid), 0), -np.inf)
-            best_d = np.zeros((len(qid), 0), np.int64)
+            held: list[tuple] = []  # places of queries, documents and scores that may be among the best k
+            size = 0
+
+            def best() -> tuple:
+                i, d, s = (np.concatenate(x) for x in zip(*held, strict=True))
+                order = np.lexsort((d, -s, i))
+                i, d, s = i[order], d[order], s[order]
+                first = np.searchsorted(i, i)
+                keep = np.arange(len(i)) - first < k
+                return i[keep], d[keep], s[keep]
+
             for b in batches:
                 ids = b.column(0).to_numpy(zero_copy_only=False)
                 v = np.array(b.column(1).to_pylist(), dtype=float).reshape(len(ids), -1)
                 v = v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-300)
                 for at in range(0, len(ids), 2048):
-                    s = np.hstack([best_s, np.round(q @ v[at : at + 2048].T, digits)])
-                    d = np.hstack([best_d, np.tile(ids[at : at + 2048], (len(qid), 1))])
-                    order = np.lexsort((d, -s), axis=1)[:, :k]
-                    best_s, best_d = np.take_along_axis(s, order, 1), np.take_along_axis(d, order, 1)
-            n = best_s.shape[1]
-            if n:
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(qid, n)), pa.array(best_d.ravel()), pa.array(best_s.ravel())], ["qid", "doc_id", "score"])
+                    s = np.round(q @ v[at : at + 2048].T, digits)
+                    n = s.shape[1]
+                    least = np.partition(s, n - k, axis=1)[:, n - k] if n > k else np.full(len(s), -np.inf)
+                    i, j = np.nonzero(s >= least[:, None])  # ties at the least stay until ids decide
+                    held.append((i, ids[at : at + 2048][j], s[i, j]))
+                    size += len(i)
+                    if size > 8 * k * len(qid):
+                        held = [best()]
+                        size = len(held[0][0])
+            if held:
+                i, d, s = best()
+                yield pa.RecordBatch.from_arrays([pa.array(qid[i]), pa.array(d), pa.array(s)], ["qid", "doc_id", "score"])
 
         top = vectors.select("doc_id", "vector").mapInArrow(run, "qid long, doc_id long, score double")
         out = top if out is None else out.union(top)
@@ -127,11 +169,18 @@ def dbsf(*rankings: DataFrame, k: int) -> DataFrame:
     return ranked(parts.groupBy("qid", "doc_id").agg(F.sum("score").alias("score")), k)
 
 
+def of_pool(pool: DataFrame, docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that a written pool of candidates names, picked by its ids where those are few, so the others are not shuffled."""
+    ids = pool.select("doc_id").distinct()
+    return docs.join(broadcast_if_small(ids, pool.count()), "doc_id", "left_semi")
+
+
 def rerank(ranking: DataFrame, queries: DataFrame, docs: DataFrame, k: int, min_score: float = 0.0, scorer: Callable | None = None) -> DataFrame:
     """Rescore a pool and keep the k best at or above ``min_score``. scorer(query text, document text) is a column function; by
-    default the Jaccard likeness of the token sets."""
+    default the Jaccard likeness of the token sets. Only the texts of the pool are moved: it is written and counted, and its ids pick them."""
     score = scorer or (lambda q, d: jaccard(F.array_distinct(tokens(q)), F.array_distinct(tokens(d))))
-    j = ranking.select("qid", "doc_id").join(queries.select("qid", F.col("text").alias("q")), "qid").join(docs.select("doc_id", F.col("text").alias("d")), "doc_id")
+    pool = materialize(ranking.select("qid", "doc_id"), "pool")
+    j = pool.join(queries.select("qid", F.col("text").alias("q")), "qid").join(of_pool(pool, docs).select("doc_id", F.col("text").alias("d")), "doc_id")
     return ranked(j.select("qid", "doc_id", score(F.col("q"), F.col("d")).alias("score")).where(F.col("score") >= min_score), k)
 
 
@@ -174,19 +223,22 @@ def mmr(pool: DataFrame, k: int, lam: float = 0.5, cap: int | None = None) -> Da
             v = v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-300)
         chosen: list[int] = []
         used: dict = {}
+        keys = pdf["key"].to_numpy()
+        value = lam * pdf["score"].to_numpy(dtype=float) if v is not None else -np.arange(len(pdf), dtype=float)
+        near, free = np.zeros(len(pdf)), np.ones(len(pdf), bool)  # likeness to what is picked: a running maximum
         while len(chosen) < min(k, len(pdf)):
-            best, at = -np.inf, None
-            for i in range(len(pdf)):
-                if i in chosen or (cap and used.get(pdf["key"][i], 0) >= cap):
-                    continue
-                near = max((float(v[i] @ v[j]) for j in chosen), default=0.0) if v is not None else 0.0
-                value = lam * pdf["score"][i] - (1 - lam) * near if v is not None else -i
-                if value > best + 1e-12:
-                    best, at = value, i
-            if at is None:
+            left = np.where(free, value - (1 - lam) * near, -np.inf)
+            if not np.isfinite(left.max(initial=-np.inf)):
                 break
+            at = int(np.flatnonzero(left >= left.max() - 1e-12)[0])
             chosen.append(at)
-            used[pdf["key"][at]] = used.get(pdf["key"][at], 0) + 1
+            free[at] = False
+            used[keys[at]] = used.get(keys[at], 0) + 1
+            if cap and used[keys[at]] >= cap:
+                free &= keys != keys[at]
+            if v is not None:
+                like = v @ v[at]
+                near = like if len(chosen) == 1 else np.maximum(near, like)
         return pd.DataFrame({"qid": pdf["qid"].iloc[chosen], "doc_id": pdf["doc_id"].iloc[chosen], "rank": np.arange(1, len(chosen) + 1, dtype="int32")})
 
     pool = pool if "key" in pool.columns else pool.withColumn("key", F.lit(""))

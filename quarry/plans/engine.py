@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 from quarry.functions.chunking import chunk_documents, reassemble
 from quarry.operators import retrieval as R
 from quarry.operators.governance import browse, filters
+from quarry.session import materialize
 
 
 class Engine:
     """Over ``docs``: doc_id, text and any columns to filter by. Every answer is a DataFrame; nothing is collected."""
 
-    def __init__(self, docs: DataFrame):
-        self.docs = docs
+    def __init__(self, docs: DataFrame, index: R.LexicalIndex | None = None):
+        self.docs, self.index = docs, index
         self.spark: SparkSession = docs.sparkSession
 
     def _filtered(self, **where) -> DataFrame:
@@ -27,12 +28,14 @@ class Engine:
         The pool is max(5 k, 50) deep unless given. ``max_per`` = (column, cap) limits a key; ``pinned`` (qid, doc_id, rank) comes first.
         """
         depth, d = pool or max(5 * k, 50), self._filtered(**where)
-        out = {"bm25": lambda: R.bm25(d, questions, depth), "sparse": lambda: R.sparse(d, questions, depth)}.get(mode, lambda: R.rrf(R.bm25(d, questions, depth), R.sparse(d, questions, depth), k=depth))()
+        words = self.index if self.index is not None and d is self.docs else d  # an index holds the statistics of all documents
+        out = {"bm25": lambda: R.bm25(words, questions, depth), "sparse": lambda: R.sparse(words, questions, depth)}.get(mode, lambda: R.rrf(R.bm25(words, questions, depth), R.sparse(words, questions, depth), k=depth))()
         if mode == "reranked":
             out = R.rerank(out, questions, d, depth, min_score)
         if max_per:
             key, cap = max_per
-            out = R.cap_per_key(out.join(d.select("doc_id", key), "doc_id"), key, cap, depth)
+            out = materialize(out, "pool")
+            out = R.cap_per_key(out.join(R.of_pool(out, d).select("doc_id", key), "doc_id"), key, cap, depth)
         if pinned is not None:
             order = R.pin(pinned, out, k)
             out = order.join(out.select("qid", "doc_id", "score"), ["qid", "doc_id"], "left")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from quarry.operators import evaluation as E
 from quarry.operators import retrieval as R
 from quarry.plans.base import Plans
-from quarry.plans.search import BM25_CTES
+from quarry.plans.search import BM25_CTES, _index
 from quarry.session import table
 
 plans = Plans()
@@ -28,9 +28,8 @@ GROUPS = "grp AS (SELECT qid, doc_id % 3 AS group_id, CASE WHEN doc_id % 3 = 2 T
 
 
 def _top(s, d):
-    docs = table(s, d, "documents").select("doc_id", "text")
     q = table(s, d, "benchmark").select(F.col("item_id").alias("qid"), "text")
-    return R.bm25(docs, q, 50), q
+    return R.bm25(_index(s, d), q, 50), q
 
 
 def _groups(s, d):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from quarry.functions.text import word_count
 from quarry.operators import retrieval as R
 from quarry.plans.base import Plans
-from quarry.session import table
+from quarry.session import materialize, table
 
 plans = Plans()
 
@@ -29,6 +29,17 @@ def _docs(s, d):
     return table(s, d, "documents").select("doc_id", "text", "source")
 
 
+_built: dict = {}
+
+
+def _index(s, d):
+    """The index over the documents of a directory: built by the first query of a session that asks for it."""
+    key = s.sparkContext.applicationId, d
+    if key not in _built:
+        _built[key] = R.LexicalIndex(table(s, d, "documents"))
+    return _built[key]
+
+
 def _queries(s, d):
     return table(s, d, "benchmark").select(F.col("item_id").alias("qid"), "text")
 
@@ -39,12 +50,12 @@ def _ranked_sql(body: str, k: int) -> str:
 
 @plans.add("bm25_topk", f"WITH {BM25_CTES} SELECT qid, doc_id, score, rank FROM bmr WHERE rank <= 10")
 def bm25_topk(s, d):
-    return R.bm25(_docs(s, d), _queries(s, d), 10)
+    return R.bm25(_index(s, d), _queries(s, d), 10)
 
 
 @plans.add("sparse_topk", f"WITH {BM25_CTES} SELECT qid, doc_id, score, rank FROM spr WHERE rank <= 10")
 def sparse_topk(s, d):
-    return R.sparse(_docs(s, d), _queries(s, d), 10)
+    return R.sparse(_index(s, d), _queries(s, d), 10)
 
 
 def _vectors(s, d):
@@ -64,7 +75,7 @@ def dense_topk(s, d):
 @plans.add("rrf_hybrid", _ranked_sql("SELECT qid, doc_id, round(sum(1.0::DOUBLE / (60 + rank)), 6) AS score FROM (SELECT qid, doc_id, rank FROM bmr WHERE rank <= 50 UNION ALL SELECT qid, doc_id, rank FROM spr WHERE rank <= 50) GROUP BY 1, 2", 10))
 def rrf_hybrid(s, d):
     docs, q = _docs(s, d), _queries(s, d)
-    return R.rrf(R.bm25(docs, q, 50), R.sparse(docs, q, 50), k=10)
+    return R.rrf(R.bm25(_index(s, d), q, 50), R.sparse(_index(s, d), q, 50), k=10)
 
 
 def _scaled(t, w):
@@ -74,7 +85,7 @@ def _scaled(t, w):
 @plans.add("weighted_fusion", _ranked_sql(f"SELECT qid, doc_id, round(sum(s), 6) AS score FROM ({_scaled('bmr', '0.7::DOUBLE')} UNION ALL {_scaled('spr', '0.3::DOUBLE')}) GROUP BY 1, 2", 10))
 def weighted_fusion(s, d):
     docs, q = _docs(s, d), _queries(s, d)
-    return R.weighted(R.bm25(docs, q, 50), R.sparse(docs, q, 50), 0.3, 10)
+    return R.weighted(R.bm25(_index(s, d), q, 50), R.sparse(_index(s, d), q, 50), 0.3, 10)
 
 
 def _dbsf(t):
@@ -84,7 +95,7 @@ def _dbsf(t):
 @plans.add("dbsf_fusion", _ranked_sql(f"SELECT qid, doc_id, round(sum(s), 6) AS score FROM ({_dbsf('bmr')} UNION ALL {_dbsf('spr')}) GROUP BY 1, 2", 10))
 def dbsf_fusion(s, d):
     docs, q = _docs(s, d), _queries(s, d)
-    return R.dbsf(R.bm25(docs, q, 50), R.sparse(docs, q, 50), k=10)
+    return R.dbsf(R.bm25(_index(s, d), q, 50), R.sparse(_index(s, d), q, 50), k=10)
 
 
 SETS = r"SELECT p.qid, p.doc_id, round(len(list_intersect(a, b))::DOUBLE / (len(a) + len(b) - len(list_intersect(a, b))), 6) AS score FROM (SELECT * FROM bmr WHERE rank <= 20) p JOIN (SELECT item_id AS qid, list_distinct(" + TOK + r") AS a FROM benchmark) USING (qid) JOIN (SELECT doc_id, list_distinct(t) AS b FROM dt) USING (doc_id)"
@@ -93,13 +104,14 @@ SETS = r"SELECT p.qid, p.doc_id, round(len(list_intersect(a, b))::DOUBLE / (len(
 @plans.add("rerank_jaccard", _ranked_sql(f"SELECT * FROM ({SETS}) WHERE score >= 0.02", 5))
 def rerank_jaccard(s, d):
     docs, q = _docs(s, d), _queries(s, d)
-    return R.rerank(R.bm25(docs, q, 20), q, docs, 5, min_score=0.02)
+    return R.rerank(R.bm25(_index(s, d), q, 20), q, docs, 5, min_score=0.02)
 
 
 @plans.add("diversify_cap", f"WITH {BM25_CTES}, c AS (SELECT qid, doc_id, score, rank, source, row_number() OVER (PARTITION BY qid, source ORDER BY rank) AS n FROM bmr JOIN documents USING (doc_id) WHERE rank <= 50) SELECT qid, doc_id, score, source, rank FROM (SELECT qid, doc_id, score, source, row_number() OVER (PARTITION BY qid ORDER BY rank)::INT AS rank FROM c WHERE n <= 1) WHERE rank <= 10")
 def diversify_cap(s, d):
     docs, q = _docs(s, d), _queries(s, d)
-    pool = R.bm25(docs, q, 50).join(docs.select("doc_id", "source"), "doc_id")
+    pool = materialize(R.bm25(_index(s, d), q, 50), "pool")
+    pool = pool.join(R.of_pool(pool, docs).select("doc_id", "source"), "doc_id")
     return R.cap_per_key(pool, "source", 1, 10).select("qid", "doc_id", "score", "source", "rank")
 
 
@@ -107,13 +119,13 @@ def diversify_cap(s, d):
 def pin_merge(s, d):
     docs, q = _docs(s, d), _queries(s, d)
     pinned = q.join(docs.select("doc_id"), F.col("qid") == F.col("doc_id")).select("qid", "doc_id", F.lit(1).alias("rank"))
-    return R.pin(pinned, R.bm25(docs, q, 10), 10)
+    return R.pin(pinned, R.bm25(_index(s, d), q, 10), 10)
 
 
 @plans.add("union_candidates", f"WITH {BM25_CTES}, b AS (SELECT qid, doc_id, 0 AS branch, rank AS branch_rank FROM bmr WHERE rank <= 10 UNION ALL SELECT qid, doc_id, 1, rank FROM spr WHERE rank <= 10), m AS (SELECT *, row_number() OVER (PARTITION BY qid, doc_id ORDER BY branch, branch_rank) AS n FROM b) SELECT qid, doc_id, branch, branch_rank, row_number() OVER (PARTITION BY qid ORDER BY branch, branch_rank, doc_id)::INT AS rank FROM m WHERE n = 1")
 def union_candidates(s, d):
     docs, q = _docs(s, d), _queries(s, d)
-    return R.union_candidates([R.bm25(docs, q, 10), R.sparse(docs, q, 10)])
+    return R.union_candidates([R.bm25(_index(s, d), q, 10), R.sparse(_index(s, d), q, 10)])
 
 
 @plans.add("mmr_diversify")
@@ -136,5 +148,6 @@ SELECT qid, doc_id, position, tokens, used FROM r WHERE took AND rank > 0"""
 @plans.add("context_token_budget", BUDGET_SQL)
 def context_token_budget(s, d):
     docs, q = _docs(s, d), _queries(s, d)
-    pool = R.bm25(docs, q, 20).join(docs.select("doc_id", word_count(F.col("text")).cast("long").alias("tokens")), "doc_id")
+    pool = materialize(R.bm25(_index(s, d), q, 20), "pool")
+    pool = pool.join(R.of_pool(pool, docs).select("doc_id", word_count(F.col("text")).cast("long").alias("tokens")), "doc_id")
     return R.token_budget(pool.select("qid", "doc_id", "rank", "tokens"), 2000)
