@@ -117,3 +117,16 @@ def refresh_deadline(outcome: Column, at: Column) -> Column:
     """When to look again: a day after an incomplete outcome, a week after pending material, a month after success."""
     days = F.when(outcome == "success", 30).when(outcome == "pending", 7).otherwise(1)
     return at + F.make_dt_interval(days)
+
+
+def dangling_references(references: DataFrame, docs: DataFrame) -> DataFrame:
+    """(ref, citing): referenced ids (doc_id, ref) that no document has, with the number of documents that refer to them."""
+    r = references.where("ref is not null").groupBy("ref").agg(F.count_distinct("doc_id").alias("citing"))
+    return r.join(docs.select(F.col("doc_id").alias("__doc")), F.col("ref") == F.col("__doc"), "left_anti")
+
+
+def reconcile_flags(items: DataFrame, ledger: DataFrame, key: str, positive) -> DataFrame:
+    """``items`` with ``flag``: true if any of the key's ledger rows is positive, false if none is, unlisted without a row."""
+    ever = ledger.groupBy(F.col(key).alias("__k")).agg(F.bool_or(F.coalesce(positive, F.lit(False))).alias("__ever"))
+    flag = F.when(F.col("__ever").isNull(), "unlisted").when(F.col("__ever"), "true").otherwise("false")
+    return items.join(ever, F.col(key) == F.col("__k"), "left").withColumn("flag", flag).drop("__k", "__ever")

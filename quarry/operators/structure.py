@@ -9,13 +9,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Line shapes of headings, chapters, articles, numbered clauses and lettered sub-clauses.
+# Article numbers (Arabic with dotted or raised suffixes, Roman) and line shapes of headings, chapters, articles, numbered clauses
+# and lettered sub-clauses.
+ARTICLE_ID = r"(?:\d+(?:(?:[._/-]\d+)+|[⁰¹²³⁴⁵⁶⁷⁸⁹]+)?|[IVXLCDM]+)"
 SHAPES = {
     "heading": r"^[ \t]*#{1,6}[ \t]+(?P<id>[^\n]+)",
-    "chapter": r"^[ \t]*[*_]*[ \t]*(?:თავი|კარი|ნაწილი)[ \t]+(?P<id>[IVXLCDMა-ჰ0-9]+)[^\n]*",
-    "article": r"^[ \t]*[*_]*[ \t]*მუხლი[ \t]*(?P<id>\d+)[^\n]*",
-    "clause": r"^[ \t]*(?P<id>\d+)[.)](?=[ \t])",
-    "subclause": r"^[ \t]*(?P<id>[ა-ჰ])\)",
+    "chapter": r"^[ \t]*(?:[#*_]+[ \t]*)?(?:თავი|კარი|ნაწილი)[ \t]+(?P<id>[IVXLCDMა-ჰ0-9]+)[^\n]*",
+    "article": rf"^[ \t]*(?:[#*_]+[ \t]*)?მუხლი[ \t]*(?P<id>{ARTICLE_ID})[^\n]*",
+    "clause": r"^[ \t]*(?:[*_]+[ \t]*)?(?P<id>\d+(?:\.\d+)*)[.)](?=[ \t]|$)",
+    "subclause": r"^[ \t]*(?:[*_]+[ \t]*)?(?P<id>[ა-ჰ])[.)](?=[ \t]|$)",
 }
 
 
@@ -59,14 +61,24 @@ def governing(spans: DataFrame, marks: DataFrame) -> DataFrame:
 
 
 def context(spans: DataFrame, marks: DataFrame) -> DataFrame:
-    """Article, chapter, clause and sub-clause of each span; a clause does not reach past its article, nor a sub-clause past its clause."""
-    out = spans
-    for kind in ("chapter", "article", "clause", "subclause"):
-        g = governing(spans, marks.where(F.col("kind") == kind)).select("doc_id", "span_id", F.col("id").alias(kind), F.col("at").alias(f"{kind}_at"))
-        out = out.join(g, ["doc_id", "span_id"], "left")
-    floor = F.coalesce("article_at", F.lit(-1))
-    out = out.withColumn("clause", F.when(F.col("clause_at") >= floor, F.col("clause"))).withColumn("clause_at", F.when(F.col("clause_at") >= floor, F.col("clause_at")))
-    floor = F.greatest(floor, F.coalesce("clause_at", F.lit(-1)))
-    out = out.withColumn("subclause", F.when(F.col("subclause_at") >= floor, F.col("subclause")))
-    parent = F.coalesce(F.concat(F.lit("article:"), "article"), F.concat(F.lit("chapter:"), "chapter"))
-    return out.withColumn("parent", parent).drop("chapter_at", "article_at", "clause_at", "subclause_at")
+    """Article, chapter, clause and sub-clause of each span; a clause does not reach past its article, nor a sub-clause past its clause.
+
+    One sort of spans and markers by document and offset; each kind is the last of its own before the span, else the first within it.
+    """
+    kinds = ("chapter", "article", "clause", "subclause")
+    m = marks.where(F.col("kind").isin(*kinds))
+    both = m.select("doc_id", F.col("start").alias("p"), F.lit(0).alias("s"), "kind", F.struct("id", F.col("start").alias("at")).alias("m"), F.lit(None).alias("r")).unionByName(
+        spans.select("doc_id", F.col("start").alias("p"), F.lit(1).alias("s"), F.lit(None).alias("kind"), F.lit(None).alias("m"), F.struct(*spans.columns).alias("r"))
+    )
+    w = Window.partitionBy("doc_id").orderBy("p", "s")
+    past, coming = w.rowsBetween(Window.unboundedPreceding, Window.currentRow), w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    own = {k: F.when(F.col("kind") == k, F.col("m")) for k in kinds}
+    j = both.select("s", "r", *[F.last(c, ignorenulls=True).over(past).alias(f"{k}_b") for k, c in own.items()], *[F.first(c, ignorenulls=True).over(coming).alias(f"{k}_a") for k, c in own.items()])
+    got = {k: F.coalesce(f"{k}_b", F.when(F.col(f"{k}_a")["at"] < F.col("r.end"), F.col(f"{k}_a"))) for k in kinds}
+    out = j.where("s = 1").select("r.*", *[c.alias(k) for k, c in got.items()])
+    floor = F.coalesce(F.col("article.at"), F.lit(-1))
+    out = out.withColumn("clause", F.when(F.col("clause.at") >= floor, F.col("clause")))
+    floor = F.greatest(floor, F.coalesce(F.col("clause.at"), F.lit(-1)))
+    out = out.withColumn("subclause", F.when(F.col("subclause.at") >= floor, F.col("subclause")))
+    out = out.select(*spans.columns, *[F.col(f"{k}.id").alias(k) for k in kinds])
+    return out.withColumn("parent", F.coalesce(F.concat(F.lit("article:"), "article"), F.concat(F.lit("chapter:"), "chapter")))

@@ -110,9 +110,13 @@ def latest_per_key(s, d):
     return C.latest_per_key(table(s, d, "orders").select("o_custkey", "o_orderkey", "o_orderdate"), ["o_custkey"], ["o_orderdate", "o_orderkey"])
 
 
-@plans.add("schema_drift", "SELECT key, count(*) AS rows, key = 'v' AS declared FROM (SELECT unnest(json_keys(props)) AS key FROM events) WHERE key <> 'k' GROUP BY key")
+@plans.add("schema_drift", """
+SELECT key, count(*) AS rows, key = 'v' AS declared FROM (SELECT 'v' AS key FROM events WHERE event_id % 50 = 3 UNION ALL SELECT 'w' || user_id % 2 FROM events WHERE event_id % 70 = 5) GROUP BY key""")
 def schema_drift(s, d):
-    return C.schema_drift(table(s, d, "events"), "props", ["k"], ["k", "v"])
+    i = F.col("event_id")
+    v, w = F.when(i % 50 == 3, ', "v": 1').otherwise(""), F.when(i % 70 == 5, F.concat(F.lit(', "w'), (F.col("user_id") % 2).cast("string"), F.lit('": 2'))).otherwise("")
+    more = F.concat(F.regexp_replace("props", r"\}$", ""), v, w, F.lit("}"))
+    return C.schema_drift(table(s, d, "events").withColumn("props", more), "props", ["k"], ["k", "v"])
 
 
 def _versions(s, d):

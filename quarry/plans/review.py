@@ -6,12 +6,13 @@ from pyspark.sql import functions as F
 
 from quarry.functions import chunking as K
 from quarry.operators import review as V
+from quarry.operators import structure as U
 from quarry.operators.components import connected_components
 from quarry.plans.base import Plans
 from quarry.plans.curation import VERSIONS, _versions
 from quarry.plans.engine import Engine
 from quarry.plans.evaluation import WILSON
-from quarry.plans.search import BM25_CTES, _queries
+from quarry.plans.search import BM25_CTES, _index, _queries
 from quarry.session import table
 
 plans = Plans()
@@ -95,17 +96,20 @@ def missing_kinds(s, d):
     return V.missing_kinds(e, "visit", "event_type", ["view", "click", "error"])
 
 
-@plans.add("reference_closure", "SELECT DISTINCT doc_id * 3 % 1500 AS ref FROM documents WHERE doc_id * 3 % 1500 NOT IN (SELECT doc_id FROM documents)")
+@plans.add("reference_closure", """
+WITH r AS (SELECT doc_id, doc_id * 3 % 1500 AS ref FROM documents UNION ALL SELECT doc_id, CASE WHEN doc_id % 4 <> 0 THEN doc_id % 7 + 1200 END FROM documents)
+SELECT ref, count(DISTINCT doc_id) AS citing FROM r WHERE ref IS NOT NULL AND ref NOT IN (SELECT doc_id FROM documents) GROUP BY ref""")
 def reference_closure(s, d):
-    docs = table(s, d, "documents")
-    return docs.select((F.col("doc_id") * 3 % 1500).alias("ref")).distinct().join(docs.select("doc_id"), F.col("ref") == F.col("doc_id"), "left_anti")
+    docs, i = table(s, d, "documents"), F.col("doc_id")
+    return V.dangling_references(docs.select("doc_id", (i * 3 % 1500).alias("ref")).union(docs.select("doc_id", F.when(i % 4 != 0, i % 7 + 1200))), docs)
 
 
-@plans.add("flag_reconcile", "WITH l AS (SELECT user_id, bool_or(event_type = 'click') AS ever FROM events GROUP BY 1), i AS (SELECT doc_id AS user_id FROM documents) SELECT user_id, CASE WHEN l.ever IS NULL THEN 'unlisted' WHEN ever THEN 'true' ELSE 'false' END AS flag FROM i LEFT JOIN l USING (user_id)")
+@plans.add("flag_reconcile", """
+WITH l AS (SELECT user_id, bool_or(event_type = 'click' AND value > 40) AS ever FROM events GROUP BY 1)
+SELECT doc_id AS user_id, CASE WHEN ever IS NULL THEN 'unlisted' WHEN ever THEN 'true' ELSE 'false' END AS flag FROM documents LEFT JOIN l ON user_id = doc_id""")
 def flag_reconcile(s, d):
-    ever = table(s, d, "events").groupBy("user_id").agg(F.bool_or(F.col("event_type") == "click").alias("ever"))
-    i = table(s, d, "documents").select(F.col("doc_id").alias("user_id"))
-    return i.join(ever, "user_id", "left").select("user_id", F.when(F.col("ever").isNull(), "unlisted").when(F.col("ever"), "true").otherwise("false").alias("flag"))
+    items = table(s, d, "documents").select(F.col("doc_id").alias("user_id"))
+    return V.reconcile_flags(items, table(s, d, "events"), "user_id", (F.col("event_type") == "click") & (F.col("value") > 40))
 
 
 @plans.add("families", """
@@ -124,10 +128,40 @@ def embed_header(s, d):
     return t.select("doc_id", F.sha2(K.embed_text(), 256).alias("h"))
 
 
-@plans.add("structure_flags", r"SELECT doc_id, len(regexp_extract_all(text, '\n')) > 0 AS has_lines, len(regexp_extract_all(text, '[.]\s'))::INT AS sentences, CASE WHEN regexp_matches(text, 'the ') THEN 'article' WHEN regexp_matches(text, 'der ') THEN 'heading' ELSE 'flat' END AS kind FROM documents")
+# Bodies with as many marker lines of each kind as the id says.
+MARKED = {"heading": ("i % 3", "'## Part ' || j"), "chapter": ("i % 2", "'თავი IV'"), "article": ("i % 4", "'**მუხლი ' || CASE j WHEN 0 THEN '12¹' WHEN 1 THEN 'XIV' ELSE '3.2' END || ' words'"), "clause": ("i % 5", "j || '.1) one'"), "subclause": ("i % 6", "'ა) letter'")}
+
+
+@plans.add("structure_flags", """
+SELECT doc_id, (doc_id % 3)::INT AS headings, (doc_id % 2)::INT AS chapters, (doc_id % 4)::INT AS articles, (doc_id % 5)::INT AS clauses, (doc_id % 6)::INT AS subclauses,
+  CASE WHEN doc_id % 4 > 0 THEN 'article' WHEN doc_id % 3 > 0 THEN 'heading' WHEN doc_id % 5 > 0 THEN 'clause' ELSE 'flat' END AS "primary" FROM documents""")
 def structure_flags(s, d):
-    t = F.col("text")
-    return table(s, d, "documents").select("doc_id", (F.regexp_count(t, F.lit("\n")) > 0).alias("has_lines"), F.regexp_count(t, F.lit(r"[.]\s")).alias("sentences"), F.when(t.rlike("the "), "article").when(t.rlike("der "), "heading").otherwise("flat").alias("kind"))
+    return U.structure_summary(_marked(s, d))
+
+
+def _marked(s, d):
+    lines = [F.expr(f"transform(filter(sequence(0, 6), j -> j < {n}), j -> {line})") for n, line in MARKED.values()]
+    docs = table(s, d, "documents").withColumn("i", F.col("doc_id"))
+    return docs.select("doc_id", F.array_join(F.concat(*lines, F.array(F.lit("plain words, მუხლი 9 among them"))), "\n").alias("text"))
+
+
+@plans.add("structure_markers", """
+WITH k AS (SELECT * FROM (VALUES ('heading', 3), ('chapter', 2), ('article', 4), ('clause', 5), ('subclause', 6)) AS v(kind, m))
+SELECT doc_id, kind, CASE kind WHEN 'heading' THEN 'Part ' || j WHEN 'chapter' THEN 'IV' WHEN 'article' THEN CASE j WHEN 0 THEN '12¹' WHEN 1 THEN 'XIV' ELSE '3.2' END WHEN 'clause' THEN j || '.1' ELSE 'ა' END AS id
+FROM documents, k, unnest(range(0, 7)) AS x(j) WHERE j < doc_id % m""")
+def structure_markers(s, d):
+    return U.markers(_marked(s, d)).select("doc_id", "kind", "id")
+
+
+@plans.add("span_context", """
+SELECT doc_id, span_id, CASE WHEN doc_id % 2 > 0 THEN 'IV' END AS chapter, CASE doc_id % 4 WHEN 1 THEN '12¹' WHEN 2 THEN 'XIV' WHEN 3 THEN '3.2' END AS article, CASE WHEN doc_id % 5 > 0 THEN (doc_id % 5 - 1) || '.1' END AS clause,
+  CASE WHEN doc_id % 6 > 0 THEN 'ა' END AS subclause, coalesce('article:' || CASE doc_id % 4 WHEN 1 THEN '12¹' WHEN 2 THEN 'XIV' WHEN 3 THEN '3.2' END, CASE WHEN doc_id % 2 > 0 THEN 'chapter:IV' END) AS parent FROM documents, (SELECT 0 AS span_id)""")
+def span_context(s, d):
+    """The span of each body's last line, which all markers precede."""
+    docs = _marked(s, d)
+    n = F.length("text").cast("int")
+    spans = docs.select("doc_id", F.lit(0).alias("span_id"), (n - 5).alias("start"), n.alias("end"))
+    return U.context(spans, U.markers(docs)).drop("start", "end")
 
 
 @plans.add("refresh_deadlines", "SELECT o_orderkey, o_orderdate + to_days(CASE o_orderstatus WHEN 'F' THEN 30 WHEN 'P' THEN 7 ELSE 1 END) AS due FROM orders")
@@ -139,7 +173,7 @@ def refresh_deadlines(s, d):
 
 @plans.add("engine_search", f"WITH {BM25_CTES}, f AS (SELECT qid, doc_id, round(sum(1.0::DOUBLE / (60 + rank)), 6) AS score FROM (SELECT qid, doc_id, rank FROM bmr WHERE rank <= 50 UNION ALL SELECT qid, doc_id, rank FROM spr WHERE rank <= 50) GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id)::INT AS rank FROM f), c AS (SELECT r.*, row_number() OVER (PARTITION BY qid, lang ORDER BY rank) AS n FROM r JOIN documents USING (doc_id) WHERE rank <= 50) SELECT qid, doc_id, score, rank FROM (SELECT qid, doc_id, score, row_number() OVER (PARTITION BY qid ORDER BY rank)::INT AS rank FROM c WHERE n <= 4) WHERE rank <= 10")
 def engine_search(s, d):
-    return Engine(table(s, d, "documents")).search(_queries(s, d), 10, max_per=("lang", 4))
+    return Engine(table(s, d, "documents"), _index(s, d)).search(_queries(s, d), 10, max_per=("lang", 4))
 
 
 @plans.add("result_hash")

@@ -62,10 +62,14 @@ def citations(s, d):
     return q.select("doc_id", P.citation(c)["kind"].alias("kind"), P.citation(c)["value"].alias("value"), P.intent_of(c).alias("intent"), F.array_join(P.article_references(c), ",").alias("articles"), P.language_of(c).alias("language"))
 
 
-@plans.add("evidence_ids", "SELECT doc_id, doc_id::VARCHAR AS p0, source AS p1 FROM documents")
+@plans.add("evidence_ids", """
+WITH b AS (SELECT doc_id, source, '{"p0":"' || doc_id || '","p1":"' || source || '"}' AS body FROM documents)
+SELECT doc_id, base64(encode(substr(sha256(body), 1, 16) || body)) AS id, CASE WHEN doc_id % 5 <> 0 THEN doc_id::VARCHAR END AS p0, CASE WHEN doc_id % 5 <> 0 THEN source END AS p1 FROM b""")
 def evidence_ids(s, d):
     e = table(s, d, "documents").select("doc_id", P.evidence_id(F.col("doc_id"), F.col("source")).alias("id"))
-    return e.select("doc_id", P.read_evidence_id(F.col("id"), 2).alias("p")).select("doc_id", "p.*")
+    raw = F.decode(F.unbase64("id"), "UTF-8")
+    forged = F.base64(F.encode(F.concat(raw, F.lit(" ")), "UTF-8"))
+    return e.select("doc_id", "id", P.read_evidence_id(F.when(F.col("doc_id") % 5 == 0, forged).otherwise(F.col("id")), 2).alias("p")).select("doc_id", "id", "p.*")
 
 
 @plans.add("token_jaccard", r"WITH t AS (SELECT conv_id, turn, list_distinct(regexp_extract_all(replace(lower(text), 'ß', 'ss'), '[\p{L}\p{N}_]+')) AS a, list_distinct(regexp_extract_all(replace(lower(lead(text) OVER (PARTITION BY conv_id ORDER BY turn)), 'ß', 'ss'), '[\p{L}\p{N}_]+')) AS b FROM conversations) SELECT conv_id, turn, round(CASE WHEN b IS NULL OR len(a) = 0 OR len(b) = 0 THEN 0 ELSE len(list_intersect(a, b))::DOUBLE / (len(a) + len(b) - len(list_intersect(a, b))) END, 6) AS likeness FROM t")
