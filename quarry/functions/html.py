@@ -8,27 +8,62 @@ from urllib.parse import urljoin
 
 import pandas as pd
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import StringType, StructField, StructType
 
 # Elements that are dropped with their content, and those that end a block.
 DROPPED = {"script", "style", "nav", "header", "footer", "noscript", "svg", "form", "iframe", "button", "head"}
+BODY = {"body", "main", "article", "section", "div", "p", "table", "ul", "ol", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre", "span", "a", "br", "img"}  # what ends a head that is left open
+VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 BLOCKS = {"p", "div", "section", "article", "main", "ul", "ol", "blockquote", "pre", "figure", "address", "dl", "dd", "dt"}
 SUPER = str.maketrans("0123456789+-=()n", "⁰¹²³⁴⁵⁶⁷⁸⁹⁺⁻⁼⁽⁾ⁿ")
 SUB = str.maketrans("0123456789+-=()", "₀₁₂₃₄₅₆₇₈₉₊₋₌₍₎")
 
 
+# Ids of the tables that wrap sections, and the parts that give a section its depth.
+WRAPPER = re.compile(r"_(Title|Content)$")
+STRUCTURAL = {"HEADER", "PREAMBLE", "ARTICLE", "FOOTER", "ENCLOSURE", "CHAPTER", "SECTION", "PART", "BOOK", "TITLE", "SUBSECTION", "PARAGRAPH"}
+
+
+def section_of(table_id: str) -> tuple[str, int] | None:
+    """("heading", level) or ("block", 0) of a table that wraps a section, by the path in its id; null for any other table.
+
+    A title's level is one below its structural depth, 2 to 6; a section's own header stands at its depth; the content of the
+    top header is the document's title.
+    """
+    if not (m := WRAPPER.search(table_id or "")):
+        return None
+    path = [p for p in (re.sub(r":\d+$", "", x) for x in table_id[: m.start()].split(";")) if p and p != "DOCUMENT"]
+    if path == ["HEADER"]:
+        return ("heading", 1) if m[1] == "Content" else ("block", 0)
+    if m[1] == "Content":
+        return "block", 0
+    depth = sum(p in STRUCTURAL for p in path)
+    return "heading", max(1, min(depth, 6)) if path and path[-1] == "HEADER" else max(2, min(depth + 1, 6))
+
+
 class _Markdown(HTMLParser):
+    """Writes Markdown as elements come. ``skip`` is the stack of open elements from a dropped one on; what ends a head that was not closed ends it."""
+
     def __init__(self, base: str):
         super().__init__(convert_charrefs=True)
-        self.base, self.out, self.skip, self.lists, self.links, self.tables, self.script = base, [], 0, [], [], [], None
+        self.base, self.out, self.skip, self.lists, self.links, self.tables, self.script = base, [], [], [], [], [], None
 
     def put(self, s: str) -> None:
-        (self.tables[-1]["cell"] if self.tables and self.tables[-1]["cell"] is not None else self.out).append(s)
+        for t in reversed(self.tables):
+            if t.get("wrap") != "block":
+                if t["cell"] is not None:
+                    t["cell"].append(s)
+                    return
+                break
+        self.out.append(s)
 
     def handle_starttag(self, tag, attrs):
         a = dict(attrs)
+        if self.skip == ["head"] and tag in BODY:
+            self.skip = []
         if tag in DROPPED or self.skip:
-            self.skip += tag in DROPPED
+            if tag not in VOID:
+                self.skip.append(tag)
             return
         if tag[0] == "h" and tag[1:].isdigit():
             self.put("\n\n" + "#" * int(tag[1]) + " ")
@@ -57,8 +92,13 @@ class _Markdown(HTMLParser):
             self.put("[" if self.links[-1] else "")
         elif tag == "img" and a.get("src"):
             self.put(f"![{a.get('alt') or ''}]({urljoin(self.base, a['src'])})")
+        elif tag == "table" and (wrap := section_of(a.get("id") or "")):
+            self.put("\n\n")
+            self.tables.append({"wrap": wrap[0], "level": wrap[1], "cell": [] if wrap[0] == "heading" else None})
         elif tag == "table":
             self.tables.append({"rows": [], "cell": None, "down": {}})
+        elif self.tables and self.tables[-1].get("wrap"):
+            return
         elif tag == "tr" and self.tables:
             self.tables[-1]["rows"].append([])
         elif tag in ("td", "th") and self.tables and self.tables[-1]["rows"]:
@@ -68,7 +108,8 @@ class _Markdown(HTMLParser):
 
     def handle_endtag(self, tag):
         if self.skip:
-            self.skip -= tag in DROPPED
+            if tag in self.skip:  # whatever was left open inside ends with it
+                del self.skip[len(self.skip) - 1 - self.skip[::-1].index(tag) :]
             return
         if tag in ("b", "strong"):
             self.put("**")
@@ -85,6 +126,13 @@ class _Markdown(HTMLParser):
             self.put("\n\n")
         elif tag in BLOCKS or (tag[0] == "h" and tag[1:].isdigit()):
             self.put("\n\n")
+        elif tag == "table" and self.tables and self.tables[-1].get("wrap"):
+            t = self.tables.pop()
+            if t["wrap"] == "heading" and (text := re.sub(r"[\s#*]+", " ", "".join(t["cell"])).strip()):
+                self.put("#" * t["level"] + " " + text)
+            self.put("\n\n")
+        elif tag in ("td", "th", "tr") and self.tables and self.tables[-1].get("wrap"):
+            return
         elif tag in ("td", "th") and self.tables and self.tables[-1]["cell"] is not None:
             t = self.tables[-1]
             text, t["cell"] = re.sub(r"\s+", " ", "".join(t["cell"])).strip().replace("|", "\\|"), None
@@ -114,20 +162,31 @@ class _Markdown(HTMLParser):
             self.put(s.translate(SUPER if self.script == "sup" else SUB) if self.script else s)
 
 
-def html_to_markdown(html: str | None, base: str = "") -> str:
-    """Markdown of a page; "" for null or what cannot be parsed. Relative links take ``base``."""
+def parsed(html: str | None, base: str = "") -> tuple[str, str | None]:
+    """(Markdown of a page, what went wrong): null and empty pages give "", a page that breaks the parser gives "" and the fault."""
     try:
         p = _Markdown(base or "")
         p.feed(html or "")
         p.close()
         t = "".join(p.out)
-    except Exception:  # noqa: BLE001  a damaged page is an empty one, by contract
-        return ""
+    except (AssertionError, IndexError, KeyError, TypeError, ValueError) as e:  # what damaged markup can raise
+        return "", f"{type(e).__name__}: {e}"
     t = re.sub(r"\*\*\s*\*\*", "", t)
     t = re.sub(r"[ \t]*\n[ \t]*(?=\n|\S)", "\n", re.sub(r"[ \t]{2,}", " ", t)) if "\n  " not in t else re.sub(r"[ \t]+\n", "\n", t)
-    return re.sub(r"\n{3,}", "\n\n", t).strip()
+    return re.sub(r"\n{3,}", "\n\n", t).strip(), None
+
+
+def html_to_markdown(html: str | None, base: str = "") -> str:
+    """Markdown of a page; "" for null or what cannot be parsed. Relative links take ``base``."""
+    return parsed(html, base)[0]
 
 
 @F.pandas_udf(StringType())
 def markdown_of(html: pd.Series, base: pd.Series) -> pd.Series:
     return pd.Series([html_to_markdown(h, b) for h, b in zip(html, base, strict=True)], dtype=object)
+
+
+@F.pandas_udf(StructType([StructField("markdown", StringType()), StructField("fault", StringType())]))
+def page_of(html: pd.Series, base: pd.Series) -> pd.DataFrame:
+    """Markdown and, where the page could not be parsed, the fault."""
+    return pd.DataFrame([parsed(h, b) for h, b in zip(html, base, strict=True)], columns=["markdown", "fault"], dtype=object)

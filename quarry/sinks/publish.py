@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.operators.corpus import profile, split_quarantine
+from quarry.streaming.ingest import Pointers
 
 
 def _path(spark: SparkSession, path: str):
@@ -21,11 +22,88 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def table_digest(df: DataFrame) -> dict:
+    """{rows, digest} in one pass: the digest adds up row hashes, so it depends on the rows (with repeats) and on no order."""
+    word = F.conv(F.substring(F.sha2(F.to_json(F.struct(*sorted(df.columns)), {"ignoreNullFields": "false"}), 256), 1, 15), 16, 10).cast("decimal(38,0)")
+    rows, total = df.agg(F.count("*"), F.sum(word)).first()
+    return {"rows": rows, "digest": f"{int(total or 0):x}"}
+
+
+def verify(spark: SparkSession, root: str, name: str) -> dict[str, str]:
+    """{table: what differs from the manifest} of a published generation; empty if all is as written."""
+    manifest = json.loads(spark.read.text(f"{root}/{name}/MANIFEST.json", wholetext=True).first()[0])
+    out = {}
+    for t, want in manifest.items():
+        if not exists(spark, f"{root}/{name}/{t}"):
+            out[t] = "missing"
+            continue
+        got = table_digest(spark.read.parquet(f"{root}/{name}/{t}"))
+        if got != {k: want[k] for k in ("rows", "digest")}:
+            out[t] = "rows differ" if got["rows"] != want["rows"] else "digest differs"
+    return out
+
+
+class Alias:
+    """A name for the current one of several generations. A switch checks the new generation first and appears at once; earlier ones stay for a rollback."""
+
+    def __init__(self, spark: SparkSession, root: str, alias: str = "current"):
+        self.spark, self.root = spark, root
+        self.pointers = Pointers(spark, f"{root}/.{alias}")
+
+    def current(self) -> str | None:
+        return self.pointers.current().get("name")
+
+    def switch(self, name: str, smoke=None) -> None:
+        """Make ``name`` current if its tables are as their manifest says and ``smoke``(generation path), if given, does not object with a text."""
+        wrong = verify(self.spark, self.root, name)
+        said = smoke(f"{self.root}/{name}") if not wrong and smoke else None
+        if wrong or said:
+            raise ValueError(f"{name} is not fit: {wrong or said}")
+        now = self.pointers.current()
+        self.pointers.put(now["batch"] + 1, {"name": name, "before": now.get("name")})
+
+    def rollback(self) -> str:
+        """Back to the generation before, which is checked like any other."""
+        before = self.pointers.current().get("before")
+        if not before:
+            raise ValueError("there is no earlier generation")
+        self.switch(before)
+        return before
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, seen whole or not at all: written under another name, then renamed over what was there."""
+    temp, fs = _path(spark, f"{path}.{uuid.uuid4().hex}.tmp")
+    out = fs.create(temp, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    dst, _ = _path(spark, path)
+    if fs.exists(dst):
+        fs.delete(dst, False)
+    if not fs.rename(temp, dst):
+        raise OSError(f"cannot write {path}")
+
+
+def append_rotating(spark: SparkSession, path: str, text: str, most: int, backups: int = 3) -> None:
+    """Append to a small log; one that would pass ``most`` bytes moves to ``path``.1 first, older ones one further, and the last goes."""
+    old = spark.read.text(path, wholetext=True).first()[0] if exists(spark, path) else ""
+    if old and len((old + text).encode()) > most:
+        for i in range(backups, 0, -1):
+            src, fs = _path(spark, path if i == 1 else f"{path}.{i - 1}")
+            dst, _ = _path(spark, f"{path}.{i}")
+            if fs.exists(src):
+                if fs.exists(dst):
+                    fs.delete(dst, False)
+                fs.rename(src, dst)
+        old = ""
+    write_text(spark, path, old + text)
+
+
 def publish(tables: dict[str, DataFrame], root: str, name: str, unique: dict[str, list[str]] | None = None) -> dict:
     """Write an immutable generation ``root``/``name`` of Parquet tables; refuse one that exists.
 
     Tables go to a staging folder, which is renamed when all are complete, so a reader sees a whole generation or none. ``unique`` gives
-    keys that must not repeat in a table. Returns the manifest (rows and columns of each table), which is stored beside them.
+    keys that must not repeat in a table. Returns the manifest (rows, digest and columns of each table), which is stored beside them.
     """
     spark = next(iter(tables.values())).sparkSession
     if exists(spark, f"{root}/{name}"):
@@ -39,7 +117,7 @@ def publish(tables: dict[str, DataFrame], root: str, name: str, unique: dict[str
             p, fs = _path(spark, staging)
             fs.delete(p, True)
             raise ValueError(f"{t}: {key} repeats")
-        manifest[t] = {"rows": back.count(), "columns": back.columns}
+        manifest[t] = table_digest(back) | {"columns": back.columns}
     p, fs = _path(spark, f"{staging}/MANIFEST.json")
     out = fs.create(p, False)
     out.write(bytearray(json.dumps(manifest, sort_keys=True).encode()))

@@ -81,3 +81,8 @@ def test_html():
     assert m.startswith("# A & B") and "x² **bold**\ny" in m and "- one\n- two" in m and "[in](http://h.org/p?q)jump" in m
     assert "| a | b |\n| --- | --- |\n| a | c\\|d |" in m and "only" in m and "bad" not in m and "no" not in m.split("\n")[0]
     assert html_to_markdown(None) == "" and html_to_markdown("<p>") == ""
+    assert html_to_markdown("<html><head><title>t</title><meta charset=x><body><p>seen") == "seen"  # the head is not closed
+    assert html_to_markdown("<form><p>gone<div>gone</form><p>kept") == "kept" and html_to_markdown("<head><style>x</style></head>a<script>b</script>c") == "ac"
+    page = '<table id="DOCUMENT:1;HEADER:1;_Content"><tr><td><b>Law</b> on x</td></tr></table><table id="DOCUMENT:1;CHAPTER:1;_Title"><tr><td>One</td></tr></table>'
+    page += '<table id="DOCUMENT:1;CHAPTER:1;ARTICLE:2;_Content"><tr><td><p>body</p><table><tr><td>1</td><td>2</td></tr></table></td></tr></table>'
+    assert html_to_markdown(page) == "# Law on x\n\n## One\n\nbody\n\n| 1 | 2 |\n| --- | --- |"
