@@ -17,10 +17,18 @@ CASE_NUMBER = r"(?U)\b(?:(?!მე-)[ა-ჿ]{1,3}-|\d+[ა-ჿ]*/[ა-ჿ]*-?)[
 CASE_WORDS = r"საქმ|განჩინებ|განაჩენ|გადაწყვეტილებ|სარჩელ"
 LATIN_CASE = r"(?i)\b[A-Z]{1,3}-\d{1,7}/\d{2,4}\b"
 LATIN_CASE_WORDS = r"(?i)\b(?:case|judg(?:e)?ment|decision|ruling)\b"
+COURT_NUMBER = r"(?:№\s*|\bN(?=\d))(\d{2,6})\b"
+COURT_WORDS = r"(?i)კონსტიტუციურ[^\n]{0,40}(?:სარჩელ|წარდგინებ)|(?:constitutional\s+(?:claim|complaint|submission))"
 ARTICLE_AFTER = r"\s*[-–]?ე?\s*მუხლ"
-ARTICLE = r"მუხლი[ \t]*(\d+)|(?i)\barticle[ \t]+(\d+)"
-OLD = r"(?i)\b(?:repealed|former|historical|as of|was in force)\b|ძალადაკარგულ"
-NOW = r"(?i)\b(?:current|currently|in force|today|now)\b|მოქმედ"
+ARTICLE = r"(?i)(?:მუხლ(?:ი|ის|ში)?\s*(?:№\s*)?|\barticle\s*(?:no\.?\s*|§\s*)?)(\d+(?:\.\d+)*(?:\.[ა-ჿa-z])?)"
+CASES_APPLYING = r"(?i)(?:საქმე(?:ები|ებს)?[^\n]{0,80}(?:გამოიყენ|შეეხ|განმარტ)|(?:cases?|decisions?)\s+(?:applying|interpreting|under|about))"
+OLD = r"(?i)(?:იმ\s+დროისთვის|ისტორიულ|ყოფილ\s+რედაქცი|ძალაში\s+იყო|historical|formerly|at\s+the\s+time|was\s+in\s+force|as\s+of\s+\d{4})"
+NOW = r"(?i)(?:ამჟამად|დღეს|მოქმედი\s+(?:კანონ|რედაქცი)|ძალაშია|current(?:ly)?|in[- ]force|law\s+now|as\s+of\s+today)"
+ENGLISH_TERMS = (
+    "a an and application are article case cases civil code complaint constitution contract court current damages decision decree does "
+    "effective for from how in is law legal may of number on order permit registry right rule statute the this to under version was what "
+    "when which who with"
+)
 
 
 def parse_date(c: Column) -> Column:
@@ -92,6 +100,22 @@ def language_of(c: Column) -> Column:
     return F.when(c.rlike(r"[ა-ჿ]"), "ka").otherwise("en")
 
 
+def supported_language(c: Column, declared: Column | None = None) -> Column:
+    """ka, en or unsupported: what is declared, else by letters and, for plain Latin text, by common English words.
+
+    Text without letters is English if it has a digit, since an identifier needs no language.
+    """
+    v = F.trim(F.coalesce(c, F.lit("")))
+    words = F.regexp_extract_all(F.lower(v), F.lit("[a-z]+"), F.lit(0))
+    known = F.array(*[F.lit(w) for w in ENGLISH_TERMS.split()])
+    plain = F.when(v.rlike("[A-Za-z]"), F.arrays_overlap(words, known)).otherwise(v.rlike(r"\d"))
+    found = F.when(v.rlike(r"[ა-ჿ]"), "ka").when(v.rlike(r"[^\x00-\x7f]"), "unsupported").when(plain, "en").otherwise("unsupported")
+    if declared is None:
+        return found
+    d = F.lower(F.trim(declared))
+    return F.when(d.isNull(), found).when(d.isin("ka", "geo", "kat", "georgian"), "ka").when(d.isin("en", "eng", "english"), "en").otherwise("unsupported")
+
+
 def citation(c: Column) -> Column:
     """struct(kind, value) of the first identifier shape that the text has, else null; article references are none."""
     q = F.coalesce(c, F.lit(""))
@@ -108,22 +132,53 @@ def citation(c: Column) -> Column:
         found("document_number", NUMBER_18),
         found("registration_code", REGISTRATION_15),
         found("document_number", LETTERED),
+        found("case_number", COURT_NUMBER, 1, q.rlike(COURT_WORDS)),
         found("document_number", ACT_NUMBER, 1, q.rlike(ACT_WORDS) & article(ACT_NUMBER)),
         found("case_number", CASE_NUMBER, 0, q.rlike(CASE_WORDS) & article(CASE_NUMBER)),
         found("case_number", LATIN_CASE, 0, q.rlike(LATIN_CASE_WORDS)),
     )
 
 
-def article_references(c: Column, limit: int = 4) -> Column:
-    """Distinct article numbers in text order."""
-    all_ = F.transform(F.regexp_extract_all(c, F.lit(r"(?i)(?:მუხლი|\barticle)[ \t]+\d+"), F.lit(0)), lambda x: F.regexp_extract(x, r"\d+", 0))
-    return F.slice(F.array_distinct(all_), 1, limit)
+def citation_forms(value: Column) -> Column:
+    """The forms under which a cited number may be stored: as it is, and with either prefix where it has none."""
+    forms = F.array(value, F.concat(F.lit("N"), value), F.concat(F.lit("№"), value))
+    return F.when(value.rlike("^[N№]"), F.array(value)).when(value.isNotNull(), forms)
+
+
+def article_references(c: Column, limit: int = 4, own: Column | None = None) -> Column:
+    """Distinct article numbers in text order, without the text's ``own``."""
+    all_ = F.array_distinct(F.regexp_extract_all(c, F.lit(ARTICLE), F.lit(1)))
+    return F.slice(all_ if own is None else F.filter(all_, lambda x: ~x.eqNullSafe(own)), 1, limit)
+
+
+def intent_of(c: Column, as_of: Column | None = None) -> Column:
+    """Of a question: cases_applying, case_number, article, citation, historical (also where a date is asked for), current or general, the first that applies."""
+    k = citation(c)
+    past = c.rlike(OLD) if as_of is None else c.rlike(OLD) | as_of.isNotNull()
+    return (
+        F.when(c.rlike(CASES_APPLYING), "cases_applying").when(k["kind"] == "case_number", "case_number").when(c.rlike(ARTICLE), "article")
+        .when(k.isNotNull(), "citation").when(past, "historical").when(c.rlike(NOW), "current").otherwise("general")
+    )
+
 
+def query_plan(c: Column, declared: Column | None = None, as_of: Column | None = None) -> Column:
+    """struct(language, intent, kind, value, article, translate): how a question is to be retrieved.
 
-def intent_of(c: Column) -> Column:
-    """Of a question: case_number, article, citation, historical, current or general, the first that applies."""
+    A question that is an identifier alone needs no language. In an unsupported language the intent is general and nothing is translated.
+    English text that is more than an identifier is translated.
+    """
     k = citation(c)
-    return F.when(k["kind"] == "case_number", "case_number").when(c.rlike(ARTICLE), "article").when(k.isNotNull(), "citation").when(c.rlike(OLD), "historical").when(c.rlike(NOW), "current").otherwise("general")
+    rest = F.replace(c, F.coalesce(k["value"], F.lit("\0")), F.lit(""))
+    bare = k.isNotNull() & ~rest.rlike("[A-Za-zა-ჿ]")
+    lang = supported_language(c, declared)
+    if declared is None:
+        lang = F.when(bare & (lang == "unsupported"), "en").otherwise(lang)
+    ok = lang != "unsupported"
+    article = F.nullif(F.regexp_extract(c, ARTICLE, 1), F.lit(""))
+    return F.struct(
+        lang.alias("language"), F.when(ok, intent_of(c, as_of)).otherwise("general").alias("intent"), k["kind"].alias("kind"), k["value"].alias("value"), article.alias("article"),
+        ((lang == "en") & ~bare & c.rlike("[A-Za-z]")).alias("translate"),
+    )
 
 
 def date_windows(start: Column, end: Column, unit: str = "month") -> Column:

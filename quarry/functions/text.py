@@ -21,8 +21,20 @@ def blank_to_null(c: Column) -> Column:
     return F.nullif(F.trim(c), F.lit(""))
 
 
+#: Code points that fold to something else than their lower case, by rule; ß, the only frequent one, apart.
+FOLDED = {a: b for a, b in ((chr(i).lower(), chr(i).casefold()) for i in range(0x110000) if not 0xD800 <= i < 0xE000) if a != b and a != "ß"}
+_SINGLE = {a: b for a, b in FOLDED.items() if len(a) == len(b) == 1}
+_LONGER = {a: b for a, b in FOLDED.items() if len(a) == 1 < len(b)}
+
+
 def casefold(c: Column) -> Column:
-    return F.replace(F.lower(c), F.lit("ß"), F.lit("ss"))
+    """Full case folding. Text without the rare letters of ``FOLDED`` takes the short way: lower case and ß as ss."""
+    short = F.replace(F.lower(c), F.lit("ß"), F.lit("ss"))
+    rare = "[" + "".join(_SINGLE) + "".join(_LONGER) + "]"
+    full = F.translate(short, "".join(_SINGLE), "".join(_SINGLE.values()))
+    table = F.create_map(*[F.lit(x) for kv in _LONGER.items() for x in kv])
+    full = F.array_join(F.transform(F.split(full, ""), lambda x: F.coalesce(F.try_element_at(table, x), x)), "")
+    return F.when(short.rlike(rare), full).otherwise(short)
 
 
 def tokens(c: Column) -> Column:

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarry.functions import masking as M
+from quarry.functions import parse as P
 from quarry.functions import records as R
+from quarry.functions import text as T
 from quarry.plans.base import Plans
 from quarry.session import table
 
@@ -147,3 +149,37 @@ def masked_tokens(s, d):
     text = F.concat(F.lit("On "), day, F.lit(" the Civil Code, article "), F.col("o_custkey").cast("string"), F.lit(".1, and № "), F.col("o_orderkey").cast("string"), F.lit("/x of \""), F.col("o_orderpriority"), F.lit("\" by John Smith."))
     o = table(s, d, "orders").select("o_orderkey", text.alias("t")).withColumn("m", M.masked(F.col("t")))
     return o.select("o_orderkey", F.col("m.text").alias("masked"), F.array_join("m.kept", "|").alias("kept"), M.unmasked(F.col("m.text"), F.col("m.kept")).eqNullSafe(F.col("t")).alias("back"))
+
+
+PLANS = """CASE doc_id % 10 WHEN 0 THEN concat('constitutional complaint №', lpad({i}, 5, '1')) WHEN 1 THEN concat('la ley ', {i}) WHEN 2 THEN concat('AR1', lpad({i}, 6, '0')) WHEN 3 THEN concat('cases applying article ', {i}, '.2')
+  WHEN 4 THEN concat('მუხლი ', {i}) WHEN 5 THEN 'what was in force' WHEN 6 THEN 'is it currently legal' WHEN 7 THEN '¿qué?' WHEN 8 THEN 'how does a court decide' ELSE concat('ბრძანება N', {i}, '/x') END"""
+
+
+@plans.add("query_plans", """
+SELECT doc_id, CASE k WHEN 4 THEN 'ka' WHEN 9 THEN 'ka' WHEN 1 THEN 'unsupported' WHEN 7 THEN 'unsupported' ELSE 'en' END AS language,
+  CASE k WHEN 0 THEN 'case_number' WHEN 2 THEN 'citation' WHEN 3 THEN 'cases_applying' WHEN 4 THEN 'article' WHEN 5 THEN 'historical' WHEN 6 THEN CASE WHEN doc_id % 3 = 0 THEN 'historical' ELSE 'current' END WHEN 8 THEN CASE WHEN doc_id % 3 = 0 THEN 'historical' ELSE 'general' END WHEN 9 THEN 'citation' ELSE 'general' END AS intent,
+  CASE k WHEN 0 THEN 'case_number' WHEN 2 THEN 'document_number' WHEN 9 THEN 'document_number' END AS kind, CASE k WHEN 0 THEN lpad(doc_id::VARCHAR, 5, '1') WHEN 2 THEN 'AR1' || lpad(doc_id::VARCHAR, 6, '0') WHEN 9 THEN doc_id || '/x' END AS value,
+  CASE k WHEN 3 THEN doc_id || '.2' WHEN 4 THEN doc_id::VARCHAR END AS article, k IN (0, 3, 5, 6, 8) AS translate,
+  CASE k WHEN 0 THEN lpad(doc_id::VARCHAR, 5, '1') || ',N' || lpad(doc_id::VARCHAR, 5, '1') || ',№' || lpad(doc_id::VARCHAR, 5, '1') WHEN 2 THEN 'AR1' || lpad(doc_id::VARCHAR, 6, '0') || ',NAR1' || lpad(doc_id::VARCHAR, 6, '0') || ',№AR1' || lpad(doc_id::VARCHAR, 6, '0') WHEN 9 THEN doc_id || '/x,N' || doc_id || '/x,№' || doc_id || '/x' END AS forms
+FROM (SELECT doc_id, doc_id % 10 AS k FROM documents)""")
+def query_plans(s, d):
+    as_of = F.when(F.col("doc_id") % 3 == 0, F.lit("2020-01-01").cast("date"))
+    q = table(s, d, "documents").select("doc_id", F.expr(PLANS.format(i="cast(doc_id AS string)")).alias("q")).withColumn("p", P.query_plan(F.col("q"), as_of=as_of))
+    return q.select("doc_id", "p.*", F.array_join(P.citation_forms(F.col("p.value")), ",").alias("forms"))
+
+
+@plans.add("declared_languages", """
+SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN 'ka' WHEN 1 THEN 'en' WHEN 2 THEN 'unsupported' WHEN 3 THEN 'en' ELSE 'unsupported' END AS language FROM documents""")
+def declared_languages(s, d):
+    k = F.col("doc_id") % 5
+    declared = F.when(k == 0, " KAT ").when(k == 1, "English").when(k == 2, "fr")
+    text = F.when(k == 4, "hola").otherwise(F.concat(F.lit("the "), F.col("doc_id").cast("string")))
+    return table(s, d, "documents").select("doc_id", P.supported_language(text, declared).alias("language"))
+
+
+@plans.add("case_folds", "SELECT doc_id, 'strasse ' || CASE doc_id % 4 WHEN 0 THEN 'οδοσ' WHEN 1 THEN 'file' WHEN 2 THEN 'i̇zmir' ELSE 'ʼnx' END AS folded, 2 AS words FROM documents")
+def case_folds(s, d):
+    k = F.col("doc_id") % 4
+    text = F.concat(F.lit("STRAßE "), F.when(k == 0, "ΟΔΟΣ").when(k == 1, "ﬁLE").when(k == 2, "İzmir").otherwise("ŉX"))
+    folded = T.casefold(text)
+    return table(s, d, "documents").select("doc_id", folded.alias("folded"), F.size(F.split(folded, " ")).alias("words"))
