@@ -151,7 +151,7 @@ def masked_tokens(s, d):
     return o.select("o_orderkey", F.col("m.text").alias("masked"), F.array_join("m.kept", "|").alias("kept"), M.unmasked(F.col("m.text"), F.col("m.kept")).eqNullSafe(F.col("t")).alias("back"))
 
 
-PLANS = """CASE doc_id % 10 WHEN 0 THEN concat('constitutional complaint №', lpad({i}, 5, '1')) WHEN 1 THEN concat('la ley ', {i}) WHEN 2 THEN concat('AR1', lpad({i}, 6, '0')) WHEN 3 THEN concat('cases applying article ', {i}, '.2')
+PLANS = """CASE doc_id % 10 WHEN 0 THEN concat('constitutional complaint N', lpad({i}, 5, '1')) WHEN 1 THEN concat('la ley ', {i}) WHEN 2 THEN concat('AR1', lpad({i}, 6, '0')) WHEN 3 THEN concat('cases applying article ', {i}, '.2')
   WHEN 4 THEN concat('მუხლი ', {i}) WHEN 5 THEN 'what was in force' WHEN 6 THEN 'is it currently legal' WHEN 7 THEN '¿qué?' WHEN 8 THEN 'how does a court decide' ELSE concat('ბრძანება N', {i}, '/x') END"""
 
 
