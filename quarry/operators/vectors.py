@@ -9,6 +9,8 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.session import materialize
+
 
 def dot(a, b):
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
@@ -51,18 +53,33 @@ def crosstab(rows: DataFrame, row: str, column: str) -> DataFrame:
     return c.join(t, c[row].eqNullSafe(t["__r"])).select(row, column, "n", F.round(F.col("n") / F.col("t"), 6).alias("share"))
 
 
+def _features(vectors: DataFrame) -> DataFrame:
+    return vectors.select("vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
+
+
 def principal_components(vectors: DataFrame, k: int = 3) -> DataFrame:
     """(vec_id, components): projections on the first k principal components."""
-    v = vectors.select("vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
+    v = _features(vectors)
     return PCA(k=k, inputCol="features", outputCol="p").fit(v).transform(v).select("vec_id", vector_to_array("p").alias("components"))
 
 
+def explained_variance(vectors: DataFrame, k: int = 50) -> DataFrame:
+    """(component, share, running): the share of the variance that each of the first k components explains, and the sum so far."""
+    model = PCA(k=k, inputCol="features", outputCol="p").fit(_features(vectors))
+    share = [float(x) for x in model.explainedVariance]  # k numbers
+    rows = [(i, round(x, 6), round(sum(share[: i + 1]), 6)) for i, x in enumerate(share)]
+    return vectors.sparkSession.createDataFrame(rows, "component int, share double, running double")
+
+
 def kmeans(vectors: DataFrame, ks: list[int], seed: int = 7) -> DataFrame:
-    """(k, silhouette, cost) for each number of clusters."""
-    v = vectors.select(array_to_vector(F.col("embedding").cast("array<double>")).alias("features")).cache()
+    """(k, silhouette, cost, chosen) for each number of clusters; chosen is the one of the greatest silhouette, the least k among equals.
+
+    The features are written once and read by every fit.
+    """
+    v = materialize(_features(vectors).withColumn("features", vector_to_array("features")), "features").select(array_to_vector("features").alias("features"))
     rows = []
     for k in ks:
         m = KMeans(k=k, seed=seed, maxIter=10).fit(v)
         rows.append((k, float(ClusteringEvaluator().evaluate(m.transform(v))), float(m.summary.trainingCost)))
-    v.unpersist()
-    return vectors.sparkSession.createDataFrame(rows, "k int, silhouette double, cost double")
+    best = max(rows, key=lambda r: (r[1], -r[0]), default=None)
+    return vectors.sparkSession.createDataFrame([(*r, r is best) for r in rows], "k int, silhouette double, cost double, chosen boolean")

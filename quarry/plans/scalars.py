@@ -136,9 +136,14 @@ def pca(s, d):
     return V.principal_components(table(s, d, "embeddings"))
 
 
+@plans.add("pca_variance")
+def pca_variance(s, d):
+    return V.explained_variance(table(s, d, "embeddings"))
+
+
 @plans.add("kmeans_silhouette")
 def kmeans_silhouette(s, d):
-    return V.kmeans(table(s, d, "embeddings"), [4, 8, 10])
+    return V.kmeans(table(s, d, "embeddings"), list(range(4, 13)))
 
 
 @plans.add("term_stats", r"WITH t AS (SELECT doc_id, unnest(regexp_extract_all(replace(lower(text), 'ß', 'ss'), '[\p{L}\p{N}_]+')) AS term FROM documents), n AS (SELECT count(*) AS docs FROM documents), g AS (SELECT term, count(DISTINCT doc_id) AS df, count(*) AS tf FROM t GROUP BY term) SELECT term, df, tf, round(ln(1 + (docs - df + 0.5) / (df + 0.5)), 6) AS idf FROM g, n")
