@@ -58,4 +58,5 @@ def seen_filter(s, d):
 def seen_upsert(s, d):
     e = table(s, d, "events")
     r = e.select(F.col("user_id").alias("key"), F.when(F.col("event_id") % 3 == 0, "success").otherwise("incomplete").alias("outcome"), F.col("event_id").alias("last_success"), F.sha2("event_type", 256).alias("content_hash"), F.col("event_id").alias("at"))
-    return S.merge_seen(r.where("at % 2 = 0"), r.where("at % 2 = 1"))
+    known = S.merge_seen(r.limit(0), r.where("at % 2 = 0"))
+    return S.merge_seen(known, r.where("at % 2 = 1"))

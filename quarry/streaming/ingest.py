@@ -159,10 +159,13 @@ def unseen(rows: DataFrame, seen: DataFrame, key: list[str]) -> DataFrame:
 
 
 def merge_seen(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Upsert of (key, outcome, last_success, content_hash, at): the newest outcome; an incomplete one keeps the earlier success and hash."""
-    all_ = old.unionByName(new)
-    ok = F.col("outcome") == "success"
-    return all_.groupBy("key").agg(F.max_by("outcome", "at").alias("outcome"), F.max(F.when(ok, F.col("last_success"))).alias("last_success"), F.max_by(F.when(ok, F.col("content_hash")), F.when(ok, F.col("at"))).alias("content_hash"), F.max("at").alias("at"))
+    """Upsert of (key, outcome, last_success, content_hash, at): the newest outcome; an incomplete one keeps the earlier success and hash.
+
+    ``old`` is what earlier merges gave; of ``new`` only successful rows count as a success.
+    """
+    all_ = old.withColumn("__ok", F.lit(True)).unionByName(new.withColumn("__ok", F.col("outcome") == "success"))
+    at, kept = F.when(F.col("__ok"), F.col("last_success")), F.when(F.col("__ok"), F.col("content_hash"))
+    return all_.groupBy("key").agg(F.max_by("outcome", "at").alias("outcome"), F.max(at).alias("last_success"), F.max_by(kept, at).alias("content_hash"), F.max("at").alias("at"))
 
 
 def distinct_stream(stream: DataFrame, key: list[str], time: str, delay: str) -> DataFrame:
