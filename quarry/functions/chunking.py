@@ -54,9 +54,17 @@ def sections(text: str) -> Iterator[tuple[list[str], str | None, int, int]]:
     yield path, article_id, start, at
 
 
+def halved(text: str, start: int, end: int, cost: Callable[[str], int], budget: int) -> list[tuple[int, int]]:
+    """A word as it is, or its parts after as many halvings as each needs to be within the budget."""
+    if end - start < 2 or cost(text[start:end]) <= budget:
+        return [(start, end)]
+    middle = (start + end) // 2
+    return halved(text, start, middle, cost, budget) + halved(text, middle, end, cost, budget)
+
+
 def chunk_spans(text: str, start: int, end: int, cost: Callable[[str], int], budget: int, overlap: int, least: int) -> list[tuple[int, int, int]]:
     """(start, end, tokens) of the chunks of one section."""
-    words = [(m.start(), m.end()) for m in re.compile(r"\S+").finditer(text, start, end)]
+    words = [w for m in re.compile(r"\S+").finditer(text, start, end) for w in halved(text, m.start(), m.end(), cost, budget)]
     if not words:
         return []
     total = [0, *accumulate(max(1, cost(text[a:b])) for a, b in words)]
@@ -103,8 +111,8 @@ def chunks(text: str | None, budget: int = MAX_TOKENS, overlap: int = OVERLAP, l
     return out
 
 
-def chunk_documents(docs: DataFrame, budget: int = MAX_TOKENS, overlap: int = OVERLAP, least: int = MIN_TOKENS) -> DataFrame:
-    """(doc_id, chunk...) of every document: a map over Arrow batches without a shuffle."""
+def chunk_documents(docs: DataFrame, budget: int = MAX_TOKENS, overlap: int = OVERLAP, least: int = MIN_TOKENS, cost: Callable[[str], int] = lambda w: 1) -> DataFrame:
+    """(doc_id, chunk...) of every document: a map over Arrow batches without a shuffle. ``cost`` counts the tokens of a word (by default one)."""
     kind = dict(docs.dtypes)["doc_id"]
     names = ["chunk_index", "heading_path", "article_id", "char_start", "char_end", "token_count", "text", "passage_hash"]
     types = [pa.int32(), pa.list_(pa.string()), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.string()]
@@ -113,7 +121,7 @@ def chunk_documents(docs: DataFrame, budget: int = MAX_TOKENS, overlap: int = OV
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
-                rows = [(i, r) for i, t in enumerate(part.column(1).to_pylist()) for r in chunks(t, budget, overlap, least)]
+                rows = [(i, r) for i, t in enumerate(part.column(1).to_pylist()) for r in chunks(t, budget, overlap, least, cost)]
                 who = part.column(0).take(pa.array([i for i, _ in rows], pa.int64()))
                 yield pa.RecordBatch.from_arrays([who, *(pa.array([r[k] for _, r in rows], t) for k, t in enumerate(types))], ["doc_id", *names])
 

@@ -101,3 +101,23 @@ def page_faults(s, d):
         .when(k == 2, F.concat(F.lit('<table id="HEADER:1;_Content"><tr><td>'), i, F.lit("</td></tr></table><p>x<sup>2</sup> <b>b</b><script>no()</script>")))
     )
     return p.select("page_id", page_of(html, F.lit("")).alias("m")).select("page_id", "m.*")
+
+
+@plans.add("chunk_budgets", """
+WITH w AS (SELECT doc_id, (doc_id % 57 + 1)::INT AS n FROM documents), c AS (SELECT doc_id, n, i, n // 10 AS full_, n % 10 AS rest FROM w, unnest(range(0, 6)) AS x(i) WHERE i < n // 10 OR (i = n // 10 AND n % 10 > 0)),
+p AS (SELECT doc_id, i, CASE WHEN i < full_ THEN i * 10 + 1 WHEN full_ = 0 THEN 1 ELSE full_ * 10 - least(2, 10 - rest) + 1 END AS a, CASE WHEN i < full_ THEN i * 10 + 10 ELSE n END AS z FROM c)
+SELECT doc_id, i::INT AS chunk_index, z - a + 1 AS token_count, array_to_string(list_transform(range(a, z + 1), lambda k: 'w' || k), ' ') AS text FROM p""")
+def chunk_budgets(s, d):
+    """Bodies of numbered words in chunks of ten with an overlap of two: every boundary is known."""
+    words = F.transform(F.sequence(F.lit(1), (F.col("doc_id") % 57 + 1).cast("int")), lambda k: F.concat(F.lit("w"), k.cast("string")))
+    docs = table(s, d, "documents").select("doc_id", F.array_join(words, " ").alias("text"))
+    return chunk_documents(docs, 10, 2, 3).select("doc_id", "chunk_index", "token_count", "text")
+
+
+@plans.add("chunk_long_words", """
+SELECT doc_id, i::INT AS chunk_index, repeat('x', CASE WHEN n <= 8 THEN n WHEN i = 0 THEN n // 2 ELSE n - n // 2 END) AS text
+FROM (SELECT doc_id, (doc_id % 16 + 1)::INT AS n, unnest([0, 1]) AS i FROM documents) WHERE i = 0 OR n > 8""")
+def chunk_long_words(s, d):
+    """One long word a body, counted by its letters: more than the budget of eight is halved."""
+    docs = table(s, d, "documents").select("doc_id", F.repeat(F.lit("x"), (F.col("doc_id") % 16 + 1).cast("int")).alias("text"))
+    return chunk_documents(docs, 8, 0, 0, cost=len).select("doc_id", "chunk_index", "text")

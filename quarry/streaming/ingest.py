@@ -8,6 +8,7 @@ the batch that is tried again writes it anew.
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from collections.abc import Callable
 
@@ -148,6 +149,24 @@ class Ingest:
         return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
+def keep_watching(start: Callable[[], object], stop: Callable[[], bool], wait: Callable[[float], None] = time.sleep, pause: float = 5.0, most: float = 60.0) -> int:
+    """Drain again and again until ``stop``: ``start`` begins a query that ends by itself. After a failure the pause doubles, up to ``most``; a success resets it.
+
+    Returns the number of failures. A batch that failed is taken up again from the checkpoint.
+    """
+    failures, now = 0, pause
+    while not stop():
+        try:
+            start().awaitTermination()
+            now = pause
+        except Exception:  # noqa: BLE001  whatever a source or sink throws is tried again later
+            failures += 1
+            now = min(most, 2 * now)
+        if not stop():
+            wait(now)
+    return failures
+
+
 def file_stream(spark: SparkSession, path: str, schema: str, fmt: str = "json", files: int = 1) -> DataFrame:
     """A stream over immutable files that land in a folder."""
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).format(fmt).load(path)

@@ -75,6 +75,23 @@ def test_a_crash_at_any_write_leaves_a_batch_that_can_be_repeated(spark, tmp_pat
         assert run(str(tmp_path / f"crash{at}"), at) == want
 
 
+def test_pauses_double_after_failures():
+    waits, runs = [], iter(["no", "no", "ok", "no", "ok"])
+
+    class Query:
+        def awaitTermination(self):
+            if next(runs) == "no":
+                raise OSError("down")
+
+    left = [10]
+
+    def stop():
+        left[0] -= 1
+        return left[0] <= 0 or len(waits) == 5
+
+    assert S.keep_watching(Query, stop, waits.append, pause=5, most=12) == 3 and waits == [10, 12, 5, 10]
+
+
 def test_an_unset_shared_folder_is_refused_on_a_cluster():
     from quarry.session import shared_dir
 
