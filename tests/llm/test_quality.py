@@ -85,3 +85,11 @@ def test_edges(spark):
     kept = keep_good(docs, one)
     assert kept.columns == docs.columns and kept.count() == 4
     assert score_quality(docs.limit(0), one).count() == 0
+
+
+def test_the_sample_bound_is_kept(spark):
+    rows = [(i, "good plain words here" if i % 2 else "$$$ ### 000 !!!", i % 2) for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    m = learn_quality(docs, docs.select("doc_id", "quality"), sample_rows=200)
+    got = {r.doc_id: r.tail_probability for r in score_quality(docs.select("doc_id", "text").limit(20), m).collect()}
+    assert all((p > 0.5) == (i % 2 == 1) for i, p in got.items())

@@ -61,3 +61,9 @@ def test_empty_and_few(spark):
     assert assign_shards(e, ["doc_id"], 8).count() == 0
     few = assign_shards(spark.createDataFrame([(1,), (2,)], "doc_id long"), ["doc_id"], 8).collect()
     assert sorted(r.slot for r in few) == [0, 0] and len({r.shard for r in few}) == 2
+
+
+def test_very_long_keys(spark):
+    rows = [("k" * 200_000 + str(i),) for i in range(30)]
+    out = assign_shards(spark.createDataFrame(rows, "doc_id string"), ["doc_id"], 8).collect()
+    assert sorted(r.doc_id for r in out) == sorted(r[0] for r in rows) and max(Counter(r.shard for r in out).values()) == 4

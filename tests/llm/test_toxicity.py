@@ -79,3 +79,10 @@ def test_edges(spark):
     assert kept.columns == docs.columns and sorted(r.score for r in kept.collect()) == ["a", "b"]
     assert score_toxicity(docs.select("doc_id", "text").limit(0), hard).count() == 0
     assert score_toxicity(docs.select(F.col("doc_id"), "text"), Lexicon({})).count() == 4
+
+
+def test_the_sample_bound_is_kept(spark):
+    rows = [(i, f"you idiot w{i}" if i % 4 == 0 else f"a fine day w{i}", int(i % 4 == 0)) for i in range(1200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    few = learn_lexicon(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"), sample_rows=300)
+    assert few.weight("such an idiot")[0] > 0 == few.weight("a fine day")[0] and few.weights == learn_lexicon(docs.select("doc_id", "text").repartition(7), docs.select("doc_id", "toxic"), sample_rows=300).weights

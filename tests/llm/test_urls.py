@@ -85,3 +85,11 @@ def test_empty(spark):
     df = spark.createDataFrame([], "page_id long, url string, html string")
     assert judge_urls(df, URL_RULES, page_links(df)).count() == 0
     assert judge_urls(df, [], None).select(F.col("verdict")).count() == 0
+
+
+def test_very_long_urls(spark):
+    far = "http://deep.org/" + "a/../" * 30_000 + "end"
+    pages = [(1, "http://bad.com/" + "x" * 300_000, None), (2, "http://a.org/", f'<link rel=canonical href="http://bad.com/{"y" * 100_000}">'), (3, far, "")]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r.page_id: (r.host, len(r.path), r.verdict) for r in judge_urls(df, [Rule("block", "bad.com")], page_links(df)).collect()}
+    assert got == {1: ("bad.com", 300_001, "block"), 2: ("a.org", 1, "block"), 3: ("deep.org", len(far) - 15, "allow")}
