@@ -213,10 +213,26 @@ def versions_as_of(versions: DataFrame, as_of) -> DataFrame:
     return g.select("document_id", F.when(F.col("versions") == 1, F.col("version_id")).alias("version_id"), (F.col("versions") > 1).alias("ambiguous"), F.when(F.col("versions") == 1, F.col("effective_from")).alias("effective_from"))
 
 
-def asof_join(left: DataFrame, right: DataFrame, key: str, time: str, value: str) -> DataFrame:
-    """Each left row with the last right value at or before its time, of the same key: one shuffle, a window, no range join."""
+def asof_join(left: DataFrame, right: DataFrame, key: str, time: str, value: str, parts: int = 64) -> DataFrame:
+    """Each left row with the last right value at or before its time, of the same key; of equal times the greatest value. A null key meets nothing.
+
+    Time is cut at ``parts`` approximate quantiles, so a hot key is many groups and none of them is one task's whole key. Within a group a
+    window finds the last value; a left row before the first value of its group takes the last of the key's earlier
+    groups, which are at most ``parts`` a key.
+    """
     both = left.select(key, time, F.lit(1).alias("__l"), F.lit(None).alias("__v"), F.struct(*left.columns).alias("__r")).unionByName(
-        right.select(key, time, F.lit(0).alias("__l"), F.col(value).alias("__v"), F.lit(None).alias("__r"))
+        right.where(F.col(value).isNotNull()).select(key, time, F.lit(0).alias("__l"), F.col(value).alias("__v"), F.lit(None).alias("__r"))
     )
-    w = Window.partitionBy(key).orderBy(time, "__l").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return both.withColumn("__v", F.last("__v", ignorenulls=True).over(w)).where("__l = 1").select("__r.*", F.col("__v").alias(f"asof_{value}"))
+    edges = right.agg(F.percentile_approx(time, [i / parts for i in range(1, parts)]).alias("e")).first().e or []  # ``parts`` values
+    part = F.lit(0)
+    for i, e in enumerate(sorted(set(edges))):
+        part = F.when(F.col(time) >= F.lit(e).cast(dict(right.dtypes)[time]), i + 1).otherwise(part)
+    both = both.withColumn("__p", part)
+    w = Window.partitionBy(key, "__p").orderBy(time, "__l", "__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    own = both.withColumn("__v", F.last("__v", ignorenulls=True).over(w)).where("__l = 1")
+    ends = both.where("__l = 0").groupBy(F.col(key).alias("__k"), F.col("__p").alias("__q")).agg(F.max(F.struct(time, "__v"))["__v"].alias("__last"))
+    groups = both.select(F.col(key).alias("__k"), F.col("__p").alias("__q")).distinct().join(ends, ["__k", "__q"], "left")
+    before = F.last("__last", ignorenulls=True).over(Window.partitionBy("__k").orderBy("__q").rowsBetween(Window.unboundedPreceding, -1))
+    groups = groups.select("__k", "__q", before.alias("__before")).where("__before is not null")
+    j = own.join(groups, (F.col(key) == F.col("__k")) & (F.col("__p") == F.col("__q")), "left")
+    return j.select("__r.*", F.when(F.col(key).isNotNull(), F.coalesce("__v", "__before")).alias(f"asof_{value}"))
