@@ -21,20 +21,24 @@ def blank_to_null(c: Column) -> Column:
     return F.nullif(F.trim(c), F.lit(""))
 
 
-#: Code points that fold to something else than their lower case, by rule; ß, the only frequent one, apart.
-FOLDED = {a: b for a, b in ((chr(i).lower(), chr(i).casefold()) for i in range(0x110000) if not 0xD800 <= i < 0xE000) if a != b and a != "ß"}
-_SINGLE = {a: b for a, b in FOLDED.items() if len(a) == len(b) == 1}
-_LONGER = {a: b for a, b in FOLDED.items() if len(a) == 1 < len(b)}
+#: Ranges that hold every code point, but for ß, whose full folding is not its lower case.
+RARE = r"[\u00b5\u0149\u017f\u01f0\u0345\u0390\u03b0-\u03d6\u03f0-\u03f5\u0587\u13f8-\u13fd\u1c80-\u1c88\u1e96-\u1e9b\u1f50-\u1f56\u1f80-\u1ff7\uab70-\uabbf\ufb00-\ufb17]"
+# Cherokee folds to its capitals.
+_SMALL = "".join(map(chr, [*range(0xAB70, 0xABC0), *range(0x13F8, 0x13FE)]))
+_CAPITAL = "".join(map(chr, [*range(0x13A0, 0x13F0), *range(0x13F0, 0x13F6)]))
 
 
 def casefold(c: Column) -> Column:
-    """Full case folding. Text without the rare letters of ``FOLDED`` takes the short way: lower case and ß as ss."""
+    """Full case folding.
+
+    Text within Latin-1 takes the short way: lower case and ß as ss. Text with a letter of ``RARE`` goes to capitals, where letters
+    expand, and back; final sigma and dotless i, which that way changes, are put right.
+    """
     short = F.replace(F.lower(c), F.lit("ß"), F.lit("ss"))
-    rare = "[" + "".join(_SINGLE) + "".join(_LONGER) + "]"
-    full = F.translate(short, "".join(_SINGLE), "".join(_SINGLE.values()))
-    table = F.create_map(*[F.lit(x) for kv in _LONGER.items() for x in kv])
-    full = F.array_join(F.transform(F.split(full, ""), lambda x: F.coalesce(F.try_element_at(table, x), x)), "")
-    return F.when(short.rlike(rare), full).otherwise(short)
+    there = F.lower(F.translate(F.upper(F.translate(short, "ı", "\ue000")), "\ue000", "\ue000"))  # the optimizer drops capitals that go straight back
+    full = F.translate(there, "ς\ue000" + _SMALL, "σı" + _CAPITAL)
+    rare = short.rlike(r"[^\u0000-\u00b4\u00b6-\u00ff]") & short.rlike(RARE)
+    return F.when(rare, full).otherwise(short)
 
 
 def tokens(c: Column) -> Column:

@@ -178,9 +178,12 @@ def of_pool(pool: DataFrame, docs: DataFrame) -> DataFrame:
 def rerank(ranking: DataFrame, queries: DataFrame, docs: DataFrame, k: int, min_score: float = 0.0, scorer: Callable | None = None) -> DataFrame:
     """Rescore a pool and keep the k best at or above ``min_score``. scorer(query text, document text) is a column function; by
     default the Jaccard likeness of the token sets. Only the texts of the pool are moved: it is written and counted, and its ids pick them."""
-    score = scorer or (lambda q, d: jaccard(F.array_distinct(tokens(q)), F.array_distinct(tokens(d))))
     pool = materialize(ranking.select("qid", "doc_id"), "pool")
-    j = pool.join(queries.select("qid", F.col("text").alias("q")), "qid").join(of_pool(pool, docs).select("doc_id", F.col("text").alias("d")), "doc_id")
+    own, texts = queries.select("qid", F.col("text").alias("q")), of_pool(pool, docs).select("doc_id", F.col("text").alias("d"))
+    score = scorer
+    if score is None:  # token sets once a text, not once a pair
+        own, texts, score = (own.withColumn("q", F.array_distinct(tokens(F.col("q")))), texts.withColumn("d", F.array_distinct(tokens(F.col("d")))), jaccard)
+    j = pool.join(own, "qid").join(texts, "doc_id")
     return ranked(j.select("qid", "doc_id", score(F.col("q"), F.col("d")).alias("score")).where(F.col("score") >= min_score), k)
 
 
