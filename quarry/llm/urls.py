@@ -92,9 +92,11 @@ def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
     refresh = F.transform(tags(r"<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>"), lambda t: F.regexp_extract(t, r"(?is)\burl\s*=\s*['\"]?([^\"'\s>]+)", 1))
     said = h.rlike(r"(?i)\bcanonical\b|\bog:url\b|\brefresh\b")
     base = F.regexp_extract(h, r"(?is)<base\b[^>]*\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1)
-    links = pages.where(said).select(u.alias("u"), F.when(base != "", resolved(base, u)).alias("base"), F.explode(F.concat(canonical, og, refresh)).alias("t")).where("t <> ''")
-    to = resolved(F.col("t"), F.coalesce("base", "u"))
-    return links.select(node_of(F.col("u")).alias("a"), node_of(to).alias("b")).where("a is not null and b is not null and a <> b")
+    links = pages.where(said).select(u.alias("u"), base.alias("base"), F.explode(F.concat(canonical, og, refresh)).alias("t")).where("t <> ''")
+    links = materialize(links, "targets")  # few rows: what is computed of them is computed once and compiled small
+    links = links.withColumn("base", F.coalesce(F.when(F.col("base") != "", resolved(F.col("base"), F.col("u"))), F.col("u")))
+    links = links.withColumn("to", resolved(F.col("t"), F.col("base")))
+    return links.select(node_of(F.col("u")).alias("a"), node_of(F.col("to")).alias("b")).where("a is not null and b is not null and a <> b")
 
 
 def judge_urls(pages: DataFrame, rules: list[Rule], edges: DataFrame | None = None, url: str = "url") -> DataFrame:
