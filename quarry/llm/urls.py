@@ -94,6 +94,8 @@ def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
     base = F.regexp_extract(h, r"(?is)<base\b[^>]*\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1)
     links = pages.where(said).select(u.alias("u"), base.alias("base"), F.explode(F.concat(canonical, og, refresh)).alias("t")).where("t <> ''")
     links = materialize(links, "targets")  # few rows: what is computed of them is computed once and compiled small
+    if links.isEmpty():
+        return links.select(F.col("u").alias("a"), F.col("t").alias("b"))
     links = links.withColumn("base", F.coalesce(F.when(F.col("base") != "", resolved(F.col("base"), F.col("u"))), F.col("u")))
     links = links.withColumn("to", resolved(F.col("t"), F.col("base")))
     return links.select(node_of(F.col("u")).alias("a"), node_of(F.col("to")).alias("b")).where("a is not null and b is not null and a <> b")
