@@ -88,4 +88,4 @@ def find_cuts(rows: DataFrame, by: list[str], key: str, weight: str | None, goal
 
 def within_cut(key: Column, tie: Column) -> Column:
     """Whether a row joined to its cut lies within the goal."""
-    return F.coalesce(F.col("everything") | (key < F.col("cut_key")) | ((key == F.col("cut_key")) & (tie <= F.col("cut_tie"))), F.lit(False))
+    return F.coalesce((F.col("everything") & key.isNotNull()) | (key < F.col("cut_key")) | ((key == F.col("cut_key")) & (tie <= F.col("cut_tie"))), F.lit(False))
