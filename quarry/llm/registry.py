@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quarry.llm import chat, decontam, neardup, packing, pitman_yor, quality, sharding, simhash, toxicity, urls
+from quarry.llm import chat, decontam, mixing, neardup, packing, pitman_yor, quality, sharding, simhash, toxicity, urls
 from quarry.session import materialize, table
 
 
@@ -235,5 +235,43 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
-QUERIES = {"op1_decontamination": op1_decontamination, "op2_chat_format": op2_chat_format, "chat_tool_calls": chat_tool_calls, "op3_url_filter": op3_url_filter, "url_aliases": url_aliases, "op4_toxicity": op4_toxicity, "op5_simhash": op5_simhash, "simhash_links": simhash_links, "hamming_links": hamming_links, "op6_language_model": op6_language_model, "op7_near_duplicates": op7_near_duplicates, "op8_quality": op8_quality, "quality_grades": quality_grades, "op9_sharding": op9_sharding, "op10_packing": op10_packing, "pipeline": corpus_pipeline.run}
-ORACLE = {"op1_decontamination": OP1_SQL, "op2_chat_format": OP2_SQL, "chat_tool_calls": CHAT_CALLS_SQL, "op3_url_filter": OP3_SQL, "url_aliases": _alias_sql(), "hamming_links": HAMMING_SQL, "op7_near_duplicates": OP7_SQL}
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of each document a mix takes whose sources weigh 5, 2, 1 in turn and come to 150 % of all words."""
+    docs = table(spark, sf_dir, "documents")
+    out = mixing.mix_sources(docs.select("doc_id", "source", mixing.word_count(F.col("text")).alias("size")))
+    return out.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def mix_preferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same mix, but within a source documents labelled as good are twice as likely: unequal inclusion probabilities."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    good = labels.where("quality = 1").select("doc_id").distinct().withColumn("weight", F.lit(2.0))
+    rows = docs.select("doc_id", "source", mixing.word_count(F.col("text")).alias("size")).join(good, "doc_id", "left").fillna(1.0, ["weight"])
+    out = mixing.mix_sources(rows, weight="weight")
+    return out.select("doc_id", "size", "source_size", "target", "taken")
+
+
+#: The walk takes each document that still fits, in rank order; the operator stops it 1,000 documents after the first that does not.
+MIX_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+')) AS size, {weight} AS w FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size, coalesce(sum(size) FILTER (w = 1), 0)::BIGINT AS s1, coalesce(sum(size) FILTER (w = 2), 0)::BIGINT AS s2 FROM d GROUP BY source),
+c AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place, 2.0::DOUBLE * source_size AS cap FROM s),
+v AS (SELECT *, [5.0::DOUBLE, 2.0, 1.0][place % 3 + 1] AS sw FROM c),
+l AS (SELECT *, (sum(source_size) OVER () * 1.5::DOUBLE - coalesce(sum(cap) OVER (ORDER BY cap / sw, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) / sum(sw) OVER (ORDER BY cap / sw, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM v),
+t AS (SELECT *, least(cap, coalesce((SELECT min(struct_pack(a := cap / sw, b := place, c := level)) FROM l WHERE level * sw <= cap).c * sw, cap)) AS target FROM l),
+f AS (SELECT *, CASE WHEN target <= s1 + 2.0 * s2 THEN coalesce(target / nullif(s1 + 2.0 * s2, 0), 0) WHEN s1 > 0 THEN (target - 2.0 * s2) / s1 ELSE 2 END AS factor FROM t),
+r AS (
+  SELECT doc_id, size, place, source_size, target, floor(least(2.0::DOUBLE, factor * w))::BIGINT AS whole, least(2.0::DOUBLE, factor * w) - floor(least(2.0::DOUBLE, factor * w)) AS p,
+    (('0x' || substr(md5('mix/' || doc_id), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496 AS u
+  FROM d JOIN f ON d.source IS NOT DISTINCT FROM f.source),
+ranked AS (SELECT *, CASE WHEN p > 0 AND size > 0 THEN row_number() OVER (PARTITION BY place, p > 0 AND size > 0 ORDER BY u / (1 - u) * ((1 - p) / p)) END AS k FROM r),
+goals AS (SELECT place, any_value(target) - sum(whole * size) AS goal FROM ranked GROUP BY place),
+walk AS (
+  SELECT place, 0::BIGINT AS k, goal::DOUBLE AS lack, false AS got FROM goals
+  UNION ALL SELECT x.place, x.k, CASE WHEN x.size <= lack THEN lack - x.size ELSE lack END, x.size <= lack FROM walk JOIN ranked x ON x.place = walk.place AND x.k = walk.k + 1)
+SELECT doc_id, size, source_size, target, size * (whole + coalesce(got, false)::BIGINT) AS taken FROM ranked LEFT JOIN walk USING (place, k)
+"""
+
+
+QUERIES = {"op1_decontamination": op1_decontamination, "op2_chat_format": op2_chat_format, "chat_tool_calls": chat_tool_calls, "op3_url_filter": op3_url_filter, "url_aliases": url_aliases, "op4_toxicity": op4_toxicity, "op5_simhash": op5_simhash, "simhash_links": simhash_links, "hamming_links": hamming_links, "op6_language_model": op6_language_model, "op7_near_duplicates": op7_near_duplicates, "op8_quality": op8_quality, "quality_grades": quality_grades, "op9_sharding": op9_sharding, "op10_packing": op10_packing, "op12_mixing": op12_mixing, "mix_preferred": mix_preferred, "pipeline": corpus_pipeline.run}
+ORACLE = {"op1_decontamination": OP1_SQL, "op2_chat_format": OP2_SQL, "chat_tool_calls": CHAT_CALLS_SQL, "op3_url_filter": OP3_SQL, "url_aliases": _alias_sql(), "hamming_links": HAMMING_SQL, "op7_near_duplicates": OP7_SQL, "op12_mixing": MIX_SQL.format(weight="1"), "mix_preferred": MIX_SQL.format(weight="CASE WHEN doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) THEN 2 ELSE 1 END")}
