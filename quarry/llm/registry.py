@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quarry.llm import chat, decontam, mixing, neardup, packing, pitman_yor, quality, sharding, simhash, toxicity, urls
+from quarry.llm import chat, collocations, decontam, mixing, neardup, packing, pitman_yor, quality, sharding, simhash, toxicity, urls, whitening
 from quarry.session import materialize, table
 
 
@@ -235,6 +235,26 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's first 2,000 phrases of 2 to 4 words by the score of their weakest cut."""
+    return collocations.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
+OP11_SQL = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
+-]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS w FROM p),
+n AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
+g AS (SELECT lang, g, count(*) AS f FROM (SELECT lang, w[i:i + k - 1] AS g FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, range(1, 5) AS r(k))) GROUP BY lang, g HAVING count(*) >= 30),
+c AS (SELECT lang, g, f AS a, unnest(range(1, len(g))) AS k FROM g WHERE len(g) > 1),
+s AS (SELECT c.lang, c.g, a, k, x.f AS l, y.f AS r, (2000000::HUGEINT * a // (x.f + y.f))::BIGINT AS score FROM c JOIN g x ON x.lang = c.lang AND x.g = c.g[1:k] JOIN g y ON y.lang = c.lang AND y.g = c.g[k + 1:]),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+i AS (SELECT lang, g[x:x + m - 1] AS g, max(f) AS longer FROM (SELECT lang, g, f, m, unnest(range(1, len(g) - m + 2)) AS x FROM (SELECT lang, g, f, unnest(range(2, len(g))) AS m FROM g WHERE len(g) > 2)) GROUP BY ALL),
+o AS (SELECT b.*, array_to_string(g, ' ') AS phrase FROM b LEFT JOIN i USING (lang, g) WHERE longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM o JOIN n USING (lang) QUALIFY rank <= 2000
+"""
+
+
 def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of each document a mix takes whose sources weigh 5, 2, 1 in turn and come to 150 % of all words."""
     docs = table(spark, sf_dir, "documents")
@@ -253,7 +273,8 @@ def mix_preferred(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: The walk takes each document that still fits, in rank order; the operator stops it 1,000 documents after the first that does not.
 MIX_SQL = r"""
-WITH RECURSIVE d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+')) AS size, {weight} AS w FROM documents),
+WITH RECURSIVE d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+')) AS size, {weight} AS w FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size, coalesce(sum(size) FILTER (w = 1), 0)::BIGINT AS s1, coalesce(sum(size) FILTER (w = 2), 0)::BIGINT AS s2 FROM d GROUP BY source),
 c AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place, 2.0::DOUBLE * source_size AS cap FROM s),
 v AS (SELECT *, [5.0::DOUBLE, 2.0, 1.0][place % 3 + 1] AS sw FROM c),
@@ -272,6 +293,10 @@ walk AS (
 SELECT doc_id, size, source_size, target, size * (whole + coalesce(got, false)::BIGINT) AS taken FROM ranked LEFT JOIN walk USING (place, k)
 """
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings along the 16 leading components of the distinct vectors' covariance, each with unit variance."""
+    return whitening.whiten_embeddings(table(spark, sf_dir, "embeddings")).drop("residual")
+
 
-QUERIES = {"op1_decontamination": op1_decontamination, "op2_chat_format": op2_chat_format, "chat_tool_calls": chat_tool_calls, "op3_url_filter": op3_url_filter, "url_aliases": url_aliases, "op4_toxicity": op4_toxicity, "op5_simhash": op5_simhash, "simhash_links": simhash_links, "hamming_links": hamming_links, "op6_language_model": op6_language_model, "op7_near_duplicates": op7_near_duplicates, "op8_quality": op8_quality, "quality_grades": quality_grades, "op9_sharding": op9_sharding, "op10_packing": op10_packing, "op12_mixing": op12_mixing, "mix_preferred": mix_preferred, "pipeline": corpus_pipeline.run}
-ORACLE = {"op1_decontamination": OP1_SQL, "op2_chat_format": OP2_SQL, "chat_tool_calls": CHAT_CALLS_SQL, "op3_url_filter": OP3_SQL, "url_aliases": _alias_sql(), "hamming_links": HAMMING_SQL, "op7_near_duplicates": OP7_SQL, "op12_mixing": MIX_SQL.format(weight="1"), "mix_preferred": MIX_SQL.format(weight="CASE WHEN doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) THEN 2 ELSE 1 END")}
+QUERIES = {"op1_decontamination": op1_decontamination, "op2_chat_format": op2_chat_format, "chat_tool_calls": chat_tool_calls, "op3_url_filter": op3_url_filter, "url_aliases": url_aliases, "op4_toxicity": op4_toxicity, "op5_simhash": op5_simhash, "simhash_links": simhash_links, "hamming_links": hamming_links, "op6_language_model": op6_language_model, "op7_near_duplicates": op7_near_duplicates, "op8_quality": op8_quality, "quality_grades": quality_grades, "op9_sharding": op9_sharding, "op10_packing": op10_packing, "op11_collocations": op11_collocations, "op12_mixing": op12_mixing, "mix_preferred": mix_preferred, "op13_whitening": op13_whitening, "pipeline": corpus_pipeline.run}
+ORACLE = {"op1_decontamination": OP1_SQL, "op2_chat_format": OP2_SQL, "chat_tool_calls": CHAT_CALLS_SQL, "op3_url_filter": OP3_SQL, "url_aliases": _alias_sql(), "hamming_links": HAMMING_SQL, "op7_near_duplicates": OP7_SQL, "op11_collocations": OP11_SQL, "op12_mixing": MIX_SQL.format(weight="1"), "mix_preferred": MIX_SQL.format(weight="CASE WHEN doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) THEN 2 ELSE 1 END")}
