@@ -14,7 +14,7 @@ DECISION_WORD = "გადაწყვეტილება"
 REQUEST_LABEL = "მოთხოვნის ტექსტი"
 SCALE = 10_000  # basis points
 SNIPPET = 700
-ALIASES = 20_000  # entries of an alias table, at most: it becomes a constant of the plan
+WINDOW = 1_000  # positions of a text that are looked at together
 COVERAGE = 0.6
 # Words of a reference that belong to no title.
 SCAFFOLD = (
@@ -179,22 +179,26 @@ def normal_alias(c: Column) -> Column:
 
 
 def match_alias(queries: DataFrame, aliases: DataFrame, coverage: float = COVERAGE) -> DataFrame:
-    """``queries`` with ``alias`` and ``target`` of the longest alias that the text holds; null where it covers too little of it.
+    """``queries`` with ``alias`` and ``target`` of the longest alias that the text holds (of equally long ones the first); null where it covers too little of it.
 
-    ``aliases``: alias, target. It is a small dimension, checked against ``ALIASES`` rows, and becomes a constant that each row is
-    compared with, so no pairs of rows are made. Scaffolding words of references count as covered.
+    ``aliases``: alias, target, any number of them. An alias is known by its first 2^k characters, at least half of it; the windows
+    of that length at each position of the distinct texts are joined with these, and what meets is compared in full. So a text
+    meets aliases that it may hold, not all of them. Scaffolding words of references count as covered. Null and empty texts hold none.
     """
-    rows = aliases.select(normal_alias(F.col("alias")).alias("a"), F.col("target").cast("string").alias("t")).where("a <> ''").groupBy("a").agg(F.min("t").alias("t"))
-    known = rows.limit(ALIASES + 1).collect()
-    if len(known) > ALIASES:
-        raise ValueError(f"more than {ALIASES} aliases")
-    known.sort(key=lambda r: (-len(r.a), r.a))
-    if not known:
-        return queries.withColumn("alias", F.lit(None).cast("string")).withColumn("target", F.lit(None).cast("string"))
-    table = queries.sparkSession.createDataFrame([([(r.a, r.t) for r in known],)], "known array<struct<a:string,t:string>>")
+    anchor = F.when(F.length("a") > 0, F.pow(F.lit(2.0), F.floor(F.log2(F.length("a").cast("double") + 0.5))).cast("int"))
+    rows = aliases.select(normal_alias(F.col("alias")).alias("a"), F.col("target").cast("string").alias("t")).where("a <> ''").groupBy("a").agg(F.min("t").alias("t")).withColumn("n", anchor).withColumn("head", F.expr("substring(a, 1, n)"))
+    sizes = [r[0] for r in rows.select("n").distinct().orderBy("n").collect()]  # powers of two: 31 at most
     q = normal_alias(F.col("text"))
-    out = queries.join(F.broadcast(table))  # one row
-    out = out.withColumn("__best", F.try_element_at(F.filter("known", lambda k: F.contains(q, k["a"])), F.lit(1))).drop("known")
+    if not sizes:
+        return queries.withColumn("alias", F.lit(None).cast("string")).withColumn("target", F.lit(None).cast("string"))
+    most = rows.agg(F.max(F.length("a"))).first()[0]
+    texts = queries.select(q.alias("q")).where("q <> ''").distinct().withColumn("k", F.sha2("q", 256))
+    parts = texts.select("k", F.explode(F.sequence(F.lit(1), F.length("q"), F.lit(WINDOW))).alias("from"), "q").select("k", F.substring("q", F.col("from"), F.lit(WINDOW + most)).alias("part"))
+    windows = F.expr(f"filter(flatten(transform(array({', '.join(map(str, sizes))}), n -> transform(sequence(1, {WINDOW}), i -> struct(i, substring(part, i, n) as head)))), x -> x.head <> '')")
+    met = parts.select("k", "part", F.explode(windows).alias("x")).select("k", "x.head", F.expr(f"substring(part, x.i, {most})").alias("here"))
+    held = met.join(rows.select("a", "t", "head"), "head").where(F.startswith(F.col("here"), F.col("a")))
+    best = held.groupBy("k").agg(F.min_by(F.struct("a", "t"), F.struct(-F.length("a"), "a")).alias("__best")).withColumnRenamed("k", "__k")
+    out = queries.join(best, F.sha2(q, 256) == F.col("__k"), "left").drop("__k")
     a = F.col("__best.a")
     rest = F.replace(q, a, F.lit(""))
     scaffold = F.aggregate(F.regexp_extract_all(rest, F.lit(f"({SCAFFOLD})"), F.lit(1)), F.lit(0), lambda n, x: n + F.length(x))

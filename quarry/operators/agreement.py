@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.text import damage, tokens
+from quarry.operators.setjoin import set_join
+from quarry.sinks.files import NameTaken
 from quarry.streaming.ingest import Pointers, merge_seen
 
-
 DEPTH = 12
 
 
@@ -35,14 +38,9 @@ def verdicts(tests: DataFrame, alpha: float = 0.05) -> DataFrame:
 
 
 def near_pool(batch: DataFrame, pool: DataFrame, threshold: float) -> DataFrame:
-    """(qid, pool_id, likeness): questions of a batch whose token sets are alike by more than ``threshold`` to one of an earlier pool (both qid, text).
-
-    Pairs come from shared tokens, so nothing else is compared.
-    """
-    sets = lambda d, i: d.select(F.col("qid").alias(i), F.array_distinct(tokens(F.col("text"))).alias("s")).select(i, F.size("s").alias(f"n_{i}"), F.explode("s").alias("term"))
-    c = sets(batch, "qid").join(sets(pool, "pool_id"), "term").groupBy("qid", "pool_id", "n_qid", "n_pool_id").agg(F.count("*").alias("c"))
-    like = F.col("c") / (F.col("n_qid") + F.col("n_pool_id") - F.col("c"))
-    return c.where(like > threshold).select("qid", "pool_id", F.round(like, 6).alias("likeness"))
+    """(qid, pool_id, likeness): questions of a batch whose token sets are alike by more than ``threshold`` to one of an earlier pool (both qid, text); see ``set_join``."""
+    sets = [d.select(F.col("qid").alias("id"), F.array_distinct(tokens(F.col("text"))).alias("s")) for d in (batch, pool)]
+    return set_join(*sets, threshold).select(F.col("a").alias("qid"), F.col("b").alias("pool_id"), F.round("likeness", 6).alias("likeness"))
 
 
 def paraphrase_lint(pairs: DataFrame, most: float = 0.5) -> DataFrame:
@@ -112,18 +110,25 @@ class SeenStore:
 
     def read(self) -> DataFrame:
         p = self.pointers.current()
-        return self.spark.read.schema(self.SCHEMA).parquet(f"{self.root}/v{p['batch']}") if p["batch"] >= 0 else self.spark.createDataFrame([], self.SCHEMA)
+        return self.spark.read.schema(self.SCHEMA).parquet(f"{self.root}/{p['folder']}") if p["batch"] >= 0 else self.spark.createDataFrame([], self.SCHEMA)
 
     def stage(self, run: str, rows: DataFrame) -> None:
         rows.write.mode("overwrite").parquet(f"{self.root}/staged/{run}")
 
-    def commit(self, run: str) -> None:
-        p = self.pointers.current()
-        if run in p.get("runs", []):
-            return
-        rows = self.spark.read.schema(self.SCHEMA).parquet(f"{self.root}/staged/{run}")
-        merge_seen(self.read(), rows).write.mode("overwrite").parquet(f"{self.root}/v{p['batch'] + 1}")
-        self.pointers.put(p["batch"] + 1, {"runs": p.get("runs", []) + [run]})
+    def commit(self, run: str, tries: int = 5) -> None:
+        """Merge a staged run. A run committed by another writer meanwhile stays: the merge is made again on top of it, ``tries`` times at most."""
+        for left in reversed(range(tries)):
+            p = self.pointers.current()
+            if run in p.get("runs", []):
+                return
+            rows = self.spark.read.schema(self.SCHEMA).parquet(f"{self.root}/staged/{run}")
+            folder = f"v{p['batch'] + 1}-{uuid.uuid4().hex}"
+            merge_seen(self.read(), rows).write.parquet(f"{self.root}/{folder}")
+            try:
+                return self.pointers.put(p["batch"] + 1, {"runs": p.get("runs", []) + [run], "folder": folder})
+            except NameTaken:
+                if not left:
+                    raise
 
     def rollback(self, run: str) -> None:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/staged/{run}")

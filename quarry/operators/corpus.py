@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from fractions import Fraction
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -187,13 +188,18 @@ def latest_per_key(rows: DataFrame, keys: list[str], order: list[str]) -> DataFr
 
 
 def upsert(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
-    """Idempotent upsert: rows of ``new`` replace those of ``old`` with the same key."""
-    return old.join(new.select(*key), key, "left_anti").unionByName(new)
+    """Idempotent upsert: rows of ``new`` replace those of ``old`` with the same key, null with null. Of repeated new keys the greatest row stays."""
+    last = latest_per_key(new, key, [])
+    named = last.select(*[F.col(k).alias(f"__k_{k}") for k in key])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in key])
+    return old.join(named, same, "left_anti").unionByName(last)
 
 
 def drop_stale_tail(chunks: DataFrame, counts: DataFrame, key: list[str]) -> DataFrame:
-    """Chunks whose index is below their document's new count; documents without a count keep all."""
-    return chunks.join(counts, key, "left").where(F.col("chunk_index") < F.coalesce("chunk_count", F.lit(2**31 - 1))).drop("chunk_count")
+    """Chunks whose index is below their document's new count (the least of several, null keys with null); documents without a count keep all."""
+    c = counts.groupBy(*[F.col(k).alias(f"__k_{k}") for k in key]).agg(F.min("chunk_count").alias("__n"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in key])
+    return chunks.join(c, same, "left").where(F.col("__n").isNull() | (F.col("chunk_index") < F.col("__n"))).select(*chunks.columns)
 
 
 def schema_drift(rows: DataFrame, json: str, baseline: list[str], declared: list[str]) -> DataFrame:

@@ -85,25 +85,39 @@ def sparse(docs: DataFrame | LexicalIndex, queries: DataFrame, k: int) -> DataFr
     return ranked(j.groupBy("qid", "doc_id").agg(F.sum(F.col("qtf") * F.col("tf")).cast("double").alias("score")), k)
 
 
+def unit(v: np.ndarray) -> np.ndarray:
+    """Rows of length 1; rows of zeros, or with a NaN or an infinity, become zeros."""
+    v = np.where(np.isfinite(v).all(axis=1, keepdims=True), v, 0.0)
+    return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-300)
+
+
 def dense(vectors: DataFrame, queries: DataFrame, k: int, block: int = 8_192, digits: int = 5) -> DataFrame:
     """Cosine top-k of (qid, vector) against (doc_id, vector): exact, in blocks of queries.
 
     A block (of fixed size) is broadcast; each task multiplies its batches by it and passes on its own k best a query,
-    so what is shuffled is k rows a query and task, not the product. Vectors of another length or zero norm score 0.
+    so what is shuffled is k rows a query and task, not the product. Null vectors, those of another length, of zero norm or
+    with a null, NaN or infinite entry score 0, as queries do that have one. Rows without an id are left out; k <= 0: none.
     """
-    spark = vectors.sparkSession
+    spark, k, vectors, queries = vectors.sparkSession, max(k, 0), vectors.where("doc_id is not null"), queries.where("qid is not null")
+    if k == 0:
+        return ranked(vectors.sparkSession.createDataFrame([], "qid long, doc_id long, score double"), 0, digits)
     total = queries.count()
     blocks = max(1, -(-total // block))
     out = None
     for i in range(blocks):
         part = queries.where(F.pmod(F.xxhash64("qid"), F.lit(blocks)) == i) if blocks > 1 else queries
         rows = part.collect()  # one block: of fixed size
-        qids = [r.qid for r in rows]
-        q = np.array([r.vector for r in rows], dtype=float).reshape(len(rows), -1)
-        shared = spark.sparkContext.broadcast((np.array(qids, dtype=np.int64), q / np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-300)))
+        qids = np.array([r.qid for r in rows], dtype=np.int64)
+        by_length: dict[int, tuple[list[int], list]] = {}  # queries of one length at a time
+        for at, r in enumerate(rows):
+            if r.vector and None not in r.vector:
+                where = by_length.setdefault(len(r.vector), ([], []))
+                where[0].append(at)
+                where[1].append(r.vector)
+        shared = spark.sparkContext.broadcast((qids, {n: (np.array(w), unit(np.array(v, dtype=float))) for n, (w, v) in by_length.items()}))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            qid, q = shared.value
+            qid, queries_ = shared.value
             held: list[tuple] = []  # places of queries, documents and scores that may be among the best k
             size = 0
 
@@ -117,10 +131,14 @@ def dense(vectors: DataFrame, queries: DataFrame, k: int, block: int = 8_192, di
 
             for b in batches:
                 ids = b.column(0).to_numpy(zero_copy_only=False)
-                v = np.array(b.column(1).to_pylist(), dtype=float).reshape(len(ids), -1)
-                v = v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-300)
+                vectors_ = b.column(1).to_pylist()
+                length = np.array([len(v) if v and None not in v else 0 for v in vectors_])
                 for at in range(0, len(ids), 2048):
-                    s = np.round(q @ v[at : at + 2048].T, digits)
+                    s = np.zeros((len(qid), min(2048, len(ids) - at)))
+                    for m, (where, q) in queries_.items():
+                        fits = np.flatnonzero(length[at : at + 2048] == m)
+                        if len(fits):
+                            s[np.ix_(where, fits)] = np.round(q @ unit(np.array([vectors_[at + i] for i in fits], dtype=float)).T, digits)
                     n = s.shape[1]
                     least = np.partition(s, n - k, axis=1)[:, n - k] if n > k else np.full(len(s), -np.inf)
                     i, j = np.nonzero(s >= least[:, None])  # ties at the least stay until ids decide

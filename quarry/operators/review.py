@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quarry.functions.text import tokens
 from quarry.operators.evaluation import wilson
 from quarry.operators.governance import violations
+from quarry.operators.setjoin import set_join
 
 
 def resolve_citations(refs: DataFrame, docs: DataFrame, limit: int = 3) -> DataFrame:
@@ -88,16 +89,9 @@ def spread_sample(rows: DataFrame, by: str, n: int, seed: str = "seed") -> DataF
 
 
 def similar_questions(questions: DataFrame, threshold: float) -> DataFrame:
-    """(a, b, likeness) of questions (qid, text), a before b, whose token sets are alike by strictly more than ``threshold``.
-
-    Pairs come from shared tokens; tokens that more than half the questions have cannot alone make a pair but still count.
-    """
-    t = questions.select("qid", F.array_distinct(tokens(F.col("text"))).alias("s")).withColumn("n", F.size("s"))
-    e = t.select("qid", "n", F.explode("s").alias("term"))
-    j = e.select(F.col("qid").alias("a"), F.col("n").alias("na"), "term").join(e.select(F.col("qid").alias("b"), F.col("n").alias("nb"), "term"), "term").where("a < b")
-    c = j.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("c"))
-    like = F.col("c") / (F.col("na") + F.col("nb") - F.col("c"))
-    return c.withColumn("likeness", F.round(like, 6)).where(like > threshold).select("a", "b", "likeness")
+    """(a, b, likeness) of questions (qid, text), a before b, whose token sets are alike by strictly more than ``threshold``; see ``set_join``."""
+    t = questions.select(F.col("qid").alias("id"), F.array_distinct(tokens(F.col("text"))).alias("s"))
+    return set_join(t, None, threshold).select("a", "b", F.round("likeness", 6).alias("likeness"))
 
 
 def missing_kinds(rows: DataFrame, key: str, kind: str, required: list[str]) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from quarry.plans.base import Plans
 from quarry.session import shared_dir, table
 from quarry.streaming import ingest as S
+from quarry.streaming.merge import MergeTable
 
 plans = Plans()
 
@@ -60,3 +61,18 @@ def seen_upsert(s, d):
     r = e.select(F.col("user_id").alias("key"), F.when(F.col("event_id") % 3 == 0, "success").otherwise("incomplete").alias("outcome"), F.col("event_id").alias("last_success"), F.sha2("event_type", 256).alias("content_hash"), F.col("event_id").alias("at"))
     known = S.merge_seen(r.limit(0), r.where("at % 2 = 0"))
     return S.merge_seen(known, r.where("at % 2 = 1"))
+
+
+@plans.add("merge_on_read", """
+SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 3 = 0 THEN 'second' ELSE 'first' END AS version FROM lineitem
+WHERE NOT (l_orderkey % 4 = 1 AND l_linenumber > 2) AND NOT (l_orderkey % 7 = 2 AND l_linenumber = 1 AND l_orderkey % 3 <> 0)
+GROUP BY ALL""")
+def merge_on_read(s, d):
+    """Order lines in three batches, one of them repeated: all, then every third order anew with deletes, then cut tails."""
+    lines = table(s, d, "lineitem").select("l_orderkey", "l_linenumber")
+    t = MergeTable(s, f"{shared_dir(s)}/quarry/merge-{uuid.uuid4().hex}", ["l_orderkey", "l_linenumber"], "l_orderkey long, l_linenumber int, version string", tail="l_linenumber")
+    state = t.stage({}, 0, lines.withColumn("version", F.lit("first")))
+    gone = lines.where("l_orderkey % 7 = 2 and l_linenumber = 1 and l_orderkey % 3 <> 0")
+    for _ in range(2):
+        state = t.stage(state, 1, lines.where("l_orderkey % 3 = 0").withColumn("version", F.lit("second")), gone)
+    return t.read(t.stage(state, 2, tails=lines.where("l_orderkey % 4 = 1").select("l_orderkey", F.lit(3).alias("count"))))

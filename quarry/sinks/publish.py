@@ -9,19 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.operators.corpus import profile, split_quarantine
+from quarry.sinks import files
+from quarry.sinks.files import exists
 from quarry.streaming.ingest import Pointers
 
 
-def _path(spark: SparkSession, path: str):
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    p, fs = _path(spark, path)
-    return fs.exists(p)
-
-
 def table_digest(df: DataFrame) -> dict:
     """{rows, digest} in one pass: the digest adds up row hashes, so it depends on the rows (with repeats) and on no order."""
     word = F.conv(F.substring(F.sha2(F.to_json(F.struct(*sorted(df.columns)), {"ignoreNullFields": "false"}), 256), 1, 15), 16, 10).cast("decimal(38,0)")
@@ -31,7 +23,7 @@ def table_digest(df: DataFrame) -> dict:
 
 def verify(spark: SparkSession, root: str, name: str) -> dict[str, str]:
     """{table: what differs from the manifest} of a published generation; empty if all is as written."""
-    manifest = json.loads(spark.read.text(f"{root}/{name}/MANIFEST.json", wholetext=True).first()[0])
+    manifest = json.loads(files.read_text(spark, f"{root}/{name}/MANIFEST.json"))
     out = {}
     for t, want in manifest.items():
         if not exists(spark, f"{root}/{name}/{t}"):
@@ -60,6 +52,7 @@ class Alias:
         if wrong or said:
             raise ValueError(f"{name} is not fit: {wrong or said}")
         now = self.pointers.current()
+        # raises if another writer has switched meanwhile
         self.pointers.put(now["batch"] + 1, {"name": name, "before": now.get("name")})
 
     def rollback(self) -> str:
@@ -72,29 +65,18 @@ class Alias:
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """A small file, seen whole or not at all: written under another name, then renamed over what was there."""
-    temp, fs = _path(spark, f"{path}.{uuid.uuid4().hex}.tmp")
-    out = fs.create(temp, True)
-    out.write(bytearray(text.encode()))
-    out.close()
-    dst, _ = _path(spark, path)
-    if fs.exists(dst):
-        fs.delete(dst, False)
-    if not fs.rename(temp, dst):
-        raise OSError(f"cannot write {path}")
+    """A small file, seen whole or not at all: written under another name, then renamed over what was there in one step."""
+    files.write(spark, path, text)
 
 
 def append_rotating(spark: SparkSession, path: str, text: str, most: int, backups: int = 3) -> None:
     """Append to a small log; one that would pass ``most`` bytes moves to ``path``.1 first, older ones one further, and the last goes."""
-    old = spark.read.text(path, wholetext=True).first()[0] if exists(spark, path) else ""
+    old = files.read_text(spark, path) if exists(spark, path) else ""
     if old and len((old + text).encode()) > most:
         for i in range(backups, 0, -1):
-            src, fs = _path(spark, path if i == 1 else f"{path}.{i - 1}")
-            dst, _ = _path(spark, f"{path}.{i}")
-            if fs.exists(src):
-                if fs.exists(dst):
-                    fs.delete(dst, False)
-                fs.rename(src, dst)
+            src = path if i == 1 else f"{path}.{i - 1}"
+            if exists(spark, src):
+                files.move(spark, src, f"{path}.{i}", over=True)
         old = ""
     write_text(spark, path, old + text)
 
@@ -114,19 +96,15 @@ def publish(tables: dict[str, DataFrame], root: str, name: str, unique: dict[str
         back = spark.read.schema(df.schema).parquet(f"{staging}/{t}")
         key = (unique or {}).get(t)
         if key and not back.groupBy(*key).count().where("count > 1").isEmpty():
-            p, fs = _path(spark, staging)
-            fs.delete(p, True)
+            files.delete(spark, staging)
             raise ValueError(f"{t}: {key} repeats")
         manifest[t] = table_digest(back) | {"columns": back.columns}
-    p, fs = _path(spark, f"{staging}/MANIFEST.json")
-    out = fs.create(p, False)
-    out.write(bytearray(json.dumps(manifest, sort_keys=True).encode()))
-    out.close()
-    src, _ = _path(spark, staging)
-    dst, _ = _path(spark, f"{root}/{name}")
-    if not fs.rename(src, dst):
-        fs.delete(src, True)
-        raise FileExistsError(f"generation {name} exists")
+    files.write(spark, f"{staging}/MANIFEST.json", json.dumps(manifest, sort_keys=True))
+    try:
+        files.move(spark, staging, f"{root}/{name}")
+    except files.NameTaken:
+        files.delete(spark, staging)
+        raise FileExistsError(f"generation {name} exists") from None
     return manifest
 
 

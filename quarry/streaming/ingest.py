@@ -17,41 +17,42 @@ from pyspark.sql import functions as F
 
 from quarry.functions.text import content_hash
 from quarry.session import materialize, release, shared_dir
+from quarry.sinks import files
+from quarry.streaming.merge import RATIO, MergeTable, key_columns, same_key
 
 
 class Pointers:
     """Numbered, immutable pointer files of a folder: the one with the greatest number is current."""
 
     def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, f"{path.rstrip('/')}/pointers"
-
-    def _at(self, name: str = ""):
-        p = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
-        return p, p.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+        self.spark, self.path, self.writer = spark, f"{path.rstrip('/')}/pointers", uuid.uuid4().hex
 
     def numbers(self) -> list[int]:
-        p, fs = self._at()
+        p, fs = files.hadoop(self.spark, self.path)
         if not fs.exists(p):
             return []
         return sorted(int(f.getPath().getName()) for f in fs.listStatus(p) if f.getPath().getName().isdigit())
 
+    def at(self, number: int) -> dict:
+        return json.loads(files.read_text(self.spark, f"{self.path}/{number}"))
+
     def current(self) -> dict:
         """The current pointer; {"batch": -1} before the first."""
         done = self.numbers()
-        if not done:
-            return {"batch": -1}
-        return json.loads(self.spark.read.text(f"{self.path}/{done[-1]}", wholetext=True).first()[0])
+        return self.at(done[-1]) if done else {"batch": -1}
 
     def put(self, number: int, content: dict) -> None:
-        """Make ``content`` current: written whole under another name, then renamed. A pointer that exists stays as it is."""
-        temp, fs = self._at(f".{number}-{uuid.uuid4().hex}")
-        out = fs.create(temp, True)
-        out.write(bytearray(json.dumps(content | {"batch": number}).encode()))
-        out.close()
-        if not fs.rename(temp, self._at(str(number))[0]):
-            fs.delete(temp, False)
-            if number not in self.numbers():
-                raise RuntimeError(f"pointer {number} could not be written to {self.path}")
+        """Make ``content`` current: written whole under another name, then renamed.
+
+        A pointer is written once: if another writer has put this number, ``files.NameTaken`` is raised and nothing changes.
+        Only the same writer's very same content, a repeat after a lost answer, passes.
+        """
+        whole = content | {"batch": number, "writer": self.writer}
+        try:
+            files.write(self.spark, f"{self.path}/{number}", json.dumps(whole), over=False)
+        except files.NameTaken:
+            if self.at(number) != whole:
+                raise
 
 
 def detect_changes(batch: DataFrame, current: DataFrame, key: list[str]) -> DataFrame:
@@ -68,7 +69,6 @@ DOCS = "doc_id long, text string, hash string"
 RETRIES = "doc_id long, text string, hash string, attempts int, reason string"
 LOG = "batch long, change string, n long"
 MAX_ATTEMPTS = 5
-BUCKETS = 64  # parts of the documents table, by a hash of the key; a batch rewrites those it touches
 
 
 class Ingest:
@@ -77,37 +77,42 @@ class Ingest:
     ``check`` gives a reason why a row cannot be taken now (null: it can). Such rows wait and come again with every batch, until
     they pass or have failed ``MAX_ATTEMPTS`` times and are dead. The last row of a key in a batch wins, by its hash where
     nothing else orders them; null ids are one key. A batch may be repeated, after a crash at any point: until its pointer is there, readers and
-    the repeat see the batch before. Documents lie in ``BUCKETS`` parts; a batch rewrites the parts its new rows fall in. Dead rows and counters
-    of each batch are folders of their own, so nothing that only grows is rewritten.
+    the repeat see the batch before. Documents are a ``MergeTable``: a batch writes its own rows, and a new base only at that
+    table's ratio. Waiting and dead rows and counters of each batch are folders of their own, which its pointer names. A batch
+    of the same number from another writer raises an error.
     """
 
-    def __init__(self, spark: SparkSession, root: str, check: Callable[[DataFrame], DataFrame] | None = None, buckets: int = BUCKETS):
-        self.spark, self.root, self.check, self.buckets = spark, root.rstrip("/"), check, buckets
+    def __init__(self, spark: SparkSession, root: str, check: Callable[[DataFrame], DataFrame] | None = None, ratio: float = RATIO):
+        self.spark, self.root, self.check = spark, root.rstrip("/"), check
         self.pointers = Pointers(spark, root)
+        self.table = MergeTable(spark, f"{self.root}/documents", ["doc_id"], DOCS, ratio=ratio)
 
     def _read(self, paths: list[str], schema: str) -> DataFrame:
         return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
-    def _parts(self, pointer: dict, wanted: set[int] | None = None) -> list[str]:
-        return [f"{self.root}/documents/v{v}/part={b}" for b, v in pointer.get("documents", {}).items() if wanted is None or int(b) in wanted]
+    def _named(self, what: str) -> list[str]:
+        """Folders that the pointers of all batches name."""
+        if not self.pointers.numbers():
+            return []
+        rows = self.spark.read.schema(f"{what} string").json(f"{self.pointers.path}/[0-9]*").where(f"{what} is not null").collect()  # a name a batch
+        return [f"{self.root}/{what}/{r[0]}" for r in rows]
 
     def version(self) -> int:
         return self.pointers.current()["batch"]
 
     def documents(self) -> DataFrame:
-        return self._read(self._parts(self.pointers.current()), DOCS)
+        return self.table.read(self.pointers.current().get("documents", {}))
 
     def retries(self) -> DataFrame:
-        at = self.pointers.current()["batch"]
-        return self._read([f"{self.root}/retries/v{at}"] if at >= 0 else [], RETRIES)
+        name = self.pointers.current().get("retries")
+        return self._read([f"{self.root}/retries/{name}"] if name else [], RETRIES)
 
     def dead(self) -> DataFrame:
-        return self._read([f"{self.root}/dead/v{n}" for n in self.pointers.current().get("dead", [])], RETRIES)
+        return self._read(self._named("dead"), RETRIES)
 
     def log(self) -> DataFrame:
         """Counters of the batches that are done."""
-        at = self.pointers.current()["batch"]
-        return self._read([f"{self.root}/log/v*"], LOG).where(F.col("batch") <= at) if at >= 0 else self._read([], LOG)
+        return self._read(self._named("log"), LOG)
 
     def batch(self, df: DataFrame, number: int) -> None:
         before = self.pointers.current()
@@ -115,17 +120,15 @@ class Ingest:
             return
         rows = df.select("doc_id", "text", content_hash(F.col("text")).alias("hash"), F.lit(0).alias("attempts"))
         fresh = rows.groupBy("doc_id").agg(F.max_by(F.struct("text", "hash", "attempts"), "hash").alias("r")).select("doc_id", "r.*")
-        same = F.col("doc_id").eqNullSafe(F.col("__id"))
-        again = self.retries().join(fresh.select(F.col("doc_id").alias("__id")), same, "left_anti").select("doc_id", "text", "hash", "attempts")
-        part = F.pmod(F.xxhash64("doc_id"), F.lit(self.buckets)).cast("int")
-        todo = materialize(fresh.unionByName(again).withColumn("part", part), "todo")
-        touched = {r[0] for r in todo.select("part").distinct().collect()}  # at most ``buckets`` numbers
-        old = self._read(self._parts(before, touched), DOCS)
+        again = self.retries().join(key_columns(fresh, ["doc_id"]), same_key(["doc_id"]), "left_anti").select("doc_id", "text", "hash", "attempts")
+        todo = materialize(fresh.unionByName(again), "todo")
+        old = self.table.read(before.get("documents", {}), todo, todo.count())
         known = detect_changes(todo, old, ["doc_id"])
         checked = materialize(self.check(known) if self.check else known.withColumn("reason", F.lit(None).cast("string")), "checked")
-        new = checked.where("reason is null and change <> 'unchanged'").select("doc_id", "text", "hash", "part")
+        new = checked.where("reason is null and change <> 'unchanged'").select("doc_id", "text", "hash")
         bad = checked.where("reason is not null").withColumn("attempts", F.col("attempts") + 1).select("doc_id", "text", "hash", "attempts", "reason")
-        put = lambda d, name: d.write.mode("overwrite").parquet(f"{self.root}/{name}/v{number}")
+        name = f"v{number}-{uuid.uuid4().hex}"
+        put = lambda d, what: d.write.parquet(f"{self.root}/{what}/{name}")
         dead = bad.where(F.col("attempts") >= MAX_ATTEMPTS)
         died = not dead.isEmpty()
         if died:
@@ -133,13 +136,8 @@ class Ingest:
         put(bad.where(F.col("attempts") < MAX_ATTEMPTS), "retries")
         counts = checked.groupBy(F.when(F.col("reason").isNull(), F.col("change")).otherwise("failed").alias("change")).agg(F.count("*").alias("n"))
         put(counts.select(F.lit(number).cast("long").alias("batch"), "change", "n"), "log")
-        changed = {r[0] for r in new.select("part").distinct().collect()}
-        if changed:
-            kept = self._read(self._parts(before, changed), DOCS).withColumn("part", part)
-            kept = kept.join(new.select(F.col("doc_id").alias("__id")), same, "left_anti")
-            kept.unionByName(new).write.mode("overwrite").partitionBy("part").parquet(f"{self.root}/documents/v{number}")
-        where = before.get("documents", {}) | {str(b): number for b in sorted(changed)}
-        self.pointers.put(number, {"documents": where, "dead": before.get("dead", []) + [number] * died})
+        documents = self.table.stage(before.get("documents", {}), number, new)
+        self.pointers.put(number, {"documents": documents, "retries": name, "log": name, "dead": name if died else None})
         release(todo)
         release(checked)
 

@@ -45,7 +45,7 @@ def test_a_crash_at_any_write_leaves_a_batch_that_can_be_repeated(spark, tmp_pat
         return [sorted(map(str, t.collect())) for t in (job.documents(), job.retries(), job.dead(), job.log())]
 
     def run(root, at):
-        job = S.Ingest(spark, root, check, buckets=3)
+        job = S.Ingest(spark, root, check)
         job.batch(spark.createDataFrame(first, schema), 0)
         if at:
             seen, real, put = [0], type(spark.range(1).write).parquet, S.Pointers.put
@@ -64,8 +64,8 @@ def test_a_crash_at_any_write_leaves_a_batch_that_can_be_repeated(spark, tmp_pat
                     m.setattr(S.Pointers, "put", lambda *a: (_ for _ in ()).throw(OSError("lost")))
                 with pytest.raises(OSError):
                     job.batch(spark.createDataFrame(second, schema), 1)
-            assert put is S.Pointers.put and S.Ingest(spark, root, check, buckets=3).version() == 0
-            job = S.Ingest(spark, root, check, buckets=3)
+            assert put is S.Pointers.put and S.Ingest(spark, root, check).version() == 0
+            job = S.Ingest(spark, root, check)
         job.batch(spark.createDataFrame(second, schema), 1)
         return state(job)
 

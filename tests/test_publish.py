@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from quarry.plans.cache import ResultCache
 from quarry.sinks import publish as W
@@ -56,3 +57,67 @@ def test_cache_expires_evicts_and_refuses():
     assert c.get(k[0]) is None
     c.put(k[0], "degraded")
     assert c.get(k[0]) is None
+
+
+def test_a_second_writer_is_told(spark, tmp_path):
+    from quarry.operators.agreement import SeenStore
+    from quarry.sinks.files import NameTaken
+    from quarry.streaming.ingest import Ingest, Pointers
+
+    a, b = Pointers(spark, str(tmp_path / "p")), Pointers(spark, str(tmp_path / "p"))
+    a.put(0, {"x": 1})
+    a.put(0, {"x": 1})  # its own repeat
+    for p, content in ((b, {"x": 1}), (b, {"x": 2}), (a, {"x": 2})):
+        with pytest.raises(NameTaken):
+            p.put(0, content)
+    assert b.current()["x"] == 1 and a.current()["writer"] == a.writer
+
+    df = spark.createDataFrame([(1, "a")], "k int, v string")
+    root = str(tmp_path / "g")
+    for name in ("g1", "g2"):
+        W.publish({"t": df}, root, name)
+    one, two = W.Alias(spark, root), W.Alias(spark, root)
+    with pytest.raises(NameTaken):  # another switch comes between the check and the pointer
+        one.switch("g1", smoke=lambda _: two.switch("g2") or one.pointers.put(0, {"name": "g1"}))
+    assert one.current() == "g2"
+
+    seen = [SeenStore(spark, str(tmp_path / "s")) for _ in range(2)]
+    rows = spark.createDataFrame([(1, "success", 5, "h", 5)], SeenStore.SCHEMA)
+    for s, run in zip(seen, ("r1", "r2"), strict=True):
+        s.stage(run, rows.withColumn("key", rows["key"] + int(run[1])))
+    real = seen[0].pointers.put
+
+    def late(number, content):
+        seen[0].pointers.put = real
+        seen[1].commit("r2")
+        real(number, content)
+
+    seen[0].pointers.put = late
+    seen[0].commit("r1")
+    assert sorted(r.key for r in seen[1].read().collect()) == [2, 3] and seen[0].pointers.current()["runs"] == ["r2", "r1"]
+
+    jobs = [Ingest(spark, str(tmp_path / "i"), lambda d: d.withColumn("reason", F.lit(None).cast("string"))) for _ in range(2)]
+    inner = jobs[0].check
+    jobs[0].check = lambda d: (jobs[1].batch(spark.createDataFrame([(2, "b")], "doc_id long, text string"), 0), inner(d))[1]
+    with pytest.raises(NameTaken):
+        jobs[0].batch(spark.createDataFrame([(1, "a")], "doc_id long, text string"), 0)
+    assert [r.doc_id for r in jobs[0].documents().collect()] == [2]
+
+
+def test_an_old_file_stays_when_the_rename_fails(spark, tmp_path, monkeypatch):
+    from quarry.sinks import files
+
+    p = str(tmp_path / "a.txt")
+    W.write_text(spark, p, "one")
+    with monkeypatch.context() as m:
+        m.setattr(files, "move", lambda *a, **k: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            W.write_text(spark, p, "two")
+    assert (tmp_path / "a.txt").read_text() == "one"
+    (tmp_path / "g").mkdir()
+    df = spark.createDataFrame([(1,)], "k int")
+    with monkeypatch.context() as m:  # a folder of that name appears after the check
+        m.setattr(W, "exists", lambda *a: False)
+        with pytest.raises(FileExistsError):
+            W.publish({"t": df}, str(tmp_path), "g")
+    assert list((tmp_path / "g").iterdir()) == [] and not [x for x in tmp_path.iterdir() if "staging" in x.name]
