@@ -15,7 +15,7 @@ from quarry.session import materialize, release
 LEAST = 30
 TOP = 2_000
 #: Tokens a task holds before it passes a shard on, bytes of text cut at once, and tokens whose phrases one task sums.
-SHARD_TOKENS, SLICE, SUM_TOKENS = 3_000_000, 1 << 20, 1_000_000
+SHARD_TOKENS, SLICE, SUM_TOKENS = 1_500_000, 1 << 20, 1_000_000
 #: Bitmap bytes that are extended at once (a batch of prefixes goes to full depth before the next).
 BATCH = 250_000
 
