@@ -27,13 +27,11 @@ def translated(queries: DataFrame, mapping: DataFrame, needed: Column, strict: b
 def idf_cosine(index: LexicalIndex, queries: DataFrame, k: int) -> DataFrame:
     """Top k by the cosine of bags of words weighted by tf * ln(1 + N / df). Terms that no document has count in no vector."""
     qt = query_terms(queries)
-    df = index.postings.groupBy("term").agg(F.count("*").alias("df"))
-    idf = df.select("term", F.log(1 + F.lit(float(index.n)) / F.col("df")).alias("idf"))
-    doc_norm = index.postings.join(idf, "term").groupBy("doc_id").agg(F.sqrt(F.sum(F.pow(F.col("tf") * F.col("idf"), 2))).alias("dn"))
+    idf = index.terms.select("term", F.log(1 + F.lit(float(index.n)) / F.col("df")).alias("idf"))
     q = qt.join(idf, "term").select("qid", "term", (F.col("qtf") * F.col("idf")).alias("qw"), "idf")
     q_norm = q.groupBy("qid").agg(F.sqrt(F.sum(F.pow("qw", 2))).alias("qn"))
     dot = q.join(index.of(qt), "term").groupBy("qid", "doc_id").agg(F.sum(F.col("qw") * F.col("tf") * F.col("idf")).alias("dot"))
-    return ranked(dot.join(q_norm, "qid").join(doc_norm, "doc_id").select("qid", "doc_id", (F.col("dot") / F.col("qn") / F.col("dn")).alias("score")), k)
+    return ranked(dot.join(q_norm, "qid").join(index.norms, "doc_id").select("qid", "doc_id", (F.col("dot") / F.col("qn") / F.col("dn")).alias("score")), k)
 
 
 def overlap(before: Column, after: Column, most: Column) -> Column:

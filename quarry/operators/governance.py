@@ -154,6 +154,37 @@ def filters(**f) -> Column | None:
     return reduce(lambda a, b: a & b, out) if out else None
 
 
+#: The filters of a search by name; ``columns`` of ``named_filter`` says which column each reads.
+EXACT = ("source", "language", "document_type", "court", "document_id", "document_number", "registration_code", "article_id", "clause_id", "status")
+NAMED = (*EXACT, "is_consolidated", "parties", "contains", "date_from", "date_to", "as_of")
+
+
+def named_filter(given: dict, columns: dict[str, str] | None = None) -> tuple[Column | None, str | None]:
+    """(condition, words that the text must have) of a search's named filters; unknown names raise an error, null and empty ones ask for nothing.
+
+    ``EXACT`` ones and ``is_consolidated`` are equalities, ``parties`` must have all words, ``date`` lies between ``date_from`` and
+    ``date_to``, both included, and ``as_of`` between effective_from, included, and effective_to, not included; a null
+    effective_to is open. ``columns`` maps names to columns where they differ.
+    """
+    if unknown := set(given) - set(NAMED):
+        raise ValueError(f"unknown filters: {sorted(unknown)}")
+    at = lambda name: F.col((columns or {}).get(name, name))
+    want = {k: v for k, v in given.items() if v is not None and v != ""}
+    out = [at(n) == F.lit(want[n]) for n in (*EXACT, "is_consolidated") if n in want]
+    if "parties" in want:
+        words = F.split(F.lower(at("parties")), r"[^\p{L}\p{N}_]+")
+        out += [F.array_contains(words, w) for w in str(want["parties"]).lower().split()]
+    moment = lambda c: c.cast("timestamp")
+    if "date_from" in want:
+        out.append(moment(at("date")) >= moment(F.lit(want["date_from"])))
+    if "date_to" in want:
+        out.append(moment(at("date")) <= moment(F.lit(want["date_to"])))
+    if "as_of" in want:
+        t = moment(F.lit(want["as_of"]))
+        out.append((moment(at("effective_from")) <= t) & (at("effective_to").isNull() | (moment(at("effective_to")) > t)))
+    return (reduce(lambda a, b: a & b, out) if out else None), want.get("contains")
+
+
 def browse(rows: DataFrame, order: list[Column], offset: int, limit: int) -> DataFrame:
     """One page of a listing in a total order: a top-k of offset + limit rows a task, not a full sort."""
     return rows.orderBy(*order).limit(offset + limit).offset(offset)

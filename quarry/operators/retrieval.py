@@ -5,32 +5,19 @@ A ranking is a DataFrame (qid, doc_id, score, rank). Ties go to the least doc_id
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.text import jaccard, tokens
+from quarry.operators.lexical import LexicalIndex, query_terms, ranked, saturated
 from quarry.session import broadcast_if_small, materialize
 
-K1, B, RRF_K = 1.5, 0.75, 60
-DIGITS = 6
-
-
-def ranked(scores: DataFrame, k: int | None = None, digits: int = DIGITS) -> DataFrame:
-    """Rank by rounded score (down), then doc_id (up); keep the first k. The limit is pushed below the shuffle."""
-    s = scores.withColumn("score", F.round("score", digits))
-    out = s.withColumn("rank", F.row_number().over(Window.partitionBy("qid").orderBy(F.desc("score"), "doc_id")))
-    return out.where(F.col("rank") <= k) if k is not None else out
-
-
-def query_terms(queries: DataFrame) -> DataFrame:
-    """(qid, term, qtf) from (qid, text): repeats of a term add up."""
-    return queries.select("qid", F.explode(tokens(F.col("text"))).alias("term")).groupBy("qid", "term").agg(F.count("*").alias("qtf"))
+RRF_K = 60
 
 
 def postings(docs: DataFrame, terms: DataFrame) -> DataFrame:
@@ -40,48 +27,28 @@ def postings(docs: DataFrame, terms: DataFrame) -> DataFrame:
     return d.join(terms.select("term").distinct(), "term", "left_semi").groupBy("term", "doc_id", "dl").agg(F.count("*").alias("tf"))
 
 
-class LexicalIndex:
-    """Postings and statistics of (doc_id, text), written once: a search reads the rows of its own terms and no text.
-
-    Postings are (term, doc_id, dl, tf), in ranges of terms and sorted by them, so that the statistics of Parquet row groups skip
-    what a search does not ask for. The number of documents and their mean length are taken in the pass that tokenizes.
-    """
-
-    def __init__(self, docs: DataFrame):
-        seen = Observation(f"lexical-{uuid.uuid4().hex}")
-        d = docs.select("doc_id", tokens(F.col("text")).alias("t")).withColumn("dl", F.size("t"))
-        d = d.observe(seen, F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl"))
-        rows = d.select("doc_id", "dl", F.explode("t").alias("term")).groupBy("term", "doc_id", "dl").agg(F.count("*").alias("tf"))
-        self.postings = materialize(rows.repartitionByRange("term").sortWithinPartitions("term", "doc_id"), "postings")
-        self.n, self.avgdl = int(seen.get["n"] or 0), float(seen.get["avgdl"] or 0.0)
-
-    def of(self, terms: DataFrame) -> DataFrame:
-        return self.postings.join(terms.select("term").distinct(), "term", "left_semi")
-
-
-def bm25(docs: DataFrame | LexicalIndex, queries: DataFrame, k: int) -> DataFrame:
+def bm25(docs: DataFrame | LexicalIndex, queries: DataFrame, k: int, allowed: DataFrame | None = None) -> DataFrame:
     """Okapi BM25 with the non-negative idf ln(1 + (N - df + 0.5) / (df + 0.5)); only positive scores rank. k <= 0: none.
 
-    ``docs`` are documents or an index over them.
+    ``docs`` are documents or an index over them, which skips blocks and takes ``allowed`` (see ``LexicalIndex.search_with_cost``).
     """
-    qt = query_terms(queries)
     if isinstance(docs, LexicalIndex):
-        post = docs.of(qt)
-        df = post.groupBy("term").agg(F.count("*").alias("df")).withColumns({"n": F.lit(docs.n), "avgdl": F.lit(docs.avgdl)})
-    else:
-        post = postings(docs, qt)
-        stats = docs.agg(F.count("*").alias("n"), F.avg(F.size(tokens(F.col("text")))).alias("avgdl"))
-        df = post.groupBy("term").agg(F.count("*").alias("df")).crossJoin(F.broadcast(stats))
+        return docs.search(queries, k, "bm25", allowed)
+    qt = query_terms(queries)
+    post = postings(docs, qt)
+    stats = docs.agg(F.count("*").alias("n"), F.avg(F.size(tokens(F.col("text")))).alias("avgdl"))
+    df = post.groupBy("term").agg(F.count("*").alias("df")).crossJoin(F.broadcast(stats))
     idf = df.select("term", F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"), "avgdl")
     j = qt.join(idf, "term").join(post, "term")
-    part = F.col("qtf") * F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / F.col("avgdl")))
-    return ranked(j.groupBy("qid", "doc_id").agg(F.sum(part).alias("score")).where("score > 0"), max(k, 0))
+    return ranked(j.groupBy("qid", "doc_id").agg(F.sum(F.col("qtf") * F.col("idf") * saturated(F.col("avgdl"))).alias("score")).where("score > 0"), max(k, 0))
 
 
-def sparse(docs: DataFrame | LexicalIndex, queries: DataFrame, k: int) -> DataFrame:
+def sparse(docs: DataFrame | LexicalIndex, queries: DataFrame, k: int, allowed: DataFrame | None = None) -> DataFrame:
     """Dot product of term counts over shared terms; ``docs`` are documents or an index over them."""
+    if isinstance(docs, LexicalIndex):
+        return docs.search(queries, k, "sparse", allowed)
     qt = query_terms(queries)
-    j = qt.join(docs.of(qt) if isinstance(docs, LexicalIndex) else postings(docs, qt), "term")
+    j = qt.join(postings(docs, qt), "term")
     return ranked(j.groupBy("qid", "doc_id").agg(F.sum(F.col("qtf") * F.col("tf")).cast("double").alias("score")), k)
 
 
@@ -193,14 +160,20 @@ def of_pool(pool: DataFrame, docs: DataFrame) -> DataFrame:
     return docs.join(broadcast_if_small(ids, pool.count()), "doc_id", "left_semi")
 
 
-def rerank(ranking: DataFrame, queries: DataFrame, docs: DataFrame, k: int, min_score: float = 0.0, scorer: Callable | None = None) -> DataFrame:
+def rerank(ranking: DataFrame, queries: DataFrame, docs: DataFrame | LexicalIndex, k: int, min_score: float = 0.0, scorer: Callable | None = None) -> DataFrame:
     """Rescore a pool and keep the k best at or above ``min_score``. scorer(query text, document text) is a column function; by
-    default the Jaccard likeness of the token sets. Only the texts of the pool are moved: it is written and counted, and its ids pick them."""
+    default the Jaccard likeness of the token sets. Only the texts of the pool are moved: it is written and counted, and its ids pick them. An index has the token sets itself."""
     pool = materialize(ranking.select("qid", "doc_id"), "pool")
-    own, texts = queries.select("qid", F.col("text").alias("q")), of_pool(pool, docs).select("doc_id", F.col("text").alias("d"))
-    score = scorer
-    if score is None:  # token sets once a text, not once a pair
-        own, texts, score = (own.withColumn("q", F.array_distinct(tokens(F.col("q")))), texts.withColumn("d", F.array_distinct(tokens(F.col("d")))), jaccard)
+    own = queries.select("qid", F.col("text").alias("q"))
+    if isinstance(docs, LexicalIndex):
+        if scorer is not None:
+            raise ValueError("a scorer of texts needs documents")
+        texts = of_pool(pool, docs.forward.select("doc_id", "t")).select("doc_id", F.array_distinct("t").alias("d"))
+    else:
+        texts = of_pool(pool, docs.select("doc_id", "text")).select("doc_id", F.col("text").alias("d") if scorer else F.array_distinct(tokens(F.col("text"))).alias("d"))
+    score = scorer or jaccard
+    if scorer is None:  # token sets once a text, not once a pair
+        own = own.withColumn("q", F.array_distinct(tokens(F.col("q"))))
     j = pool.join(own, "qid").join(texts, "doc_id")
     return ranked(j.select("qid", "doc_id", score(F.col("q"), F.col("d")).alias("score")).where(F.col("score") >= min_score), k)
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from quarry.functions.text import word_count
 from quarry.operators import retrieval as R
 from quarry.plans.base import Plans
+from quarry.plans.engine import Engine
 from quarry.session import materialize, table
 
 plans = Plans()
@@ -36,7 +37,7 @@ def _index(s, d):
     """The index over the documents of a directory: built by the first query of a session that asks for it."""
     key = s.sparkContext.applicationId, d
     if key not in _built:
-        _built[key] = R.LexicalIndex(table(s, d, "documents"))
+        _built[key] = R.LexicalIndex(table(s, d, "documents"), ["lang", "source", "n_chars"], ["lang", "source"])
     return _built[key]
 
 
@@ -48,6 +49,13 @@ def _ranked_sql(body: str, k: int) -> str:
     return f"WITH {BM25_CTES}, f AS ({body}) SELECT qid, doc_id, score, rank FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id)::INT AS rank FROM f) WHERE rank <= {k}"
 
 
+@plans.add("lexical_index", f"SELECT term, count(DISTINCT doc_id) AS df, sum(tf)::BIGINT AS tf, max(tf) AS most FROM (SELECT term, doc_id, count(*) AS tf FROM (SELECT doc_id, unnest({TOK}) AS term FROM documents) GROUP BY 1, 2) GROUP BY 1")
+def lexical_index(s, d):
+    """What the kept index says of every term; the first query that asks for it builds it."""
+    ix = _index(s, d)
+    return ix.terms.join(ix.postings.groupBy("term").agg(F.sum("tf").alias("tf")), "term").select("term", "df", "tf", F.col("top_tf").alias("most"))
+
+
 @plans.add("bm25_topk", f"WITH {BM25_CTES} SELECT qid, doc_id, score, rank FROM bmr WHERE rank <= 10")
 def bm25_topk(s, d):
     return R.bm25(_index(s, d), _queries(s, d), 10)
@@ -58,6 +66,26 @@ def sparse_topk(s, d):
     return R.sparse(_index(s, d), _queries(s, d), 10)
 
 
+FILTERED = {"language": "de", "date_from": "2020-03-01", "date_to": "2020-10-31", "as_of": "2020-06-01", "contains": "die"}
+
+
+def _dated(s, d):
+    """Documents with dates and spans of force from their lengths, for the named filters."""
+    day = F.date_add(F.lit("2020-01-01").cast("date"), (F.col("n_chars") % 365).cast("int"))
+    return table(s, d, "documents").withColumns({"date": day, "effective_from": F.date_add(day, -30), "effective_to": F.when(F.col("n_chars") % 3 > 0, F.date_add(day, 60))})
+
+
+@plans.add("filtered_search", f"""WITH {BM25_CTES},
+da AS (SELECT doc_id, lang, n_chars, DATE '2020-01-01' + (n_chars % 365)::INT AS date FROM documents),
+ok AS (SELECT da.doc_id FROM da JOIN dt USING (doc_id) WHERE lang = 'de' AND date BETWEEN '2020-03-01' AND '2020-10-31' AND date - 30 <= '2020-06-01' AND (n_chars % 3 = 0 OR date + 60 > '2020-06-01') AND list_contains(t, 'die'))
+SELECT qid, doc_id, score, rank FROM (SELECT qid, doc_id, score, row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id)::INT AS rank FROM bm JOIN ok USING (doc_id)) WHERE rank <= 10""")
+def filtered_search(s, d):
+    """BM25 under five named filters, all of them evaluated by the index: its weights are those of all documents."""
+    docs = _dated(s, d)
+    index = R.LexicalIndex(docs, ["lang", "date", "effective_from", "effective_to"], ["lang", "date"])
+    return Engine(docs, index).search(_queries(s, d), 10, "bm25", pool=10, named=FILTERED, columns={"language": "lang"})
+
+
 def _vectors(s, d):
     v = table(s, d, "embeddings")
     return v.select(F.col("vec_id").alias("doc_id"), F.col("embedding").alias("vector"), "label"), v.where("vec_id % 100 = 0").select(F.col("vec_id").alias("qid"), F.col("embedding").alias("vector"))
