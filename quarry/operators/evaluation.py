@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.operators.selection import kth_values
+from quarry.session import materialize
+
 Z95 = 1.6448536269514722  # one-sided 95 % normal quantile
 
 
@@ -82,17 +85,27 @@ def metric_table(scores: DataFrame, metrics: list[str], by: str) -> DataFrame:
 
 
 def percentiles(rows: DataFrame, value: str, by: str) -> DataFrame:
-    """Interpolated p50 and p95, and the value of ceiling rank at 95 %."""
-    return rows.groupBy(by).agg(*[F.round(F.percentile(value, p), 6).alias(f"p{int(p * 100)}") for p in (0.5, 0.95)], F.expr(f"percentile_disc(0.95) WITHIN GROUP (ORDER BY {value})").alias("p95_disc"))
+    """Interpolated p50 and p95, and the value of ceiling rank at 95 %, of the non-null values of each group; null where it has none.
+
+    The ranks of all groups are searched at once (``selection.kth_values``), so a group of any size is no single task.
+    """
+    n = rows.groupBy(by).agg(F.count(value).alias("n"))
+    at = lambda p: p * (F.col("n") - 1)
+    wanted = [F.floor(at(0.5)), F.ceil(at(0.5)), F.floor(at(0.95)), F.ceil(at(0.95)), F.ceil(0.95 * F.col("n") - 1e-9) - 1]
+    n = materialize(n, "sizes")
+    ranks = n.where("n > 0").select(by, F.posexplode(F.array(*[w.cast("long") for w in wanted])).alias("slot", "rank"))
+    found = kth_values(rows, [by], value, ranks).groupBy(F.col(by).alias("__by")).agg(*[F.max(F.when(F.col("slot") == i, F.col("value"))).alias(f"v{i}") for i in range(len(wanted))])
+    j = n.join(found, F.col(by).eqNullSafe(F.col("__by")), "left")
+    between = lambda p, lo, hi: F.round(F.col(lo) + (at(p) - F.floor(at(p))) * (F.col(hi) - F.col(lo)), 6)
+    return j.select(by, between(0.5, "v0", "v1").alias("p50"), between(0.95, "v2", "v3").alias("p95"), F.col("v4").alias("p95_disc"))
 
 
 def rank_percentile(rows: DataFrame, value: str, by: str, p: float, how: str) -> DataFrame:
-    """The value at index floor(p / 100 * n) ("truncate", at most n - 1) or at the banker's rounding of p / 100 * (n - 1) ("round")."""
-    w = Window.partitionBy(by)
-    n = F.count("*").over(w)
+    """The value at index floor(p / 100 * n) ("truncate", at most n - 1) or at the banker's rounding of p / 100 * (n - 1) ("round") of each group's n non-null values."""
+    n = F.col("n")
     i = F.least(n - 1, F.floor(p / 100 * n)) if how == "truncate" else F.bround(p / 100 * (n - 1))
-    r = rows.select(by, value, F.row_number().over(w.orderBy(value)).alias("r"), i.cast("long").alias("i"))
-    return r.where(F.col("r") == F.col("i") + 1).select(by, F.col(value).alias("value"))
+    ranks = rows.groupBy(by).agg(F.count(value).alias("n")).where("n > 0").select(by, F.lit(0).alias("slot"), i.alias("rank"))
+    return kth_values(rows, [by], value, ranks).select(by, "value")
 
 
 def abstention(rows: DataFrame, threshold: float) -> DataFrame:
@@ -125,49 +138,54 @@ def holm(tests: DataFrame, p: str = "p") -> DataFrame:
     return m.select("name", p, F.round(adjusted, 8).alias("adjusted"))
 
 
-def _clusters(pdf: pd.DataFrame, value: str) -> tuple[np.ndarray, np.ndarray]:
-    g = pdf.groupby("cluster", sort=True)[value]
-    return g.sum().to_numpy(float), g.count().to_numpy(float)
+#: Cumulative Poisson(1) probabilities: a replicate draws a cluster as often as its uniform number passes them.
+POISSON = [sum(math.exp(-1) / math.factorial(i) for i in range(k + 1)) for k in range(13)]
+PER_DIGEST = 4  # uniform numbers of 32 bits from one MD5
+
+
+def _digest(seed: int, block: Column) -> Column:
+    return F.md5(F.concat_ws("/", F.lit(str(seed)), block.cast("string"), F.coalesce(F.col("cluster").cast("string"), F.lit(""))).cast("binary"))
 
 
 def bootstrap_ci(scores: DataFrame, resamples: int = 10_000, alpha: float = 0.05, seed: int = 12345) -> DataFrame:
     """(metric, query, cluster, value) -> mean and percentile interval of the cluster bootstrap of the ratio mean.
 
-    Values are summed by cluster before anything is gathered, so a task holds a number pair a cluster.
+    Replicates are rows: each cluster counts in each of them as often as a Poisson(1) draw says, which a hash of seed, replicate
+    and cluster decides, so a rerun agrees and SQL can say the same. One aggregation sums clusters by (metric, replicate) with
+    partial sums a task; no group is gathered, and only ``resamples`` means a metric meet at the end. A replicate that draws no
+    cluster at all has no mean and is left out.
     """
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("cluster")
-        s, n = pdf["s"].to_numpy(float), pdf["n"].to_numpy(float)
-        rnd, means = np.random.default_rng(seed), []
-        for at in range(0, resamples, 500):
-            pick = rnd.integers(0, len(s), (min(500, resamples - at), len(s)))
-            means.append(s[pick].sum(1) / n[pick].sum(1))
-        lo, hi = np.percentile(np.concatenate(means), [100 * alpha / 2, 100 * (1 - alpha / 2)])
-        return pd.DataFrame({"metric": [pdf["metric"].iloc[0]], "mean": [s.sum() / n.sum()], "lo": [lo], "hi": [hi], "clusters": [len(s)]})
-
     by = scores.where("value is not null").groupBy("metric", "cluster").agg(F.sum("value").alias("s"), F.count("*").alias("n"))
-    return by.groupBy("metric").applyInPandas(run, "metric string, mean double, lo double, hi double, clusters long")
+    by = materialize(by, "clusters")
+    blocks = F.explode(F.sequence(F.lit(0), F.lit(-(-resamples // PER_DIGEST) - 1))).alias("block")
+    d = by.select("metric", "s", "n", "cluster", blocks).withColumn("h", _digest(seed, F.col("block")))
+    u = lambda i: (F.conv(F.substring("h", 8 * i + 1, 8), 16, 10).cast("double") + 0.5) / float(1 << 32)
+    cdf = F.array(*[F.lit(x) for x in POISSON])
+    r = d.select("metric", "s", "n", "block", F.posexplode(F.array(*[u(i) for i in range(PER_DIGEST)])).alias("i", "u"))
+    r = r.select("metric", "s", "n", (F.col("block") * PER_DIGEST + F.col("i")).alias("b"), F.size(F.filter(cdf, lambda x: x <= F.col("u"))).alias("k")).where(F.col("b") < resamples)
+    means = r.groupBy("metric", "b").agg((F.sum(F.col("k") * F.col("s")) / F.nullif(F.sum(F.col("k") * F.col("n")), F.lit(0))).alias("m"))
+    ends = means.groupBy("metric").agg(F.percentile("m", alpha / 2).alias("lo"), F.percentile("m", 1 - alpha / 2).alias("hi"))
+    whole = by.groupBy("metric").agg((F.sum("s") / F.sum("n")).alias("mean"), F.count("*").alias("clusters"))
+    return whole.join(ends.withColumnRenamed("metric", "__m"), F.col("metric").eqNullSafe(F.col("__m"))).select("metric", "mean", "lo", "hi", "clusters")
 
 
 def permutation_p(pairs: DataFrame, resamples: int = 10_000, seed: int = 12345) -> DataFrame:
-    """(metric, cluster, a, b) -> difference of means and the cluster sign-flip p-value (#at least as large + 1) / (B + 1); no difference: 1."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("cluster")
-        d, n = pdf["d"].to_numpy(float), pdf["n"].sum()
-        seen, p = d.sum() / n, 1.0
-        if abs(d.sum()) > 1e-12:
-            rnd, more = np.random.default_rng(seed), 0
-            for at in range(0, resamples, 500):
-                signs = rnd.integers(0, 2, (min(500, resamples - at), len(d))) * 2 - 1
-                more += int((np.abs(signs @ d / n) >= abs(seen) - 1e-12).sum())
-            p = (more + 1) / (resamples + 1)
-        return pd.DataFrame({"metric": [pdf["metric"].iloc[0]], "diff": [seen], "p": [p]})
+    """(metric, cluster, a, b) -> difference of means and the cluster sign-flip p-value (#at least as large + 1) / (B + 1); no difference: 1.
 
+    Flips are rows like the bootstrap's replicates: a cluster's sign in flip b is a bit of a hash, 128 of them an MD5.
+    """
     ok = pairs.where("a is not null and b is not null")
-    by = ok.groupBy("metric", "cluster").agg(F.sum(F.col("a") - F.col("b")).alias("d"), F.count("*").alias("n"))
-    return by.groupBy("metric").applyInPandas(run, "metric string, diff double, p double")
+    by = materialize(ok.groupBy("metric", "cluster").agg(F.sum(F.col("a") - F.col("b")).alias("d"), F.count("*").alias("n")), "clusters")
+    d = by.select("metric", "d", "cluster", F.explode(F.sequence(F.lit(0), F.lit(-(-resamples // 128) - 1))).alias("block")).withColumn("h", _digest(seed, F.col("block")))
+    r = d.select("metric", "d", "block", "h", F.explode(F.sequence(F.lit(0), F.lit(127))).alias("i")).withColumn("b", F.col("block") * 128 + F.col("i")).where(F.col("b") < resamples)
+    digit = F.conv(F.expr("substring(h, cast(i div 4 as int) + 1, 1)"), 16, 10).cast("int")
+    r = r.withColumn("up", F.floor(digit / F.pow(F.lit(2.0), F.col("i") % 4)) % 2 == 1)
+    sums = r.groupBy("metric", "b").agg(F.sum(F.when(F.col("up"), F.col("d")).otherwise(-F.col("d"))).alias("x"))
+    seen = by.groupBy("metric").agg(F.sum("d").alias("sum"), F.sum("n").alias("n")).withColumnRenamed("metric", "__m")
+    j = sums.join(seen, F.col("metric").eqNullSafe(F.col("__m"))).where(F.abs("sum") > 1e-12)
+    more = j.groupBy(F.col("__m").alias("__q")).agg(F.count_if(F.abs(F.col("x") / F.col("n")) >= F.abs(F.col("sum") / F.col("n")) - 1e-12).alias("more"))
+    out = seen.join(more, F.col("__m").eqNullSafe(F.col("__q")), "left")
+    return out.select(F.col("__m").alias("metric"), (F.col("sum") / F.col("n")).alias("diff"), F.coalesce((F.col("more") + 1) / (resamples + 1), F.lit(1.0)).alias("p"))
 
 
 def risk_band(scores: DataFrame, bands: DataFrame) -> DataFrame:

@@ -35,10 +35,10 @@ def set_difference(left: DataFrame, right: DataFrame, columns: list[str]) -> Dat
 
 
 def issue_report(issues: DataFrame, by: str, key: str, examples: int = 3) -> DataFrame:
-    """(by, total, example, n): the count of each code beside its first examples."""
-    w = Window.partitionBy(by)
-    j = issues.withColumn("total", F.count("*").over(w)).withColumn("n", F.row_number().over(w.orderBy(key)))
-    return j.where(F.col("n") <= examples).select(by, "total", F.col(key).alias("example"), "n")
+    """(by, total, example, n): the count of each code beside its first examples. The limit is pushed below the shuffle; counts are partial sums."""
+    first = issues.select(by, key).withColumn("n", F.row_number().over(Window.partitionBy(by).orderBy(key))).where(F.col("n") <= examples)
+    totals = issues.groupBy(F.col(by).alias("__by")).agg(F.count("*").alias("total"))
+    return first.join(totals, F.col(by).eqNullSafe(F.col("__by"))).select(by, "total", F.col(key).alias("example"), "n")
 
 
 def exactly_one(flags: list[Column]) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quarry.functions.text import tokens
 from quarry.operators.evaluation import wilson
 from quarry.operators.governance import violations
+from quarry.operators.selection import first_by_hash, kth_values
 from quarry.operators.setjoin import set_join
 
 
@@ -52,7 +53,9 @@ def release_gate(outcomes: DataFrame, least_answers: int = 1000, severe: float =
     """Per candidate over (candidate, cluster, answered, severe, material, seconds): the upper error limits, the greater of those by answer
     and by cluster (erroneous if any answered member is), coverage, p95 seconds and whether every gate passes."""
     a = outcomes.where("answered")
-    q = a.groupBy("candidate").agg(F.count("*").alias("answers"), F.count_if("severe").alias("s"), F.count_if("material").alias("m"), F.expr("percentile_disc(0.95) WITHIN GROUP (ORDER BY seconds)").alias("p95"))
+    q = a.groupBy("candidate").agg(F.count("*").alias("answers"), F.count_if("severe").alias("s"), F.count_if("material").alias("m"), F.count("seconds").alias("timed"))
+    ranks = q.where("timed > 0").select("candidate", F.lit(0).alias("slot"), (F.ceil(0.95 * F.col("timed") - 1e-9) - 1).alias("rank"))
+    q = q.join(kth_values(a, ["candidate"], "seconds", ranks).select("candidate", F.col("value").alias("p95")), "candidate", "left").drop("timed")
     c = a.groupBy("candidate", "cluster").agg(F.bool_or("severe").alias("s"), F.bool_or("material").alias("m")).groupBy("candidate").agg(F.count("*").alias("clusters"), F.count_if("s").alias("cs"), F.count_if("m").alias("cm"))
     all_ = outcomes.groupBy("candidate").agg(F.round(F.avg(F.col("answered").cast("double")), 6).alias("coverage"))
     j = all_.join(q, "candidate", "left").join(c, "candidate", "left").na.fill(0, ["answers", "s", "m", "clusters", "cs", "cm"])
@@ -84,8 +87,7 @@ def spread_sample(rows: DataFrame, by: str, n: int, seed: str = "seed") -> DataF
     w = Window.orderBy(F.desc(F.col("exact") - F.col("base")), by)  # one row a group
     rest = F.greatest(F.lit(0), F.least(F.lit(n), F.col("t")) - F.col("g")) - F.sum("base").over(Window.partitionBy())
     s = s.withColumn("quota", 1 + F.col("base") + (F.row_number().over(w) <= rest).cast("int"))
-    r = F.row_number().over(Window.partitionBy(by).orderBy(F.sha2(F.concat(F.lit(seed), F.col("doc_id").cast("string")), 256), "doc_id"))
-    return rows.withColumn("r", r).join(F.broadcast(s.select(by, "quota")), by).where("r <= quota").drop("r", "quota")
+    return first_by_hash(rows, by, s.select(by, "quota"), seed=seed)
 
 
 def similar_questions(questions: DataFrame, threshold: float) -> DataFrame:

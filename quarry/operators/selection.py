@@ -89,3 +89,22 @@ def find_cuts(rows: DataFrame, by: list[str], key: str, weight: str | None, goal
 def within_cut(key: Column, tie: Column) -> Column:
     """Whether a row joined to its cut lies within the goal."""
     return F.coalesce((F.col("everything") & key.isNotNull()) | (key < F.col("cut_key")) | ((key == F.col("cut_key")) & (tie <= F.col("cut_tie"))), F.lit(False))
+
+
+def kth_values(rows: DataFrame, by: list[str], value: str, ranks: DataFrame) -> DataFrame:
+    """(by, slot, value): the value of each group at the 0-based ``rank`` of ``ranks`` (by, slot, rank) among its non-null values in order. Groups are narrowed as in ``find_cuts``."""
+    goals = ranks.select(*by, "slot", F.col("rank").cast("long").alias("goal"))
+    return find_cuts(rows, by, value, None, goals).where(~F.col("everything")).select(*by, "slot", F.col("next_key").alias("value"))
+
+
+def first_by_hash(rows: DataFrame, by: str, quotas: DataFrame, key: str = "doc_id", seed: str = "seed") -> DataFrame:
+    """The first ``quota`` rows of each group of ``quotas`` (by, quota), in order of the SHA-256 of seed and ``key`` (its first 60 bits), then of ``key``, a whole number.
+
+    What a group's last row may have is searched, so no group is sorted in one task. Groups without a quota have no rows.
+    """
+    order = F.conv(F.substring(F.sha2(F.concat(F.lit(seed), F.coalesce(F.col(key).cast("string"), F.lit(""))), 256), 1, 15), 16, 10).cast("long")
+    held = materialize(rows.withColumn("__key", order).withColumn("__tie", F.coalesce(F.col(key).cast("long"), F.lit(0))), "held")
+    cuts = find_cuts(held, [by], "__key", None, quotas.select(by, F.lit(0).alias("slot"), F.col("quota").alias("goal")), "__tie")
+    c = materialize(cuts.withColumnRenamed(by, "__by"), "cuts")
+    near = held.join(broadcast_if_small(c, c.count()), F.col(by).eqNullSafe(F.col("__by")))
+    return near.where(within_cut(F.col("__key"), F.col("__tie"))).select(*rows.columns)

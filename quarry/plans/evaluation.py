@@ -3,11 +3,12 @@ first 40 characters (grade 1)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quarry.operators import evaluation as E
 from quarry.operators import retrieval as R
+from quarry.operators.evaluation import POISSON
+from quarry.operators.selection import first_by_hash
 from quarry.plans.base import Plans
 from quarry.plans.search import BM25_CTES, _index
 from quarry.session import table
@@ -131,13 +132,25 @@ def holm_adjust(s, d):
     return E.holm(table(s, d, "documents").groupBy(F.col("source").alias("name")).agg(F.round(F.avg("n_chars") / 100000, 6).alias("p")))
 
 
-@plans.add("bootstrap_ci")
+@plans.add("bootstrap_ci", f"""
+WITH c AS (SELECT lang AS metric, source AS cluster, sum(quality)::DOUBLE AS s, count(*) AS n FROM documents JOIN labels USING (doc_id) WHERE quality IS NOT NULL GROUP BY 1, 2),
+d AS (SELECT *, md5('12345/' || block || '/' || cluster) AS h FROM c, range(0, 2500) AS r(block)),
+u AS (SELECT metric, s, n, block * 4 + i AS b, (('0x' || substr(h, (8 * i + 1)::INT, 8))::BIGINT + 0.5::DOUBLE) / 4294967296 AS u FROM d, range(0, 4) AS q(i)),
+k AS (SELECT metric, b, s, n, len(list_filter({POISSON}::DOUBLE[], lambda x: x <= u)) AS k FROM u),
+m AS (SELECT metric, b, sum(k * s) / nullif(sum(k * n), 0) AS m FROM k GROUP BY 1, 2),
+e AS (SELECT metric, quantile_cont(m, 0.025) AS lo, quantile_cont(m, 0.975) AS hi FROM m WHERE m IS NOT NULL GROUP BY 1)
+SELECT metric, sum(s) / sum(n) AS mean, any_value(lo) AS lo, any_value(hi) AS hi, count(*) AS clusters FROM c JOIN e USING (metric) GROUP BY metric""")
 def bootstrap_ci(s, d):
     j = table(s, d, "labels").join(table(s, d, "documents"), "doc_id")
     return E.bootstrap_ci(j.select("lang", F.col("source").alias("cluster"), F.col("quality").cast("double").alias("value")).withColumnRenamed("lang", "metric"))
 
 
-@plans.add("permutation_p")
+@plans.add("permutation_p", """
+WITH c AS (SELECT lang AS metric, source AS cluster, sum(quality - toxic)::DOUBLE AS d, count(*) AS n FROM documents JOIN labels USING (doc_id) WHERE quality IS NOT NULL AND toxic IS NOT NULL GROUP BY 1, 2),
+h AS (SELECT *, md5('12345/' || block || '/' || cluster) AS h FROM c, range(0, 79) AS r(block)),
+x AS (SELECT metric, block * 128 + i AS b, sum(CASE WHEN (('0x' || substr(h, (i // 4 + 1)::INT, 1))::INT >> (i % 4)::INT) & 1 = 1 THEN d ELSE -d END) AS x FROM h, range(0, 128) AS q(i) WHERE block * 128 + i < 10000 GROUP BY 1, 2),
+t AS (SELECT metric, sum(d) AS s, sum(n) AS n FROM c GROUP BY 1)
+SELECT t.metric, any_value(s / n) AS diff, CASE WHEN any_value(abs(s)) <= 1e-12 THEN 1.0 ELSE (count(*) FILTER (abs(x / n) >= abs(s / n) - 1e-12) + 1)::DOUBLE / 10001 END AS p FROM x JOIN t USING (metric) GROUP BY t.metric""")
 def permutation_p(s, d):
     j = table(s, d, "labels").join(table(s, d, "documents"), "doc_id")
     return E.permutation_p(j.select(F.col("lang").alias("metric"), F.col("source").alias("cluster"), F.col("quality").cast("double").alias("a"), F.col("toxic").cast("double").alias("b")))
@@ -164,5 +177,4 @@ def stratified_sample(s, d):
     docs = table(s, d, "documents").select("doc_id", "lang")
     total = docs.agg(F.count("*").alias("t"))
     quota = docs.groupBy("lang").agg(F.count("*").alias("n")).crossJoin(F.broadcast(total)).select("lang", F.greatest(F.lit(1.0), F.bround(100 * F.col("n") / F.col("t"))).alias("quota"))
-    w = Window.partitionBy("lang").orderBy(F.sha2(F.concat(F.lit("seed"), F.col("doc_id").cast("string")), 256), "doc_id")
-    return docs.withColumn("i", F.row_number().over(w)).join(F.broadcast(quota), "lang").where("i <= quota").select("doc_id", "lang")
+    return first_by_hash(docs, "lang", quota).select("doc_id", "lang")
