@@ -18,6 +18,9 @@ from quarry.session import broadcast_if_small, materialize
 
 SUSPECT = 40  # members beyond which a key is more likely a placeholder than a duplicate
 BLOCK = 192  # classes of a region in one block
+BUCKET = 1_024  # classes of a bucket in one block, compared by signature
+TASK_ROWS = 20_000  # rows of small buckets that one task compares
+MARGIN = 5  # standard deviations of an estimated likeness
 
 
 def hygiene_report(docs: DataFrame) -> DataFrame:
@@ -61,7 +64,7 @@ def band_keys(docs: DataFrame, permutations: int = 128, rows_per_band: int = 4,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            who, sets, bands = [], [], []
+            who, sets, bands, signatures = [], [], [], []
             for i, t in enumerate(b.column(2)):
                 words = (t.as_py() or "").split()
                 if not words:
@@ -76,10 +79,11 @@ def band_keys(docs: DataFrame, permutations: int = 128, rows_per_band: int = 4,
                 who.append(i)
                 sets.append(s.view(np.int64))
                 bands.append(keys.view(np.int64))
+                signatures.append((least >> np.uint64(48)).astype(np.uint16).tobytes())
             longs = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays([*(b.column(c).take(pa.array(who, pa.int64())) for c in (0, 1)), pa.array(sets, longs), pa.array(bands, longs)], ["doc_id", "source", "set", "bands"])
+            yield pa.RecordBatch.from_arrays([*(b.column(c).take(pa.array(who, pa.int64())) for c in (0, 1)), pa.array(sets, longs), pa.array(bands, longs), pa.array(signatures, pa.binary())], ["doc_id", "source", "set", "bands", "signature"])
 
-    return docs.select("doc_id", "source", "text").mapInArrow(run, f"doc_id {kind}, source string, set array<long>, bands array<long>")
+    return docs.select("doc_id", "source", "text").mapInArrow(run, f"doc_id {kind}, source string, set array<long>, bands array<long>, signature binary")
 
 
 def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -146,20 +150,62 @@ def confirmed_links(reps: DataFrame, regions: DataFrame, threshold: float) -> Da
     return rows.groupBy("component", "at").applyInArrow(compare, f"rep {kind}, other {kind}")
 
 
+def likely_links(keys: DataFrame, signatures: DataFrame, threshold: float, permutations: int) -> DataFrame:
+    """(rep, other) that connect the classes of each bucket (source, band, h, rep) whose signatures (rep, signature) agree nearly as often as ``threshold`` says.
+
+    Buckets with the same members count once. A bucket is cut into blocks of ``BUCKET`` classes and each pair of blocks is compared,
+    many small ones in a task. A pair is let go only where its agreement lies ``MARGIN`` standard deviations below the threshold,
+    less often than once in a million pairs at it.
+    """
+    kind = dict(keys.dtypes)["rep"]
+    least = threshold - MARGIN * (threshold * (1 - threshold) / permutations) ** 0.5
+    members = keys.groupBy("source", "band", "h").agg(F.count("*").alias("n"), F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("who")).where("n > 1")
+    once = members.groupBy("source", "n", "who").agg(F.min(F.struct("band", "h")).alias("b")).select("source", "b.*", "n")
+    nb = F.ceil(F.col("n") / BUCKET).cast("int")
+    own = keys.join(once, ["source", "band", "h"]).withColumn("bucket", F.xxhash64("source", "band", "h")).withColumn("nb", nb).withColumn("blk", F.pmod(F.xxhash64("rep"), F.col("nb")).cast("int"))
+    pair = F.transform(F.sequence(F.lit(0), F.col("nb") - 1), lambda j: F.struct(F.least("blk", j).alias("i"), F.greatest("blk", j).alias("j")))
+    rows = own.select("bucket", "rep", "blk", F.explode(pair).alias("at")).join(signatures, "rep")
+    tasks = max(1, -(-keys.count() // TASK_ROWS))
+
+    def compare(t: pa.Table) -> pa.Table:
+        d = t.to_pandas()
+        a, b = [], []
+        for _, g in d.groupby(["bucket", "i", "j"], sort=False):
+            if len(g) < 2:
+                continue
+            sig, ids, blk = np.stack([np.frombuffer(x, np.uint16) for x in g["signature"]]), g["rep"].to_numpy(), g["blk"].to_numpy()
+            left, right = np.flatnonzero(blk == blk.min()), np.flatnonzero(blk == blk.max())
+            parent = list(range(len(ids)))
+
+            def find(x: int, parent: list[int] = parent) -> int:
+                while parent[x] != x:
+                    parent[x] = x = parent[parent[x]]
+                return x
+
+            for x in left:
+                for y in right[(sig[right] == sig[x]).mean(1) >= least]:
+                    if (p := find(x)) != (q := find(y)):  # links that connect, and no more
+                        parent[p] = q
+                        a.append(ids[x])
+                        b.append(ids[y])
+        return pa.table({"rep": pa.array(a, t.schema.field("rep").type), "other": pa.array(b, t.schema.field("rep").type)})
+
+    return rows.select("bucket", "rep", "blk", "at.*", "signature").groupBy(F.pmod(F.xxhash64("bucket", "i", "j"), F.lit(tasks))).applyInArrow(compare, f"rep {kind}, other {kind}")
+
+
 def near_duplicate_clusters(docs: DataFrame, threshold: float = 0.85, permutations: int = 128, rows_per_band: int = 4) -> DataFrame:
     """(doc_id, component) of documents linked, within one source, by a shingle likeness of ``threshold`` or more.
 
-    Equal sets are one class before banding. Classes that share a MinHash band are in one region, as are overlapping regions,
-    and all pairs of a region are confirmed on full sets, so no candidate goes unverified. A region of m different sets costs
-    m^2 / ``BLOCK`` copies of a set. A document without words is in no cluster.
+    Equal sets are one class before banding. Classes that share a MinHash band are compared by their signatures first, so that
+    common boilerplate links nothing; what is likely then makes regions, and all pairs of a region are confirmed on full sets.
+    A region of m different sets costs m^2 / ``BLOCK`` copies of a set. A document without words is in no cluster.
     """
-    d = materialize(band_keys(docs, permutations, rows_per_band).withColumn("key", F.sha2(F.to_json("set"), 256)), "sets")
+    d = materialize(band_keys(docs, permutations, rows_per_band).withColumn("key", F.sha2(F.concat_ws(",", F.col("set").cast("array<string>")), 256)), "sets")
     cls = materialize(d.groupBy("source", "key").agg(F.min("doc_id").alias("rep")), "classes")
-    reps = d.join(cls, ["source", "key"]).where("doc_id = rep").select("source", "rep", "set", "bands")
+    reps = d.join(cls, ["source", "key"]).where("doc_id = rep").select("source", "rep", "set", "bands", "signature")
     keys = materialize(reps.select("source", "rep", F.posexplode("bands").alias("band", "h")), "bands")
-    least = keys.groupBy("source", "band", "h").agg(F.min("rep").alias("least"), F.count("*").alias("n")).where("n > 1").drop("n")
-    met = keys.join(least, ["source", "band", "h"]).where("rep <> least").select("rep", "least").distinct()
-    regions = materialize(connected_components(met, "rep", "least"), "regions")
+    met = materialize(likely_links(keys, reps.select("rep", "signature"), threshold, permutations), "likely")
+    regions = materialize(connected_components(met, "rep", "other"), "regions")
     links = materialize(confirmed_links(reps.select("rep", "set"), regions, threshold), "links")
     same = d.join(cls, ["source", "key"]).where("doc_id <> rep").select("rep", F.col("doc_id").alias("other"))
     return connected_components(links.union(same), "rep", "other").select(F.col("node").alias("doc_id"), "component")

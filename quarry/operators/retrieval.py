@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.text import jaccard, tokens
+from quarry.operators.ivf import unit
 from quarry.operators.lexical import LexicalIndex, query_terms, ranked, saturated
 from quarry.session import broadcast_if_small, materialize
 
@@ -52,12 +53,6 @@ def sparse(docs: DataFrame | LexicalIndex, queries: DataFrame, k: int, allowed:
     return ranked(j.groupBy("qid", "doc_id").agg(F.sum(F.col("qtf") * F.col("tf")).cast("double").alias("score")), k)
 
 
-def unit(v: np.ndarray) -> np.ndarray:
-    """Rows of length 1; rows of zeros, or with a NaN or an infinity, become zeros."""
-    v = np.where(np.isfinite(v).all(axis=1, keepdims=True), v, 0.0)
-    return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-300)
-
-
 def dense(vectors: DataFrame, queries: DataFrame, k: int, block: int = 8_192, digits: int = 5) -> DataFrame:
     """Cosine top-k of (qid, vector) against (doc_id, vector): exact, in blocks of queries.
 

@@ -90,15 +90,16 @@ def chunk_failures(s, d):
 
 
 @plans.add("page_faults", """
-SELECT page_id, CASE page_id % 4 WHEN 0 THEN '# ' || url || chr(10) || chr(10) || 'open head' WHEN 1 THEN '| a | ' || page_id || ' |' || chr(10) || '| --- | --- |' || chr(10) || '| a | c\\|d |' WHEN 2 THEN '# ' || page_id || chr(10) || chr(10) || 'x² **b**' ELSE '' END AS markdown, NULL::VARCHAR AS fault FROM pages""")
+SELECT page_id, CASE page_id % 4 WHEN 0 THEN '# ' || url || chr(10) || chr(10) || 'open head' WHEN 1 THEN '| a | ' || page_id || ' |' || chr(10) || '| --- | --- |' || chr(10) || '| a | c\\|d |' WHEN 2 THEN '# ' || page_id || chr(10) || chr(10) || 'x² **b**' ELSE '' END AS markdown, CASE WHEN page_id % 8 = 3 THEN 'AssertionError: unknown status keyword ''foo'' in marked section' END AS fault FROM pages""")
 def page_faults(s, d):
-    """Pages built by rule (an open head, spans in a table, section tables, nothing), so that the Markdown is known."""
+    """Pages built by rule (an open head, spans in a table, section tables, nothing, markup that breaks the parser), so that the Markdown is known."""
     p, i = table(s, d, "pages"), F.col("page_id").cast("string")
     k = F.col("page_id") % 4
     html = (
         F.when(k == 0, F.concat(F.lit("<html><head><title>t</title><meta charset=utf-8><body><h1>"), F.col("url"), F.lit("</h1><p>open   head")))
         .when(k == 1, F.concat(F.lit("<table><tr><td rowspan=2>a</td><td>"), i, F.lit("</td></tr><tr><td>c|d</td></tr></table>")))
         .when(k == 2, F.concat(F.lit('<table id="HEADER:1;_Content"><tr><td>'), i, F.lit("</td></tr></table><p>x<sup>2</sup> <b>b</b><script>no()</script>")))
+        .when(F.col("page_id") % 8 == 3, F.concat(F.lit("<p>"), i, F.lit("<![foo[x]]>")))
     )
     return p.select("page_id", page_of(html, F.lit("")).alias("m")).select("page_id", "m.*")
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions.text import word_count
 from quarry.operators import retrieval as R
+from quarry.operators.ivf import InvertedFile
 from quarry.plans.base import Plans
 from quarry.plans.engine import Engine
 from quarry.session import materialize, table
@@ -100,6 +101,22 @@ def dense_topk(s, d):
     return R.dense(v, q, 10)
 
 
+@plans.add("ivf_exhaustive", DENSE_SQL)
+def ivf_exhaustive(s, d):
+    """The inverted file with all cells probed and no limit on what is rescored: equal to the exact search."""
+    v, q = _vectors(s, d)
+    index = InvertedFile(v)
+    return index.search(q, 10, probes=len(index.centres), depth=0)
+
+
+@plans.add("ivf_topk")
+def ivf_topk(s, d):
+    """The inverted file as it is meant to be used; tests/test_vectors.py measures its recall on sf0.1."""
+    v, q = _vectors(s, d)
+    index = InvertedFile(v)
+    return index.search(q, 10, probes=max(8, len(index.centres) * 3 // 4))
+
+
 @plans.add("rrf_hybrid", _ranked_sql("SELECT qid, doc_id, round(sum(1.0::DOUBLE / (60 + rank)), 6) AS score FROM (SELECT qid, doc_id, rank FROM bmr WHERE rank <= 50 UNION ALL SELECT qid, doc_id, rank FROM spr WHERE rank <= 50) GROUP BY 1, 2", 10))
 def rrf_hybrid(s, d):
     docs, q = _docs(s, d), _queries(s, d)

@@ -78,11 +78,24 @@ def test_citations(spark):
 def test_html():
     h = "<html><head><title>t</title></head><body><nav>no</nav><h1>A &amp; B</h1><p>x<sup>2</sup> <b>bold</b><br>y</p><ul><li>one<li>two</ul><a href='/p?q'>in</a><a href='#t'>jump</a><table><tr><td rowspan=2>a</td><td>b</td></tr><tr><td>c|d</td></tr></table><table><tr><td>only</td></tr></table><script>bad()</script>"
     m = html_to_markdown(h, "http://h.org/z/")
-    assert m.startswith("# A & B") and "x² **bold**\ny" in m and "- one\n- two" in m and "[in](http://h.org/p?q)jump" in m
-    assert "| a | b |\n| --- | --- |\n| a | c\\|d |" in m and "only" in m and "bad" not in m and "no" not in m.split("\n")[0]
+    assert m.startswith("no\n\n# A & B") and "x² **bold**\ny" in m and "- one\n- two" in m and "[in](http://h.org/p?q)jump" in m
+    assert "| a | b |\n| --- | --- |\n| a | c\\|d |" in m and "only" in m and "bad" not in m
     assert html_to_markdown(None) == "" and html_to_markdown("<p>") == ""
     assert html_to_markdown("<html><head><title>t</title><meta charset=x><body><p>seen") == "seen"  # the head is not closed
     assert html_to_markdown("<form><p>gone<div>gone</form><p>kept") == "kept" and html_to_markdown("<head><style>x</style></head>a<script>b</script>c") == "ac"
     page = '<table id="DOCUMENT:1;HEADER:1;_Content"><tr><td><b>Law</b> on x</td></tr></table><table id="DOCUMENT:1;CHAPTER:1;_Title"><tr><td>One</td></tr></table>'
     page += '<table id="DOCUMENT:1;CHAPTER:1;ARTICLE:2;_Content"><tr><td><p>body</p><table><tr><td>1</td><td>2</td></tr></table></td></tr></table>'
     assert html_to_markdown(page) == "# Law on x\n\n## One\n\nbody\n\n| 1 | 2 |\n| --- | --- |"
+
+
+def test_sections_by_their_ids_and_what_is_dropped():
+    from quarry.functions.html import parsed, section_of
+
+    known = {
+        "DOCUMENT:1;ENCLOSURE:1;CHAPTER:1;_Title": ("heading", 3), "HEADER:1;_Content": ("heading", 1), "DOCUMENT:1;HEADER:1;_Title": ("block", 0), "DOCUMENT:1;ENCLOSURE:1;HEADER:1;_Title": ("heading", 2),
+        "DOCUMENT:1;ARTICLE:4;_Title": ("heading", 2), "DOCUMENT:1;ARTICLE:4;_Content": ("block", 0), "POINT:1;_Title": ("heading", 2), "ENCLOSURE:1;HEADER:1;_Content": ("block", 0), "BOOK;" * 9 + "_Title": ("heading", 6), "t1": None, "": None,
+    }
+    assert {k: section_of(k) for k in known} == known
+    assert html_to_markdown("<nav><a href='#x'>m</a><p>kept") == "m\n\nkept"
+    assert html_to_markdown("<article><header><h1>T</h1></header><div class='a hide'>gone<div>too</div></div>kept") == "# T\n\nkept"
+    assert parsed("<p>a<![foo[x]]>") == ("", "AssertionError: unknown status keyword 'foo' in marked section")
