@@ -10,6 +10,7 @@ from quarry.plans.base import Plans
 from quarry.session import shared_dir, table
 from quarry.streaming import ingest as S
 from quarry.streaming.merge import MergeTable
+from quarry.streaming.retries import OUTPUT, last_states, track_retries
 
 plans = Plans()
 
@@ -76,3 +77,18 @@ def merge_on_read(s, d):
     for _ in range(2):
         state = t.stage(state, 1, lines.where("l_orderkey % 3 = 0").withColumn("version", F.lit("second")), gone)
     return t.read(t.stage(state, 2, tails=lines.where("l_orderkey % 4 = 1").select("l_orderkey", F.lit(3).alias("count"))))
+
+
+@plans.add("stream_retries", """
+WITH e AS (SELECT user_id AS key, event_type = 'error' AS bad, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events WHERE user_id IS NOT NULL),
+g AS (SELECT *, sum((NOT bad)::INT) OVER (PARTITION BY key ORDER BY n) AS ok FROM e),
+r AS (SELECT *, CASE WHEN bad THEN row_number() OVER (PARTITION BY key, ok, bad ORDER BY n) ELSE 0 END AS run FROM g),
+l AS (SELECT key, arg_max(run, n) AS run, coalesce(bool_or(run >= 3), false) AS dead FROM r GROUP BY key)
+SELECT key, CASE WHEN dead THEN 'dead' WHEN run > 0 THEN 'waiting' ELSE 'done' END AS status, CASE WHEN dead THEN 3 ELSE run END AS attempts FROM l""")
+def stream_retries(s, d):
+    """Events as attempts of their users, errors as failures: three in a row are one too many. Attempts and timers are in the state store."""
+    rows = _stream(s, d).select(F.col("user_id").alias("key"), F.col("event_id").alias("id"), F.col("ts").alias("at"), (F.col("event_type") != "error").alias("ok"))
+    root = f"{shared_dir(s)}/quarry/stream-{uuid.uuid4().hex}"
+    put = lambda df, n: df.write.mode("overwrite").parquet(f"{root}/rows/batch={n}")
+    track_retries(rows, "400 days", 3).writeStream.outputMode("update").foreachBatch(put).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return last_states(s.read.schema(OUTPUT).parquet(f"{root}/rows")).select("key", "status", "attempts")

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from quarry.functions.text import content_hash
 from quarry.session import materialize, release, shared_dir
 from quarry.sinks import files
-from quarry.streaming.merge import RATIO, MergeTable, key_columns, same_key
+from quarry.streaming.merge import RATIO, MergeTable
 
 
 class Pointers:
@@ -119,9 +119,10 @@ class Ingest:
         if before["batch"] >= number:  # done before a restart
             return
         rows = df.select("doc_id", "text", content_hash(F.col("text")).alias("hash"), F.lit(0).alias("attempts"))
-        fresh = rows.groupBy("doc_id").agg(F.max_by(F.struct("text", "hash", "attempts"), "hash").alias("r")).select("doc_id", "r.*")
-        again = self.retries().join(key_columns(fresh, ["doc_id"]), same_key(["doc_id"]), "left_anti").select("doc_id", "text", "hash", "attempts")
-        todo = materialize(fresh.unionByName(again), "todo")
+        waiting = self.retries().select("doc_id", "text", "hash", "attempts", F.lit(0).alias("new"))
+        both = rows.withColumn("new", F.lit(1)).unionByName(waiting)  # one read of the batch, which replaces what waits under its keys
+        todo = both.groupBy("doc_id").agg(F.max_by(F.struct("text", "hash", "attempts"), F.struct("new", "hash")).alias("r")).select("doc_id", "r.*")
+        todo = materialize(todo, "todo")
         old = self.table.read(before.get("documents", {}), todo, todo.count())
         known = detect_changes(todo, old, ["doc_id"])
         checked = materialize(self.check(known) if self.check else known.withColumn("reason", F.lit(None).cast("string")), "checked")
