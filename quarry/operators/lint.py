@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -61,3 +63,12 @@ def rollout(events: DataFrame) -> DataFrame:
     """
     g = events.groupBy("candidate").agg(F.count_if(F.col("event") == "promote").alias("p"), F.bool_or(F.col("event") == "breach").alias("b"))
     return g.select("candidate", F.when(F.col("b"), "rolled_back").when(F.col("p") == 0, "shadow").when(F.col("p") == 1, "five_percent").otherwise("production").alias("stage"))
+
+
+def joint_report(audits: dict[str, DataFrame]) -> DataFrame:
+    """(audit, code, n): findings of several audits (each with a column code) by code; an audit without findings is one row, ok, without a count."""
+    spark = next(iter(audits.values())).sparkSession
+    rows = reduce(DataFrame.unionByName, [a.select(F.lit(name).alias("audit"), "code") for name, a in audits.items()])
+    names = spark.createDataFrame([(n,) for n in audits], "audit string")
+    counts = rows.groupBy("audit", "code").agg(F.count("*").alias("n"))
+    return names.join(counts, "audit", "left").select("audit", F.coalesce("code", F.lit("ok")).alias("code"), "n")
