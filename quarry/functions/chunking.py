@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
 from itertools import accumulate
 
@@ -62,12 +63,13 @@ def halved(text: str, start: int, end: int, cost: Callable[[str], int], budget:
     return halved(text, start, middle, cost, budget) + halved(text, middle, end, cost, budget)
 
 
-def chunk_spans(text: str, start: int, end: int, cost: Callable[[str], int], budget: int, overlap: int, least: int) -> list[tuple[int, int, int]]:
-    """(start, end, tokens) of the chunks of one section."""
-    words = [w for m in re.compile(r"\S+").finditer(text, start, end) for w in halved(text, m.start(), m.end(), cost, budget)]
+def chunk_spans(text: str, start: int, end: int, cost: Callable[[str], int] | None, budget: int, overlap: int, least: int) -> list[tuple[int, int, int]]:
+    """(start, end, tokens) of the chunks of one section; without ``cost`` each word is one token."""
+    found = re.compile(r"\S+").finditer(text, start, end)
+    words = [w for m in found for w in halved(text, m.start(), m.end(), cost, budget)] if cost else [m.span() for m in found]
     if not words:
         return []
-    total = [0, *accumulate(max(1, cost(text[a:b])) for a, b in words)]
+    total = [0, *accumulate(max(1, cost(text[a:b])) for a, b in words)] if cost else range(len(words) + 1)
     gaps = [text[words[i][1] : words[i + 1][0]] for i in range(len(words) - 1)]
     para = [0, *(i + 1 for i, g in enumerate(gaps) if g.count("\n") > 1), len(words)]
     units: list[tuple[int, int]] = []
@@ -78,9 +80,7 @@ def chunk_spans(text: str, start: int, end: int, cost: Callable[[str], int], bud
         ends = [a, *(i + 1 for i in range(a, b - 1) if text[words[i][1] - 1] in ".!?…"), b]
         for s, e in zip(ends, ends[1:], strict=False):
             while total[e] - total[s] > budget:
-                cut = s + 1
-                while cut < e and total[cut + 1] - total[s] <= budget:
-                    cut += 1
+                cut = min(e, max(s + 1, bisect_right(total, total[s] + budget) - 1))
                 units.append((s, cut))
                 s = cut
             if s < e:
@@ -101,7 +101,7 @@ def chunk_spans(text: str, start: int, end: int, cost: Callable[[str], int], bud
     return [(words[a][0], words[b - 1][1], total[b] - total[a]) for a, b in spans]
 
 
-def chunks(text: str | None, budget: int = MAX_TOKENS, overlap: int = OVERLAP, least: int = MIN_TOKENS, cost: Callable[[str], int] = lambda w: 1) -> list[tuple]:
+def chunks(text: str | None, budget: int = MAX_TOKENS, overlap: int = OVERLAP, least: int = MIN_TOKENS, cost: Callable[[str], int] | None = None) -> list[tuple]:
     """The chunks of a document in order, as rows of SCHEMA. Null and blank texts have none."""
     text, out = text or "", []
     for path, article, start, end in sections(text):
@@ -111,7 +111,7 @@ def chunks(text: str | None, budget: int = MAX_TOKENS, overlap: int = OVERLAP, l
     return out
 
 
-def chunk_documents(docs: DataFrame, budget: int = MAX_TOKENS, overlap: int = OVERLAP, least: int = MIN_TOKENS, cost: Callable[[str], int] = lambda w: 1) -> DataFrame:
+def chunk_documents(docs: DataFrame, budget: int = MAX_TOKENS, overlap: int = OVERLAP, least: int = MIN_TOKENS, cost: Callable[[str], int] | None = None) -> DataFrame:
     """(doc_id, chunk...) of every document: a map over Arrow batches without a shuffle. ``cost`` counts the tokens of a word (by default one)."""
     kind = dict(docs.dtypes)["doc_id"]
     names = ["chunk_index", "heading_path", "article_id", "char_start", "char_end", "token_count", "text", "passage_hash"]

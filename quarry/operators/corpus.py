@@ -19,6 +19,7 @@ from quarry.session import broadcast_if_small, materialize
 SUSPECT = 40  # members beyond which a key is more likely a placeholder than a duplicate
 BLOCK = 192  # classes of a region in one block
 BUCKET = 1_024  # classes of a bucket in one block, compared by signature
+HOT_ROWS = 1_000_000  # rows of a key that one task may sort
 TASK_ROWS = 20_000  # rows of small buckets that one task compares
 MARGIN = 5  # standard deviations of an estimated likeness
 
@@ -268,13 +269,18 @@ def versions_as_of(versions: DataFrame, as_of) -> DataFrame:
 def asof_join(left: DataFrame, right: DataFrame, key: str, time: str, value: str, parts: int = 64) -> DataFrame:
     """Each left row with the last right value at or before its time, of the same key; of equal times the greatest value. A null key meets nothing.
 
-    Time is cut at ``parts`` approximate quantiles, so a hot key is many groups and none of them is one task's whole key. Within a group a
-    window finds the last value; a left row before the first value of its group takes the last of the key's earlier
-    groups, which are at most ``parts`` a key.
+    Within a key a window finds the last value. Where a key has more than ``HOT_ROWS`` rows, time is cut at ``parts`` approximate
+    quantiles, so a hot key is many groups and none of them is one task's whole key; a left row before the first value of its group
+    takes the last of the key's earlier groups, which are at most ``parts`` a key.
     """
     both = left.select(key, time, F.lit(1).alias("__l"), F.lit(None).alias("__v"), F.struct(*left.columns).alias("__r")).unionByName(
         right.where(F.col(value).isNotNull()).select(key, time, F.lit(0).alias("__l"), F.col(value).alias("__v"), F.lit(None).alias("__r"))
     )
+    most = left.select(key).unionByName(right.select(key)).groupBy(key).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    if most <= HOT_ROWS:
+        w = Window.partitionBy(key).orderBy(time, "__l", "__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        own = both.withColumn("__v", F.last("__v", ignorenulls=True).over(w)).where("__l = 1")
+        return own.select("__r.*", F.when(F.col(key).isNotNull(), F.col("__v")).alias(f"asof_{value}"))
     edges = right.agg(F.percentile_approx(time, [i / parts for i in range(1, parts)]).alias("e")).first().e or []  # ``parts`` values
     part = F.lit(0)
     for i, e in enumerate(sorted(set(edges))):

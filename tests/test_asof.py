@@ -1,9 +1,14 @@
 import random
 
+import pytest
+
+from quarry.operators import corpus
 from quarry.operators.corpus import asof_join
 
 
-def test_against_a_plain_search(spark):
+@pytest.mark.parametrize("hot", [10, 1_000_000])
+def test_against_a_plain_search(spark, monkeypatch, hot):
+    monkeypatch.setattr(corpus, "HOT_ROWS", hot)
     rnd = random.Random(1)
     key = lambda: 1 if rnd.random() < 0.5 else rnd.choice([2, 3, 4, None])  # noqa: E731  half of the rows have one key
     left = [(i, key(), rnd.randrange(400)) for i in range(300)]
