@@ -100,36 +100,49 @@ def topic_windows(windows: DataFrame, topics: DataFrame) -> DataFrame:
 class SeenStore:
     """What has been seen (key, outcome, last_success, content_hash, at), in two phases: a run's rows are staged, then committed or rolled back as a whole.
 
-    Staged rows are read by nobody. A commit is one renamed pointer, so a crash leaves a run staged; repeating a stage or a commit changes nothing.
+    Staged rows are read by nobody. A commit is one renamed pointer that names the run's folder among the deltas, so it writes nothing else
+    and a crash leaves the run staged; a reader merges base and deltas in one aggregation. With ``MOST`` deltas a commit also writes a new
+    base. Repeating a stage or a commit changes nothing; a committed run is not rolled back.
     """
 
     SCHEMA = "key long, outcome string, last_success long, content_hash string, at long"
+    MOST = 16
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root, self.pointers = spark, root.rstrip("/"), Pointers(spark, root)
 
+    def _folders(self, names: list[str]) -> DataFrame:
+        return self.spark.read.schema(self.SCHEMA).parquet(*[f"{self.root}/{n}" for n in names]) if names else self.spark.createDataFrame([], self.SCHEMA)
+
+    def _merged(self, p: dict) -> DataFrame:
+        return merge_seen(self._folders([p["base"]] if p.get("base") else []), self._folders(p.get("deltas", [])))
+
     def read(self) -> DataFrame:
-        p = self.pointers.current()
-        return self.spark.read.schema(self.SCHEMA).parquet(f"{self.root}/{p['folder']}") if p["batch"] >= 0 else self.spark.createDataFrame([], self.SCHEMA)
+        return self._merged(self.pointers.current())
 
     def stage(self, run: str, rows: DataFrame) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.root}/staged/{run}")
+        if run not in self.pointers.current().get("runs", []):
+            rows.write.mode("overwrite").parquet(f"{self.root}/staged/{run}")
 
     def commit(self, run: str, tries: int = 5) -> None:
-        """Merge a staged run. A run committed by another writer meanwhile stays: the merge is made again on top of it, ``tries`` times at most."""
+        """Make a staged run visible. A run committed by another writer meanwhile stays: the pointer is made again on top of it, ``tries`` times at most."""
         for left in reversed(range(tries)):
             p = self.pointers.current()
             if run in p.get("runs", []):
                 return
-            rows = self.spark.read.schema(self.SCHEMA).parquet(f"{self.root}/staged/{run}")
-            folder = f"v{p['batch'] + 1}-{uuid.uuid4().hex}"
-            merge_seen(self.read(), rows).write.parquet(f"{self.root}/{folder}")
+            new = {"runs": p.get("runs", []) + [run], "base": p.get("base"), "deltas": p.get("deltas", []) + [f"staged/{run}"]}
+            if len(new["deltas"]) >= self.MOST:
+                base = f"base-{p['batch'] + 1}-{uuid.uuid4().hex}"
+                self._merged(new).write.parquet(f"{self.root}/{base}")
+                new |= {"base": base, "deltas": []}
             try:
-                return self.pointers.put(p["batch"] + 1, {"runs": p.get("runs", []) + [run], "folder": folder})
+                return self.pointers.put(p["batch"] + 1, new)
             except NameTaken:
                 if not left:
                     raise
 
     def rollback(self, run: str) -> None:
+        if run in self.pointers.current().get("runs", []):
+            raise ValueError(f"{run} is committed")
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/staged/{run}")
         path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)

@@ -58,3 +58,25 @@ def test_upsert_and_tail_are_idempotent_for_nulls_and_repeats(spark):
     counts = spark.createDataFrame([(None, 1), (1, 3), (1, 6), (1, 1)], "d int, chunk_count int")
     cut = C.drop_stale_tail(chunks, counts, ["d"])
     assert {tuple(r) for r in cut.collect()} == {(None, 0), (1, 0), (2, 7)} and cut.count() == C.drop_stale_tail(cut, counts, ["d"]).count() == 3
+
+
+def test_seen_runs_are_committed_without_rewriting(spark, tmp_path, monkeypatch):
+    from quarry.operators.agreement import SeenStore
+
+    monkeypatch.setattr(SeenStore, "MOST", 3)
+    s = SeenStore(spark, str(tmp_path / "s"))
+    rows = lambda *r: spark.createDataFrame(list(r), SeenStore.SCHEMA)
+    runs = [[(1, "success", 1, "a", 1), (None, "success", 1, "n", 1)], [(1, "incomplete", None, None, 2), (2, "incomplete", None, None, 2)], [(1, "success", 3, "c", 3)], [(1, "incomplete", None, None, 4)]]
+    for i, r in enumerate(runs):
+        s.stage(f"r{i}", rows(*r))
+        size = len(list((tmp_path / "s").rglob("*.parquet")))
+        s.commit(f"r{i}")
+        s.stage(f"r{i}", rows((9, "success", 9, "z", 9)))  # a repeat after the commit
+        s.commit(f"r{i}")
+        assert (len(list((tmp_path / "s").rglob("*.parquet"))) > size) == (i == 2)  # only the third writes a base
+    assert {tuple(r) for r in s.read().collect()} == {(1, "incomplete", 3, "c", 4), (2, "incomplete", None, None, 2), (None, "success", 1, "n", 1)}
+    s.stage("r9", rows((7, "success", 7, "q", 7)))
+    s.rollback("r9")
+    with pytest.raises(ValueError):
+        s.rollback("r0")
+    assert s.read().where("key = 7").count() == 0
