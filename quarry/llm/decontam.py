@@ -17,6 +17,9 @@ WIDTH = 5
 PERCENT = 80
 SPARE = 2  # hits wanted beyond the one that is certain, where the item is long enough
 
+#: Bytes of all items' shingles up to which they are broadcast to the confirmation.
+BROADCAST_BYTES = 64 << 20
+
 
 def words_of(text: Column) -> Column:
     """Lower-cased runs of letters and digits; null text has none."""
@@ -55,8 +58,8 @@ def find_contamination(docs: DataFrame, items: DataFrame, percent: int = PERCENT
 
     ``docs`` needs doc_id and text, ``items`` item_id and text; other columns are ignored. Null or empty texts hold
     nothing and are held by nothing. Rows that share a doc_id (null included) or an item_id count as one, with the
-    largest containment of any of their rows. Empty tables give an empty result. The item side is broadcast only
-    when its counted rows are within the limit; beyond it the same plan shuffles on the shingle hash.
+    largest containment of any of their rows. Empty tables give an empty result. Sketches are broadcast only when
+    their counted rows are within the limit, the items' shingles when their measured bytes are; beyond it the same plan shuffles.
     """
     known, sk = sketches(items, percent, width)
     known, sk = materialize(known, "items"), materialize(sk, "sketch")
@@ -74,7 +77,9 @@ def find_contamination(docs: DataFrame, items: DataFrame, percent: int = PERCENT
     ids = found.select(F.col("doc_id").alias("__id")).distinct()
     near = docs.select("doc_id", "text").join(broadcast_if_small(ids, n), F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
     near = near.withColumn("w", words_of(F.col("text"))).select(F.col("doc_id").alias("__id"), *[shingle_texts(F.col("w"), k).alias(f"s{k}") for k in widths])
-    pairs = broadcast_if_small(found, n).join(near, F.col("doc_id").eqNullSafe(F.col("__id"))).join(broadcast_if_small(known, known.count()), ["item_id", "item_key"])
+    size = known.agg(F.sum(F.aggregate("item_shingles", F.lit(0).cast("long"), lambda a, x: a + F.octet_length(x) + 16))).first()[0] or 0
+    known = F.broadcast(known) if size <= BROADCAST_BYTES else known
+    pairs = broadcast_if_small(found, n).join(near, F.col("doc_id").eqNullSafe(F.col("__id"))).join(known, ["item_id", "item_key"])
     held = F.lit(0)
     for k in widths:
         held = F.when(F.col("width") == k, F.size(F.array_intersect("item_shingles", f"s{k}"))).otherwise(held)

@@ -225,11 +225,11 @@ def pack(pieces: DataFrame, size: int = SIZE) -> DataFrame:
     Every piece lies in exactly one sequence; offsets are gapless from 0. Pieces of equal length are ranked in
     buckets of about ``RANK_ROWS`` rows, so a length that a third of the pieces share is spread over many tasks. A
     piece's number in the written table takes part in its bucket, so equal pieces are spread too. Only the length histogram reaches the driver. Empty input, empty result.
-    Lengths outside 1..size are refused.
+    Lengths outside 1..size are refused; columns that have the two names already are replaced.
     """
     spark = pieces.sparkSession
-    columns = pieces.columns
-    pieces = materialize(pieces.withColumn("__m", F.monotonically_increasing_id()), "pieces")
+    columns = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
+    pieces = materialize(pieces.select(*columns).withColumn("__m", F.monotonically_increasing_id()), "pieces")
     demand = {int(r[0]): int(r[1]) for r in pieces.groupBy("length").count().collect()}  # at most size rows
     if any(not 1 <= n <= size for n in demand):
         raise ValueError(f"piece lengths must be in 1..{size}")
