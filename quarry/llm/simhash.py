@@ -17,6 +17,8 @@ from quarry.session import materialize
 
 BITS = 256
 PART = 2_048  # rows of a bucket in one part
+AT_ONCE = 1 << 18  # comparisons made, and pairs handed on, in one go
+COMPARED, TASKS = 1e8, 4_096  # comparisons for which one more task is planned, and the most tasks
 WORDS_KEPT = 500_000  # term hashes a worker remembers before it starts afresh; a speed bound only
 
 
@@ -91,59 +93,115 @@ def fingerprints(docs: DataFrame, bits: int = BITS, doc_id: str = "doc_id", text
     return docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")).mapInArrow(run, f"doc_id {kind}, fingerprint string")
 
 
+def even_blocks(ones: np.ndarray, total: int, blocks: int) -> np.ndarray:
+    """(blocks, words): masks that cut the bits into runs of about equal entropy, given in how many of ``total`` fingerprints each bit is 1."""
+    p = np.clip(ones / max(1, total), 1e-12, 1 - 1e-12)
+    h = -(p * np.log2(p) + (1 - p) * np.log2(1 - p))
+    before = np.cumsum(h) - h / 2
+    block = np.minimum((before / h.sum() * blocks).astype(np.int64), blocks - 1)
+    bits = block[None, :] == np.arange(blocks)[:, None]
+    return np.packbits(bits, axis=1).view(np.uint64)
+
+
+def _words(fingerprints: pa.Array, bits: int) -> np.ndarray:
+    return np.frombuffer(bytes.fromhex("".join(fingerprints.to_pylist())), np.uint64).reshape(len(fingerprints), bits // 64)
+
+
 def near_fingerprints(fps: DataFrame, radius: int, bits: int = BITS, spare: int = 1) -> tuple[DataFrame, DataFrame]:
     """All pairs of different fingerprints within ``radius`` bits: (pairs a, b, distance; members doc_id, fingerprint).
 
-    A fingerprint is cut into radius + 1 + ``spare`` blocks of hex digits, as even as can be. Two within the radius agree
-    on 1 + ``spare`` whole blocks at least, so one table for each choice of so many blocks finds them all. Equal
-    fingerprints are one row in the tables. A bucket (the rows of one table with one block key) is compared in pairs of parts of
-    about ``PART`` rows, each pair of parts in one go, and only pairs within the radius come out: no bucket is gathered
-    and no two that are farther apart are emitted. Null fingerprints are left out of the pairs. Documents join to the
-    pairs through the members. The blocks must have at least one hex digit each.
+    A fingerprint is cut into radius + 1 + ``spare`` blocks of bits. Two within the radius agree on 1 + ``spare`` whole
+    blocks at least, so one table for each choice of so many blocks finds them all. Blocks are cut where the bits that tell
+    the given fingerprints apart fall evenly: a bit that all share makes no bucket smaller. Equal fingerprints are one row
+    in the tables. A bucket (the rows of one table with one block key) is compared in pairs of parts of about ``PART`` rows,
+    each pair of parts in one go. A pair comes out of the first table that its blocks agree in, and of no other, so no
+    bucket is gathered, no two that are farther apart are emitted and none is emitted twice. Null fingerprints are left out
+    of the pairs. Documents join to the pairs through the members.
     """
-    digits, blocks = bits // 4, radius + 1 + spare
-    if blocks > digits:
+    blocks = radius + 1 + spare
+    if blocks > bits // 4:
         raise ValueError("radius too large for the fingerprint")
-    ends = [digits * i // blocks for i in range(blocks + 1)]
     one = materialize(fps.where("fingerprint is not null").select("fingerprint").distinct(), "fingerprints")
-    tables = []
-    for t, chosen in enumerate(itertools.combinations(range(blocks), 1 + spare)):
-        tables.append(F.xxhash64(F.lit(t), *[F.substring("fingerprint", ends[i] + 1, ends[i + 1] - ends[i]) for i in chosen]))
-    rows = one.select("fingerprint", F.explode(F.array(*tables)).alias("key"))
-    met = rows.groupBy("key").count().where("count > 1").select(F.col("key").alias("__key"), F.ceil(F.col("count") / PART).cast("int").alias("parts"))
-    rows = rows.join(met, F.col("key") == F.col("__key")).withColumn("part", F.pmod(F.xxhash64("fingerprint"), F.col("parts")).cast("int"))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ones = np.unpackbits(_words(b.column(0), bits).view(np.uint8), axis=1).sum(axis=0, dtype=np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(-1, bits)), pa.array(np.concatenate([[b.num_rows], ones]))], ["bit", "n"])
+
+    seen = dict(one.mapInArrow(count, "bit long, n long").groupBy("bit").agg(F.sum("n")).collect())  # a row a bit, and the total as bit -1
+    cut = even_blocks(np.array([seen.get(i, 0) for i in range(bits)]), seen.get(-1, 0), blocks)
+    masks = np.array([np.bitwise_or.reduce(cut[list(chosen)]) for chosen in itertools.combinations(range(blocks), 1 + spare)])
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            fp = _words(b.column(0), bits)
+            for t, mask in enumerate(masks):
+                key = np.full(len(fp), t, np.uint64)
+                for w in range(fp.shape[1]):
+                    key = Fingerprinter._mix(key * np.uint64(3) + (fp[:, w] & mask[w]))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(fp), t, np.int32)), pa.array(key.view(np.int64)), b.column(0)], ["t", "key", "fingerprint"])
+
+    rows = one.mapInArrow(spread, "t int, key long, fingerprint string")
+    met = rows.groupBy("t", "key").count().where("count > 1")
+    met = materialize(met.select(F.col("t").alias("__t"), F.col("key").alias("__key"), "count", F.ceil(F.col("count") / PART).cast("int").alias("parts")), "met")
+    work = met.agg(F.sum(F.col("count").cast("double") * F.col("count"))).first()[0] or 0
+    rows = rows.join(met, (F.col("t") == F.col("__t")) & (F.col("key") == F.col("__key"))).withColumn("part", F.pmod(F.xxhash64("fingerprint"), F.col("parts")).cast("int"))
     pair = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda j: F.struct(F.least("part", j).alias("i"), F.greatest("part", j).alias("j")))
-    rows = rows.select("key", "part", "fingerprint", F.explode(pair).alias("at")).select("key", "at.i", "at.j", "part", "fingerprint")
-    rows = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "part", "fingerprint")
+    rows = rows.select("t", "key", "part", "fingerprint", F.explode(pair).alias("at")).select("t", "key", "at.i", "at.j", "part", "fingerprint")
+    least = int(one.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(int(min(TASKS, max(least, work / COMPARED))), "t", "key", "i", "j").sortWithinPartitions("t", "key", "i", "j", "part", "fingerprint")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for b in batches:
             t = pa.concat_batches([held, b]) if held is not None else b
-            key = np.column_stack([t.column(k).to_numpy() for k in range(3)])
+            key = np.column_stack([t.column(k).to_numpy() for k in range(4)])
             starts = np.concatenate([[0], np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1]) if len(key) else np.zeros(0, np.int64)
             if len(starts):
-                yield near(t.slice(0, int(starts[-1])), starts)
+                yield from near(t.slice(0, int(starts[-1])), starts)
                 held = t.slice(int(starts[-1]))
         if held is not None:
-            yield near(held, np.array([0, held.num_rows]))
-
-    def near(t: pa.RecordBatch, starts: np.ndarray) -> pa.RecordBatch:
-        fp = np.frombuffer(bytes.fromhex("".join(t.column(4).to_pylist())), np.uint64).reshape(t.num_rows, bits // 64)
-        part, lo = t.column(3).to_numpy(), t.column(1).to_numpy()
-        left, right, far = [], [], []
-        for a, z in zip(starts[:-1], starts[1:], strict=True):
+            yield from near(held, np.array([0, held.num_rows]))
+
+    def first_met(fp: np.ndarray, table: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Whether the pairs' own table is the first whose blocks agree."""
+        x, own = fp[i] ^ fp[j], table[i]
+        agree = lambda t: ~(x & masks[t]).any(axis=1)
+        ok = agree(own)
+        for t in range(int(own.max(initial=0))):
+            ok &= ~(agree(t) & (own > t))
+        return ok
+
+    def near(t: pa.RecordBatch, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        fp, table = _words(t.column(5), bits), t.column(0).to_numpy()
+        part, lo = t.column(4).to_numpy(), t.column(2).to_numpy()
+        left, right, far, size = [], [], [], 0
+
+        def out() -> pa.RecordBatch:
+            i, j, d = (np.concatenate(x).astype(np.int64) if x else np.zeros(0, np.int64) for x in (left, right, far))
+            ok = np.flatnonzero(first_met(fp, table, i, j))
+            left.clear(), right.clear(), far.clear()
+            return pa.RecordBatch.from_arrays([t.column(5).take(pa.array(i[ok])), t.column(5).take(pa.array(j[ok])), pa.array(d[ok])], ["x", "y", "distance"])
+
+        for a, z in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
             same = part[a] == part[z - 1]
-            n = int((part[a:z] == lo[a:z]).sum())
-            for k in range(int(a), int(z) - 1 if same else int(a) + n):
-                at = k + 1 if same else int(a) + n
-                d = np.bitwise_count(fp[k] ^ fp[at:z]).sum(axis=1)
-                x = np.flatnonzero(d <= radius)
-                left.append(np.full(len(x), k)), right.append(at + x), far.append(d[x])
-        i, j, d = (np.concatenate(x).astype(np.int64) if x else np.zeros(0, np.int64) for x in (left, right, far))
-        return pa.RecordBatch.from_arrays([t.column(4).take(pa.array(i)), t.column(4).take(pa.array(j)), pa.array(d)], ["x", "y", "distance"])
-
-    pairs = rows.mapInArrow(compare, "x string, y string, distance long").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "distance").distinct()
+            n = z - a if same else int((part[a:z] == lo[a:z]).sum())
+            at = a if same else a + n
+            step = max(1, AT_ONCE // max(1, z - at))
+            for k in range(a, a + n, step):
+                stop, first = min(k + step, a + n), k if same else at
+                d = sum(np.bitwise_count(fp[k:stop, None, w] ^ fp[None, first:z, w]).astype(np.uint16) for w in range(fp.shape[1]))
+                x, y = np.nonzero(d <= radius)
+                if same:
+                    x, y = x[after := y > x], y[after]
+                left.append(k + x), right.append(first + y), far.append(d[x, y])
+                size += len(x)
+                if size > AT_ONCE:
+                    yield out()
+                    size = 0
+        yield out()
+
+    pairs = rows.mapInArrow(compare, "x string, y string, distance long").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "distance")
     return pairs, fps.select("doc_id", "fingerprint")
 
 

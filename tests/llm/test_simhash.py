@@ -3,6 +3,7 @@ import math
 import random
 from collections import Counter
 
+import numpy as np
 import xxhash
 
 from quarry.llm import simhash
@@ -97,3 +98,16 @@ def test_edited_likeness(spark):
 def test_equal_texts_equal_fingerprints(spark):
     got = fingerprints(spark.createDataFrame([(1, "a b c"), (2, "a b c"), (3, None)], "doc_id long, text string")).collect()
     assert got[0].fingerprint == got[1].fingerprint and got[2].fingerprint == "0" * 64
+
+
+def test_bits_that_all_share_make_no_common_bucket(spark):
+    keys = spark.range(20_000).selectExpr("id as doc_id", "lpad(lower(hex(id)), 16, '0') as fingerprint")
+    ones = np.array([sum(i >> (63 - b) & 1 for i in range(20_000)) for b in range(64)])
+    masks = simhash.even_blocks(ones, 20_000, 4)
+    assert np.bitwise_or.reduce(masks) == 2**64 - 1 and all(not int(a[0]) & int(b[0]) for i, a in enumerate(masks) for b in masks[i + 1 :])
+    fp = np.frombuffer(b"".join(i.to_bytes(8, "big") for i in range(20_000)), np.uint64)
+    crowd = [np.unique(fp & (a[0] | b[0]), return_counts=True)[1].max() for i, a in enumerate(masks) for b in masks[i + 1 :]]
+    assert max(crowd) <= 512, "a bucket of whole blocks held all keys"
+    pairs = near_fingerprints(keys, 2, 64)[0]
+    want = sum((i ^ x < i) for i in range(20_000) for x in [1 << a | 1 << b for a in range(15) for b in range(a, 15)])
+    assert pairs.count() == want == pairs.select("a", "b").distinct().count()
