@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.session import materialize
+from quarry.session import broadcast_if_small, materialize
 
 EPS = 1e-9  # by which bounds are loosened against rounding; the last comparison is exact
+MEETINGS = 100  # meetings of prefixes a set, beyond which sets are compared in blocks instead
+COMMON = 512  # members that are bits of a set there
+BLOCK = 8_192  # sets in a block
+TILE = 1 << 20  # pairs of a block compared in one go
+TASKS = 4_096  # tasks that compare blocks, at most
 
 
 def by_rarity(sets: DataFrame, counts: DataFrame) -> DataFrame:
@@ -22,8 +31,9 @@ def set_join(left: DataFrame, right: DataFrame | None, threshold: float) -> Data
     Without ``right`` pairs are those of ``left`` with itself, a < b. Two sets that are alike enough share a member within the
     first n - floor(threshold n) of both, if members are ordered by rarity; so only these prefixes are joined, and only where
     sizes, and what can still follow that member, leave the threshold in reach. A member that all sets have is last in all
-    of them and in no prefix, unless the set has few others. What meets is compared in full. Sets without members or with a
-    null id are in no pair.
+    of them and in no prefix, unless the set has few others. What meets is compared in full. Where prefixes would meet more
+    than ``MEETINGS`` times a set, as they do under a low threshold, all sets are compared by ``in_blocks`` with the same result.
+    Sets without members or with a null id are in no pair.
     """
     own = right is None
     sides = [d.where(F.col("id").isNotNull() & (F.size("s") > 0)).select("id", "s") for d in ([left] if own else [left, right])]
@@ -37,6 +47,10 @@ def set_join(left: DataFrame, right: DataFrame | None, threshold: float) -> Data
     def heads(d: DataFrame, i: str) -> DataFrame:
         return d.select(F.col("id").alias(i), F.col("n").alias(f"n{i}"), F.posexplode(prefix).alias(f"p{i}", "term"))
 
+    heads_of = [heads(d, "a").groupBy("term").count() for d in ordered]
+    both = heads_of[0].select("term", F.col("count").alias("x")).join(heads_of[-1], "term").agg(F.sum(F.col("x").cast("double") * F.col("count"))).first()[0]
+    if (both or 0) > MEETINGS * sum(d.count() for d in ordered):
+        return in_blocks(ordered[0], None if own else ordered[1], threshold)
     small, large = F.least("na", "nb"), F.greatest("na", "nb")
     shared = 1 + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) - 1
     near = (small >= large * threshold - EPS) & (shared * (1 + threshold) >= (F.col("na") + F.col("nb")) * threshold - EPS)
@@ -44,3 +58,120 @@ def set_join(left: DataFrame, right: DataFrame | None, threshold: float) -> Data
     j = met.join(ordered[0].select(F.col("id").alias("a"), F.col("s").alias("x"), F.col("n").alias("na")), "a").join(ordered[-1].select(F.col("id").alias("b"), F.col("s").alias("y"), F.col("n").alias("nb")), "b")
     c = F.size(F.array_intersect("x", "y"))
     return j.select("a", "b", (c / (F.col("na") + F.col("nb") - c)).alias("likeness")).where(F.col("likeness") > threshold)
+
+
+def in_blocks(left: DataFrame, right: DataFrame | None, threshold: float) -> DataFrame:
+    """The result of ``set_join`` for (id, n, s) from ``by_rarity``, by comparing blocks of sets of a similar size with blocks.
+
+    Pairs of blocks whose sizes leave the threshold out of reach are not compared. A set is moved once for each block it meets, as
+    bits for its members among the ``COMMON`` most frequent ones and codes for the others; only pairs that are alike leave a
+    task, with their likeness, so no candidates are shuffled. Time grows with the product of both sides, a task's memory does not.
+    """
+    own, sides = right is None, [left] if right is None else [left, right]
+    spark, kind = left.sparkSession, {x: dict(d.dtypes)["id"] for x, d in (("a", left), ("b", sides[-1]))}
+    terms = sides[0].select(F.explode("s").alias("term"))
+    for d in sides[1:]:
+        terms = terms.unionByName(d.select(F.explode("s").alias("term")))
+    codes = materialize(terms.groupBy("term").agg(F.count("*").alias("df")).select("term", "df", F.monotonically_increasing_id().alias("code")), "codes")
+    common = np.sort(np.array([r.code for r in codes.orderBy(F.desc("df"), "term").limit(COMMON).collect()], dtype=np.int64))
+    step = F.floor(F.log2("n") * 4).cast("int")
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            members, size = b.column(3).flatten().to_numpy(), np.diff(b.column(3).offsets.to_numpy())
+            row, at = np.repeat(np.arange(b.num_rows), size), np.minimum(np.searchsorted(common, members), len(common) - 1)
+            is_bit = common[at] == members
+            bits = np.zeros((b.num_rows, COMMON), bool)
+            bits[row[is_bit], at[is_bit]] = True
+            left_out = np.concatenate([[0], np.cumsum(np.bincount(row[~is_bit], minlength=b.num_rows))])
+            rest = pa.ListArray.from_arrays(pa.array(left_out, pa.int32()), pa.array(members[~is_bit]))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array([x.tobytes() for x in np.packbits(bits, axis=1)], pa.binary()), rest], ["id", "n", "step", "bits", "rest"])
+
+    packed, sizes = [], []
+    for d, k in zip(sides, kind.values(), strict=False):
+        coded = d.select("id", "n", F.explode("s").alias("term")).join(codes, "term").groupBy("id", "n").agg(F.collect_list("code").alias("s"))
+        p = materialize(coded.select("id", "n", step.alias("step"), "s").mapInArrow(pack, f"id {k}, n int, step int, bits binary, rest array<long>"), "packed")
+        c = sorted(tuple(r) for r in p.groupBy("step").agg(F.count("*"), F.min("n"), F.max("n")).collect())  # a row a size step: at most 124
+        packed.append(p)
+        sizes.append([(s, -(-n // BLOCK), lo, hi) for s, n, lo, hi in c])
+    blocks = [[(s, i, lo, hi) for s, parts, lo, hi in x for i in range(parts)] for x in sizes]
+    fits = lambda x, y: min(x[3], y[3]) >= max(x[2], y[2]) * threshold - EPS
+    met = [(i, j) for i, x in enumerate(blocks[0]) for j, y in enumerate(blocks[-1]) if (j >= i or not own) and fits(x, y)]
+    pairs = spark.createDataFrame(met, "i int, j int")
+
+    def dealt(p: DataFrame, k: int, name: str) -> DataFrame:
+        parts = spark.createDataFrame([(s, n) for s, n, *_ in sizes[k]], "step int, parts int")
+        at = spark.createDataFrame([(s, i, place) for place, (s, i, *_) in enumerate(blocks[k])], f"step int, part int, {name} int")
+        p = p.join(F.broadcast(parts), "step").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+        p = p.join(broadcast_if_small(at, len(blocks[k])), ["step", "part"]).join(broadcast_if_small(pairs, len(met)), name)
+        is_right, none = name == "j", F.lit(None)
+        return p.select("i", "j", F.lit(is_right).alias("right"), (none.cast(kind["a"]) if is_right else F.col("id")).alias("a"), (F.col("id") if is_right else none.cast(kind["b"])).alias("b"), "n", "bits", "rest")
+
+    rows = dealt(packed[0], 0, "i").unionByName(dealt(packed[-1], -1, "j").where("i <> j") if own else dealt(packed[1], 1, "j"))
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(min(TASKS, max(least, len(met) // 2)), "i", "j").sortWithinPartitions("i", "j", "right")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for b in batches:
+            i, j = b.column(0).to_numpy(), b.column(1).to_numpy()
+            edges = [0, *(np.flatnonzero((i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1).tolist(), b.num_rows]
+            for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+                if lo == hi:
+                    continue
+                if held and (held[0].column(0)[0].as_py(), held[0].column(1)[0].as_py()) != (i[lo], j[lo]):
+                    yield from alike(pa.concat_batches(held))
+                    held = []
+                held.append(b.slice(lo, hi - lo))
+        if held:
+            yield from alike(pa.concat_batches(held))
+
+    def alike(t: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        same = own and t.column(0)[0].as_py() == t.column(1)[0].as_py()
+        cut = t.num_rows if same else int((~t.column(2).to_numpy(zero_copy_only=False)).sum())
+        x, y = t.slice(0, cut), t if same else t.slice(cut)
+        if not x.num_rows or not y.num_rows:
+            return
+        (nx, bx, cx, ox), (ny, by, cy, oy) = (unpacked(d) for d in (x, y))
+        count = np.uint16 if max(nx.max(), ny.max()) < 1 << 15 else np.int64
+        need = np.maximum(np.ceil((threshold * np.arange(nx.max() + ny.max() + 1) - EPS) / (1 + threshold)), 1).astype(count)
+        row = np.repeat(np.arange(len(ny)), np.diff(oy))[order := np.argsort(cy, kind="stable")]
+        sorted_y, high = cy[order], max(1, TILE // len(ny))
+        for at in range(0, len(nx), high):
+            n = min(high, len(nx) - at)
+            both = np.zeros((n, len(ny)), count)
+            for w in range(bx.shape[1]):
+                both += np.bitwise_count(bx[at : at + n, w, None] & by[None, :, w])
+            shared_codes(both.ravel(), cx[ox[at] : ox[at + n]], np.repeat(np.arange(n) * len(ny), np.diff(ox[at : at + n + 1])), sorted_y, row)
+            p, q = np.nonzero(both >= need[nx[at : at + n, None] + ny[None, :]])
+            if same:
+                p, q = p[later := q > p + at], q[later]
+            c = both[p, q].astype(np.int64)
+            like = c / (nx[at + p] + ny[q] - c)
+            p, q, like = at + p[ok := like > threshold], q[ok], like[ok]
+            yield pa.RecordBatch.from_arrays([x.column(3).take(pa.array(p)), y.column(3 if same else 4).take(pa.array(q)), pa.array(like)], ["a", "b", "likeness"])
+
+    out = rows.mapInArrow(compare, f"a {kind['a']}, b {kind['b']}, likeness double")
+    return out.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "likeness").where("a < b") if own else out
+
+
+def unpacked(d: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Sizes, bits as words, the other members' codes and where each set's codes begin."""
+    bits = np.frombuffer(b"".join(d.column(6).to_pylist()), np.uint64).reshape(d.num_rows, -1)
+    offsets = np.concatenate([[0], np.cumsum(d.column(7).value_lengths().to_numpy())])
+    return d.column(5).to_numpy().astype(np.int64), bits, d.column(7).flatten().to_numpy(), offsets
+
+
+def shared_codes(both: np.ndarray, codes: np.ndarray, at: np.ndarray, others: np.ndarray, rows: np.ndarray) -> None:
+    """Adds 1 to ``both`` at ``at`` + row for each of ``codes`` and each of ``others`` (sorted, of ``rows``) that equals it."""
+    lo = np.searchsorted(others, codes, "left")
+    n = np.searchsorted(others, codes, "right") - lo
+    lo, at, n = lo[some := n > 0], at[some], n[some]
+    ends = np.cumsum(n)
+    start = 0
+    while start < len(n):  # no more than about TILE meetings at once
+        stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + TILE)))
+        k = n[start:stop]
+        place = np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k) + np.repeat(lo[start:stop], k)
+        np.add.at(both, np.repeat(at[start:stop], k) + rows[place], 1)
+        start = stop

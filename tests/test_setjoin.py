@@ -3,6 +3,7 @@ import random
 import pytest
 
 from quarry.functions.records import match_alias, normal_alias
+from quarry.operators import setjoin
 from quarry.operators.agreement import near_pool
 from quarry.operators.retrieval import dense
 from quarry.operators.review import similar_questions
@@ -65,3 +66,28 @@ def test_dense_with_null_ragged_and_zero_vectors(spark):
     assert got[1] == [(1, 1.0), (9, 0.6), (2, 0.0), (3, 0.0), (4, 0.0), (5, 0.0), (6, 0.0), (8, 0.0), (7, -1.0)]
     assert got[3][0] == (3, 1.0) and {s for _, s in got[3][1:]} == {0.0} and {s for _, s in got[2] + got[4]} == {0.0} and set(got) == {1, 2, 3, 4}
     assert dense(v, q, 0).count() == 0 and dense(v, q.limit(0), 3).count() == 0
+
+
+@pytest.mark.parametrize("threshold", [0.0, 0.12, 0.5, 0.8])
+def test_blocks_equal_all_pairs(spark, monkeypatch, threshold):
+    monkeypatch.setattr(setjoin, "MEETINGS", 0)
+    monkeypatch.setattr(setjoin, "BLOCK", 25)
+    monkeypatch.setattr(setjoin, "TILE", 64)
+    monkeypatch.setattr(setjoin, "COMMON", 64)
+    rnd = random.Random(5)
+    words = [f"w{i}" for i in range(150)]
+    sets = [(f"{i:03}", sorted({*rnd.sample(words[: rnd.choice([20, 150])], rnd.randrange(0, 20)), *(["the"] if i % 5 else [])})) for i in range(150)] + [(None, ["the"])]
+    df = spark.createDataFrame(sets, "id string, s array<string>")
+    fine = [(i, set(s)) for i, s in sets if s and i is not None]
+    got = [(r.a, r.b, r.likeness) for r in set_join(df, None, threshold).collect()]
+    want = {(i, j): likeness(x, y) for i, x in fine for j, y in fine if i < j and likeness(x, y) > threshold}
+    assert {(a, b): x for a, b, x in got} == pytest.approx(want) and len(got) == len(want) > 0
+    left, right = df.where("id < '080'"), df.where("id >= '070'").selectExpr("cast(id as int) id", "s")
+    got = [(r.a, r.b) for r in set_join(left, right, threshold).collect()]
+    assert sorted(got) == sorted((i, int(j)) for i, x in fine for j, y in fine if i < "080" and j >= "070" and likeness(x, y) > threshold)
+
+
+def test_a_low_threshold_shuffles_no_candidates(spark):
+    rows = spark.range(600).selectExpr("cast(id as int) id", "transform(sequence(0, 39), x -> concat('w', pmod(hash(id, x), 300))) s").selectExpr("id", "array_distinct(s) s")
+    plan = set_join(rows.where("id < 300"), rows.where("id >= 300"), 0.12)._jdf.queryExecution().toString()
+    assert "MapInArrow" in plan and "HashAggregate" not in plan and "SortMergeJoin" not in plan
