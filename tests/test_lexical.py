@@ -96,3 +96,12 @@ def test_no_text_is_read_under_filters(spark):
     out = e.accurate(queries, queries.select("qid", F.lit(4).cast("long").alias("doc_id")), F.lit("2020-06-01").cast("date"), k=3)
     assert out.count() > 0 and out.where("doc_id % 2 = 1").count() == 0
     assert same(out, Engine(poison, index).accurate(queries, queries.select("qid", F.lit(4).cast("long").alias("doc_id")), F.lit("2020-06-01").cast("date"), k=3))
+
+
+def test_blocks_are_columns_of_the_postings_files(spark):
+    docs, _ = corpus(spark, 150)
+    ix = R.LexicalIndex(docs, [])
+    files = lambda d: {r[0] for r in d.select(F.input_file_name()).distinct().collect()}
+    assert files(ix.blocks) == files(ix.postings)
+    want = ix.postings.groupBy("term", "block").agg(F.count("*").alias("n"), F.max("tf").alias("most_tf"))
+    assert same(want, ix.blocks.select("term", "block", "n", "most_tf"))
