@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.parse import query_plan
+from quarry.operators.lexical import NORMS
 from quarry.operators.retrieval import LexicalIndex, query_terms, ranked
-from quarry.session import broadcast_if_small
+from quarry.session import broadcast_if_small, materialize
 
 
 def translated(queries: DataFrame, mapping: DataFrame, needed: Column, strict: bool = False) -> DataFrame:
@@ -26,12 +27,13 @@ def translated(queries: DataFrame, mapping: DataFrame, needed: Column, strict: b
 
 def idf_cosine(index: LexicalIndex, queries: DataFrame, k: int) -> DataFrame:
     """Top k by the cosine of bags of words weighted by tf * ln(1 + N / df). Terms that no document has count in no vector."""
-    qt = query_terms(queries)
-    idf = index.terms.select("term", F.log(1 + F.lit(float(index.n)) / F.col("df")).alias("idf"))
-    q = qt.join(idf, "term").select("qid", "term", (F.col("qtf") * F.col("idf")).alias("qw"), "idf")
+    qt = query_terms(queries.where("qid is not null"))
+    idf = index.terms.select("term", "df", F.log(1 + F.lit(float(index.n)) / F.col("df")).alias("idf"))
+    q = materialize(qt.join(idf, "term").select("qid", "term", (F.col("qtf") * F.col("idf")).alias("qw"), "idf", "df"), "weights")
     q_norm = q.groupBy("qid").agg(F.sqrt(F.sum(F.pow("qw", 2))).alias("qn"))
-    dot = q.join(index.of(qt), "term").groupBy("qid", "doc_id").agg(F.sum(F.col("qw") * F.col("tf") * F.col("idf")).alias("dot"))
-    return ranked(dot.join(q_norm, "qid").join(index.norms, "doc_id").select("qid", "doc_id", (F.col("dot") / F.col("qn") / F.col("dn")).alias("score")), k)
+    w = q.join(q_norm, "qid").select("qid", "term", (F.col("qw") * F.col("idf") / F.col("qn")).alias("w"), "df", F.lit(0.0).alias("sum"), F.lit(None).cast("double").alias("least"))
+    found = index.scored(w, max(k, 0), "most_tf", False, [(NORMS, index.norms)], skip=False)
+    return ranked(found.where("doc_id is not null").select("qid", "doc_id", "score"), k)
 
 
 def overlap(before: Column, after: Column, most: Column) -> Column:

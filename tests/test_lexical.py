@@ -1,5 +1,6 @@
 import datetime
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -105,3 +106,20 @@ def test_blocks_are_columns_of_the_postings_files(spark):
     assert files(ix.blocks) == files(ix.postings)
     want = ix.postings.groupBy("term", "block").agg(F.count("*").alias("n"), F.max("tf").alias("most_tf"))
     assert same(want, ix.blocks.select("term", "block", "n", "most_tf"))
+
+
+def test_lists_are_shuffled_once_and_not_once_a_query(spark, monkeypatch):
+    monkeypatch.setattr(lexical, "SEEDS", 10)
+    docs, _ = corpus(spark, 3000)
+    rnd = random.Random(5)
+    ix = R.LexicalIndex(docs, [])
+    queries = spark.createDataFrame([(i, " ".join(f"w{rnd.randrange(40)}" for _ in range(12))) for i in range(200)], "qid long, text string")
+
+    def shuffled(q):
+        total = lambda: spark.sparkContext._jsc.sc().statusStore().executorList(False).apply(0).totalShuffleWrite()
+        before = total()
+        assert q.count() * 5 == ix.search(q, 5).count()
+        time.sleep(1)
+        return total() - before
+
+    assert shuffled(queries) < 4 * shuffled(queries.where("qid < 20"))
