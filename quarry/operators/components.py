@@ -12,14 +12,15 @@ def _star(e: DataFrame, large: bool) -> DataFrame:
     """One star step over edges (a, b).
 
     The least neighbour of each node is a partial aggregate, written before it is joined back: a join between two plain tables is
-    one that adaptive execution can split, so a hub's links are dealt over several tasks.
+    one that adaptive execution can split, so a hub's links are dealt over several tasks. It is never broadcast: the files of
+    sorted ids are far smaller than their rows, which would pass through the driver in every step.
     """
     if large:
         both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
     else:
         both = e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     m = materialize(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("n"), F.least("a", "m").alias("m")), "least")
-    j = both.join(m, both.a == m.n)
+    j = both.join(m.hint("merge"), both.a == m.n)
     if large:
         out = j.where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:

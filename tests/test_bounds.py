@@ -1,8 +1,12 @@
 """What a task or the driver holds does not grow with the table."""
 
+import time
 from collections import defaultdict
 
+from pyspark.sql import functions as F
+
 from quarry.operators import governance as G
+from quarry.operators.components import connected_components
 
 
 def test_delta_completeness_deals_rows_over_tasks_that_grow_with_them(spark, monkeypatch):
@@ -26,3 +30,17 @@ def test_delta_completeness_deals_rows_over_tasks_that_grow_with_them(spark, mon
             want.add((d, "stale_version"))
     assert sorted(map(tuple, out.collect())) == sorted(want)
     assert out.rdd.getNumPartitions() == len(rows) // 50
+
+
+def test_components_pass_no_table_through_the_driver(spark):
+    def sent():
+        jvm, store = spark._jvm, spark.sparkContext._jsc.sc().statusStore()
+        stages = store.stageList(None, False, False, spark.sparkContext._gateway.new_array(jvm.double, 0), jvm.java.util.ArrayList())
+        return sum(stages.apply(i).resultSize() for i in range(stages.size()))
+
+    i = F.col("id")
+    edges = spark.range(60_000).select(i.alias("a"), (i + F.when(i % 10 == 9, 31).otherwise(1)).alias("b"))
+    before = sent()
+    assert connected_components(edges).count() == 60_004
+    time.sleep(1)
+    assert sent() - before < 8_000_000
