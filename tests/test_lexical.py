@@ -123,3 +123,22 @@ def test_lists_are_shuffled_once_and_not_once_a_query(spark, monkeypatch):
         return total() - before
 
     assert shuffled(queries) < 4 * shuffled(queries.where("qid < 20"))
+
+
+def test_tokens_are_not_shuffled_to_build_an_index(spark):
+    docs, _ = corpus(spark, 3000)
+    docs = docs.withColumn("text", F.repeat(F.concat("text", F.lit(" ")), 20))
+
+    def shuffled():
+        jvm, store = spark._jvm, spark.sparkContext._jsc.sc().statusStore()
+        time.sleep(1)
+        stages = store.stageList(None, False, False, spark.sparkContext._gateway.new_array(jvm.double, 0), jvm.java.util.ArrayList())
+        return sum(stages.apply(i).shuffleWriteRecords() for i in range(stages.size()))
+
+    before = shuffled()
+    ix = R.LexicalIndex(docs, [])
+    rows = shuffled() - before
+    got = ix.lists.agg(F.count("*"), F.sum("n")).first()
+    want = docs.select("doc_id", F.explode(F.split(F.trim("text"), " ")).alias("w")).where("w <> ''").groupBy("doc_id", "w").agg(F.count("*").alias("tf"))
+    assert same(want.select("w", "doc_id", "tf"), ix.postings.select("term", "doc_id", "tf")) and got[1] == want.count()
+    assert rows < got[0]
