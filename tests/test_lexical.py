@@ -142,3 +142,21 @@ def test_tokens_are_not_shuffled_to_build_an_index(spark):
     want = docs.select("doc_id", F.explode(F.split(F.trim("text"), " ")).alias("w")).where("w <> ''").groupBy("doc_id", "w").agg(F.count("*").alias("tf"))
     assert same(want.select("w", "doc_id", "tf"), ix.postings.select("term", "doc_id", "tf")) and got[1] == want.count()
     assert rows < got[0]
+
+
+def test_a_term_in_most_documents_is_not_read_ahead_of_the_search(spark, monkeypatch):
+    monkeypatch.setattr(lexical, "SEEDS", 10)
+    docs, _ = corpus(spark, 3000)
+    ix = R.LexicalIndex(docs, [])
+    queries = spark.createDataFrame([(1, "all all w1"), (2, "all")], "qid long, text string")
+
+    def shuffled():
+        jvm, store = spark._jvm, spark.sparkContext._jsc.sc().statusStore()
+        time.sleep(1)
+        stages = store.stageList(None, False, False, spark.sparkContext._gateway.new_array(jvm.double, 0), jvm.java.util.ArrayList())
+        return sum(stages.apply(i).shuffleWriteRecords() for i in range(stages.size()))
+
+    before = shuffled()
+    out = ix.search(queries, 5, "sparse")
+    assert shuffled() - before < 1500
+    assert same(out, R.sparse(docs, queries, 5))
