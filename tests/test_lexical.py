@@ -1,4 +1,5 @@
 import datetime
+import math
 import random
 import time
 
@@ -160,3 +161,25 @@ def test_a_term_in_most_documents_is_not_read_ahead_of_the_search(spark, monkeyp
     out = ix.search(queries, 5, "sparse")
     assert shuffled() - before < 1500
     assert same(out, R.sparse(docs, queries, 5))
+
+
+@pytest.mark.parametrize("common", [0, 100, 100_000])
+def test_lengths_of_vectors_shuffle_no_lists_of_common_terms(spark, monkeypatch, common):
+    monkeypatch.setattr(lexical, "COMMON", common, raising=False)
+    docs, _ = corpus(spark, 3000)
+    ix = R.LexicalIndex(docs, [])
+
+    def shuffled():
+        jvm, store = spark._jvm, spark.sparkContext._jsc.sc().statusStore()
+        time.sleep(1)
+        stages = store.stageList(None, False, False, spark.sparkContext._gateway.new_array(jvm.double, 0), jvm.java.util.ArrayList())
+        return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size()))
+
+    before = shuffled()
+    got = {d: v for r in ix.norms.collect() for d, v in zip(r.ids, r.tf, strict=True)}
+    assert common < 100_000 or shuffled() - before < 400_000
+    df = {r.term: r.df for r in ix.terms.collect()}
+    want = {}
+    for r in ix.postings.collect():
+        want[r.doc_id] = want.get(r.doc_id, 0) + (r.tf * math.log(1 + ix.n / df[r.term])) ** 2
+    assert got.keys() == want.keys() and all(abs(got[i] - math.sqrt(want[i])) < 1e-9 for i in want)
