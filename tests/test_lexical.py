@@ -6,6 +6,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from quarry.functions.text import tokens
 from quarry.operators import lexical
 from quarry.operators import retrieval as R
 from quarry.operators.governance import named_filter
@@ -183,3 +184,19 @@ def test_lengths_of_vectors_shuffle_no_lists_of_common_terms(spark, monkeypatch,
     for r in ix.postings.collect():
         want[r.doc_id] = want.get(r.doc_id, 0) + (r.tf * math.log(1 + ix.n / df[r.term])) ** 2
     assert got.keys() == want.keys() and all(abs(got[i] - math.sqrt(want[i])) < 1e-9 for i in want)
+
+
+def test_postings_are_sorted_by_one_number_and_tokens_not_at_all(spark, monkeypatch):
+    docs, _ = corpus(spark, 150)
+    sorts, kind = [], type(docs)
+    was = kind.sortWithinPartitions
+    monkeypatch.setattr(kind, "sortWithinPartitions", lambda self, *a, **b: (sorts.append((a, dict(self.dtypes))), was(self, *a, **b))[1])
+    ix = R.LexicalIndex(docs, ["source"])
+    keys, types = sorts[-1]
+    assert len(keys) == 1 and types[keys[0]] == "int"
+    want = {r.doc_id: r.t for r in docs.select("doc_id", tokens(F.col("text")).alias("t")).collect()}
+    assert {r.doc_id: r.t for r in ix.forward.select("doc_id", "t").collect()} == want and any(t != sorted(t) for t in want.values())
+    assert not [f for f in ix.lists.schema if f.dataType.simpleString().startswith("array<struct")]
+    got = [r for p in ix.lists.where("n > 1").collect() for r in zip(p.ids, p.dl, p.tf, strict=True)]
+    plain = {r.doc_id: r.t for r in ix.forward.select("doc_id", "t").collect()}
+    assert got and all(len(plain[i]) == dl for i, dl, _ in got)
