@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -13,16 +14,21 @@ from quarry.session import broadcast_if_small, materialize
 
 EPS = 1e-9  # by which bounds are loosened against rounding; the last comparison is exact
 MEETINGS = 100  # meetings of prefixes a set, beyond which sets are compared in blocks instead
-COMMON = 512  # members that are bits of a set there
-BLOCK = 8_192  # sets in a block
-TILE = 1 << 20  # pairs of a block compared in one go
+COMMON = 4_096  # members that are columns of a matrix there, at most
+BLOCK = 65_536  # sets in a block, at most
+MEMBERS = 1 << 22  # their members, at most
+GRID = 8  # blocks a side, at least
+TILE = 1 << 19  # pairs of a block compared in one go
+WIDE = 2_048  # sets of the right side among them
+SLAB = 1 << 24  # entries of a matrix
 TASKS = 4_096  # tasks that compare blocks, at most
+MEETING = 450  # columns that take as long to multiply as one meeting to add (measured)
 
 
-def by_rarity(sets: DataFrame, counts: DataFrame) -> DataFrame:
-    """(id, n, s): the members of each set, the rarest of all sets first."""
-    members = sets.select("id", F.explode("s").alias("term")).join(counts, "term")
-    return members.groupBy("id").agg(F.count("*").cast("int").alias("n"), F.transform(F.array_sort(F.collect_list(F.struct("df", "term"))), lambda x: x["term"]).alias("s"))
+def by_rarity(sets: DataFrame, codes: DataFrame) -> DataFrame:
+    """(row, id, n, s): the size of each set and the codes of its members that have one, in their order; ``row`` tells sets with one id apart."""
+    members = sets.select(F.monotonically_increasing_id().alias("row"), "id", F.size("s").alias("n"), "s").select("row", "id", "n", F.explode("s").alias("term")).join(codes, "term")
+    return members.groupBy("row", "id", "n").agg(F.array_sort(F.collect_list("code")).alias("s"))
 
 
 def set_join(left: DataFrame, right: DataFrame | None, threshold: float) -> DataFrame:
@@ -31,21 +37,25 @@ def set_join(left: DataFrame, right: DataFrame | None, threshold: float) -> Data
     Without ``right`` pairs are those of ``left`` with itself, a < b. Two sets that are alike enough share a member within the
     first n - floor(threshold n) of both, if members are ordered by rarity; so only these prefixes are joined, and only where
     sizes, and what can still follow that member, leave the threshold in reach. A member that all sets have is last in all
-    of them and in no prefix, unless the set has few others. What meets is compared in full. Where prefixes would meet more
-    than ``MEETINGS`` times a set, as they do under a low threshold, all sets are compared by ``in_blocks`` with the same result.
-    Sets without members or with a null id are in no pair.
+    of them and in no prefix, unless the set has few others. Members that no two sets can share come first in that order and are
+    only counted. What meets is compared in full. Where prefixes would meet more than ``MEETINGS`` times a set, as they do under
+    a low threshold, all sets are compared by ``in_blocks`` with the same result. Sets without members or with a null id are in no
+    pair; sets that have the same id are compared each for itself.
     """
     own = right is None
     sides = [d.where(F.col("id").isNotNull() & (F.size("s") > 0)).select("id", "s") for d in ([left] if own else [left, right])]
-    members = sides[0].select(F.explode("s").alias("term"))
+    members = sides[0].select(F.explode("s").alias("term"), F.lit(1).alias("x"), F.lit(0).alias("y"))
     for d in sides[1:]:
-        members = members.unionByName(d.select(F.explode("s").alias("term")))
-    counts = members.groupBy("term").agg(F.count("*").alias("df"))
-    ordered = [materialize(by_rarity(d, counts), "sets") for d in sides]
-    prefix = F.slice("s", F.lit(1), (F.col("n") - F.floor(F.greatest(F.col("n") * threshold - EPS, F.lit(0.0)))).cast("int"))
+        members = members.unionByName(d.select(F.explode("s").alias("term"), F.lit(0).alias("x"), F.lit(1).alias("y")))
+    counts = members.groupBy("term").agg(F.sum("x").alias("x"), F.sum("y").alias("y")).where("x > 1" if own else "x > 0 and y > 0")
+    codes = materialize(counts.orderBy(F.col("x") + F.col("y"), "term").select("term", F.monotonically_increasing_id().alias("code")), "codes")
+    codes = broadcast_if_small(codes, codes.count())
+    ordered = [materialize(by_rarity(d, codes), "sets") for d in sides]
+    unshared = F.col("n") - F.size("s")
+    prefix = F.slice("s", F.lit(1), F.greatest(F.col("n") - F.floor(F.greatest(F.col("n") * threshold - EPS, F.lit(0.0))) - unshared, F.lit(0)).cast("int"))
 
     def heads(d: DataFrame, i: str) -> DataFrame:
-        return d.select(F.col("id").alias(i), F.col("n").alias(f"n{i}"), F.posexplode(prefix).alias(f"p{i}", "term"))
+        return d.select(F.col("row").alias(i), F.col("n").alias(f"n{i}"), unshared.alias(f"u{i}"), F.posexplode(prefix).alias(f"p{i}", "term")).withColumn(f"p{i}", F.col(f"p{i}") + F.col(f"u{i}"))
 
     heads_of = [heads(d, "a").groupBy("term").count() for d in ordered]
     both = heads_of[0].select("term", F.col("count").alias("x")).join(heads_of[-1], "term").agg(F.sum(F.col("x").cast("double") * F.col("count"))).first()[0]
@@ -55,61 +65,59 @@ def set_join(left: DataFrame, right: DataFrame | None, threshold: float) -> Data
     shared = 1 + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) - 1
     near = (small >= large * threshold - EPS) & (shared * (1 + threshold) >= (F.col("na") + F.col("nb")) * threshold - EPS)
     met = heads(ordered[0], "a").join(heads(ordered[-1], "b"), "term").where(near & (F.col("a") < F.col("b")) if own else near).select("a", "b").distinct()
-    j = met.join(ordered[0].select(F.col("id").alias("a"), F.col("s").alias("x"), F.col("n").alias("na")), "a").join(ordered[-1].select(F.col("id").alias("b"), F.col("s").alias("y"), F.col("n").alias("nb")), "b")
+    full = [d.select(F.col("row").alias(i), F.col("id").alias(f"id{i}"), F.col("s").alias(x), F.col("n").alias(f"n{i}")) for d, i, x in ((ordered[0], "a", "x"), (ordered[-1], "b", "y"))]
+    j = met.join(full[0], "a").join(full[1], "b")
     c = F.size(F.array_intersect("x", "y"))
-    return j.select("a", "b", (c / (F.col("na") + F.col("nb") - c)).alias("likeness")).where(F.col("likeness") > threshold)
+    out = j.select(F.col("ida").alias("a"), F.col("idb").alias("b"), (c / (F.col("na") + F.col("nb") - c)).alias("likeness")).where(F.col("likeness") > threshold)
+    return least_first(out) if own else out
+
+
+def least_first(pairs: DataFrame) -> DataFrame:
+    """Pairs (a, b, likeness) of different ids, a < b."""
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "likeness").where("a < b")
+
+
+def cut_by_size(sizes: list[tuple[int, int, int]]) -> tuple[list[tuple[int, int, int]], list[tuple[int, int]]]:
+    """Blocks of sets from (size, sets, members): (size, its first block, its blocks) of each size, and (least, greatest size) of each block."""
+    most = min(BLOCK, -(-sum(c for _, c, _ in sizes) // GRID))
+    places, blocks, rows, members = [], [], 0, 0
+    for n, count, m in sorted(sizes):
+        parts = max(-(-count // most), -(-m // MEMBERS))
+        if blocks and parts == 1 and rows + count <= most and members + m <= MEMBERS:
+            blocks[-1] = (blocks[-1][0], n)
+            places.append((n, len(blocks) - 1, 1))
+            rows, members = rows + count, members + m
+        else:
+            places.append((n, len(blocks), parts))
+            blocks += [(n, n)] * parts
+            rows, members = (count, m) if parts == 1 else (most, MEMBERS)  # nothing is added to parts of a size
+    return places, blocks
 
 
 def in_blocks(left: DataFrame, right: DataFrame | None, threshold: float) -> DataFrame:
-    """The result of ``set_join`` for (id, n, s) from ``by_rarity``, by comparing blocks of sets of a similar size with blocks.
+    """The result of ``set_join`` for (row, id, n, s) from ``by_rarity``, by comparing blocks of sets of a similar size with blocks.
 
-    Pairs of blocks whose sizes leave the threshold out of reach are not compared. A set is moved once for each block it meets, as
-    bits for its members among the ``COMMON`` most frequent ones and codes for the others; only pairs that are alike leave a
-    task, with their likeness, so no candidates are shuffled. Time grows with the product of both sides, a task's memory does not.
+    Pairs of blocks whose sizes leave the threshold out of reach are not compared. A set is moved once for each block it meets; only
+    pairs that are alike leave a task, with their likeness, so no candidates are shuffled. Time grows with the product of both sides,
+    a task's memory does not.
     """
     own, sides = right is None, [left] if right is None else [left, right]
     spark, kind = left.sparkSession, {x: dict(d.dtypes)["id"] for x, d in (("a", left), ("b", sides[-1]))}
-    terms = sides[0].select(F.explode("s").alias("term"))
-    for d in sides[1:]:
-        terms = terms.unionByName(d.select(F.explode("s").alias("term")))
-    codes = materialize(terms.groupBy("term").agg(F.count("*").alias("df")).select("term", "df", F.monotonically_increasing_id().alias("code")), "codes")
-    common = np.sort(np.array([r.code for r in codes.orderBy(F.desc("df"), "term").limit(COMMON).collect()], dtype=np.int64))
-    step = F.floor(F.log2("n") * 4).cast("int")
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            members, size = b.column(3).flatten().to_numpy(), np.diff(b.column(3).offsets.to_numpy())
-            row, at = np.repeat(np.arange(b.num_rows), size), np.minimum(np.searchsorted(common, members), len(common) - 1)
-            is_bit = common[at] == members
-            bits = np.zeros((b.num_rows, COMMON), bool)
-            bits[row[is_bit], at[is_bit]] = True
-            left_out = np.concatenate([[0], np.cumsum(np.bincount(row[~is_bit], minlength=b.num_rows))])
-            rest = pa.ListArray.from_arrays(pa.array(left_out, pa.int32()), pa.array(members[~is_bit]))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array([x.tobytes() for x in np.packbits(bits, axis=1)], pa.binary()), rest], ["id", "n", "step", "bits", "rest"])
-
-    packed, sizes = [], []
-    for d, k in zip(sides, kind.values(), strict=False):
-        coded = d.select("id", "n", F.explode("s").alias("term")).join(codes, "term").groupBy("id", "n").agg(F.collect_list("code").alias("s"))
-        p = materialize(coded.select("id", "n", step.alias("step"), "s").mapInArrow(pack, f"id {k}, n int, step int, bits binary, rest array<long>"), "packed")
-        c = sorted(tuple(r) for r in p.groupBy("step").agg(F.count("*"), F.min("n"), F.max("n")).collect())  # a row a size step: at most 124
-        packed.append(p)
-        sizes.append([(s, -(-n // BLOCK), lo, hi) for s, n, lo, hi in c])
-    blocks = [[(s, i, lo, hi) for s, parts, lo, hi in x for i in range(parts)] for x in sizes]
-    fits = lambda x, y: min(x[3], y[3]) >= max(x[2], y[2]) * threshold - EPS
-    met = [(i, j) for i, x in enumerate(blocks[0]) for j, y in enumerate(blocks[-1]) if (j >= i or not own) and fits(x, y)]
-    pairs = spark.createDataFrame(met, "i int, j int")
+    cuts = [cut_by_size([tuple(r) for r in d.groupBy("n").agg(F.count("*"), F.sum(F.size("s"))).collect()]) for d in sides]  # a row a size
+    fits = lambda x, y: min(x[1], y[1]) >= max(x[0], y[0]) * threshold - EPS
+    met = [(i, j) for i, x in enumerate(cuts[0][1]) for j, y in enumerate(cuts[-1][1]) if (j >= i or not own) and fits(x, y)]
+    tasks = max(1, min(TASKS, len(met)))
+    pairs = spark.createDataFrame([(i, j, k % tasks) for k, (i, j) in enumerate(met)], "i int, j int, task int")
 
     def dealt(p: DataFrame, k: int, name: str) -> DataFrame:
-        parts = spark.createDataFrame([(s, n) for s, n, *_ in sizes[k]], "step int, parts int")
-        at = spark.createDataFrame([(s, i, place) for place, (s, i, *_) in enumerate(blocks[k])], f"step int, part int, {name} int")
-        p = p.join(F.broadcast(parts), "step").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
-        p = p.join(broadcast_if_small(at, len(blocks[k])), ["step", "part"]).join(broadcast_if_small(pairs, len(met)), name)
+        at = spark.createDataFrame(cuts[k][0], "n int, first int, parts int")
+        p = p.join(broadcast_if_small(at, len(cuts[k][0])), "n").withColumn(name, F.col("first") + F.pmod(F.xxhash64("row"), F.col("parts")).cast("int"))
+        p = p.join(broadcast_if_small(pairs, len(met)), name)
         is_right, none = name == "j", F.lit(None)
-        return p.select("i", "j", F.lit(is_right).alias("right"), (none.cast(kind["a"]) if is_right else F.col("id")).alias("a"), (F.col("id") if is_right else none.cast(kind["b"])).alias("b"), "n", "bits", "rest")
+        return p.select("i", "j", F.lit(is_right).alias("right"), (none.cast(kind["a"]) if is_right else F.col("id")).alias("a"), (F.col("id") if is_right else none.cast(kind["b"])).alias("b"), "n", "s", "task")
 
-    rows = dealt(packed[0], 0, "i").unionByName(dealt(packed[-1], -1, "j").where("i <> j") if own else dealt(packed[1], 1, "j"))
-    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.repartition(min(TASKS, max(least, len(met) // 2)), "i", "j").sortWithinPartitions("i", "j", "right")
+    rows = dealt(sides[0], 0, "i").unionByName(dealt(sides[0], 0, "j").where("i <> j") if own else dealt(sides[1], 1, "j"))
+    rows = rows.repartitionById(tasks, "task").sortWithinPartitions("i", "j", "right").drop("task")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -132,46 +140,109 @@ def in_blocks(left: DataFrame, right: DataFrame | None, threshold: float) -> Dat
         x, y = t.slice(0, cut), t if same else t.slice(cut)
         if not x.num_rows or not y.num_rows:
             return
-        (nx, bx, cx, ox), (ny, by, cy, oy) = (unpacked(d) for d in (x, y))
-        count = np.uint16 if max(nx.max(), ny.max()) < 1 << 15 else np.int64
-        need = np.maximum(np.ceil((threshold * np.arange(nx.max() + ny.max() + 1) - EPS) / (1 + threshold)), 1).astype(count)
-        row = np.repeat(np.arange(len(ny)), np.diff(oy))[order := np.argsort(cy, kind="stable")]
-        sorted_y, high = cy[order], max(1, TILE // len(ny))
-        for at in range(0, len(nx), high):
-            n = min(high, len(nx) - at)
-            both = np.zeros((n, len(ny)), count)
-            for w in range(bx.shape[1]):
-                both += np.bitwise_count(bx[at : at + n, w, None] & by[None, :, w])
-            shared_codes(both.ravel(), cx[ox[at] : ox[at + n]], np.repeat(np.arange(n) * len(ny), np.diff(ox[at : at + n + 1])), sorted_y, row)
-            p, q = np.nonzero(both >= need[nx[at : at + n, None] + ny[None, :]])
+        for p, q, like in alike_rows(sets_of(x), sets_of(y), threshold):
             if same:
-                p, q = p[later := q > p + at], q[later]
-            c = both[p, q].astype(np.int64)
-            like = c / (nx[at + p] + ny[q] - c)
-            p, q, like = at + p[ok := like > threshold], q[ok], like[ok]
+                p, q, like = p[later := p < q], q[later], like[later]
             yield pa.RecordBatch.from_arrays([x.column(3).take(pa.array(p)), y.column(3 if same else 4).take(pa.array(q)), pa.array(like)], ["a", "b", "likeness"])
 
     out = rows.mapInArrow(compare, f"a {kind['a']}, b {kind['b']}, likeness double")
-    return out.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "likeness").where("a < b") if own else out
+    return least_first(out) if own else out
+
+
+class Sets(NamedTuple):
+    """Sets as rows: their sizes, where each one's codes begin, and the codes, which may be fewer than the size."""
 
+    n: np.ndarray
+    at: np.ndarray
+    codes: np.ndarray
 
-def unpacked(d: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Sizes, bits as words, the other members' codes and where each set's codes begin."""
-    bits = np.frombuffer(b"".join(d.column(6).to_pylist()), np.uint64).reshape(d.num_rows, -1)
-    offsets = np.concatenate([[0], np.cumsum(d.column(7).value_lengths().to_numpy())])
-    return d.column(5).to_numpy().astype(np.int64), bits, d.column(7).flatten().to_numpy(), offsets
+    def rows(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.n)), np.diff(self.at))
 
+    def take(self, rows: np.ndarray) -> Sets:
+        size = np.diff(self.at)[rows]
+        at = np.concatenate([[0], np.cumsum(size)])
+        return Sets(self.n[rows], at, self.codes[np.repeat(self.at[rows] - at[:-1], size) + np.arange(at[-1])])
 
-def shared_codes(both: np.ndarray, codes: np.ndarray, at: np.ndarray, others: np.ndarray, rows: np.ndarray) -> None:
-    """Adds 1 to ``both`` at ``at`` + row for each of ``codes`` and each of ``others`` (sorted, of ``rows``) that equals it."""
-    lo = np.searchsorted(others, codes, "left")
-    n = np.searchsorted(others, codes, "right") - lo
+    def kept(self, keep: np.ndarray, codes: np.ndarray) -> Sets:
+        return Sets(self.n, np.concatenate([[0], np.cumsum(keep)])[self.at], codes[keep])
+
+
+def sets_of(d: pa.RecordBatch) -> Sets:
+    return Sets(d.column(5).to_numpy().astype(np.int64), np.concatenate([[0], np.cumsum(d.column(6).value_lengths().to_numpy())]), d.column(6).flatten().to_numpy())
+
+
+def ranked(x: Sets, y: Sets) -> tuple[Sets, Sets, np.ndarray]:
+    """Both with only the codes they share, as ranks by falling number of pairs that have them; and that number of each rank."""
+    known = np.intersect1d(x.codes, y.codes)
+    if not len(known):
+        return *(s.kept(np.zeros(len(s.codes), bool), s.codes) for s in (x, y)), np.zeros(0)
+    place = [np.minimum(np.searchsorted(known, s.codes), len(known) - 1) for s in (x, y)]
+    keep = [known[i] == s.codes for i, s in zip(place, (x, y), strict=True)]
+    met = np.multiply(*(np.bincount(i[k], minlength=len(known)).astype(float) for i, k in zip(place, keep, strict=True)))
+    rank = np.empty(len(known), np.int32)
+    rank[order := np.argsort(-met, kind="stable")] = np.arange(len(known))
+    return x.kept(keep[0], rank[place[0]]), y.kept(keep[1], rank[place[1]]), met[order]
+
+
+def alike_rows(x: Sets, y: Sets, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(row of x, row of y, likeness) of all pairs that are alike by more than ``threshold``.
+
+    What two sets share of the most frequent members is a product of matrices, less what sets of their sizes need, by two more
+    columns; each other member they share is added. As many members are columns as make both together the least work.
+    """
+    order = [np.argsort(s.n, kind="stable") for s in (x, y)]
+    x, y, met = ranked(*(s.take(o) for s, o in zip((x, y), order, strict=True)))
+    if not len(met):
+        return
+    widths = np.unique(np.minimum(np.arange(62, COMMON + 64, 64), min(COMMON, len(met))))
+    left_over = met.sum() - np.concatenate([[0], np.cumsum(met)])[widths]
+    columns = int(widths[np.argmin(left_over / len(x.n) / len(y.n) + widths / MEETING)])
+    number = np.float32 if x.n[-1] + y.n[-1] < 1 << 17 else np.float64  # sums of 1/64 are exact
+    need = lambda n: np.maximum(np.floor(threshold / (1 + threshold) * n * 64 - 1), 0) / 64
+
+    def split(s: Sets, is_left: bool) -> tuple[np.ndarray, Sets]:
+        m, frequent = np.zeros((len(s.n), columns + 2), number), s.codes < columns
+        m[s.rows()[frequent], s.codes[frequent]] = 1
+        m[:, columns], m[:, columns + 1] = (-need(s.n), 1) if is_left else (1, -need(s.n))
+        return m, s.kept(~frequent, s.codes - columns)
+
+    wide = min(WIDE, TILE)
+    high, slab = max(1, TILE // wide), max(1, SLAB // (columns + 2))
+    for top in range(0, len(x.n), slab):
+        xs = x.take(np.arange(top, min(top + slab, len(x.n))))
+        mx, fewer = split(xs, True)
+        for j in range(0, len(y.n), wide):
+            ys = y.take(np.arange(j, min(j + wide, len(y.n))))
+            lo, hi = np.searchsorted(xs.n, ys.n[0] * threshold - EPS), len(xs.n) if threshold <= 0 else np.searchsorted(xs.n, ys.n[-1] / threshold + EPS, "right")
+            if lo >= hi:
+                continue
+            my, others = split(ys, False)
+            having = others.rows()[np.argsort(others.codes, kind="stable")].astype(np.int32)
+            first = np.concatenate([[0], np.cumsum(np.bincount(others.codes, minlength=len(met) - columns))])
+            for i in range(lo, hi, high):
+                end = min(i + high, hi)
+                over = (mx[i:end] @ my.T).ravel()
+                codes = fewer.codes[fewer.at[i] : fewer.at[end]]
+                add_met(over, np.repeat(np.arange(end - i, dtype=np.int32) * len(ys.n), np.diff(fewer.at[i : end + 1])), first[codes], first[codes + 1], having)
+                hit = np.flatnonzero(over > 0)
+                p, q = np.divmod(hit, len(ys.n))
+                nx, ny = xs.n[p + i], ys.n[q]
+                c = np.rint(over[hit] + need(nx) + need(ny))
+                like = c / (nx + ny - c)
+                if (ok := like > threshold).any():
+                    yield order[0][p[ok] + top + i], order[1][q[ok] + j], like[ok]
+
+
+def add_met(over: np.ndarray, at: np.ndarray, lo: np.ndarray, hi: np.ndarray, rows: np.ndarray) -> None:
+    """Adds 1 to ``over`` at each of ``at`` + each of its ``rows`` from ``lo`` to ``hi``."""
+    n = hi - lo
     lo, at, n = lo[some := n > 0], at[some], n[some]
     ends = np.cumsum(n)
     start = 0
     while start < len(n):  # no more than about TILE meetings at once
         stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + TILE)))
         k = n[start:stop]
-        place = np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k) + np.repeat(lo[start:stop], k)
-        np.add.at(both, np.repeat(at[start:stop], k) + rows[place], 1)
+        place = np.repeat(lo[start:stop] - np.cumsum(k) + k, k) + np.arange(k.sum())
+        np.add.at(over, np.repeat(at[start:stop], k) + rows[place], over.dtype.type(1))
         start = stop

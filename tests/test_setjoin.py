@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from quarry.functions.records import match_alias, normal_alias
@@ -91,3 +92,45 @@ def test_a_low_threshold_shuffles_no_candidates(spark):
     rows = spark.range(600).selectExpr("cast(id as int) id", "transform(sequence(0, 39), x -> concat('w', pmod(hash(id, x), 300))) s").selectExpr("id", "array_distinct(s) s")
     plan = set_join(rows.where("id < 300"), rows.where("id >= 300"), 0.12)._jdf.queryExecution().toString()
     assert "MapInArrow" in plan and "HashAggregate" not in plan and "SortMergeJoin" not in plan
+
+
+@pytest.mark.parametrize("meetings", [0, 10**9])
+def test_sets_with_one_id_are_compared_each_for_itself(spark, monkeypatch, meetings):
+    monkeypatch.setattr(setjoin, "MEETINGS", meetings)
+    left = spark.createDataFrame([(1, ["a", "b"]), (1, ["c", "d"]), (2, ["e", "f"]), (2, ["e", "f"])], "id int, s array<string>")
+    right = spark.createDataFrame([(7, ["a", "b"]), (7, ["c", "d"]), (8, ["a", "b", "c", "d"]), (9, ["e", "f", "g", "h"])], "id int, s array<string>")
+    got = sorted(tuple(r) for r in set_join(left, right, 0.4).collect())
+    assert got == [(1, 7, 1.0), (1, 7, 1.0), (1, 8, 0.5), (1, 8, 0.5), (2, 9, 0.5), (2, 9, 0.5)]
+    assert sorted(tuple(r) for r in set_join(left.unionByName(right), None, 0.4).where("a = 1").collect()) == [(1, 7, 1.0), (1, 7, 1.0), (1, 8, 0.5), (1, 8, 0.5)]
+
+
+def test_few_blocks_of_bounded_size():
+    """Each set is moved once for each block of the other side: sizes are put together into few blocks, and split where one is too large."""
+    sizes = [(n, 1000, 1000 * n) for n in range(1, 61)] + [(90, 200_000, 200_000 * 90)]
+    places, blocks = setjoin.cut_by_size(sizes)
+    assert [n for n, *_ in places] == [n for n, *_ in sizes] and len(blocks) <= 4 * setjoin.GRID
+    held = [[0, 0] for _ in blocks]
+    for (n, first, parts), (_, count, members) in zip(places, sizes, strict=True):
+        for b in range(first, first + parts):
+            held[b][0] += count / parts
+            held[b][1] += members / parts
+            assert blocks[b][0] <= n <= blocks[b][1]
+    assert max(r for r, _ in held) <= setjoin.BLOCK and max(m for _, m in held) <= setjoin.MEMBERS
+
+
+@pytest.mark.parametrize("tile, wide, slab", [(1 << 19, 2048, 1 << 24), (700, 50, 4000), (1, 1, 1)])
+@pytest.mark.parametrize("threshold", [0.0, 0.12, 0.6])
+def test_rows_of_a_block_equal_all_pairs(monkeypatch, tile, wide, slab, threshold):
+    for k, v in (("TILE", tile), ("WIDE", wide), ("SLAB", slab)):
+        monkeypatch.setattr(setjoin, k, v)
+    rnd = np.random.default_rng(3)
+
+    def side(count, known):
+        sets = known + [np.unique(np.minimum(rnd.zipf(1.3, rnd.integers(1, 60)), 5000)) for _ in range(count)]
+        return sets, setjoin.Sets(np.array([len(s) for s in sets]), np.concatenate([[0], np.cumsum([len(s) for s in sets])]), np.concatenate(sets))
+
+    a, x = side(70, [])
+    b, y = side(90, [s[: -(-len(s) * 3 // 4)] for s in a[::10]])
+    got = {(int(i), int(j)): like for p, q, ls in setjoin.alike_rows(x, y, threshold) for i, j, like in zip(p, q, ls, strict=True)}
+    want = {(i, j): likeness(set(s), set(t)) for i, s in enumerate(a) for j, t in enumerate(b) if likeness(set(s), set(t)) > threshold}
+    assert got == want and want
